@@ -13,13 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 #  - lookups are broadcast only while Spark's size estimate stays under the threshold, and
 #    fall back to a shuffled join above it;
 #  - a join partition that holds a hot key is split at run time, also where the next
-#    aggregation could have reused the join's partitioning.
+#    aggregation could have reused the join's partitioning;
+#  - small shuffles still use every core, which matters to writes of many small days;
+#  - the folders of a table are listed by some hundred tasks, not by one task per folder.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 10),
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
 SHUFFLE_PARTITION_BYTES = 128 << 20
