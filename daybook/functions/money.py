@@ -11,9 +11,13 @@ def money(value: Column) -> Column:
     return F.round(value, 2).try_cast(MONEY)
 
 
-def total(value: Column) -> Column:
-    """Rounded sum of a money column as decimal(18,2)."""
-    return F.round(F.sum(value), 2).cast(TOTAL)
+def cents(amount: Column) -> Column:
+    """A money column in whole cents: exact, and summed as long integers instead of decimals."""
+    return (amount * 100).cast("bigint")
+
+
+def from_cents(amount: Column) -> Column:
+    return (amount.cast("decimal(20,0)") / 100).cast(TOTAL)
 
 
 def floor_at_zero(value: Column) -> Column:

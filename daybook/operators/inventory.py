@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.money import floor_at_zero
+from daybook.operators.lines import tie_break
 from daybook.operators.running import running_total
 
 # Fixed value: one line of the inventory report.
@@ -40,11 +41,11 @@ def running_inventory(
 
     ``reload_daily`` starts every day from the full stock again; otherwise it carries over.
     """
-    sold = (
-        validated.filter(F.col("final_quantity") > 0)
-        .select("product_id", "batch_date", "order_id", F.col("final_quantity").alias("quantity"), "line_id")
+    ties = tie_break(validated)
+    sold = validated.filter(F.col("final_quantity") > 0).select(
+        "product_id", "batch_date", "order_id", F.col("final_quantity").alias("quantity"), *ties
     )
-    group, order = ["product_id"], ["batch_date", "order_id", "quantity", "line_id"]
+    group, order = ["product_id"], ["batch_date", "order_id", "quantity", *ties]
     if reload_daily:
         group, order = group + order[:1], order[1:]
     demand = running_total(sold, group, order, "quantity", "ordered_so_far")

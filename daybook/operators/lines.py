@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from daybook.functions.dates import parse_order_time
 from daybook.functions.money import money
+from daybook.schemas import LINE_ID
 
 
 def explode_items(transactions: DataFrame) -> DataFrame:
     """One row per item; documents whose ``items`` is missing or empty give none.
 
-    ``batch_date`` falls back to the day of the order when documents carry none. ``line_id``
-    only breaks ties, so that equal rows can be spread over tasks.
+    ``batch_date`` falls back to the day of the order when documents carry none.
     """
     moment = parse_order_time(F.col("timestamp"))
     batch_date = F.col("batch_date") if "batch_date" in transactions.columns else F.to_date(moment)
@@ -32,10 +32,15 @@ def explode_items(transactions: DataFrame) -> DataFrame:
         F.col("item.product_id").alias("product_id"),
         F.col("item.product_name").alias("product_name"),
         F.col("item.qty").alias("quantity"),
-        F.xxhash64("order_id", "customer_id", "order_datetime", "position", "item").alias("line_id"),
+        F.xxhash64("order_id", "customer_id", "order_datetime", "position", "item").alias(LINE_ID),
     )
 
 
+def tie_break(lines: DataFrame) -> list[str]:
+    """Keys to append to an ordering, where the lines carry an identity."""
+    return [LINE_ID] if LINE_ID in lines.columns else []
+
+
 def requested(lines: DataFrame) -> DataFrame:
     """Lines that ask for a quantity at all."""
     return lines.filter(F.col("quantity").isNotNull())

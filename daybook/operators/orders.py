@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import format_order_time
-from daybook.functions.money import total
+from daybook.functions.money import cents
+from daybook.operators.lines import tie_break
 from daybook.schemas import MONEY
 
 ORDER_KEY = ["batch_date", "order_id"]
@@ -16,13 +17,13 @@ def order_totals(validated: DataFrame) -> DataFrame:
     """One row per order of a day: units over all its lines, amounts over its positive lines.
 
     Partial sums run before the shuffle, so an order with very many lines travels as one row per
-    map task.
+    map task. Amounts are in cents.
     """
     fulfilled = F.col("final_quantity") > 0
     return validated.groupBy(*ORDER_KEY).agg(
         F.sum("final_quantity").alias("units"),
-        total(F.when(fulfilled, F.col("line_total"))).alias("sales"),
-        total(F.when(fulfilled, F.col("profit"))).alias("profit"),
+        F.sum(F.when(fulfilled, cents(F.col("line_total")))).alias("sales"),
+        F.sum(F.when(fulfilled, cents(F.col("profit")))).alias("profit"),
         F.to_date(F.min("order_datetime")).alias("date"),
     )
 
@@ -65,7 +66,7 @@ def items_of(validated: DataFrame) -> DataFrame:
         F.col("final_quantity").cast("int").alias("quantity"),
         F.col("unit_price").cast(MONEY).alias("unit_price"),
         "line_total",
-        "line_id",
+        *tie_break(validated),
     )
 
 
@@ -78,8 +79,9 @@ def sorted_orders(orders: DataFrame) -> DataFrame:
 
 
 def sorted_items(items: DataFrame) -> DataFrame:
-    """Fulfilled line items by order and product; ``line_id`` lets equal keys span several tasks."""
-    return items.filter(F.col("quantity").isNotNull()).orderBy("order_id", "product_id", "line_id")
+    """Fulfilled line items by order and product; line ids let equal keys span several tasks."""
+    kept = items.filter(F.col("quantity").isNotNull())
+    return kept.orderBy("order_id", "product_id", *tie_break(items))
 
 
 def orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.money import total
+from daybook.functions.money import from_cents
 from daybook.operators.orders import order_totals
 
 
@@ -23,8 +23,8 @@ def daily_summary(validated: DataFrame) -> DataFrame:
         .groupBy("date")
         .agg(
             F.count("*").alias("num_orders"),
-            total(F.col("sales")).alias("total_sales"),
-            total(F.col("profit")).alias("total_profit"),
+            from_cents(F.sum("sales")).alias("total_sales"),
+            from_cents(F.sum("profit")).alias("total_profit"),
         )
         .orderBy("date")
     )

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions.dates import format_order_time
 from daybook.operators.lines import validate_lines
-from daybook.schemas import MONEY
+from daybook.schemas import LINE_ID, MONEY
 
 ROWS_PER_BLOCK = 1024
 
@@ -21,11 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _row_id():
-    """Identity of a stored row: the same however often and wherever the row is read."""
-    return F.xxhash64("_metadata.file_name", "_metadata.row_index")
-
-
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("p_retailprice").cast(MONEY)
     return table(spark, sf_dir, "part").select(
@@ -57,7 +53,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     """Line items without their order's header, as they are stored."""
     number, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int")
     unknown = (number == 4) & (F.col("l_returnflag") == "A")
@@ -70,39 +66,41 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(returned, -quantity)
         .otherwise(quantity)
         .alias("quantity"),
-        _row_id().alias("line_id"),
-        F.col("_metadata.file_name").alias("source_file"),
-        F.floor(F.col("_metadata.row_index") / ROWS_PER_BLOCK).alias("source_block"),
+        *extra,
     )
 
 
-def _lines_and_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_items(spark, sf_dir).join(orders(spark, sf_dir), "order_id")
-
+def lines(spark: SparkSession, sf_dir: str, line_ids: bool = False) -> DataFrame:
+    """Line items with their order's header. ``line_ids`` adds the identity of the stored row,
+    which is the same however often and wherever the row is read."""
+    row = F.xxhash64("_metadata.file_name", "_metadata.row_index").alias(LINE_ID)
+    items = order_items(spark, sf_dir, *([row] if line_ids else []))
+    return items.join(orders(spark, sf_dir), "order_id")
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines_and_source(spark, sf_dir).drop("source_file", "source_block")
 
-
-def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_lines(lines(spark, sf_dir), products(spark, sf_dir))
+def validated(spark: SparkSession, sf_dir: str, line_ids: bool = False) -> DataFrame:
+    return validate_lines(lines(spark, sf_dir, line_ids), products(spark, sf_dir))
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested documents. One order may span several: a document takes its items from one block of
     stored rows, so none can grow beyond the block however many lines an order has."""
+    block = F.floor(F.col("_metadata.row_index") / ROWS_PER_BLOCK)
+    stored = order_items(
+        spark, sf_dir, F.col("_metadata.file_name").alias("file"), block.alias("block")
+    )
     names = products(spark, sf_dir).select("product_id", "product_name")
     item = F.struct("product_id", "product_name", F.col("quantity").alias("qty"))
     return (
-        _lines_and_source(spark, sf_dir)
-        .join(names, "product_id", "left")
-        .groupBy("batch_date", "order_id", "customer_id", "order_datetime", "source_file", "source_block")
+        stored.join(names, "product_id", "left")
+        .groupBy("order_id", "file", "block")
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
+        .join(orders(spark, sf_dir), "order_id")
         .select(
             "batch_date",
             F.col("order_id").alias("transaction_id"),
             "customer_id",
-            F.date_format("order_datetime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+            format_order_time(F.col("order_datetime")).alias("timestamp"),
             "items",
         )
     )

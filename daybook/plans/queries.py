@@ -87,7 +87,7 @@ def _day_counts(batches: DataFrame, name: str) -> DataFrame:
 def sink_partitioned_batches(spark, sf_dir):
     """Writes every day, then writes the days of the range once more; no day may count double."""
     path = shared_dir(spark, "items")
-    items = orders.items_of(given.validated(spark, sf_dir)).drop("line_id")
+    items = orders.items_of(given.validated(spark, sf_dir))
     write_batches(items, path)
     write_batches(between_days(items, FIRST_DAY, LAST_DAY), path)
     return _day_counts(read_batches(spark, path, schemas.ORDER_LINE_ITEMS), "n_items")
@@ -121,7 +121,7 @@ QUERIES["date_spine"] = QUERIES.pop("date_spine_days")
 def empty_batch_schema(spark, sf_dir):
     """Days without a valid order: no orders, no items, and the columns both would have."""
     validated = given.validated(spark, sf_dir)
-    found, items = orders.orders_of(validated), orders.items_of(validated).drop("line_id")
+    found, items = orders.orders_of(validated), orders.items_of(validated)
     counts = (
         _calendar(given.orders(spark, sf_dir))
         .withColumnRenamed("date", "batch_date")
@@ -145,7 +145,7 @@ def table_profile(spark, sf_dir):
             "customers": given.customers(spark, sf_dir),
             "products": given.products(spark, sf_dir),
             "orders": given.orders(spark, sf_dir),
-            "lines": given.lines(spark, sf_dir).drop("line_id"),
+            "lines": given.lines(spark, sf_dir),
         }
     )
 
@@ -258,7 +258,7 @@ def orders_distinct(spark, sf_dir):
 
 @query
 def order_line_items(spark, sf_dir):
-    return orders.items_of(given.validated(spark, sf_dir)).drop("line_id")
+    return orders.items_of(given.validated(spark, sf_dir))
 
 
 @query
@@ -268,7 +268,8 @@ def orders_formatted(spark, sf_dir):
 
 @query
 def order_line_items_clean(spark, sf_dir):
-    return orders.sorted_items(orders.items_of(given.validated(spark, sf_dir))).drop("line_id")
+    items = orders.items_of(given.validated(spark, sf_dir, line_ids=True))
+    return orders.sorted_items(items).drop(schemas.LINE_ID)
 
 
 # Roll-ups and stock --------------------------------------------------------------------------
@@ -305,7 +306,7 @@ def inventory_report(spark, sf_dir):
 
 
 def _running(spark: SparkSession, sf_dir: str, reload_daily: bool) -> DataFrame:
-    products, validated = given.products(spark, sf_dir), given.validated(spark, sf_dir)
+    products, validated = given.products(spark, sf_dir), given.validated(spark, sf_dir, line_ids=True)
     return inventory.running_inventory(products, validated, "opening_stock", reload_daily)
 
 
