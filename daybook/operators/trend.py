@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import penalised
@@ -25,12 +25,17 @@ LINE_PRIOR = 5.0
 CHANGE_PRIOR = 0.05
 
 MOMENTS = ["points", "u", "uu", "v", "uv", "vv"]
-FIT_SCHEMA = (
-    "series_key string, first_date date, last_date date, span int, scale double, "
-    "level double, slope double, knots array<double>, changes array<double>"
+TREND_SCHEMA = (
+    "series_key string, level double, slope double, knots array<double>, changes array<double>"
 )
 
 
+def trend_priors(knots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Normal and Laplace prior scales of level, slope and slope changes."""
+    line, none = [LINE_PRIOR] * 2, [np.inf] * 2
+    return np.array(line + [np.inf] * knots), np.array(none + [CHANGE_PRIOR] * knots)
+
+
 def spans(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
     """Per series: first and last date, length in days, scale of y, and knots in days."""
     history = F.floor((F.col("span") + 1) * F.lit(KNOT_RANGE)).cast("int")
@@ -45,6 +50,7 @@ def spans(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
             F.min("date").alias("first_date"),
             F.max("date").alias("last_date"),
             F.max(F.abs("y")).alias("peak"),
+            F.count("y").alias("points"),
         )
         .withColumn("span", F.date_diff("last_date", "first_date"))
         .withColumn("scale", F.when(F.col("peak") > 0, F.col("peak")).otherwise(1.0))
@@ -94,51 +100,37 @@ def _statistics(knots: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One fitted row per series; series with the same number of knots are solved together."""
+    """One fitted row per series."""
     for batch in batches:
-        for count, same in batch.groupby(batch["knots"].map(len)):
-            grams, moments, squares, points, scaled = [], [], [], [], []
-            for row in same.itertuples():
-                sums = np.zeros((count + 1, len(MOMENTS)))
-                for part in row.parts:
-                    sums[part["segment"]] = [part[name] for name in MOMENTS]
-                knots = np.asarray(row.knots, dtype=float) / max(row.span, 1)
-                gram, moment = _statistics(knots, sums)
-                grams.append(gram)
-                moments.append(moment)
-                squares.append(sums[:, 5].sum())
-                points.append(sums[:, 0].sum())
-                scaled.append(knots)
-            line, none = [LINE_PRIOR] * 2, [np.inf] * 2
-            beta = penalised.fit(
-                np.array(grams),
-                np.array(moments),
-                np.array(squares),
-                np.array(points),
-                np.array(line + [np.inf] * count),
-                np.array(none + [CHANGE_PRIOR] * count),
-            )
-            beta[np.array(points) < 2] = np.nan
-            out = same[["series_key", "first_date", "last_date", "span", "scale"]].copy()
-            out["level"], out["slope"] = beta[:, 0], beta[:, 1]
-            out["knots"], out["changes"] = scaled, list(beta[:, 2:])
-            yield out
+        rows = []
+        for series in batch.itertuples():
+            knots = np.asarray(series.knots, dtype=float) / max(series.span, 1)
+            sums = np.zeros((len(knots) + 1, len(MOMENTS)))
+            for part in series.parts:
+                sums[part["segment"]] = [part[name] for name in MOMENTS]
+            gram, moment = _statistics(knots, sums)
+            points, squares = sums[:, 0].sum(), sums[:, 5].sum()
+            beta = penalised.fit(gram, moment, squares, points, *trend_priors(len(knots)))
+            rows.append((series.series_key, beta[0], beta[1], knots, beta[2:]))
+        yield pd.DataFrame(rows, columns=["series_key", "level", "slope", "knots", "changes"])
 
 
 def fit_trend(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
-    """One row per series with its trend; without values for series of fewer than two days."""
+    """One row per series with its trend; no values for a series of fewer than two days."""
     bounds = spans(series, max_knots)
     parts = (
         segment_sums(series, bounds)
         .groupBy("series_key")
         .agg(F.collect_list(F.struct("segment", *MOMENTS)).alias("parts"))
     )
-    fits = bounds.join(parts, "series_key").mapInPandas(_solve, FIT_SCHEMA)
-    return fits.withColumns({name: F.nanvl(name, F.lit(None)) for name in ("level", "slope")})
+    enough = bounds.filter(F.col("points") >= 2).select("series_key", "span", "knots")
+    trends = enough.join(parts, "series_key").mapInPandas(_solve, TREND_SCHEMA)
+    return bounds.drop("knots", "points").join(trends, "series_key", "left")
 
 
-def _trend():
-    u = F.date_diff("date", "first_date") / F.greatest("span", F.lit(1))
+def trend_at(date: Column) -> Column:
+    """Value of the fitted trend, on the scale of the series."""
+    u = F.date_diff(date, "first_date") / F.greatest("span", F.lit(1))
     bends = F.aggregate(
         F.zip_with("knots", "changes", lambda knot, change: change * F.greatest(u - knot, F.lit(0.0))),
         F.lit(0.0),
@@ -149,9 +141,11 @@ def _trend():
 
 def predict_trend(fits: DataFrame, horizon: int) -> DataFrame:
     """(series_key, date, yhat) for the days after each series."""
-    return future_dates(fits, horizon).select("series_key", "date", _trend().alias("yhat"))
+    yhat = trend_at(F.col("date")).alias("yhat")
+    return future_dates(fits, horizon).select("series_key", "date", yhat)
 
 
 def fitted_trend(series: DataFrame, fits: DataFrame) -> DataFrame:
     """(series_key, date, y, yhat) on the days of the series."""
-    return series.join(fits, "series_key").select("series_key", "date", "y", _trend().alias("yhat"))
+    yhat = trend_at(F.col("date")).alias("yhat")
+    return series.join(fits, "series_key").select("series_key", "date", "y", yhat)

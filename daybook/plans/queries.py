@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook import schemas
 from daybook.functions.dates import date_spine
-from daybook.operators import forecast, inventory, lines, orders, series, summary, trend
+from daybook.operators import forecast, inventory, lines, orders, seasonal, series, summary, trend
 from daybook.plans import driver_tables as given
 from daybook.session import shared_dir
 from daybook.sinks.tables import write_batches, write_csv
@@ -387,3 +387,23 @@ def forecast_piecewise(spark, sf_dir):
 def forecast_piecewise_multi(spark, sf_dir):
     fits = trend.fit_trend(_event_series(spark, sf_dir))
     return rounded(trend.predict_trend(fits, forecast.WEEK_HORIZON), 4, "yhat")
+
+
+@query
+def forecast_seasonal(spark, sf_dir):
+    fits = seasonal.fit_seasonal(_summary_series(spark, sf_dir))
+    wide = forecast.sales_and_profit(seasonal.predict_seasonal(fits, forecast.DEFAULT_HORIZON))
+    return rounded(wide, 4, "forecasted_sales", "forecasted_profit")
+
+
+@query
+def forecast_seasonal_multi(spark, sf_dir):
+    fits = seasonal.fit_seasonal(_event_series(spark, sf_dir))
+    return rounded(seasonal.predict_seasonal(fits, forecast.WEEK_HORIZON), 4, "yhat")
+
+
+@query
+def forecast_seasonal_metrics(spark, sf_dir):
+    observed = _event_series(spark, sf_dir)
+    fitted = seasonal.fitted_seasonal(observed, seasonal.fit_seasonal(observed))
+    return rounded(forecast.forecast_metrics(fitted), 4, "mae", "mse")

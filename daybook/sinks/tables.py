@@ -23,15 +23,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     )
 
 
-def write_batches(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_batches(df: DataFrame, path: str, fmt: str = "parquet", gather: bool = True) -> None:
     """Replace exactly the days present in ``df`` in a table partitioned by ``batch_date``.
 
-    The rebalance gathers each day into files of the advisory size: small days share a task and
-    a day that holds much of the data is split over many.
+    ``gather`` rebalances the rows first, so that each day ends in files of the advisory size:
+    small days share a task and a day that holds much of the data is split over many. Rows that
+    already arrive by day, straight from a table stored by day, can do without that shuffle.
     """
+    rows = df.hint("rebalance", "batch_date") if gather else df
     (
-        df.hint("rebalance", "batch_date")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
         .option("timestampNTZFormat", ISO_MICROS)
