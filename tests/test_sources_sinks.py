@@ -1,0 +1,137 @@
+import datetime as dt
+import json
+from unittest import mock
+
+import pytest
+
+from daybook import schemas
+from daybook.functions.dates import date_spine
+from daybook.operators.lines import explode_items
+from daybook.session import shared_dir
+from daybook.sinks.tables import write_batches, write_csv
+from daybook.sources import files, jdbc
+from daybook.sources.documents import between_days, read_batches, read_documents
+from tests.conftest import day, plain
+
+
+def test_customers_csv_with_quoted_commas_and_quotes(spark, tmp_path):
+    path = tmp_path / "customers.csv"
+    path.write_text(
+        "customer_id,first_name,last_name,email,address,phone\n"
+        '1,Ada,Byte,a@x.example,"12 Long Rd, Apt. 3, Town, ZZ 1",(555)1\n'
+        '2,Bo,Core,b@x.example,"The ""Old"" Mill, Town",5552\n'
+    )
+    assert plain(files.read_customers(spark, str(path)), "customer_id", "address") == [
+        (1, "12 Long Rd, Apt. 3, Town, ZZ 1"),
+        (2, 'The "Old" Mill, Town'),
+    ]
+
+
+def test_csv_keeps_text_decimals_and_microseconds(spark, tmp_path, validate):
+    rows = [(day("2024-03-01"), 1, 2, dt.datetime(2024, 3, 1, 9, 30, 0, 1)), (None, 2, None, None)]
+    orders = spark.createDataFrame(rows, schemas.ORDERS)
+    write_csv(orders, str(tmp_path / "orders"), single_file=True)
+    parts = list((tmp_path / "orders").glob("part-*.csv"))
+    assert len(parts) == 1
+    assert parts[0].read_text().splitlines()[0] == "batch_date,order_id,customer_id,order_datetime"
+    assert "2024-03-01T09:30:00.000001" in parts[0].read_text()
+    assert plain(files.read_csv(spark, str(tmp_path / "orders"), schemas.ORDERS)) == plain(orders)
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_documents_by_day(spark, tmp_path, multi_line):
+    for code, order in (("2024-03-01", 1), ("2024-03-02", 2), ("2024-03-03", 3)):
+        folder = tmp_path / f"batch_date={code}"
+        folder.mkdir()
+        found = [
+            {
+                "transaction_id": order,
+                "customer_id": 7,
+                "timestamp": f"{code}T12:00:40.808092",
+                "items": [
+                    {"product_id": 1, "product_name": "a", "qty": 5},
+                    {"product_id": 2, "product_name": "b", "qty": None},
+                ],
+            },
+            {"transaction_id": 10 + order, "customer_id": 7, "timestamp": f"{code}T13:00:00.000000"},
+        ]
+        text = json.dumps(found, indent=1) if multi_line else "\n".join(map(json.dumps, found))
+        (folder / "part.json").write_text(text)
+    documents = read_documents(spark, str(tmp_path), multi_line=multi_line)
+    chosen = between_days(documents, "20240302", "20240303")
+    assert plain(explode_items(chosen), "batch_date", "order_id", "product_id", "quantity") == [
+        (day("2024-03-02"), 2, 1, 5),
+        (day("2024-03-02"), 2, 2, None),
+        (day("2024-03-03"), 3, 1, 5),
+        (day("2024-03-03"), 3, 2, None),
+    ]
+
+
+def _items(spark, *rows):
+    return spark.createDataFrame([(*r, None, None) for r in rows], schemas.ORDER_LINE_ITEMS)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_writing_a_day_again_replaces_only_that_day(spark, tmp_path, fmt):
+    path, one, two = str(tmp_path / "items"), day("2024-03-01"), day("2024-03-02")
+    write_batches(_items(spark, (one, 1, 1, 1), (two, 2, 1, 1)), path, fmt)
+    write_batches(_items(spark, (two, 2, 1, 9), (two, 3, 1, 4)), path, fmt)
+    if fmt == "parquet":
+        stored = read_batches(spark, path, schemas.ORDER_LINE_ITEMS, fmt)
+        rows = plain(stored, "batch_date", "order_id", "quantity")
+        assert rows == [(one, 1, 1), (two, 2, 9), (two, 3, 4)]
+    folders = sorted(p.name for p in (tmp_path / "items").glob("batch_date=*"))
+    assert folders == ["batch_date=2024-03-01", "batch_date=2024-03-02"]
+
+
+def test_csv_batches_have_one_header_per_file_and_read_back(spark, tmp_path):
+    path, one = str(tmp_path / "items"), day("2024-03-01")
+    write_batches(_items(spark, (one, 1, 1, 1), (one, 2, 1, 3)), path, "csv")
+    stored = files.read_csv(spark, path + "/batch_date=2024-03-01", _items(spark, (one, 1, 1, 1)).drop("batch_date").schema)
+    assert plain(stored, "order_id", "quantity") == [(1, 1), (2, 3)]
+
+
+def test_date_filter_prunes_partitions(spark, tmp_path, capsys):
+    path = str(tmp_path / "items")
+    write_batches(_items(spark, (day("2024-03-01"), 1, 1, 1), (day("2024-03-02"), 2, 1, 1)), path)
+    between_days(read_batches(spark, path, schemas.ORDER_LINE_ITEMS), "20240302", "20240302").explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(batch_date" in plan and "2024-03-02" in plan
+
+
+def test_date_spine_is_inclusive_and_empty_when_reversed(spark):
+    bounds = spark.createDataFrame(
+        [(day("2024-02-27"), day("2024-03-01")), (day("2024-05-02"), day("2024-05-01"))], "a date, b date"
+    )
+    codes = [row[0] for row in plain(date_spine(bounds, "a", "b"), "day_code")]
+    assert codes == ["20240227", "20240228", "20240229", "20240301"]
+
+
+def test_jdbc_reader_and_writer_options():
+    """Options only: there is no database to connect to."""
+    connection = jdbc.connection_options("jdbc:x://h/db", "orders", "u", "p", "org.x.Driver")
+    split = jdbc.split_options("order_id", 1, 1000, 16)
+    spark, df = mock.MagicMock(), mock.MagicMock()
+    jdbc.read_table(spark, connection, split)
+    reader = spark.read.format
+    reader.assert_called_once_with("jdbc")
+    assert reader.return_value.options.call_args.kwargs == {
+        "url": "jdbc:x://h/db", "dbtable": "orders", "user": "u", "password": "p",
+        "driver": "org.x.Driver", "partitionColumn": "order_id", "lowerBound": "1",
+        "upperBound": "1000", "numPartitions": "16", "fetchsize": "10000",
+    }
+    jdbc.write_table(df, connection, connections=4)
+    df.write.format.assert_called_once_with("jdbc")
+    df.write.format.return_value.mode.assert_called_once_with("overwrite")
+    written = df.write.format.return_value.mode.return_value.options.call_args.kwargs
+    assert written["truncate"] == "true" and written["numPartitions"] == "4"
+
+
+def test_scratch_folder_comes_from_the_session():
+    cluster = mock.MagicMock()
+    settings = {"spark.checkpoint.dir": "s3://shared/ckpt/", "spark.master": "yarn"}
+    cluster.conf.get.side_effect = lambda key, default=None: settings.get(key, default)
+    assert shared_dir(cluster, "x").startswith("s3://shared/ckpt/x-")
+    del settings["spark.checkpoint.dir"]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(cluster, "x")
