@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import parse_order_time
-from daybook.functions.money import money
-from daybook.schemas import LINE_ID
+from daybook.functions.money import cents, fits_money, from_cents, holds_whole_cents
+from daybook.schemas import LINE_ID, MONEY
 
 
 def explode_items(transactions: DataFrame) -> DataFrame:
@@ -46,32 +46,52 @@ def requested(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("quantity").isNotNull())
 
 
-def with_catalogue(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Price, cost and stock per line; lines of unknown products stay, with nulls.
+def with_catalogue(lines: DataFrame, products: DataFrame, *extra: Column) -> DataFrame:
+    """Price, cost, stock and ``extra`` per line; lines of unknown products stay, with nulls.
 
     No hint: Spark broadcasts the catalogue while it is under the size threshold and otherwise
     shuffles, splitting the partitions of hot products at run time.
     """
-    catalogue = products.select(
-        "product_id", F.col("sales_price").alias("unit_price"), "cost_to_make", "stock"
-    )
+    price = F.col("sales_price").alias("unit_price")
+    catalogue = products.select("product_id", price, "cost_to_make", "stock", *extra)
     return lines.join(catalogue, "product_id", "left")
 
 
 def validate_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines with ``final_quantity``, ``line_total`` and ``profit``, for all days at once.
+    """Lines with ``final_quantity``, ``line_cents`` and ``profit_cents``, for all days at once.
 
     A line whose quantity exceeds the product's stock, or whose product is unknown, keeps its row
-    with null quantity and amounts. Each line is checked against the full stock on its own.
+    with null quantity and amounts. Each line is checked against the full stock on its own. Amounts
+    are rounded per line; a line total beyond decimal(10,2) is null.
     """
-    quantity, price = F.col("quantity"), F.col("unit_price")
-    checked = with_catalogue(requested(lines), products).withColumn(
-        "final_quantity", F.when(quantity <= F.col("stock"), quantity)
+    price, cost = F.col("sales_price"), F.col("cost_to_make")
+    kinds = [products.schema[name].dataType for name in ("sales_price", "cost_to_make")]
+    exact = all(holds_whole_cents(kind) for kind in kinds)
+    unit, margin = price, price - cost
+    if exact:  # once per product, so that a line costs one multiplication of integers
+        unit, margin = cents(unit), cents(margin)
+
+    def amount(per_unit: str) -> Column:
+        quantity = F.col("final_quantity")
+        if exact:
+            return F.try_multiply(quantity.cast("bigint"), F.col(per_unit))
+        return cents(F.round(quantity * F.col(per_unit), 2))
+
+    quantity = F.col("quantity")
+    return (
+        with_catalogue(requested(lines), products, unit.alias("per_unit"), margin.alias("margin"))
+        .withColumn("final_quantity", F.when(quantity <= F.col("stock"), quantity))
+        .withColumns({"line_cents": fits_money(amount("per_unit")), "profit_cents": amount("margin")})
+        .drop("per_unit", "margin")
     )
-    return checked.withColumns(
+
+
+def with_amounts(validated: DataFrame) -> DataFrame:
+    """Adds ``line_total`` and ``profit`` as decimals."""
+    return validated.withColumns(
         {
-            "line_total": money(F.col("final_quantity") * price),
-            "profit": F.round((price - F.col("cost_to_make")) * F.col("final_quantity"), 2),
+            "line_total": from_cents(F.col("line_cents"), MONEY),
+            "profit": from_cents(F.col("profit_cents")),
         }
     )
 

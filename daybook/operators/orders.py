@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import format_order_time
-from daybook.functions.money import cents
+from daybook.functions.money import from_cents
 from daybook.operators.lines import tie_break
 from daybook.schemas import MONEY
 
@@ -22,8 +22,8 @@ def order_totals(validated: DataFrame) -> DataFrame:
     fulfilled = F.col("final_quantity") > 0
     return validated.groupBy(*ORDER_KEY).agg(
         F.sum("final_quantity").alias("units"),
-        F.sum(F.when(fulfilled, cents(F.col("line_total")))).alias("sales"),
-        F.sum(F.when(fulfilled, cents(F.col("profit")))).alias("profit"),
+        F.sum(F.when(fulfilled, F.col("line_cents"))).alias("sales"),
+        F.sum(F.when(fulfilled, F.col("profit_cents"))).alias("profit"),
         F.to_date(F.min("order_datetime")).alias("date"),
     )
 
@@ -65,7 +65,7 @@ def items_of(validated: DataFrame) -> DataFrame:
         "product_id",
         F.col("final_quantity").cast("int").alias("quantity"),
         F.col("unit_price").cast(MONEY).alias("unit_price"),
-        "line_total",
+        from_cents(F.col("line_cents"), MONEY).alias("line_total"),
         *tie_break(validated),
     )
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import penalised
+from daybook.functions.penalised import fit as fit_model
 from daybook.operators.series import future_dates
 from daybook.operators.trend import MAX_KNOTS, spans, trend_at, trend_priors
 
@@ -49,7 +49,7 @@ def _fit_one(rows: pd.DataFrame) -> pd.DataFrame:
     x = np.hstack(blocks + list(seasons.values()))
     normal, laplace = trend_priors(len(knots))
     waves = x.shape[1] - len(normal)
-    beta = penalised.fit(
+    beta = fit_model(
         x.T @ x,
         x.T @ v,
         float(v @ v),

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import penalised
+from daybook.functions.penalised import fit as fit_model
 from daybook.operators.series import future_dates
 
 # Number of knots, share of the history they cover, and prior scales.
@@ -110,7 +110,7 @@ def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 sums[part["segment"]] = [part[name] for name in MOMENTS]
             gram, moment = _statistics(knots, sums)
             points, squares = sums[:, 0].sum(), sums[:, 5].sum()
-            beta = penalised.fit(gram, moment, squares, points, *trend_priors(len(knots)))
+            beta = fit_model(gram, moment, squares, points, *trend_priors(len(knots)))
             rows.append((series.series_key, beta[0], beta[1], knots, beta[2:]))
         yield pd.DataFrame(rows, columns=["series_key", "level", "slope", "knots", "changes"])
 

@@ -11,6 +11,7 @@ from daybook.operators.lines import explode_items, validate_lines
 from daybook.operators.orders import items_of, orders_of
 from daybook.operators.series import summary_series
 from daybook.operators.summary import daily_summary
+from daybook.session import materialise
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources.documents import between_days, read_batches
 from daybook.sources.files import read_csv
@@ -30,9 +31,11 @@ def run_batches(
 
     ``documents`` carries ``batch_date``. The validated lines are stored by day and every other
     result is read off that table. Running a range again replaces its days. A range without any
-    documents gives empty results.
+    documents gives empty results. The catalogue is read once, so that all results see the same
+    stock and Spark knows its size, also where it comes from a database.
     """
     spark = documents.sparkSession
+    products = materialise(products, "catalogue")
     paths = {name: f"{out.rstrip('/')}/{name}" for name in RESULTS}
 
     fresh = validate_lines(explode_items(between_days(documents, first, last)), products)

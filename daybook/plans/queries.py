@@ -66,8 +66,8 @@ def src_dated_batches(spark, sf_dir):
     path = shared_dir(spark, "validated")
     validated = given.validated(spark, sf_dir)
     write_batches(validated, path)
-    stored = read_batches(spark, path, validated.schema)
-    return between_days(stored, FIRST_DAY, LAST_DAY).select(
+    stored = between_days(read_batches(spark, path, validated.schema), FIRST_DAY, LAST_DAY)
+    return lines.with_amounts(stored).select(
         "batch_date", "order_id", "product_id", "quantity", "final_quantity", "line_total"
     )
 
@@ -224,15 +224,15 @@ def validate_stock(spark, sf_dir):
 
 @query
 def line_total(spark, sf_dir):
-    return given.validated(spark, sf_dir).select(
+    return lines.with_amounts(given.validated(spark, sf_dir)).select(
         "order_id", "product_id", "final_quantity", "unit_price", "line_total"
     )
 
 
 @query
 def profit_per_line(spark, sf_dir):
-    return given.validated(spark, sf_dir).select(
-        "order_id", "product_id", "final_quantity", F.col("profit").cast(schemas.TOTAL).alias("profit")
+    return lines.with_amounts(given.validated(spark, sf_dir)).select(
+        "order_id", "product_id", "final_quantity", "profit"
     )
 
 

@@ -29,18 +29,20 @@ SQL_SETTINGS = {
 SHUFFLE_PARTITION_BYTES = 128 << 20
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the library's runtime SQL settings to a session the caller already has."""
+def tune(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
+    """Apply the library's runtime SQL settings to a session the caller already has.
+
+    ``shuffled_bytes``, the most that one step is expected to shuffle, sizes the partitions: near
+    128 MB each. Spark merges partitions at run time but never makes more of them.
+    """
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffled_bytes is not None:
+        partitions = max(200, math.ceil(shuffled_bytes / SHUFFLE_PARTITION_BYTES))
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return spark
 
 
-def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
-    """Partitions that keep a shuffle of this size near 128 MB each, at least one per core."""
-    return max(cores, math.ceil(shuffled_bytes / SHUFFLE_PARTITION_BYTES))
-
-
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A session for tests and the benchmark; on a cluster the caller supplies one."""
     builder = (

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from daybook import schemas
-from daybook.operators.lines import explode_items, validate_lines
+from daybook.operators.lines import explode_items, validate_lines, with_amounts
 from daybook.session import local_session
 
 
@@ -42,7 +42,7 @@ def products(spark):
 def validate(spark, products):
     def run(*documents, catalogue=products):
         nested = spark.createDataFrame(list(documents), schemas.TRANSACTIONS)
-        return validate_lines(explode_items(nested), catalogue)
+        return with_amounts(validate_lines(explode_items(nested), catalogue))
 
     return run
 

@@ -1,5 +1,9 @@
 """Every registered query against its SQL, and sums that must agree between queries."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +11,7 @@ import __spark_entry__ as entry
 from tests.compare import differences, duck
 from tests.settings import SMALL_DIR, SQL_DIR
 
+ROOT = os.path.dirname(os.path.abspath(entry.__file__))
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
@@ -39,3 +44,20 @@ def test_order_counts_agree_between_queries(spark):
 def test_stock_stays_between_zero_and_the_start_without_negative_sales(spark):
     balance = QUERIES["running_inventory"](spark, SMALL_DIR)
     assert balance.filter("remaining_stock < 0 or remaining_stock > 499").isEmpty()
+
+
+def test_python_workers_need_no_copy_of_the_package(tmp_path):
+    """Another working folder and no PYTHONPATH, as on executors."""
+    script = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+import __spark_entry__ as entry
+from daybook.session import local_session
+spark = local_session(2, "2g")
+print("rows", entry.queries()["forecast_seasonal_multi"](spark, {SMALL_DIR!r}).count())
+"""
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300
+    )
+    assert "rows 35" in done.stdout, done.stderr[-2000:]

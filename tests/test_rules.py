@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from daybook import schemas
 from daybook.operators import inventory, lines, orders, summary
 from tests.conftest import day, document, plain
@@ -59,6 +61,15 @@ def test_rounding_is_half_up_per_line(spark, validate):
     assert plain(found, "line_total", "profit") == [(D("0.15"), D("0.06"))]
 
 
+def test_prices_finer_than_a_cent_round_per_line(spark, validate, products):
+    fine = "cast(sales_price * 0 + {} as decimal(12,4))"
+    catalogue = products.filter("product_id = 3").withColumns(
+        {"sales_price": F.expr(fine.format("0.3350")), "cost_to_make": F.expr(fine.format("0.0010"))}
+    )
+    found = validate(document(1, (3, 1), (3, 3)), catalogue=catalogue)
+    assert plain(found, "line_total", "profit") == [(D("0.34"), D("0.33")), (D("1.01"), D("1.00"))]
+
+
 def test_amount_that_does_not_fit_becomes_null(spark, validate):
     row = (9, "x", "c", "s", "r", D("99999999.99"), D("0.00"), 100)
     catalogue = spark.createDataFrame([row], schemas.PRODUCTS)
