@@ -17,9 +17,18 @@ from daybook.schemas import LINE_ID, MONEY
 
 ROWS_PER_BLOCK = 1024
 
+# The columns that are used; with them given, opening a table runs no job to infer its schema.
+COLUMNS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_returnflag string",
+    "events": "ts timestamp_ntz, event_type string, value double",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
