@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.series import future_dates
+from daybook.operators.series import future_dates, with_fits
 
 DEFAULT_HORIZON = 1
 WEEK_HORIZON = 7
@@ -37,7 +37,7 @@ def predict_linear(fits: DataFrame, horizon: int = DEFAULT_HORIZON) -> DataFrame
 
 def fitted_linear(series: DataFrame, fits: DataFrame) -> DataFrame:
     """(series_key, date, y, yhat) on the days of the series."""
-    return series.join(fits, "series_key").select("series_key", "date", "y", _line().alias("yhat"))
+    return with_fits(series, fits).select("series_key", "date", "y", _line().alias("yhat"))
 
 
 def forecast_metrics(fitted: DataFrame) -> DataFrame:

@@ -14,17 +14,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.penalised import fit as fit_model
-from daybook.operators.series import future_dates
-from daybook.operators.trend import MAX_KNOTS, spans, trend_at, trend_priors
+from daybook.operators.series import future_dates, with_fits
+from daybook.operators.trend import (
+    BOUNDS,
+    MAX_KNOTS,
+    TREND_SCHEMA,
+    scaled_days,
+    trend_at,
+    trend_priors,
+)
 
 # Period in days, number of waves, and shortest history in days, per season.
 SEASONS = {"weekly": (7.0, 3, 14), "yearly": (365.25, 10, 730)}
 SEASON_PRIOR = 10.0
 
-FIT_SCHEMA = (
-    "series_key string, level double, slope double, knots array<double>, changes array<double>, "
-    "weekly array<double>, yearly array<double>"
-)
+FIT_SCHEMA = TREND_SCHEMA + ", weekly array<double>, yearly array<double>"
 
 
 def _waves(day: np.ndarray, period: float, order: int) -> np.ndarray:
@@ -35,52 +39,35 @@ def _waves(day: np.ndarray, period: float, order: int) -> np.ndarray:
 
 def _fit_one(rows: pd.DataFrame) -> pd.DataFrame:
     """Coefficients of one series from its days."""
-    first = rows.iloc[0]
-    span = max(first["span"], 1)
-    u, day = rows["t"].to_numpy(float) / span, rows["day"].to_numpy(float)
-    v = rows["y"].to_numpy(float) / first["scale"]
-    knots = np.asarray(first["knots"], dtype=float) / span
-    blocks = [np.ones((len(u), 1)), u[:, None], np.maximum(u[:, None] - knots, 0.0)]
+    out = rows[["series_key", *BOUNDS]].head(1)
+    span = int(out["span"].iloc[0])
+    u, v, day = (rows[name].to_numpy(float) for name in ("u", "v", "day"))
+    knots = np.asarray(rows["knots"].iloc[0], dtype=float) / max(span, 1)
     seasons = {
         name: _waves(day, period, order)
         for name, (period, order, shortest) in SEASONS.items()
-        if first["span"] >= shortest
+        if span >= shortest
     }
-    x = np.hstack(blocks + list(seasons.values()))
+    x = np.column_stack([np.ones(len(u)), u, np.maximum(u[:, None] - knots, 0.0), *seasons.values()])
     normal, laplace = trend_priors(len(knots))
     waves = x.shape[1] - len(normal)
-    beta = fit_model(
-        x.T @ x,
-        x.T @ v,
-        float(v @ v),
-        len(v),
-        np.append(normal, np.full(waves, SEASON_PRIOR)),
-        np.append(laplace, np.full(waves, np.inf)),
-    )
-    out = {"series_key": first["series_key"], "level": beta[0], "slope": beta[1]}
-    out["knots"], out["changes"] = knots, beta[2 : 2 + len(knots)]
-    position = 2 + len(knots)
-    for name in SEASONS:
-        width = seasons[name].shape[1] if name in seasons else 0
-        out[name] = beta[position : position + width]
-        position += width
-    return pd.DataFrame([out])
+    beta = np.full(x.shape[1], np.nan)
+    if len(v) >= 2:
+        normal = np.append(normal, np.full(waves, SEASON_PRIOR))
+        laplace = np.append(laplace, np.full(waves, np.inf))
+        beta = fit_model(x.T @ x, x.T @ v, float(v @ v), len(v), normal, laplace)
+    widths = [1, 1, len(knots), *(seasons[n].shape[1] if n in seasons else 0 for n in SEASONS)]
+    level, slope, changes, *waves_of = np.split(beta, np.cumsum(widths)[:-1])
+    parts = {"knots": knots, "changes": changes, **dict(zip(SEASONS, waves_of))}
+    return out.assign(level=level, slope=slope, **{name: [part] for name, part in parts.items()})
 
 
 def fit_seasonal(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
     """One row per series with trend and seasons; no values for a series of fewer than two days."""
-    bounds = spans(series, max_knots)
-    days = series.join(bounds.filter(F.col("points") >= 2), "series_key").select(
-        "series_key",
-        F.date_diff("date", "first_date").alias("t"),
-        F.unix_date("date").alias("day"),
-        "y",
-        "span",
-        "scale",
-        "knots",
+    days = scaled_days(series, max_knots).select(
+        "series_key", *BOUNDS, "knots", "u", "v", F.unix_date("date").alias("day")
     )
-    fitted = days.groupBy("series_key").applyInPandas(_fit_one, FIT_SCHEMA)
-    return bounds.drop("knots", "points").join(fitted, "series_key", "left")
+    return days.groupBy("series_key").applyInPandas(_fit_one, FIT_SCHEMA)
 
 
 def _season_at(name: str, date: Column) -> Column:
@@ -105,4 +92,4 @@ def predict_seasonal(fits: DataFrame, horizon: int) -> DataFrame:
 def fitted_seasonal(series: DataFrame, fits: DataFrame) -> DataFrame:
     """(series_key, date, y, yhat) on the days of the series."""
     yhat = _value_at(F.col("date")).alias("yhat")
-    return series.join(fits, "series_key").select("series_key", "date", "y", yhat)
+    return with_fits(series, fits).select("series_key", "date", "y", yhat)

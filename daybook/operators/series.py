@@ -5,7 +5,7 @@ Because a day occurs once per series, the calendar bounds the rows of any one se
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.schemas import TOTAL
@@ -39,12 +39,15 @@ def series_info(series: DataFrame) -> DataFrame:
     )
 
 
+def per_series(aggregate: Column) -> Column:
+    """An aggregate over the whole series, on each of its days."""
+    return aggregate.over(Window.partitionBy("series_key"))
+
+
 def prepare_series(series: DataFrame) -> DataFrame:
     """Adds ``t``, the days since the first date of the series."""
-    starts = series.groupBy("series_key").agg(F.min("date").alias("first_date"))
-    return series.join(starts, "series_key").select(
-        "series_key", "date", F.date_diff("date", "first_date").alias("t"), "y"
-    )
+    t = F.date_diff("date", per_series(F.min("date")))
+    return series.select("series_key", "date", t.alias("t"), "y")
 
 
 def future_dates(fits: DataFrame, horizon: int) -> DataFrame:
@@ -52,3 +55,9 @@ def future_dates(fits: DataFrame, horizon: int) -> DataFrame:
     return fits.withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).withColumn(
         "date", F.date_add("last_date", F.col("ahead"))
     )
+
+
+def with_fits(series: DataFrame, fits: DataFrame) -> DataFrame:
+    """Every day with the fit of its series, a series without a key included."""
+    keyed = fits.withColumnRenamed("series_key", "fit_key")
+    return series.join(keyed, F.col("series_key").eqNullSafe(F.col("fit_key")))

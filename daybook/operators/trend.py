@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.penalised import fit as fit_model
-from daybook.operators.series import future_dates
+from daybook.operators.series import future_dates, per_series, with_fits
 
 # Number of knots, share of the history they cover, and prior scales.
 MAX_KNOTS = 25
@@ -25,8 +25,10 @@ LINE_PRIOR = 5.0
 CHANGE_PRIOR = 0.05
 
 MOMENTS = ["points", "u", "uu", "v", "uv", "vv"]
+BOUNDS = ["first_date", "last_date", "span", "scale"]
 TREND_SCHEMA = (
-    "series_key string, level double, slope double, knots array<double>, changes array<double>"
+    "series_key string, first_date date, last_date date, span int, scale double, "
+    "level double, slope double, knots array<double>, changes array<double>"
 )
 
 
@@ -36,42 +38,46 @@ def trend_priors(knots: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(line + [np.inf] * knots), np.array(none + [CHANGE_PRIOR] * knots)
 
 
-def spans(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
-    """Per series: first and last date, length in days, scale of y, and knots in days."""
-    history = F.floor((F.col("span") + 1) * F.lit(KNOT_RANGE)).cast("int")
+def _knots(span: Column, max_knots: int) -> Column:
+    """Days after the first date at which the slope may change."""
+    history = F.floor((span + 1) * F.lit(KNOT_RANGE)).cast("int")
     count = F.least(F.lit(max_knots), history - 1)
-    step = (history - 1) / count
-    knots = F.when(
-        count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda j: F.bround(j * step))
+    numbers = F.sequence(F.lit(1), F.greatest(count, F.lit(1)))
+    return F.when(
+        count > 0, F.transform(numbers, lambda j: F.bround(j * ((history - 1) / count)))
     ).otherwise(F.array().cast("array<double>"))
+
+
+def scaled_days(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
+    """The series with its bounds and knots on every day, and date and value scaled to at most 1."""
+    peak = per_series(F.max(F.abs("y")))
     return (
-        series.groupBy("series_key")
-        .agg(
-            F.min("date").alias("first_date"),
-            F.max("date").alias("last_date"),
-            F.max(F.abs("y")).alias("peak"),
-            F.count("y").alias("points"),
+        series.withColumns(
+            {
+                "first_date": per_series(F.min("date")),
+                "last_date": per_series(F.max("date")),
+                "scale": F.when(peak > 0, peak).otherwise(1.0),
+            }
         )
         .withColumn("span", F.date_diff("last_date", "first_date"))
-        .withColumn("scale", F.when(F.col("peak") > 0, F.col("peak")).otherwise(1.0))
-        .withColumn("knots", knots)
-        .drop("peak")
+        .withColumns(
+            {
+                "knots": _knots(F.col("span"), max_knots),
+                "t": F.date_diff("date", "first_date"),
+                "v": F.col("y") / F.col("scale"),
+            }
+        )
+        .withColumn("u", F.col("t") / F.greatest("span", F.lit(1)))
     )
 
 
-def segment_sums(series: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Sums per series and segment, with date and value scaled to at most 1."""
-    t = F.date_diff("date", "first_date")
+def segment_sums(days: DataFrame) -> DataFrame:
+    """Sums per series and segment between knots."""
+    segment = F.size(F.filter("knots", lambda knot: knot < F.col("t")))
     u, v = F.col("u"), F.col("v")
     return (
-        series.join(bounds, "series_key")
-        .select(
-            "series_key",
-            F.size(F.filter("knots", lambda knot: knot < t)).alias("segment"),
-            (t / F.greatest("span", F.lit(1))).alias("u"),
-            (F.col("y") / F.col("scale")).alias("v"),
-        )
-        .groupBy("series_key", "segment")
+        days.withColumn("segment", segment)
+        .groupBy("series_key", *BOUNDS, "knots", "segment")
         .agg(
             F.count("v").cast("double").alias("points"),
             F.sum(u).alias("u"),
@@ -102,30 +108,32 @@ def _statistics(knots: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.nda
 def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One fitted row per series."""
     for batch in batches:
-        rows = []
+        levels, slopes, scaled, changes = [], [], [], []
         for series in batch.itertuples():
             knots = np.asarray(series.knots, dtype=float) / max(series.span, 1)
             sums = np.zeros((len(knots) + 1, len(MOMENTS)))
             for part in series.parts:
                 sums[part["segment"]] = [part[name] for name in MOMENTS]
-            gram, moment = _statistics(knots, sums)
-            points, squares = sums[:, 0].sum(), sums[:, 5].sum()
-            beta = fit_model(gram, moment, squares, points, *trend_priors(len(knots)))
-            rows.append((series.series_key, beta[0], beta[1], knots, beta[2:]))
-        yield pd.DataFrame(rows, columns=["series_key", "level", "slope", "knots", "changes"])
+            points, beta = sums[:, 0].sum(), np.full(len(knots) + 2, np.nan)
+            if points >= 2:
+                gram, moment = _statistics(knots, sums)
+                beta = fit_model(gram, moment, sums[:, 5].sum(), points, *trend_priors(len(knots)))
+            levels.append(beta[0])
+            slopes.append(beta[1])
+            scaled.append(knots)
+            changes.append(beta[2:])
+        out = batch[["series_key", *BOUNDS]]
+        yield out.assign(level=levels, slope=slopes, knots=scaled, changes=changes)
 
 
 def fit_trend(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
     """One row per series with its trend; no values for a series of fewer than two days."""
-    bounds = spans(series, max_knots)
-    parts = (
-        segment_sums(series, bounds)
-        .groupBy("series_key")
+    return (
+        segment_sums(scaled_days(series, max_knots))
+        .groupBy("series_key", *BOUNDS, "knots")
         .agg(F.collect_list(F.struct("segment", *MOMENTS)).alias("parts"))
+        .mapInPandas(_solve, TREND_SCHEMA)
     )
-    enough = bounds.filter(F.col("points") >= 2).select("series_key", "span", "knots")
-    trends = enough.join(parts, "series_key").mapInPandas(_solve, TREND_SCHEMA)
-    return bounds.drop("knots", "points").join(trends, "series_key", "left")
 
 
 def trend_at(date: Column) -> Column:
@@ -148,4 +156,4 @@ def predict_trend(fits: DataFrame, horizon: int) -> DataFrame:
 def fitted_trend(series: DataFrame, fits: DataFrame) -> DataFrame:
     """(series_key, date, y, yhat) on the days of the series."""
     yhat = trend_at(F.col("date")).alias("yhat")
-    return series.join(fits, "series_key").select("series_key", "date", "y", yhat)
+    return with_fits(series, fits).select("series_key", "date", "y", yhat)
