@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from daybook import schemas
 from daybook.operators import forecast, seasonal
@@ -26,12 +27,13 @@ def run_batches(
     first: str,
     last: str,
     forecast_days: int = forecast.DEFAULT_HORIZON,
+    fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
     """Process the documents of an inclusive range of days and write every result under ``out``.
 
     ``documents`` carries ``batch_date``. The validated lines are stored by day and every other
     result is read off that table. Running a range again replaces its days. A range without any
-    documents gives empty results. The catalogue is read once, so that all results see the same
+    documents gives empty results. Orders and items are stored as ``fmt``. The catalogue is read once, so that all results see the same
     stock and Spark knows its size, also where it comes from a database.
     """
     spark = documents.sparkSession
@@ -43,9 +45,10 @@ def run_batches(
     stored = read_batches(spark, paths["lines"], fresh.schema)
     lines = between_days(stored, first, last)
 
-    write_batches(orders_of(lines), paths["orders"])
+    write_batches(orders_of(lines), paths["orders"], fmt, order=["order_id"])
     items = items_of(lines).drop(schemas.LINE_ID)
-    write_batches(items, paths["order_line_items"], gather=False)
+    by_line = ["order_id", "product_id"]
+    write_batches(items, paths["order_line_items"], fmt, order=by_line, gather=False)
     write_csv(daily_summary(lines), paths["daily_summary"], single_file=True)
     write_csv(update_inventory(products, lines), paths["products_updated"])
 
@@ -54,12 +57,13 @@ def run_batches(
     predicted = forecast.sales_and_profit(seasonal.predict_seasonal(fits, forecast_days))
     write_csv(predicted, paths["forecast"], single_file=True)
 
+    def batches(name: str, schema: T.StructType) -> DataFrame:
+        return between_days(read_batches(spark, paths[name], schema, fmt), first, last)
+
     return {
         "lines": lines,
-        "orders": between_days(read_batches(spark, paths["orders"], schemas.ORDERS), first, last),
-        "order_line_items": between_days(
-            read_batches(spark, paths["order_line_items"], schemas.ORDER_LINE_ITEMS), first, last
-        ),
+        "orders": batches("orders", schemas.ORDERS),
+        "order_line_items": batches("order_line_items", schemas.ORDER_LINE_ITEMS),
         "daily_summary": summary,
         "products_updated": read_csv(spark, paths["products_updated"], schemas.STOCK_LEVELS),
         "forecast": read_csv(spark, paths["forecast"], schemas.FORECAST),

@@ -11,6 +11,9 @@ LINE_ID = "line_id"
 # Fixed value: how order timestamps are written as text.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
+# How CSV is written and read: header line, doubled quotes inside quoted fields.
+CSV_OPTIONS = {"header": "true", "escape": '"', "timestampNTZFormat": ISO_MICROS}
+
 
 def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in columns.items()])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
-from daybook.schemas import ISO_MICROS
+from daybook.schemas import CSV_OPTIONS
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -14,28 +16,25 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     partitions.
     """
     out = df.coalesce(1) if single_file else df
-    (
-        out.write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .option("timestampNTZFormat", ISO_MICROS)
-        .csv(path)
-    )
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def write_batches(df: DataFrame, path: str, fmt: str = "parquet", gather: bool = True) -> None:
+def write_batches(
+    df: DataFrame, path: str, fmt: str = "parquet", order: Sequence[str] = (), gather: bool = True
+) -> None:
     """Replace exactly the days present in ``df`` in a table partitioned by ``batch_date``.
 
     ``gather`` rebalances the rows first, so that each day ends in files of the advisory size:
     small days share a task and a day that holds much of the data is split over many. Rows that
     already arrive by day, straight from a table stored by day, can do without that shuffle.
+    Every file is sorted by ``order``; a day spread over several files is not sorted as a whole.
     """
     rows = df.hint("rebalance", "batch_date") if gather else df
     (
-        rows.write.mode("overwrite")
+        rows.sortWithinPartitions("batch_date", *order)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .option("timestampNTZFormat", ISO_MICROS)
+        .options(**CSV_OPTIONS)
         .partitionBy("batch_date")
         .format(fmt)
         .save(path)

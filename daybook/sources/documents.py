@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.schemas import TRANSACTIONS
+from daybook.schemas import CSV_OPTIONS, TRANSACTIONS
 
 
 def _dated(schema: T.StructType) -> T.StructType:
@@ -41,12 +41,17 @@ def read_collection(
     return spark.read.format(connector).options(**options).schema(schema).load()
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+) -> DataFrame:
     """A table written by :func:`daybook.sinks.tables.write_batches`."""
-    return spark.read.schema(_dated(schema)).format(fmt).load(path)
+    return spark.read.schema(_dated(schema)).options(**CSV_OPTIONS).format(fmt).load(path)
 
 
 def between_days(batches: DataFrame, first: str | dt.date, last: str | dt.date) -> DataFrame:
     """Batches of an inclusive range of days, given as dates or as yyyyMMdd text."""
-    days = [dt.datetime.strptime(d, "%Y%m%d").date() if isinstance(d, str) else d for d in (first, last)]
+    days = [
+        dt.datetime.strptime(day, "%Y%m%d").date() if isinstance(day, str) else day
+        for day in (first, last)
+    ]
     return batches.filter(F.col("batch_date").between(*days))

@@ -8,16 +8,13 @@ from pyspark.sql import types as T
 from daybook import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header line; quoted fields may hold commas, doubled quotes and line breaks."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("timestampNTZFormat", schemas.ISO_MICROS)
-        .csv(path)
-    )
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header line that must match the schema; quoted fields may hold commas and doubled
+    quotes, and with ``multi_line`` line breaks, at the price of one task per file."""
+    reader = spark.read.schema(schema).options(**schemas.CSV_OPTIONS)
+    return reader.option("enforceSchema", False).option("multiLine", multi_line).csv(path)
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:

@@ -1,8 +1,10 @@
+import pytest
+from pyspark.sql import functions as F
+
 from daybook import schemas
 from daybook.operators import inventory, orders, summary
 from daybook.operators.lines import explode_items, validate_lines
 from daybook.plans.batch_run import run_batches
-from pyspark.sql import functions as F
 from tests.conftest import day, document, plain
 
 
@@ -17,9 +19,10 @@ def _documents(spark):
     return frame.withColumn("batch_date", F.to_date("timestamp"))
 
 
-def test_run_equals_the_operators_and_days_can_be_run_one_by_one(spark, products, tmp_path):
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_run_equals_the_operators(spark, products, tmp_path, fmt):
     documents = _documents(spark)
-    whole = run_batches(documents, products, str(tmp_path / "whole"), "20240301", "20240306")
+    whole = run_batches(documents, products, str(tmp_path), "20240301", "20240306", fmt=fmt)
     lines = validate_lines(explode_items(documents), products)
     assert plain(whole["orders"]) == plain(orders.orders_of(lines).select(whole["orders"].columns))
     items = whole["order_line_items"]
@@ -30,6 +33,10 @@ def test_run_equals_the_operators_and_days_can_be_run_one_by_one(spark, products
     assert [row["date"] for row in predicted] == [day("2024-03-06")]
     assert all(row["forecasted_sales"] > 0 for row in predicted)
 
+
+def test_days_can_be_run_one_by_one(spark, products, tmp_path):
+    documents = _documents(spark)
+    whole = run_batches(documents, products, str(tmp_path / "whole"), "20240301", "20240306")
     for d in range(1, 7):
         code = f"2024030{d}"
         run_batches(documents, products, str(tmp_path / "daily"), code, code)

@@ -10,7 +10,7 @@ from daybook.operators.lines import explode_items
 from daybook.session import shared_dir
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources import files, jdbc
-from daybook.sources.documents import between_days, read_batches, read_documents
+from daybook.sources.documents import between_days, read_batches, read_collection, read_documents
 from tests.conftest import day, plain
 
 
@@ -20,7 +20,11 @@ def test_customers_csv_with_quoted_commas_and_quotes(spark, tmp_path):
         "customer_id,first_name,last_name,email,address,phone\n"
         '1,Ada,Byte,a@x.example,"12 Long Rd, Apt. 3, Town, ZZ 1",(555)1\n'
         '2,Bo,Core,b@x.example,"The ""Old"" Mill, Town",5552\n'
+        '3,Cy,Dot,c@x.example,"The \nMill",5553\n'
     )
+    read = files.read_csv(spark, str(path), schemas.CUSTOMERS, multi_line=True)
+    assert plain(read, "customer_id", "address")[-1] == (3, "The \nMill")
+    path.write_text(path.read_text().split("3,Cy")[0])
     assert plain(files.read_customers(spark, str(path)), "customer_id", "address") == [
         (1, "12 Long Rd, Apt. 3, Town, ZZ 1"),
         (2, 'The "Old" Mill, Town'),
@@ -76,19 +80,28 @@ def test_writing_a_day_again_replaces_only_that_day(spark, tmp_path, fmt):
     path, one, two = str(tmp_path / "items"), day("2024-03-01"), day("2024-03-02")
     write_batches(_items(spark, (one, 1, 1, 1), (two, 2, 1, 1)), path, fmt)
     write_batches(_items(spark, (two, 2, 1, 9), (two, 3, 1, 4)), path, fmt)
-    if fmt == "parquet":
-        stored = read_batches(spark, path, schemas.ORDER_LINE_ITEMS, fmt)
-        rows = plain(stored, "batch_date", "order_id", "quantity")
-        assert rows == [(one, 1, 1), (two, 2, 9), (two, 3, 4)]
+    stored = read_batches(spark, path, schemas.ORDER_LINE_ITEMS, fmt)
+    assert plain(stored, "batch_date", "order_id", "quantity") == [(one, 1, 1), (two, 2, 9), (two, 3, 4)]
     folders = sorted(p.name for p in (tmp_path / "items").glob("batch_date=*"))
     assert folders == ["batch_date=2024-03-01", "batch_date=2024-03-02"]
 
 
-def test_csv_batches_have_one_header_per_file_and_read_back(spark, tmp_path):
-    path, one = str(tmp_path / "items"), day("2024-03-01")
-    write_batches(_items(spark, (one, 1, 1, 1), (one, 2, 1, 3)), path, "csv")
-    stored = files.read_csv(spark, path + "/batch_date=2024-03-01", _items(spark, (one, 1, 1, 1)).drop("batch_date").schema)
-    assert plain(stored, "order_id", "quantity") == [(1, 1), (2, 3)]
+def test_files_of_a_day_are_sorted(spark, tmp_path):
+    one = day("2024-03-01")
+    rows = [(one, order, 7, 1) for order in (5, 2, 9, 1)]
+    write_batches(_items(spark, *rows), str(tmp_path / "items"), "csv", order=["order_id"])
+    (file,) = (tmp_path / "items" / "batch_date=2024-03-01").glob("part-*")
+    assert [line.split(",")[0] for line in file.read_text().splitlines()] == ["order_id", "1", "2", "5", "9"]
+
+
+def test_collection_reader_passes_connector_options_and_schema():
+    """Calls only: there is no document store to connect to."""
+    spark = mock.MagicMock()
+    read_collection(spark, "connector", {"database": "d", "collection": "c_20240301"})
+    spark.read.format.assert_called_once_with("connector")
+    reader = spark.read.format.return_value.options
+    assert reader.call_args.kwargs == {"database": "d", "collection": "c_20240301"}
+    reader.return_value.schema.assert_called_once_with(schemas.TRANSACTIONS)
 
 
 def test_date_filter_prunes_partitions(spark, tmp_path, capsys):
