@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.dates import parse_order_time
 from daybook.functions.money import cents, fits_money, from_cents, holds_whole_cents
-from daybook.schemas import LINE_ID, MONEY
+from daybook.schemas import MONEY, ROW_ID
 
 
 def explode_items(transactions: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def explode_items(transactions: DataFrame) -> DataFrame:
         F.col("transaction_id").alias("order_id"),
         "customer_id",
         moment.alias("order_datetime"),
-        F.posexplode("items").alias("position", "item"),
+        F.explode("items").alias("item"),
     )
     return items.select(
         "batch_date",
@@ -32,13 +32,12 @@ def explode_items(transactions: DataFrame) -> DataFrame:
         F.col("item.product_id").alias("product_id"),
         F.col("item.product_name").alias("product_name"),
         F.col("item.qty").alias("quantity"),
-        F.xxhash64("order_id", "customer_id", "order_datetime", "position", "item").alias(LINE_ID),
     )
 
 
-def tie_break(lines: DataFrame) -> list[str]:
-    """Keys to append to an ordering, where the lines carry an identity."""
-    return [LINE_ID] if LINE_ID in lines.columns else []
+def tie_break(rows: DataFrame) -> list[str]:
+    """Keys to append to an ordering, where the rows carry an identity."""
+    return [ROW_ID] if ROW_ID in rows.columns else []
 
 
 def requested(lines: DataFrame) -> DataFrame:

@@ -73,13 +73,13 @@ def items_of(validated: DataFrame) -> DataFrame:
 def sorted_orders(orders: DataFrame) -> DataFrame:
     """Orders by id with the timestamp as text; the further keys let one id span several tasks."""
     moment = "order_datetime"
-    return orders.orderBy("order_id", "customer_id", moment).withColumn(
+    return orders.orderBy("order_id", "customer_id", moment, *tie_break(orders)).withColumn(
         moment, format_order_time(F.col(moment))
     )
 
 
 def sorted_items(items: DataFrame) -> DataFrame:
-    """Fulfilled line items by order and product; line ids let equal keys span several tasks."""
+    """Fulfilled line items by order and product; row ids let equal keys span several tasks."""
     kept = items.filter(F.col("quantity").isNotNull())
     return kept.orderBy("order_id", "product_id", *tie_break(items))
 

@@ -46,9 +46,8 @@ def run_batches(
     lines = between_days(stored, first, last)
 
     write_batches(orders_of(lines), paths["orders"], fmt, order=["order_id"])
-    items = items_of(lines).drop(schemas.LINE_ID)
     by_line = ["order_id", "product_id"]
-    write_batches(items, paths["order_line_items"], fmt, order=by_line, gather=False)
+    write_batches(items_of(lines), paths["order_line_items"], fmt, order=by_line, gather=False)
     write_csv(daily_summary(lines), paths["daily_summary"], single_file=True)
     write_csv(update_inventory(products, lines), paths["products_updated"])
 

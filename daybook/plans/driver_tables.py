@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from daybook.functions.dates import format_order_time
 from daybook.operators.lines import validate_lines
-from daybook.schemas import LINE_ID, MONEY
+from daybook.schemas import MONEY
+from daybook.sources.files import row_id
 
 ROWS_PER_BLOCK = 1024
 
@@ -53,12 +54,13 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.to_date("o_orderdate").alias("batch_date"),
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_datetime"),
+        *extra,
     )
 
 
@@ -79,16 +81,14 @@ def order_items(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     )
 
 
-def lines(spark: SparkSession, sf_dir: str, line_ids: bool = False) -> DataFrame:
-    """Line items with their order's header. ``line_ids`` adds the identity of the stored row,
-    which is the same however often and wherever the row is read."""
-    row = F.xxhash64("_metadata.file_name", "_metadata.row_index").alias(LINE_ID)
-    items = order_items(spark, sf_dir, *([row] if line_ids else []))
+def lines(spark: SparkSession, sf_dir: str, row_ids: bool = False) -> DataFrame:
+    """Line items with their order's header, and with row ids on request."""
+    items = order_items(spark, sf_dir, *([row_id()] if row_ids else []))
     return items.join(orders(spark, sf_dir), "order_id")
 
 
-def validated(spark: SparkSession, sf_dir: str, line_ids: bool = False) -> DataFrame:
-    return validate_lines(lines(spark, sf_dir, line_ids), products(spark, sf_dir))
+def validated(spark: SparkSession, sf_dir: str, row_ids: bool = False) -> DataFrame:
+    return validate_lines(lines(spark, sf_dir, row_ids), products(spark, sf_dir))
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

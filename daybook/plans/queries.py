@@ -14,7 +14,7 @@ from daybook.plans import driver_tables as given
 from daybook.session import shared_dir
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources.documents import between_days, read_batches, read_documents
-from daybook.sources.files import read_csv
+from daybook.sources.files import read_csv, row_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,13 +263,14 @@ def order_line_items(spark, sf_dir):
 
 @query
 def orders_formatted(spark, sf_dir):
-    return orders.sorted_orders(given.orders(spark, sf_dir).drop("batch_date"))
+    headers = given.orders(spark, sf_dir, row_id()).drop("batch_date")
+    return orders.sorted_orders(headers).drop(schemas.ROW_ID)
 
 
 @query
 def order_line_items_clean(spark, sf_dir):
-    items = orders.items_of(given.validated(spark, sf_dir, line_ids=True))
-    return orders.sorted_items(items).drop(schemas.LINE_ID)
+    items = orders.items_of(given.validated(spark, sf_dir, row_ids=True))
+    return orders.sorted_items(items).drop(schemas.ROW_ID)
 
 
 # Roll-ups and stock --------------------------------------------------------------------------
@@ -306,7 +307,7 @@ def inventory_report(spark, sf_dir):
 
 
 def _running(spark: SparkSession, sf_dir: str, reload_daily: bool) -> DataFrame:
-    products, validated = given.products(spark, sf_dir), given.validated(spark, sf_dir, line_ids=True)
+    products, validated = given.products(spark, sf_dir), given.validated(spark, sf_dir, row_ids=True)
     return inventory.running_inventory(products, validated, "opening_stock", reload_daily)
 
 

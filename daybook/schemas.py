@@ -5,8 +5,8 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(10, 2)
 TOTAL = T.DecimalType(18, 2)
 
-# Optional column that tells equal lines apart, so that sorts and running totals can spread them.
-LINE_ID = "line_id"
+# Optional column that tells equal rows apart, so that sorts and running totals can spread them.
+ROW_ID = "row_id"
 
 # Fixed value: how order timestamps are written as text.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"

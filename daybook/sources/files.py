@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas
@@ -23,3 +24,11 @@ def read_customers(spark: SparkSession, path: str) -> DataFrame:
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.PRODUCTS)
+
+
+def row_id() -> Column:
+    """Identity of a row stored in Parquet: the same however often and wherever it is read.
+
+    Added as column ``row_id``, it lets sorts and running totals spread copies of one row.
+    """
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(schemas.ROW_ID)

@@ -40,8 +40,8 @@ def settings(spark, values):
 def skewed(spark, tmp_path_factory):
     """The given lines, with a third of them moved to one order, one day and one product."""
     path = str(tmp_path_factory.mktemp("skewed") / "lines")
-    hot = F.pmod(F.xxhash64("line_id"), F.lit(3)) == 0
-    moved = given.lines(spark, SMALL_DIR, line_ids=True).withColumns(
+    hot = F.pmod(F.xxhash64("row_id"), F.lit(3)) == 0
+    moved = given.lines(spark, SMALL_DIR, row_ids=True).withColumns(
         {
             "order_id": F.when(hot, F.lit(7)).otherwise(F.col("order_id")),
             "product_id": F.when(hot, F.lit(49)).otherwise(F.col("product_id")),
@@ -98,15 +98,18 @@ def test_hot_order_semi_join_is_split(spark, skewed, capsys):
 
 @pytest.mark.parametrize("group", [["product_id"], ["product_id", "batch_date"]])
 def test_running_total_cuts_a_hot_group_and_equals_the_plain_window(spark, skewed, group, tmp_path):
-    order = [c for c in ("batch_date", "order_id", "quantity", "line_id") if c not in group]
-    rows = skewed.filter("quantity > 0").select("product_id", "batch_date", "order_id", "quantity", "line_id")
+    order = [c for c in ("batch_date", "order_id", "quantity", "row_id") if c not in group]
+    rows = skewed.filter("quantity > 0").select("product_id", "batch_date", "order_id", "quantity", "row_id")
+    copy = (F.col("product_id") == 49) & (F.col("order_id") == 7)
+    rows = rows.withColumn("quantity", F.when(copy, F.lit(5)).otherwise(F.col("quantity")))
     window = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     expected = rows.withColumn("total", F.sum("quantity").over(window))
     with settings(spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}):
         found = running.running_total(rows, group, order, "quantity", "total")
         assert plain(found, *expected.columns) == plain(expected)
         ranged = rows.repartitionByRange(*group, *order).withColumn("block", F.spark_partition_id())
-        blocks = ranged.filter("product_id = 49").agg(F.count_distinct("block")).first()[0]
+        copies = "product_id = 49 and order_id = 7 and quantity = 5"
+        blocks = ranged.filter(copies).agg(F.count_distinct("block")).first()[0]
     assert blocks > 1
 
 
