@@ -139,10 +139,14 @@ SELECT batch_date, CAST(count(*) AS BIGINT) AS n_items FROM found_items GROUP BY
     "union_batches": "SELECT * FROM found_orders",
     "date_spine": SPINE,
     "empty_batch_schema": f"""
-SELECT date AS batch_date, CAST(0 AS BIGINT) AS n_orders, CAST(0 AS BIGINT) AS n_items,
+SELECT date AS batch_date, coalesce(n_orders, 0) AS n_orders, coalesce(n_items, 0) AS n_items,
        'batch_date,order_id,customer_id,order_datetime' AS order_columns,
        'batch_date,order_id,product_id,quantity,unit_price,line_total' AS item_columns
-FROM ({SPINE}) WHERE date NOT IN (SELECT batch_date FROM valid_orders)""",
+FROM ({SPINE})
+LEFT JOIN (SELECT batch_date AS date, CAST(count(*) AS BIGINT) AS n_orders FROM found_orders GROUP BY 1)
+  USING (date)
+LEFT JOIN (SELECT batch_date AS date, CAST(count(*) AS BIGINT) AS n_items FROM found_items GROUP BY 1)
+  USING (date)""",
     "table_profile": """
 SELECT 'customers' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, 3 AS n_columns FROM customers
 UNION ALL SELECT 'products', count(*), 8 FROM products

@@ -119,7 +119,7 @@ QUERIES["date_spine"] = QUERIES.pop("date_spine_days")
 
 @query
 def empty_batch_schema(spark, sf_dir):
-    """Days without a valid order: no orders, no items, and the columns both would have."""
+    """Orders and items of every calendar day, none where no order is valid, and their columns."""
     validated = given.validated(spark, sf_dir)
     found, items = orders.orders_of(validated), orders.items_of(validated)
     counts = (
@@ -129,7 +129,7 @@ def empty_batch_schema(spark, sf_dir):
         .join(_day_counts(items, "n_items"), "batch_date", "left")
         .na.fill(0, ["n_orders", "n_items"])
     )
-    return counts.filter(F.col("n_orders") == 0).select(
+    return counts.select(
         "batch_date",
         "n_orders",
         "n_items",
