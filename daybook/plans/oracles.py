@@ -83,7 +83,6 @@ EXPLODED = """
 SELECT batch_date, order_id, customer_id, order_datetime, product_id, product_name, quantity
 FROM lines LEFT JOIN (SELECT product_id, product_name FROM products) USING (product_id)
 """
-RANGE = "DATE '1996-01-01' AND DATE '2000-12-31'"
 
 
 def _fit(series: str) -> str:
@@ -130,9 +129,8 @@ _STATEMENTS = {
     "src_csv_roundtrip": "SELECT * FROM products",
     "src_csv_customers": "SELECT * FROM customers",
     "src_json_documents": EXPLODED,
-    "src_dated_batches": f"""
-SELECT batch_date, order_id, product_id, quantity, final_quantity, line_total
-FROM validated WHERE batch_date BETWEEN {RANGE}""",
+    "src_dated_batches": """
+SELECT batch_date, order_id, product_id, quantity, final_quantity, line_total FROM validated""",
     "sink_csv_roundtrip": "SELECT * FROM summary",
     "sink_partitioned_batches": """
 SELECT batch_date, CAST(count(*) AS BIGINT) AS n_items FROM found_items GROUP BY batch_date""",

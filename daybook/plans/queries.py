@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import schemas
-from daybook.functions.dates import date_spine
+from daybook.functions import dates
 from daybook.operators import forecast, inventory, lines, orders, seasonal, series, summary, trend
 from daybook.plans import driver_tables as given
 from daybook.session import shared_dir
@@ -19,7 +19,7 @@ from daybook.sources.files import read_csv, row_id
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-FIRST_DAY, LAST_DAY = "19960101", "20001231"
+RANGES = [("00010101", "19971231"), ("19980101", "99991231")]
 
 
 def query(function: Query) -> Query:
@@ -63,11 +63,13 @@ def src_json_documents(spark, sf_dir):
 
 @query
 def src_dated_batches(spark, sf_dir):
+    """Neighbouring ranges of days, read apart, add up to the whole table."""
     path = shared_dir(spark, "validated")
     validated = given.validated(spark, sf_dir)
     write_batches(validated, path)
-    stored = between_days(read_batches(spark, path, validated.schema), FIRST_DAY, LAST_DAY)
-    return lines.with_amounts(stored).select(
+    stored = read_batches(spark, path, validated.schema)
+    ranges = [between_days(stored, *days) for days in RANGES]
+    return lines.with_amounts(ranges[0].unionByName(ranges[1])).select(
         "batch_date", "order_id", "product_id", "quantity", "final_quantity", "line_total"
     )
 
@@ -85,11 +87,11 @@ def _day_counts(batches: DataFrame, name: str) -> DataFrame:
 
 @query
 def sink_partitioned_batches(spark, sf_dir):
-    """Writes every day, then writes the days of the range once more; no day may count double."""
+    """Writes every day, then the days of one range once more; no day may count double."""
     path = shared_dir(spark, "items")
     items = orders.items_of(given.validated(spark, sf_dir))
     write_batches(items, path)
-    write_batches(between_days(items, FIRST_DAY, LAST_DAY), path)
+    write_batches(between_days(items, *RANGES[1]), path)
     return _day_counts(read_batches(spark, path, schemas.ORDER_LINE_ITEMS), "n_items")
 
 
@@ -98,25 +100,21 @@ def union_batches(spark, sf_dir):
     """Two runs over neighbouring ranges of days add up to one table of orders."""
     path = shared_dir(spark, "orders")
     found = orders.orders_of(given.validated(spark, sf_dir))
-    cut = F.to_date(F.lit(FIRST_DAY), "yyyyMMdd")
-    for run in (found.filter(F.col("batch_date") < cut), found.filter(F.col("batch_date") >= cut)):
-        write_batches(run, path)
+    for days in RANGES:
+        write_batches(between_days(found, *days), path)
     return read_batches(spark, path, schemas.ORDERS)
 
 
 def _calendar(df: DataFrame) -> DataFrame:
     bounds = df.agg(F.min("batch_date").alias("first_day"), F.max("batch_date").alias("last_day"))
-    return date_spine(bounds, "first_day", "last_day")
+    return dates.date_spine(bounds, "first_day", "last_day")
 
 
 @query
-def date_spine_days(spark, sf_dir):
+def date_spine(spark, sf_dir):
     return _calendar(given.orders(spark, sf_dir))
 
 
-QUERIES["date_spine"] = QUERIES.pop("date_spine_days")
-
-
 @query
 def empty_batch_schema(spark, sf_dir):
     """Orders and items of every calendar day, none where no order is valid, and their columns."""

@@ -50,8 +50,8 @@ def read_batches(
 
 def between_days(batches: DataFrame, first: str | dt.date, last: str | dt.date) -> DataFrame:
     """Batches of an inclusive range of days, given as dates or as yyyyMMdd text."""
-    days = [
+    bounds = [
         dt.datetime.strptime(day, "%Y%m%d").date() if isinstance(day, str) else day
         for day in (first, last)
     ]
-    return batches.filter(F.col("batch_date").between(*days))
+    return batches.filter(F.col("batch_date").between(*[F.lit(b.isoformat()).cast("date") for b in bounds]))
