@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.dates import parse_order_time
 from daybook.functions.money import cents, fits_money, from_cents, holds_whole_cents
-from daybook.schemas import MONEY, ROW_ID
+from daybook.schemas import MONEY, ROW_ID, TOTAL
 
 
 def explode_items(transactions: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def validate_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
         quantity = F.col("final_quantity")
         if exact:
             return F.try_multiply(quantity.cast("bigint"), F.col(per_unit))
-        return cents(F.round(quantity * F.col(per_unit), 2))
+        return cents(F.round(quantity * F.col(per_unit), 2).try_cast(TOTAL))
 
     quantity = F.col("quantity")
     return (
@@ -96,6 +96,4 @@ def with_amounts(validated: DataFrame) -> DataFrame:
 
 
 def cancelled_item_count(validated: DataFrame) -> DataFrame:
-    return validated.agg(
-        F.count_if(F.col("final_quantity").isNull()).alias("cancelled_items")
-    )
+    return validated.agg(F.count_if(F.col("final_quantity").isNull()).alias("cancelled_items"))

@@ -49,10 +49,14 @@ def _knots(span: Column, max_knots: int) -> Column:
 
 
 def scaled_days(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
-    """The series with its bounds and knots on every day, and date and value scaled to at most 1."""
+    """The series with its bounds and knots on every day, and date and value scaled to at most 1.
+
+    Days without a value do not count.
+    """
     peak = per_series(F.max(F.abs("y")))
     return (
-        series.withColumns(
+        series.filter(F.col("y").isNotNull())
+        .withColumns(
             {
                 "first_date": per_series(F.min("date")),
                 "last_date": per_series(F.max("date")),

@@ -32,9 +32,10 @@ def run_batches(
     """Process the documents of an inclusive range of days and write every result under ``out``.
 
     ``documents`` carries ``batch_date``. The validated lines are stored by day and every other
-    result is read off that table. Running a range again replaces its days. A range without any
-    documents gives empty results. Orders and items are stored as ``fmt``. The catalogue is read once, so that all results see the same
-    stock and Spark knows its size, also where it comes from a database.
+    result is read off that table; orders and items are stored by day as ``fmt``. Running a range
+    again replaces its days. A range without any documents gives empty results. The catalogue is
+    read once, so that all results see the same stock and Spark knows its size, also where it
+    comes from a database.
     """
     spark = documents.sparkSession
     products = materialise(products, "catalogue")

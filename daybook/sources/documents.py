@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,10 +48,12 @@ def read_batches(
     return spark.read.schema(_dated(schema)).options(**CSV_OPTIONS).format(fmt).load(path)
 
 
+def _date(day: str | dt.date) -> Column:
+    if isinstance(day, str):
+        day = dt.datetime.strptime(day, "%Y%m%d").date()
+    return F.lit(day.isoformat()).cast("date")
+
+
 def between_days(batches: DataFrame, first: str | dt.date, last: str | dt.date) -> DataFrame:
     """Batches of an inclusive range of days, given as dates or as yyyyMMdd text."""
-    bounds = [
-        dt.datetime.strptime(day, "%Y%m%d").date() if isinstance(day, str) else day
-        for day in (first, last)
-    ]
-    return batches.filter(F.col("batch_date").between(*[F.lit(b.isoformat()).cast("date") for b in bounds]))
+    return batches.filter(F.col("batch_date").between(_date(first), _date(last)))

@@ -94,6 +94,14 @@ def test_series_of_one_day_gets_dates_without_values(spark):
         assert rows["two"]["yhat"] is not None
 
 
+def test_days_without_a_value_do_not_count(spark):
+    days = _daily("s", [10, 12, 14, 16, 18, 20])
+    holes = [days[0], (*days[1][:2], None), *days[2:], ("s", day("2020-01-07"), None)]
+    whole = [days[0], *days[2:]]
+    for fit, predict in ((trend.fit_trend, trend.predict_trend), (seasonal.fit_seasonal, seasonal.predict_seasonal)):
+        assert plain(predict(fit(_frame(spark, holes)), 2)) == plain(predict(fit(_frame(spark, whole)), 2))
+
+
 def test_flat_zero_series_stays_at_zero(spark):
     series = _frame(spark, _daily("zero", [0.0] * 20))
     for fit, predict in ((trend.fit_trend, trend.predict_trend), (seasonal.fit_seasonal, seasonal.predict_seasonal)):

@@ -70,6 +70,13 @@ def test_prices_finer_than_a_cent_round_per_line(spark, validate, products):
     assert plain(found, "line_total", "profit") == [(D("0.34"), D("0.33")), (D("1.01"), D("1.00"))]
 
 
+def test_prices_as_doubles_do_not_lose_a_cent(spark, validate):
+    row = (9, 0.29, 0.01, 1000)
+    catalogue = spark.createDataFrame([row], "product_id long, sales_price double, cost_to_make double, stock int")
+    found = validate(document(1, (9, 1), (9, 100)), catalogue=catalogue)
+    assert plain(found, "line_total", "profit") == [(D("0.29"), D("0.28")), (D("29.00"), D("28.00"))]
+
+
 def test_amount_that_does_not_fit_becomes_null(spark, validate):
     row = (9, "x", "c", "s", "r", D("99999999.99"), D("0.00"), 100)
     catalogue = spark.createDataFrame([row], schemas.PRODUCTS)
