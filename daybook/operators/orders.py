@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import format_order_time
@@ -13,25 +13,48 @@ from daybook.schemas import MONEY
 ORDER_KEY = ["batch_date", "order_id"]
 
 
-def order_totals(validated: DataFrame) -> DataFrame:
-    """One row per order of a day: units over all its lines, amounts over its positive lines.
+HEADER = [*ORDER_KEY, "customer_id", "order_datetime"]
 
-    Partial sums run before the shuffle, so an order with very many lines travels as one row per
-    map task. Amounts are in cents.
-    """
+
+def _units_and_amounts() -> list[Column]:
+    """Units over all lines, amounts in cents over the positive ones."""
     fulfilled = F.col("final_quantity") > 0
-    return validated.groupBy(*ORDER_KEY).agg(
+    return [
         F.sum("final_quantity").alias("units"),
         F.sum(F.when(fulfilled, F.col("line_cents"))).alias("sales"),
         F.sum(F.when(fulfilled, F.col("profit_cents"))).alias("profit"),
-        F.to_date(F.min("order_datetime")).alias("date"),
-    )
+    ]
 
 
-def valid_orders(validated: DataFrame) -> DataFrame:
+def order_totals(validated: DataFrame) -> DataFrame:
+    """One row per order of a day, with units, amounts and the date of the order.
+
+    Partial sums run before the shuffle, so an order with very many lines travels as one row per
+    map task.
+    """
+    date = F.to_date(F.min("order_datetime")).alias("date")
+    return validated.groupBy(*ORDER_KEY).agg(*_units_and_amounts(), date)
+
+
+def order_headers(validated: DataFrame) -> DataFrame:
+    """Distinct order headers with units and amounts: all that orders, trading days and summary
+    need of the lines, so that a run over many results reads the lines once for the three."""
+    return validated.groupBy(*HEADER).agg(*_units_and_amounts())
+
+
+def header_totals(headers: DataFrame) -> DataFrame:
+    """The same as :func:`order_totals`, from the headers."""
+    sums = [F.sum(name).alias(name) for name in ("units", "sales", "profit")]
+    return headers.groupBy(*ORDER_KEY).agg(*sums, F.to_date(F.min("order_datetime")).alias("date"))
+
+
+def valid(totals: DataFrame) -> DataFrame:
     """Orders whose quantities, negative ones included, sum to more than zero."""
-    units = validated.groupBy(*ORDER_KEY).agg(F.sum("final_quantity").alias("units"))
-    return units.filter(F.col("units") > 0)
+    return totals.filter(F.col("units") > 0)
+
+
+def valid_orders(validated: DataFrame) -> DataFrame:
+    return valid(order_totals(validated)).select(*ORDER_KEY, "units")
 
 
 def cancelled_orders(validated: DataFrame) -> DataFrame:
@@ -46,21 +69,28 @@ def lines_of_valid_orders(validated: DataFrame) -> DataFrame:
 
 def orders_of(validated: DataFrame) -> DataFrame:
     """Distinct headers of the valid orders."""
-    headers = validated.select(*ORDER_KEY, "customer_id", "order_datetime").distinct()
+    headers = validated.select(*HEADER).distinct()
     return headers.join(valid_orders(validated), ORDER_KEY, "left_semi")
 
 
-def trading_days(validated: DataFrame) -> DataFrame:
+def orders_of_headers(headers: DataFrame) -> DataFrame:
+    """The same as :func:`orders_of`, from the headers."""
+    return headers.select(*HEADER).join(valid(header_totals(headers)), ORDER_KEY, "left_semi")
+
+
+def trading_days(valid_orders: DataFrame) -> DataFrame:
     """Days with at least one valid order."""
-    return valid_orders(validated).select("batch_date").distinct()
+    return valid_orders.select("batch_date").distinct()
 
 
-def items_of(validated: DataFrame) -> DataFrame:
+def items_of(validated: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """Line items of the trading days, cancelled lines included with null quantity.
 
     The broadcast side is a set of distinct dates, which the calendar bounds whatever the data.
     """
-    return validated.join(F.broadcast(trading_days(validated)), "batch_date", "left_semi").select(
+    if days is None:
+        days = trading_days(valid_orders(validated))
+    return validated.join(F.broadcast(days), "batch_date", "left_semi").select(
         *ORDER_KEY,
         "product_id",
         F.col("final_quantity").cast("int").alias("quantity"),

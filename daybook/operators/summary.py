@@ -8,18 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.money import from_cents
-from daybook.operators.orders import order_totals
+from daybook.operators.orders import order_totals, valid
 
 
-def daily_summary(validated: DataFrame) -> DataFrame:
-    """Orders, sales and profit per day, by date.
-
-    Two aggregations: per order, keeping the valid ones, then per day. No join back to the lines
-    and no distinct count, since the first level already holds one row per order.
-    """
+def summarise(totals: DataFrame) -> DataFrame:
+    """Orders, sales and profit per day, by date, from the totals per order."""
     return (
-        order_totals(validated)
-        .filter(F.col("units") > 0)
+        valid(totals)
         .groupBy("date")
         .agg(
             F.count("*").alias("num_orders"),
@@ -30,6 +25,15 @@ def daily_summary(validated: DataFrame) -> DataFrame:
     )
 
 
+def daily_summary(validated: DataFrame) -> DataFrame:
+    """Orders, sales and profit per day, by date.
+
+    Two aggregations: per order, keeping the valid ones, then per day. No join back to the lines
+    and no distinct count, since the first level already holds one row per order.
+    """
+    return summarise(order_totals(validated))
+
+
 def distinct_orders_per_day(validated: DataFrame) -> DataFrame:
     return validated.groupBy("batch_date").agg(F.count_distinct("order_id").alias("num_orders"))
 

@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas
-from daybook.operators import forecast, seasonal
+from daybook.operators import forecast, orders, seasonal
 from daybook.operators.inventory import update_inventory
 from daybook.operators.lines import explode_items, validate_lines
-from daybook.operators.orders import items_of, orders_of
 from daybook.operators.series import summary_series
-from daybook.operators.summary import daily_summary
+from daybook.operators.summary import summarise
 from daybook.session import materialise
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources.documents import between_days, read_batches
 from daybook.sources.files import read_csv
 
-RESULTS = ["lines", "orders", "order_line_items", "daily_summary", "products_updated", "forecast"]
+RESULTS = ["orders", "order_line_items", "daily_summary", "products_updated", "forecast"]
 
 
 def run_batches(
@@ -31,25 +31,26 @@ def run_batches(
 ) -> dict[str, DataFrame]:
     """Process the documents of an inclusive range of days and write every result under ``out``.
 
-    ``documents`` carries ``batch_date``. The validated lines are stored by day and every other
-    result is read off that table; orders and items are stored by day as ``fmt``. Running a range
-    again replaces its days. A range without any documents gives empty results. The catalogue is
-    read once, so that all results see the same stock and Spark knows its size, also where it
-    comes from a database.
+    ``documents`` carries ``batch_date``. Catalogue, validated lines and order headers are each
+    computed once, into the shared folder, and the results are read off those tables; so all of
+    them see the same stock, and Spark knows the sizes also where the catalogue comes from a
+    database. Orders and items are stored by day as ``fmt``; running a range again replaces the
+    days that have valid orders. A range without any documents gives empty results.
     """
     spark = documents.sparkSession
-    products = materialise(products, "catalogue")
     paths = {name: f"{out.rstrip('/')}/{name}" for name in RESULTS}
 
-    fresh = validate_lines(explode_items(between_days(documents, first, last)), products)
-    write_batches(fresh, paths["lines"])
-    stored = read_batches(spark, paths["lines"], fresh.schema)
-    lines = between_days(stored, first, last)
+    products = materialise(products, "catalogue")
+    fresh = explode_items(between_days(documents, first, last))
+    lines = materialise(validate_lines(fresh, products), "lines")
+    headers = materialise(orders.order_headers(lines), "headers")
+    totals = orders.header_totals(headers)
+    days = orders.trading_days(orders.valid(totals))
 
-    write_batches(orders_of(lines), paths["orders"], fmt, order=["order_id"])
-    by_line = ["order_id", "product_id"]
-    write_batches(items_of(lines), paths["order_line_items"], fmt, order=by_line, gather=False)
-    write_csv(daily_summary(lines), paths["daily_summary"], single_file=True)
+    found, items = orders.orders_of_headers(headers), orders.items_of(lines, days)
+    write_batches(found, paths["orders"], fmt, order=["order_id"])
+    write_batches(items, paths["order_line_items"], fmt, order=["order_id", "product_id"])
+    write_csv(summarise(totals), paths["daily_summary"], single_file=True)
     write_csv(update_inventory(products, lines), paths["products_updated"])
 
     summary = read_csv(spark, paths["daily_summary"], schemas.DAILY_SUMMARY)
@@ -58,10 +59,11 @@ def run_batches(
     write_csv(predicted, paths["forecast"], single_file=True)
 
     def batches(name: str, schema: T.StructType) -> DataFrame:
-        return between_days(read_batches(spark, paths[name], schema, fmt), first, last)
+        """The days of this run, without files an earlier run left for a day that is now empty."""
+        stored = read_batches(spark, paths[name], schema, fmt)
+        return stored.join(F.broadcast(days), "batch_date", "left_semi")
 
     return {
-        "lines": lines,
         "orders": batches("orders", schemas.ORDERS),
         "order_line_items": batches("order_line_items", schemas.ORDER_LINE_ITEMS),
         "daily_summary": summary,

@@ -135,6 +135,7 @@ SELECT batch_date, order_id, product_id, quantity, final_quantity, line_total FR
     "sink_partitioned_batches": """
 SELECT batch_date, CAST(count(*) AS BIGINT) AS n_items FROM found_items GROUP BY batch_date""",
     "union_batches": "SELECT * FROM found_orders",
+    "batch_run": "SELECT * FROM found_items",
     "date_spine": SPINE,
     "empty_batch_schema": f"""
 SELECT date AS batch_date, coalesce(n_orders, 0) AS n_orders, coalesce(n_items, 0) AS n_items,

@@ -11,6 +11,7 @@ from daybook import schemas
 from daybook.functions import dates
 from daybook.operators import forecast, inventory, lines, orders, seasonal, series, summary, trend
 from daybook.plans import driver_tables as given
+from daybook.plans.batch_run import run_batches
 from daybook.session import shared_dir
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources.documents import between_days, read_batches, read_documents
@@ -105,6 +106,14 @@ def union_batches(spark, sf_dir):
     return read_batches(spark, path, schemas.ORDERS)
 
 
+@query
+def batch_run(spark, sf_dir):
+    """The whole job, from nested documents to the line items it stored."""
+    documents, products = given.transactions(spark, sf_dir), given.products(spark, sf_dir)
+    days = RANGES[0][0], RANGES[1][1]
+    return run_batches(documents, products, shared_dir(spark, "run"), *days)["order_line_items"]
+
+
 def _calendar(df: DataFrame) -> DataFrame:
     bounds = df.agg(F.min("batch_date").alias("first_day"), F.max("batch_date").alias("last_day"))
     return dates.date_spine(bounds, "first_day", "last_day")

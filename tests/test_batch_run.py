@@ -47,7 +47,16 @@ def test_days_can_be_run_one_by_one(spark, products, tmp_path):
 def test_range_without_documents_gives_empty_typed_results(spark, products, tmp_path):
     found = run_batches(_documents(spark), products, str(tmp_path / "none"), "20230101", "20230105")
     assert {name: df.count() for name, df in found.items()} == {
-        "lines": 0, "orders": 0, "order_line_items": 0, "daily_summary": 0,
+        "orders": 0, "order_line_items": 0, "daily_summary": 0,
         "products_updated": 5, "forecast": 0,
     }
     assert dict(found["daily_summary"].dtypes)["total_sales"] == "decimal(18,2)"
+
+
+def test_a_day_that_lost_its_orders_is_not_read_back(spark, products, tmp_path):
+    documents, out = _documents(spark), str(tmp_path)
+    run_batches(documents, products, out, "20240301", "20240305")
+    fewer = documents.filter("batch_date <> date'2024-03-02'")
+    found = run_batches(fewer, products, out, "20240301", "20240305")
+    assert day("2024-03-02") not in {row[0] for row in plain(found["orders"], "batch_date")}
+    assert day("2024-03-02") not in {row[0] for row in plain(found["daily_summary"], "date")}

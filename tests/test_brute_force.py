@@ -73,6 +73,10 @@ def test_everything_against_plain_python(case):
     expected = sorted((date, counted[date], *amounts) for date, amounts in days.items())
     assert plain(summary.daily_summary(validated)) == expected
 
+    headers = orders.order_headers(validated)
+    assert plain(summary.summarise(orders.header_totals(headers))) == expected
+    assert plain(orders.orders_of_headers(headers)) == plain(orders.orders_of(validated))
+
     trading = {date for date, _ in valid}
     items = collections.Counter(
         (date, order_id, product_id, kept) for date, order_id, product_id, kept, *_ in lines if date in trading
