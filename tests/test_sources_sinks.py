@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 from unittest import mock
 
 import pytest
@@ -7,7 +8,7 @@ import pytest
 from daybook import schemas
 from daybook.functions.dates import date_spine
 from daybook.operators.lines import explode_items
-from daybook.session import shared_dir
+from daybook.session import materialise, shared_dir
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources import files, jdbc
 from daybook.sources.documents import between_days, read_batches, read_collection, read_documents
@@ -148,3 +149,20 @@ def test_scratch_folder_comes_from_the_session():
     del settings["spark.checkpoint.dir"]
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(cluster, "x")
+
+
+def test_only_a_local_session_without_the_setting_gets_a_temporary_folder():
+    local = mock.MagicMock()
+    local.conf.get.side_effect = lambda key, default=None: {"spark.master": "local[2]"}.get(key, default)
+    local.sparkContext.applicationId = "local-test"
+    first, second = shared_dir(local, "x"), shared_dir(local, "x")
+    assert first != second and os.path.dirname(first) == os.path.dirname(second)
+    assert os.path.isdir(os.path.dirname(first))
+
+
+def test_materialised_tables_go_to_the_folder_of_the_session(spark, products):
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    stored = materialise(products, "catalogue")
+    assert plain(stored) == plain(products)
+    if folder:
+        assert all(folder in path for path in stored.inputFiles())
