@@ -29,7 +29,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return float(f"{value:.12g}") + 0.0
+        return value + 0.0  # exact, but for the sign of zero
     if isinstance(value, decimal.Decimal):
         return value.normalize() + 0
     if isinstance(value, dt.datetime):
