@@ -33,7 +33,9 @@ def tune(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession
     """Apply the library's runtime SQL settings to a session the caller already has.
 
     ``shuffled_bytes``, the most that one step is expected to shuffle, sizes the partitions: near
-    128 MB each. Spark merges partitions at run time but never makes more of them.
+    128 MB each. That is what is left after filters and partial sums, not the size of the input.
+    Spark merges partitions at run time but, hot join keys and rebalanced writes apart, never
+    makes more of them.
     """
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)

@@ -8,7 +8,7 @@ import pytest
 from daybook import schemas
 from daybook.functions.dates import date_spine
 from daybook.operators.lines import explode_items
-from daybook.session import materialise, shared_dir
+from daybook.session import materialise, shared_dir, tune
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources import files, jdbc
 from daybook.sources.documents import between_days, read_batches, read_collection, read_documents
@@ -166,3 +166,12 @@ def test_materialised_tables_go_to_the_folder_of_the_session(spark, products):
     assert plain(stored) == plain(products)
     if folder:
         assert all(folder in path for path in stored.inputFiles())
+
+
+def test_shuffle_partitions_follow_the_expected_shuffle():
+    for size, expected in ((None, None), (1 << 20, "200"), (4 << 40, "32768")):
+        session = mock.MagicMock()
+        tune(session, size)
+        chosen = dict(call.args for call in session.conf.set.call_args_list)
+        assert chosen.get("spark.sql.shuffle.partitions") == expected
+        assert chosen["spark.sql.adaptive.forceOptimizeSkewedJoin"] == "true"
