@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import mixing, secret_scan, sharding, url_rules
+from daybook.llm import compression_quality, labelled, mixing, quality_rules, secret_scan, sharding, url_rules
 from daybook.llm.rows import table
 
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = compression_quality.train(docs, table(spark, sf_dir, "labels"))
+    good = F.col("score") >= compression_quality.THRESHOLD
+    return compression_quality.score(docs, model).select(
+        "doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), "score", good.cast("int").alias("predicted")
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select("doc_id", "slot", "shard")
@@ -21,6 +30,11 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return planned.select(
@@ -48,5 +62,8 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op4_sharding, op5_url_filters, op9_mixing, op10_secret_scans)
+    f.__name__: f
+    for f in (
+        op2_quality_classifier, op4_sharding, op5_url_filters, op7_quality_rules, op9_mixing, op10_secret_scans
+    )
 }
