@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import mixing, url_rules
+from daybook.llm import decontaminate, mixing, url_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -61,4 +61,37 @@ SELECT doc_id, size, rates.source_size, target,
 FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source
 """
 
-ORACLES = {"op5_url_filters": URL_FILTERS, "op9_mixing": MIXING}
+DECONTAMINATION = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, list_filter(regexp_split_to_array(
+           {LOWER.format("coalesce(text, '')")}, '{decontaminate.SEPARATORS}'), lambda w: w <> '') AS words
+  FROM documents),
+items AS (
+  SELECT item_id, list_filter(regexp_split_to_array(
+           {LOWER.format("coalesce(text, '')")}, '{decontaminate.SEPARATORS}'), lambda w: w <> '') AS words
+  FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[s : s + size - 1], ' ') AS run
+  FROM (SELECT item_id, words, least(len(words), {decontaminate.WINDOW}) AS size,
+               unnest(range(1, len(words) - least(len(words), {decontaminate.WINDOW}) + 2)) AS s
+        FROM items WHERE len(words) > 0)),
+places AS (
+  SELECT n, s, size, array_to_string(words[s : s + size - 1], ' ') AS run
+  FROM (SELECT n, words, size, unnest(range(1, len(words) - size + 2)) AS s
+        FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size)),
+found AS (SELECT n, s, size, item_id FROM places JOIN windows USING (size, run)),
+hit AS (
+  SELECT n, count(DISTINCT place) AS n_hit FROM (SELECT n, unnest(range(s, s + size)) AS place FROM found) GROUP BY n),
+which AS (
+  SELECT n, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT n, item_id::VARCHAR AS item FROM found) GROUP BY n)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (n) LEFT JOIN which USING (n)
+"""
+
+ORACLES = {
+    "op3_benchmark_decontamination": DECONTAMINATION,
+    "op5_url_filters": URL_FILTERS,
+    "op9_mixing": MIXING,
+}

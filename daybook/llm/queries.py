@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import compression_quality, labelled, mixing, quality_rules, secret_scan, sharding, url_rules
+from daybook.llm import compression_quality, decontaminate, labelled, mixing, quality_rules, secret_scan, sharding, url_rules
 from daybook.llm.rows import table
 
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
@@ -20,6 +20,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select("doc_id", "slot", "shard")
@@ -64,6 +72,6 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_classifier, op4_sharding, op5_url_filters, op7_quality_rules, op9_mixing, op10_secret_scans
+        op2_quality_classifier, op3_benchmark_decontamination, op4_sharding, op5_url_filters, op7_quality_rules, op9_mixing, op10_secret_scans
     )
 }
