@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import compression_quality, decontaminate, labelled, mixing, quality_rules, secret_scan, sharding, url_rules
+from daybook.llm import compression_quality, decontaminate, labelled, mixing, quality_rules, secret_scan, sharding, simhash, url_rules
 from daybook.llm.rows import table
 
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
@@ -43,6 +43,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return planned.select(
@@ -72,6 +76,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_classifier, op3_benchmark_decontamination, op4_sharding, op5_url_filters, op7_quality_rules, op9_mixing, op10_secret_scans
+        op2_quality_classifier, op3_benchmark_decontamination, op4_sharding, op5_url_filters, op7_quality_rules,
+        op8_simhash_near_dedup, op9_mixing, op10_secret_scans,
     )
 }
