@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import decontaminate, mixing, url_rules
+from daybook.llm import decontaminate, lm_scoring, mixing, url_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -90,8 +90,39 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coale
 FROM docs LEFT JOIN hit USING (n) LEFT JOIN which USING (n)
 """
 
+_UNIT, _BACKOFF = lm_scoring.UNIT, lm_scoring.BACKOFF
+
+LM_SCORING = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS words
+  FROM documents),
+places AS (
+  SELECT n, s, words[s] AS word, CASE WHEN s > 1 THEN words[s - 1] END AS before
+  FROM (SELECT n, words, unnest(range(1, len(words) + 1)) AS s FROM docs)),
+single AS (SELECT word, count(*) AS times FROM places GROUP BY word),
+pairs AS (SELECT before, word, count(*) AS times FROM places WHERE before IS NOT NULL GROUP BY before, word),
+looked AS (
+  SELECT n, single.times AS alone, first.times AS had, pairs.times AS run,
+         pairs.times >= {lm_scoring.LEAST_COUNT} AS seen
+  FROM places JOIN single USING (word)
+  LEFT JOIN single AS first ON first.word = places.before
+  LEFT JOIN pairs ON pairs.before = places.before AND pairs.word = places.word),
+scored AS (
+  SELECT n, count(*) FILTER (had IS NOT NULL AND NOT seen) AS n_unseen,
+         sum(CASE WHEN seen THEN round(ln(run / had) * {_UNIT})
+                  ELSE round(ln(alone) * {_UNIT}) - round(ln((SELECT count(*) FROM places)) * {_UNIT})
+                     + CASE WHEN had IS NULL THEN 0 ELSE round(ln({_BACKOFF}::DOUBLE) * {_UNIT}) END
+             END)::BIGINT AS score_units
+  FROM looked GROUP BY n)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_unseen, 0) AS n_unseen,
+       coalesce(score_units, 0)::BIGINT AS score_units,
+       CASE WHEN len(words) = 0 THEN 0 ELSE score_units / len(words) / {float(_UNIT)!r}::DOUBLE END AS score
+FROM docs LEFT JOIN scored USING (n)
+"""
+
 ORACLES = {
     "op3_benchmark_decontamination": DECONTAMINATION,
     "op5_url_filters": URL_FILTERS,
+    "op6_lm_scoring": LM_SCORING,
     "op9_mixing": MIXING,
 }

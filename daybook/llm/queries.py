@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import compression_quality, decontaminate, labelled, mixing, quality_rules, secret_scan, sharding, simhash, url_rules
+from daybook.llm import compression_quality, decontaminate, labelled, lm_scoring, mixing, quality_rules, secret_scan, sharding, simhash, url_rules
 from daybook.llm.rows import table
 
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
@@ -38,6 +38,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
@@ -76,7 +80,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_classifier, op3_benchmark_decontamination, op4_sharding, op5_url_filters, op7_quality_rules,
-        op8_simhash_near_dedup, op9_mixing, op10_secret_scans,
+        op2_quality_classifier, op3_benchmark_decontamination, op4_sharding, op5_url_filters, op6_lm_scoring,
+        op7_quality_rules, op8_simhash_near_dedup, op9_mixing, op10_secret_scans,
     )
 }
