@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import compression_quality, decontaminate, labelled, lm_scoring, mixing, quality_rules, secret_scan, sharding, simhash, url_rules
+from daybook.llm import compression_quality, decontaminate, labelled, lm_scoring, mixing, quality_rules, secret_scan, sharding, simhash, suffix_dedup, url_rules
 from daybook.llm.rows import table
 
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = compression_quality.train(docs, table(spark, sf_dir, "labels"))
@@ -80,7 +87,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_classifier, op3_benchmark_decontamination, op4_sharding, op5_url_filters, op6_lm_scoring,
+        op1_suffix_array_dedup, op2_quality_classifier, op3_benchmark_decontamination, op4_sharding, op5_url_filters, op6_lm_scoring,
         op7_quality_rules, op8_simhash_near_dedup, op9_mixing, op10_secret_scans,
     )
 }
