@@ -16,9 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from daybook.llm import labelled
+from daybook.llm.rows import packed, unpacked
 
 CHUNK = 256
 LEVEL = 3
@@ -98,22 +100,29 @@ def train(docs: DataFrame, labels: DataFrame, **bounds) -> Model:
     return Model(good, bad, *labelled.calibrated(values, marks, labelled.share_of_good(labels)))
 
 
+def scored(text: Column, model: Model) -> Column:
+    """The score of a text (0 to 1, higher: better), in Arrow batches; a null text scores as empty."""
+
+    @F.arrow_udf("double")
+    def score_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pair = model.compressors()
+        for batch in batches:
+            raw = ((t.as_py() or "").encode("utf-8", "replace") for t in batch)
+            yield pa.array([model.score(difference(r, *pair)) for r in raw], pa.float64())
+
+    return score_batches(text)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score (0 to 1, higher: better) for every row of ``docs``.
+    """doc_id and score for every row of ``docs``; no other column than doc_id and text is read.
 
     Whole texts are read, in one pass without a shuffle; the model is two dictionaries of bounded size.
-    A null text scores as an empty one. Equal texts get equal scores. No other column is read.
+    Equal texts get equal scores. An empty table gives an empty table.
     """
+    return docs.select("doc_id", scored(F.col("text"), model).alias("score"))
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = model.compressors()
-        for batch in batches:
-            scores = [
-                model.score(difference((text.as_py() or "").encode("utf-8", "replace"), *pair))
-                for text in batch.column("text")
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"]
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(scored, "doc_id bigint, score double")
+
+def keep(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score reaches ``threshold``."""
+    rows = packed(docs, score=scored(docs["text"], model))
+    return unpacked(rows.filter(F.col("score") >= threshold), docs)

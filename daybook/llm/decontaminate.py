@@ -11,15 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.rows import ascii_lower
+from daybook.llm.rows import ascii_lower, packed, unpacked
 from daybook.session import materialise
 
 WINDOW = 10
 SHINGLE = 3
-# What separates words after A-Z are lower-cased, and what makes a word before that.
+# Fixed value: what separates words after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Up to so many shingles of the benchmark are broadcast (some 40 bytes each).
@@ -30,10 +30,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
 def shingle_at(words: Column, at: Column, size: int) -> Column:
     return F.xxhash64(F.lit(size), *(F.get(words, at + k) for k in range(size)))
 
@@ -73,45 +69,41 @@ def _left(rows: DataFrame, marks: DataFrame) -> DataFrame:
     return rows.join(named, same, "left").drop("of_doc", "of_text")
 
 
-def find(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (sorted as strings) for every row of ``docs``.
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
 
-    A word is hit if it stands in a window of an item. Null texts have no words, and items without
-    words or without item_id hit nothing. Equal rows get equal results; rows of one doc_id with
-    different texts are told apart by their text. Rarity counts all documents. Other columns are not
-    read.
+
+def _union(parts: list[DataFrame], spark: SparkSession, schema: str) -> DataFrame:
+    whole = spark.range(0).select(*(F.lit(None).cast(t).alias(n) for n, t in (c.split() for c in schema.split(", "))))
+    for part in parts:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def hits(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, text_key, start, n, window_id: where documents hold windows, stored.
+
+    ``known`` are distinct windows with their window_id. Rarity counts all documents.
     """
     spark = docs.sparkSession
-    known = windows(items.filter("item_id is not null"), size)
-    known = materialise(known.withColumn("window_id", F.xxhash64("window", "n")), "windows")
     shingles = materialise(_shingles(known.dropDuplicates(["window_id"])), "shingles")
     keys = shingles.select("key").distinct()
     small: Callable = F.broadcast if shingles.count() <= BROADCAST_SHINGLES else (lambda df: df)
     sizes = [row[0] for row in shingles.select("size").distinct().orderBy("size").collect()]  # 1 to SHINGLE
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-
-    def union(parts: list[DataFrame], schema: str) -> DataFrame:
-        whole = spark.createDataFrame([], schema) if not parts else parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
-        return whole
-
-    counted = union(
+    rows = _keyed(docs)
+    counted = _union(
         [_places(rows, k).join(small(keys), "key").groupBy("key").agg(F.count("*").alias("times")) for k in sizes],
-        "key bigint, times bigint",
+        spark, "key bigint, times bigint",
     )
-    # a window one of whose shingles occurs nowhere drops out here, by the inner join on the rarest
+    times = F.coalesce("times", F.lit(0))
     rarest = (
         shingles.join(small(counted), "key", "left")
         .groupBy("window_id")
         .agg(
-            F.min_by(
-                F.struct("key", "offset", "n", "window", "size"),
-                F.struct(F.coalesce("times", F.lit(0)), "key", "offset"),
-            ).alias("p"),
-            F.min(F.coalesce("times", F.lit(0))).alias("least"),
+            F.min_by(F.struct("key", "offset", "n", "window", "size"), F.struct(times, "key", "offset")).alias("p"),
+            F.min(times).alias("least"),
         )
-        .filter("least > 0")
+        .filter("least > 0")  # else one of its shingles occurs nowhere, and neither does the window
     )
     prefixes = materialise(
         rarest.select("window_id", "p.*").groupBy("key", "size").agg(
@@ -132,13 +124,25 @@ def find(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
             "doc_id", "text_key", start.alias("start"), F.col("p.n").alias("n"), F.col("p.window_id").alias("window_id")
         )
 
-    hits = materialise(
-        union(
-            [verified(k) for k in sizes],
-            "doc_id bigint, text_key bigint, start int, n int, window_id bigint",
-        ),
-        "hits",
-    )
+    schema = "doc_id bigint, text_key bigint, start int, n int, window_id bigint"
+    return materialise(_union([verified(k) for k in sizes], spark, schema), "hits")
+
+
+def _known(items: DataFrame, size: int) -> DataFrame:
+    known = windows(items.filter("item_id is not null"), size)
+    return materialise(known.withColumn("window_id", F.xxhash64("window", "n")), "windows")
+
+
+def find(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items (sorted as strings) for every row of ``docs``.
+
+    A word is hit if it stands in a window of an item. Null texts have no words, and items without
+    words or without item_id hit nothing. Equal rows get equal results; rows of one doc_id with
+    different texts are told apart by their text. Empty tables of either kind are fine: without items
+    nothing is hit. Other columns are not read.
+    """
+    known = _known(items, size)
+    places = hits(docs, known)
     covered = F.aggregate(
         F.sort_array(F.collect_set(F.struct("start", "n"))),
         F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).alias("reach")),
@@ -149,18 +153,29 @@ def find(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
         ),
         lambda had: had["hit"],
     )
-    per_doc = hits.groupBy("doc_id", "text_key").agg(covered.alias("n_hit"))
+    per_doc = places.groupBy("doc_id", "text_key").agg(covered.alias("n_hit"))
     found = (
-        hits.select("doc_id", "text_key", "window_id")
+        places.select("doc_id", "text_key", "window_id")
         .distinct()
         .join(known.select("window_id", F.col("item_id").cast("string").alias("item")), "window_id")
         .groupBy("doc_id", "text_key")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
-    base = rows.select("doc_id", "text_key", word_count(F.col("text")).alias("n_words"))
-    joined = _left(_left(base, per_doc), found)
+    base = _keyed(docs).select("doc_id", "text_key", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
     items_found = F.coalesce("items", F.array().cast("array<string>"))
-    return joined.select(
+    return _left(_left(base, per_doc), found).select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(items_found).cast("long").alias("n_items"), items_found.alias("items"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that hold no window of an item."""
+    found = hits(docs, _known(items, size)).select(
+        F.col("doc_id").isNull().alias("missing"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key"
+    )
+    rows = packed(
+        docs,
+        missing=docs["doc_id"].isNull(), id=F.coalesce(docs["doc_id"], F.lit(0)), text_key=F.xxhash64(docs["text"]),
+    )
+    return unpacked(rows.join(found.distinct(), ["missing", "id", "text_key"], "left_anti"), docs)
