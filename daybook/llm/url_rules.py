@@ -28,6 +28,8 @@ RULES = [
 ]
 DEFAULT = "allow"
 LEAST_IN_CELL = 64
+#: Up to so many rules, what is known of their hosts is broadcast (some 100 bytes a rule).
+BROADCAST_RULES = 100_000
 START, URL = 0, 1
 
 
@@ -101,14 +103,16 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
         .agg(F.count("*").alias("copies"))
     )
     marks = boundaries(rules)
+    few = rules.count() <= BROADCAST_RULES  # else a shuffled join, whose hot partitions Spark splits
+    sized = F.broadcast if few else lambda df: df
     keyed = urls.select("*", F.explode(host_prefixes(F.col("host"))).alias("key"))
-    fitting = keyed.join(marks.select("key").distinct(), "key", "left_semi")
+    fitting = keyed.join(sized(marks.select("key").distinct()), "key", "left_semi")
     per_host = fitting.groupBy("key").agg(F.count("*").alias("urls"))
     cells = per_host.join(marks.groupBy("key").agg(F.count("*").alias("marks")), "key").select(
         "key",
         F.ceil(F.col("urls") / F.greatest(F.sqrt("urls"), F.col("marks"), F.lit(LEAST_IN_CELL))).alias("cells"),
     )
-    dealt = fitting.join(cells, "key").select(
+    dealt = fitting.join(sized(cells), "key").select(
         "key", F.pmod(F.xxhash64("page_id", "host", "path"), F.col("cells")).alias("cell"),
         F.encode("path", "utf-8").alias("at"), F.lit(URL).alias("kind"),
         F.lit(None).cast("struct<length:int,rule:string,verdict:string>").alias("top"),
