@@ -94,12 +94,13 @@ def _spanning(prints: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
     """Links that tie the distinct prints of one bucket as all pairs within the radius would."""
     left = prints
     while len(left) > 1:
-        seed, left, reached = left[0], left[1:], [left[0]]
+        left, reached = left[1:], [left[0]]
         while reached and len(left):
-            near = np.bitwise_count(left ^ reached.pop()) <= radius
+            at = reached.pop()
+            near = np.bitwise_count(left ^ at) <= radius
             for found in left[near]:
                 reached.append(found)
-                yield seed, found
+                yield at, found
             left = left[~near]
 
 
@@ -185,9 +186,9 @@ def groups(docs: DataFrame, size: int = SHINGLE, radius: int = DISTANCE) -> Data
     """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``.
 
     Rows whose fingerprints are tied by steps of at most ``radius`` bits share a component, named by
-    its smallest doc_id; null only if all its rows lack a doc_id. Null and empty texts, and texts
-    without words, have fingerprint zero and are linked like any other. Equal texts share a fingerprint and are compared once, so a
-    group of copies costs one row. Columns other than doc_id and text are not read.
+    its smallest doc_id; null only if all its rows lack one. Null and empty texts, and texts without
+    words, have fingerprint zero and are linked like any other. Equal texts share a fingerprint and are compared
+    once, so a group of copies costs one row. Columns other than doc_id and text are not read.
     """
     rows, grouped = _grouped(docs, size, radius)
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
