@@ -1,0 +1,94 @@
+import random
+import re
+
+import pytest
+
+from daybook.llm import decontaminate
+from tests.llm import inputs
+
+ITEMS = "item_id bigint, text string"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words_of(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items, size=10):
+    runs = {}
+    for item, text in items:
+        words = words_of(text)
+        if item is not None and words:
+            n = min(size, len(words))
+            for k in range(len(words) - n + 1):
+                runs.setdefault(tuple(words[k : k + n]), set()).add(item)
+    sizes, out = {len(run) for run in runs}, []
+    for doc_id, text in docs:
+        words, hit, found = words_of(text), set(), set()
+        for n in sizes:
+            for k in range(len(words) - n + 1):
+                of = runs.get(tuple(words[k : k + n]))
+                if of:
+                    found |= of
+                    hit |= set(range(k, k + n))
+        out.append((doc_id, len(words), len(hit), len(found), sorted(map(str, found))))
+    return sorted(out, key=repr)
+
+
+def planted(seed):
+    pick = random.Random(seed)
+    items = [(k, inputs.prose(500 + k, pick.choice([1, 2, 3, 9, 10, 11, 25]))) for k in range(25)]
+    items += [(30, items[5][1]), (31, items[5][1] + " more"), (32, None), (33, ""), (34, " -- "), (None, "an")]
+    items += [(35, "an an an an an an an an an an an an"), (36, "Zq-Ünï 7up"), (2, items[1][1]), (2, items[1][1])]
+    docs = []
+    for n in range(50):
+        words = inputs.prose(n, pick.randint(0, 60)).split()
+        for _ in range(pick.randint(0, 3)):
+            text = pick.choice(items)[1] or ""
+            part = text.split()[pick.randint(0, 2) :]
+            at = pick.randint(0, len(words))
+            words[at:at] = [w.upper() if pick.random() < 0.3 else w for w in part]
+        docs.append((n // 2 if n % 7 else None, pick.choice([" ", ", ", "-", "\n"]).join(words)))
+    docs += [(90, "an " * 40), (91, "zq, ünï (7UP)"), (91, "zq, ünï (7UP)"), (92, None), (93, "")]
+    return docs, items
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_equals_brute_force(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
+    docs, items = planted(3)
+    df = inputs.documents(spark, [inputs.row(i, t) for i, t in docs])
+    found = decontaminate.find(df, spark.createDataFrame(items, ITEMS))
+    expected = brute(docs, items)
+    assert inputs.bag(found) == expected
+    assert any(r[3] > 1 for r in expected) and any(r[2] == 0 and r[1] > 10 for r in expected)
+
+
+def test_clean_rows_stay_as_they_are(spark):
+    docs, items = planted(4)
+    df = inputs.clashing(inputs.documents(spark, [inputs.row(i, t) for i, t in docs]), "row", "words", "text_key", "n")
+    kept = decontaminate.clean(df, spark.createDataFrame(items, ITEMS))
+    assert kept.columns == df.columns
+    spotless = sorted((i for i, _, hit, _, _ in brute(docs, items) if hit == 0), key=repr)
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == spotless and 0 < len(spotless) < len(docs)
+
+
+def test_edge_rows_and_empty_tables(spark, edge, empty):
+    items = [(1, inputs.prose(1, 30)), (2, "one")]
+    table = inputs.clashing(spark.createDataFrame(items, ITEMS), "window", "key", "words")
+    docs = [(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()]
+    assert inputs.bag(decontaminate.find(inputs.clashing(edge, "at", "window", "items"), table)) == brute(docs, items)
+    nothing = spark.createDataFrame([], ITEMS)
+    assert inputs.bag(decontaminate.find(edge, nothing)) == brute(docs, [])
+    assert decontaminate.clean(edge, nothing).count() == edge.count()
+    assert decontaminate.find(empty, table).collect() == decontaminate.find(empty, nothing).collect() == []
+
+
+def test_only_prefixes_are_joined(spark):
+    """A frequent shingle of a window is no candidate as long as the window has a rarer one."""
+    items = [(1, "co " * 9 + "rare")]
+    docs = inputs.documents(spark, [inputs.row(n, "co " * 50) for n in range(5)] + [inputs.row(9, "co " * 9 + "rare")])
+    known = decontaminate._known(spark.createDataFrame(items, ITEMS), 10)
+    hits = decontaminate.hits(docs, known)
+    assert [(r.doc_id, r.start, r.n) for r in hits.collect()] == [(9, 0, 10)]
