@@ -1,0 +1,129 @@
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from daybook.llm import blobs, lm_scoring, mixing
+from pyspark.sql import functions as F
+from tests.llm import inputs
+
+
+def plain_scores(rows, order, backoff=0.4, least=2):
+    texts = [(i, inputs.WORD.findall(t or "")) for i, t in rows]
+    counts = Counter(tuple(w[k : k + n]) for _, w in texts for n in range(1, order + 1) for k in range(len(w) - n + 1))
+    total = sum(len(w) for _, w in texts)
+    out = []
+    for doc_id, words in texts:
+        score, unseen = 0.0, 0
+        for k in range(len(words)):
+            n = min(order, k + 1)
+            while n > 1 and counts[tuple(words[k - n + 1 : k + 1])] < least:
+                score += math.log(backoff)
+                n -= 1
+            run = tuple(words[k - n + 1 : k + 1])
+            score += math.log(counts[run] / (counts[run[:-1]] if n > 1 else total))
+            unseen += n == 1 and k > 0
+        out.append((doc_id, len(words), unseen, score))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("order, small", [(1, False), (2, False), (2, True), (3, True)])
+def test_scores_equal_brute_force(spark, edge, monkeypatch, order, small):
+    if small:
+        monkeypatch.setattr(blobs, "PART_BYTES", 3000)
+        monkeypatch.setattr(lm_scoring, "BUCKET_BYTES", 20_000)
+    found = inputs.bag(
+        lm_scoring.score(inputs.clashing(edge, "part", "score"), order=order).select("doc_id", "n_words", "n_unseen", "score_units", "score")
+    )
+    expected = plain_scores([(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()], order)
+    key = lambda r: repr(r[:3])
+    assert [r[:3] for r in sorted(found, key=key)] == [r[:3] for r in sorted(expected, key=key)]
+    plain = defaultdict(list)
+    for r in expected:
+        plain[r[:3]].append(r[3])
+    for r in found:
+        assert min(abs(r[3] / 1e6 - s) for s in plain[r[:3]]) <= 1e-5 * max(1, r[1])
+        assert r[4] == (r[3] / r[1] / 1e6 if r[1] else 0.0)
+
+
+def test_counts_cover_all_documents(spark):
+    """A pair that is seen only across parts still counts as seen."""
+    rows = [inputs.row(n, f"left right only{n}") for n in range(2)]
+    found = lm_scoring.score(inputs.documents(spark, rows)).collect()
+    assert [r.n_unseen for r in found] == [1, 1]
+
+
+def test_scores_of_an_empty_table(empty):
+    assert lm_scoring.score(empty).collect() == []
+
+
+def plain_targets(sizes, weights=(5, 2, 1), most=3):
+    """Shares by weight; what is above a cap goes to the others, until none is above."""
+    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    target, open_, left = {}, set(order), sum(sizes.values())
+    while open_:
+        share = {s: left * weight[s] / sum(weight[o] for o in open_) for s in open_}
+        over = {s for s in open_ if share[s] > most * sizes[s]}
+        if not over:
+            return target | share
+        for s in over:
+            target[s] = most * sizes[s]
+            left -= target[s]
+        open_ -= over
+    return target
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_targets_equal_plain_resharing(spark, seed):
+    pick = random.Random(seed)
+    names = [*map(str, range(12)), "", "é", "\U0001F600", "z", None]
+    rows = []
+    for n, name in enumerate(names):
+        for k in range(pick.randint(1, 4)):
+            rows.append(inputs.row(100 * n + k, "w " * pick.choice([0, 1, 5, 40, 700]), name))
+    found = {r.source: r for r in mixing.source_rates(inputs.documents(spark, rows)).collect()}
+    sizes = Counter()
+    for r in rows:
+        sizes[r[3]] += len(r[1].split())
+    expected = plain_targets(dict(sizes))
+    assert set(found) == set(expected)
+    for source, target in expected.items():
+        assert found[source].source_size == sizes[source]
+        assert found[source].target == pytest.approx(target, rel=1e-9, abs=1e-9)
+    assert sum(r.target for r in found.values()) == pytest.approx(sum(sizes.values()))
+    assert all(r.target <= 3 * r.source_size for r in found.values())
+
+
+def test_mix_takes_what_is_planned(spark):
+    rows = [inputs.row(n, inputs.prose(n, 10 + n % 50), "abc"[n % 3] if n % 9 else None) for n in range(1500)]
+    docs = inputs.clashing(inputs.documents(spark, rows), "copies", "size", "rate", "row").repartition(3)
+    planned = mixing.plan_mix(docs.drop("copies", "size"))
+    by_id = {r.doc_id: r for r in planned.collect()}
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    again = Counter(r.doc_id for r in mixing.mix(docs.repartition(7)).collect())
+    assert Counter(r.doc_id for r in mixed.collect()) == again
+    assert again == Counter({i: r.copies for i, r in by_id.items() if r.copies})
+    for source in ("a", "b", "c", None):
+        own = [r for r in by_id.values() if r.source == source]
+        rate = own[0].target / own[0].source_size
+        assert {r.copies for r in own} <= {math.floor(rate), math.floor(rate) + 1}
+        assert sum(r.size * r.copies for r in own) == pytest.approx(own[0].target, rel=0.15)
+
+
+def test_mix_edge_rows(spark, edge, empty):
+    planned = mixing.plan_mix(inputs.clashing(edge, "source_size", "target", "coin", "rates"))
+    rows = planned.collect()
+    assert len(rows) == edge.count()
+    assert all(r.size == len(inputs.WORD.findall(r.text or "")) and 0 <= r.copies <= 3 for r in rows)
+    assert mixing.mix(empty).collect() == [] and mixing.mix(empty).columns == empty.columns
+    wordless = edge.filter("doc_id in (1, 2, 4)")
+    assert mixing.mix(wordless).collect() == []
+
+
+def test_coin_is_fair(spark):
+    tossed = spark.range(20000).select(mixing.coin(F.col("id"), F.lit("t")).alias("c"))
+    least, mean, most = tossed.agg(F.min("c"), F.avg("c"), F.max("c")).first()
+    assert 0 <= least < 0.01 and 0.49 < mean < 0.51 and 0.99 < most < 1
