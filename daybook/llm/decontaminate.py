@@ -21,7 +21,6 @@ WINDOW = 10
 SHINGLE = 3
 # Fixed value: what separates words after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Up to so many shingles of the benchmark are broadcast (some 40 bytes each).
 BROADCAST_SHINGLES = 1_000_000
 
@@ -161,7 +160,7 @@ def find(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
         .groupBy("doc_id", "text_key")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
-    base = _keyed(docs).select("doc_id", "text_key", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    base = _keyed(docs).select("doc_id", "text_key", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     items_found = F.coalesce("items", F.array().cast("array<string>"))
     return _left(_left(base, per_doc), found).select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
