@@ -51,6 +51,8 @@ def lasso(hessian: np.ndarray, target: np.ndarray, penalty: np.ndarray, start: n
         part = hessian[np.ix_(at, at)]
         solved = np.linalg.lstsq(part, (target - penalty * signs)[at], rcond=None)[0]
         beta[at] = _best_on_path(part, target[at], penalty[at], beta[at], solved)
+    else:
+        raise ArithmeticError("the search for the signs of the coefficients did not end")
     return beta
 
 
@@ -74,5 +76,5 @@ def fit(
             (np.sqrt(points**2 + 4 * prior * residual) - points) / (2 * prior), 1e-12
         )
         if abs(variance - previous) <= TOLERANCE * previous:
-            break
-    return beta
+            return beta
+    raise ArithmeticError(f"the spread of a fit did not settle within {ROUNDS} rounds")

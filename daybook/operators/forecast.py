@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.series import future_dates, with_fits
+from daybook.operators.series import future_dates, observed, with_fits
 
 DEFAULT_HORIZON = 1
 WEEK_HORIZON = 7
@@ -16,9 +16,12 @@ def _day(date: Column) -> Column:
 
 
 def fit_linear(series: DataFrame) -> DataFrame:
-    """Least-squares line per series from one aggregation; null slope for fewer than two days."""
+    """Least-squares line per series from one aggregation; null slope for fewer than two days.
+
+    Days without a date or a value do not count, in none of the sums.
+    """
     x, y = _day(F.col("date")), F.col("y")
-    return series.groupBy("series_key").agg(
+    return observed(series).groupBy("series_key").agg(
         F.regr_slope(y, x).alias("slope"),
         F.avg(x).alias("mean_day"),
         F.avg(y).alias("mean_y"),

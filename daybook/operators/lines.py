@@ -6,23 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import parse_order_time
-from daybook.functions.money import cents, fits_money, from_cents, holds_whole_cents
-from daybook.schemas import MONEY, ROW_ID, TOTAL
+from daybook.functions.money import cents, from_cents, holds_whole_cents
+from daybook.schemas import ROW_ID, TOTAL
 
 
 def explode_items(transactions: DataFrame) -> DataFrame:
     """One row per item; documents whose ``items`` is missing or empty give none.
 
-    ``batch_date`` falls back to the day of the order when documents carry none.
+    ``batch_date`` falls back to the day of the order where a document carries none. ``row_id`` is
+    made of the document and the place in it, so the lines of one order can be told apart.
     """
     moment = parse_order_time(F.col("timestamp"))
-    batch_date = F.col("batch_date") if "batch_date" in transactions.columns else F.to_date(moment)
+    day = F.to_date(moment)
+    if "batch_date" in transactions.columns:
+        day = F.coalesce("batch_date", day)
     items = transactions.select(
-        batch_date.alias("batch_date"),
+        day.alias("batch_date"),
         F.col("transaction_id").alias("order_id"),
         "customer_id",
         moment.alias("order_datetime"),
-        F.explode("items").alias("item"),
+        F.xxhash64("transaction_id", "customer_id", "timestamp", day).alias("document"),
+        F.posexplode("items").alias("place", "item"),
     )
     return items.select(
         "batch_date",
@@ -32,6 +36,7 @@ def explode_items(transactions: DataFrame) -> DataFrame:
         F.col("item.product_id").alias("product_id"),
         F.col("item.product_name").alias("product_name"),
         F.col("item.qty").alias("quantity"),
+        F.xxhash64("document", "place").alias(ROW_ID),
     )
 
 
@@ -56,12 +61,13 @@ def with_catalogue(lines: DataFrame, products: DataFrame, *extra: Column) -> Dat
     return lines.join(catalogue, "product_id", "left")
 
 
-def validate_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+def validate_lines(lines: DataFrame, products: DataFrame, all_lines: bool = False) -> DataFrame:
     """Lines with ``final_quantity``, ``line_cents`` and ``profit_cents``, for all days at once.
 
     A line whose quantity exceeds the product's stock, or whose product is unknown, keeps its row
     with null quantity and amounts. Each line is checked against the full stock on its own. Amounts
-    are rounded per line; a line total beyond decimal(10,2) is null.
+    are rounded per line and kept whole; one beyond a long number of cents raises. Lines that ask
+    for no quantity are left out, or kept like cancelled ones with ``all_lines``.
     """
     price, cost = F.col("sales_price"), F.col("cost_to_make")
     kinds = [products.schema[name].dataType for name in ("sales_price", "cost_to_make")]
@@ -73,14 +79,14 @@ def validate_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
     def amount(per_unit: str) -> Column:
         quantity = F.col("final_quantity")
         if exact:
-            return F.try_multiply(quantity.cast("bigint"), F.col(per_unit))
-        return cents(F.round(quantity * F.col(per_unit), 2).try_cast(TOTAL))
+            return quantity.cast("bigint") * F.col(per_unit)
+        return cents(F.round(quantity * F.col(per_unit), 2).cast(TOTAL))
 
     quantity = F.col("quantity")
     return (
-        with_catalogue(requested(lines), products, unit.alias("per_unit"), margin.alias("margin"))
+        with_catalogue(lines if all_lines else requested(lines), products, unit.alias("per_unit"), margin.alias("margin"))
         .withColumn("final_quantity", F.when(quantity <= F.col("stock"), quantity))
-        .withColumns({"line_cents": fits_money(amount("per_unit")), "profit_cents": amount("margin")})
+        .withColumns({"line_cents": amount("per_unit"), "profit_cents": amount("margin")})
         .drop("per_unit", "margin")
     )
 
@@ -89,7 +95,7 @@ def with_amounts(validated: DataFrame) -> DataFrame:
     """Adds ``line_total`` and ``profit`` as decimals."""
     return validated.withColumns(
         {
-            "line_total": from_cents(F.col("line_cents"), MONEY),
+            "line_total": from_cents(F.col("line_cents")),
             "profit": from_cents(F.col("profit_cents")),
         }
     )

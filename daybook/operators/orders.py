@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,13 @@ ORDER_KEY = ["batch_date", "order_id"]
 HEADER = [*ORDER_KEY, "customer_id", "order_datetime"]
 
 
+def _of_orders(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows whose order is among the chosen ones; a missing day or id is a value like any other."""
+    keys = chosen.select(*(F.col(name).alias(f"chosen_{name}") for name in ORDER_KEY))
+    same = [F.col(name).eqNullSafe(F.col(f"chosen_{name}")) for name in ORDER_KEY]
+    return rows.join(keys, functools.reduce(Column.__and__, same), "left_semi")
+
+
 def _units_and_amounts() -> list[Column]:
     """Units over all lines, amounts in cents over the positive ones."""
     fulfilled = F.col("final_quantity") > 0
@@ -26,26 +35,30 @@ def _units_and_amounts() -> list[Column]:
     ]
 
 
+def _date() -> Column:
+    return F.coalesce(F.to_date(F.min("order_datetime")), F.first("batch_date")).alias("date")
+
+
 def order_totals(validated: DataFrame) -> DataFrame:
-    """One row per order of a day, with units, amounts and the date of the order.
+    """One row per order of a day, with units, amounts and the date of the order, which is the day
+    of the batch where no time of the order can be read.
 
     Partial sums run before the shuffle, so an order with very many lines travels as one row per
     map task.
     """
-    date = F.to_date(F.min("order_datetime")).alias("date")
-    return validated.groupBy(*ORDER_KEY).agg(*_units_and_amounts(), date)
+    return validated.groupBy(*ORDER_KEY).agg(*_units_and_amounts(), _date())
 
 
 def order_headers(validated: DataFrame) -> DataFrame:
-    """Distinct order headers with units and amounts: all that orders, trading days and summary
-    need of the lines, so that a run over many results reads the lines once for the three."""
-    return validated.groupBy(*HEADER).agg(*_units_and_amounts())
+    """Distinct order headers with units, amounts and number of lines: all that orders, trading days
+    and summary need of the lines, so that a run over many results reads the lines once."""
+    return validated.groupBy(*HEADER).agg(*_units_and_amounts(), F.count("*").alias("lines"), F.count_if(F.col("final_quantity").isNull()).alias("cancelled"))
 
 
 def header_totals(headers: DataFrame) -> DataFrame:
     """The same as :func:`order_totals`, from the headers."""
     sums = [F.sum(name).alias(name) for name in ("units", "sales", "profit")]
-    return headers.groupBy(*ORDER_KEY).agg(*sums, F.to_date(F.min("order_datetime")).alias("date"))
+    return headers.groupBy(*ORDER_KEY).agg(*sums, _date())
 
 
 def valid(totals: DataFrame) -> DataFrame:
@@ -57,25 +70,26 @@ def valid_orders(validated: DataFrame) -> DataFrame:
     return valid(order_totals(validated)).select(*ORDER_KEY, "units")
 
 
-def cancelled_orders(validated: DataFrame) -> DataFrame:
-    """Orders of which nothing is left: quantities sum to zero, cancelled lines counting as zero."""
+def cancelled_orders(all_lines: DataFrame) -> DataFrame:
+    """Orders of which nothing is left: quantities sum to zero, cancelled lines and lines without
+    quantity counting as zero. Takes lines validated with ``all_lines``."""
     units = F.sum(F.coalesce(F.col("final_quantity"), F.lit(0)))
-    return validated.groupBy(*ORDER_KEY).agg(units.alias("units")).filter(F.col("units") == 0)
+    return all_lines.groupBy(*ORDER_KEY).agg(units.alias("units")).filter(F.col("units") == 0)
 
 
 def lines_of_valid_orders(validated: DataFrame) -> DataFrame:
-    return validated.join(valid_orders(validated), ORDER_KEY, "left_semi")
+    return _of_orders(validated, valid_orders(validated))
 
 
 def orders_of(validated: DataFrame) -> DataFrame:
     """Distinct headers of the valid orders."""
     headers = validated.select(*HEADER).distinct()
-    return headers.join(valid_orders(validated), ORDER_KEY, "left_semi")
+    return _of_orders(headers, valid_orders(validated))
 
 
 def orders_of_headers(headers: DataFrame) -> DataFrame:
     """The same as :func:`orders_of`, from the headers."""
-    return headers.select(*HEADER).join(valid(header_totals(headers)), ORDER_KEY, "left_semi")
+    return _of_orders(headers.select(*HEADER), valid(header_totals(headers)))
 
 
 def trading_days(valid_orders: DataFrame) -> DataFrame:
@@ -90,12 +104,14 @@ def items_of(validated: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """
     if days is None:
         days = trading_days(valid_orders(validated))
-    return validated.join(F.broadcast(days), "batch_date", "left_semi").select(
+    open_days = days.select(F.col("batch_date").alias("open_day"))
+    traded = F.col("batch_date").eqNullSafe(F.col("open_day"))
+    return validated.join(F.broadcast(open_days), traded, "left_semi").select(
         *ORDER_KEY,
         "product_id",
         F.col("final_quantity").cast("int").alias("quantity"),
         F.col("unit_price").cast(MONEY).alias("unit_price"),
-        from_cents(F.col("line_cents"), MONEY).alias("line_total"),
+        from_cents(F.col("line_cents")).alias("line_total"),
         *tie_break(validated),
     )
 

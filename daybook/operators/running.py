@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.session import materialise
@@ -26,9 +28,12 @@ def running_total(
     )
     sums = blocks.groupBy(*group, BLOCK).agg(F.sum(value).alias("block_sum"))
     earlier = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*group, BLOCK]
     offsets = sums.select(
-        *group, BLOCK, F.coalesce(F.sum("block_sum").over(earlier), F.lit(0)).alias(BEFORE)
+        *(F.col(name).alias(f"of_{name}") for name in keys),
+        F.coalesce(F.sum("block_sum").over(earlier), F.lit(0)).alias(BEFORE),
     )
+    same = [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in keys]  # a group may be null
     within = (
         Window.partitionBy(*group, BLOCK)
         .orderBy(*order)
@@ -36,7 +41,7 @@ def running_total(
     )
     return (
         blocks.withColumn(out, F.sum(value).over(within))
-        .join(offsets, [*group, BLOCK])
+        .join(offsets, functools.reduce(Column.__and__, same))
         .withColumn(out, F.col(out) + F.col(BEFORE))
-        .drop(BLOCK, BEFORE)
+        .drop(BLOCK, BEFORE, *(f"of_{name}" for name in keys))
     )

@@ -8,6 +8,8 @@ Spark spreads the series. Forecasts are plain column expressions over the fitted
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,7 +39,7 @@ def _waves(day: np.ndarray, period: float, order: int) -> np.ndarray:
     return np.hstack([np.sin(angle), np.cos(angle)])
 
 
-def _fit_one(rows: pd.DataFrame) -> pd.DataFrame:
+def _fit_one(rows: pd.DataFrame, chosen: Sequence[str] | None) -> pd.DataFrame:
     """Coefficients of one series from its days."""
     out = rows[["series_key", *BOUNDS]].head(1)
     span = int(out["span"].iloc[0])
@@ -46,7 +48,7 @@ def _fit_one(rows: pd.DataFrame) -> pd.DataFrame:
     seasons = {
         name: _waves(day, period, order)
         for name, (period, order, shortest) in SEASONS.items()
-        if span >= shortest
+        if (span >= shortest if chosen is None else name in chosen)
     }
     x = np.column_stack([np.ones(len(u)), u, np.maximum(u[:, None] - knots, 0.0), *seasons.values()])
     normal, laplace = trend_priors(len(knots))
@@ -62,12 +64,22 @@ def _fit_one(rows: pd.DataFrame) -> pd.DataFrame:
     return out.assign(level=level, slope=slope, **{name: [part] for name, part in parts.items()})
 
 
-def fit_seasonal(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
-    """One row per series with trend and seasons; no values for a series of fewer than two days."""
+def fit_seasonal(
+    series: DataFrame, max_knots: int = MAX_KNOTS, seasons: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per series with trend and seasons; no values for a series of fewer than two days.
+
+    ``seasons`` names the seasons to fit. Without it each series has those that the published model
+    fits by default: weekly from 14 days of history on, yearly from 730, so the model of a series
+    that grows changes on that day.
+    """
+    if unknown := set(seasons or ()) - set(SEASONS):
+        raise ValueError(f"unknown seasons: {sorted(unknown)}")
     days = scaled_days(series, max_knots).select(
         "series_key", *BOUNDS, "knots", "u", "v", F.unix_date("date").alias("day")
     )
-    return days.groupBy("series_key").applyInPandas(_fit_one, FIT_SCHEMA)
+    chosen = None if seasons is None else list(seasons)
+    return days.groupBy("series_key").applyInPandas(lambda rows: _fit_one(rows, chosen), FIT_SCHEMA)
 
 
 def _season_at(name: str, date: Column) -> Column:

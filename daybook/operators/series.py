@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.schemas import TOTAL
+from pyspark.sql import types as T
 
+VALUE_DIGITS, VALUE_SCALE = 28, 12
 SUMMARY_TARGETS = ["total_sales", "total_profit"]
 
 
@@ -20,11 +21,15 @@ def summary_series(summary: DataFrame) -> DataFrame:
     )
 
 
-def event_series(events: DataFrame, key: str, moment: str, value: str) -> DataFrame:
-    """Daily totals of ``value`` per key, summed as decimals so the order of rows cannot matter."""
+def event_series(events: DataFrame, key: str, moment: str, value: str, scale: int = VALUE_SCALE) -> DataFrame:
+    """Daily totals of ``value`` per key, summed as decimals so the order of rows cannot matter.
+
+    ``scale`` is the number of decimals that single values keep; values of more are rounded to it.
+    """
+    exact = F.col(value).cast(T.DecimalType(VALUE_DIGITS, scale))
     return (
         events.groupBy(F.col(key).alias("series_key"), F.to_date(moment).alias("date"))
-        .agg(F.sum(F.col(value).cast(TOTAL)).alias("amount"))
+        .agg(F.sum(exact).alias("amount"))
         .select("series_key", "date", F.col("amount").cast("double").alias("y"))
     )
 
@@ -51,10 +56,14 @@ def prepare_series(series: DataFrame) -> DataFrame:
 
 
 def future_dates(fits: DataFrame, horizon: int) -> DataFrame:
-    """``horizon`` rows per fitted series, one for each day after its last date."""
-    return fits.withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).withColumn(
-        "date", F.date_add("last_date", F.col("ahead"))
-    )
+    """``horizon`` rows per fitted series, one for each day after its last date; none below 1."""
+    ahead = F.explode(F.array(*(F.lit(n) for n in range(1, horizon + 1))).cast("array<int>"))
+    return fits.withColumn("ahead", ahead).withColumn("date", F.date_add("last_date", F.col("ahead")))
+
+
+def observed(series: DataFrame) -> DataFrame:
+    """The days that a fit can use: those with a date and a value."""
+    return series.filter(F.col("date").isNotNull() & F.col("y").isNotNull())
 
 
 def with_fits(series: DataFrame, fits: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.penalised import fit as fit_model
-from daybook.operators.series import future_dates, per_series, with_fits
+from daybook.operators.series import future_dates, observed, per_series, with_fits
 
 # Number of knots, share of the history they cover, and prior scales.
 MAX_KNOTS = 25
@@ -51,11 +51,11 @@ def _knots(span: Column, max_knots: int) -> Column:
 def scaled_days(series: DataFrame, max_knots: int = MAX_KNOTS) -> DataFrame:
     """The series with its bounds and knots on every day, and date and value scaled to at most 1.
 
-    Days without a value do not count.
+    Days without a date or a value do not count.
     """
     peak = per_series(F.max(F.abs("y")))
     return (
-        series.filter(F.col("y").isNotNull())
+        observed(series)
         .withColumns(
             {
                 "first_date": per_series(F.min("date")),

@@ -4,20 +4,57 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from daybook import schemas
+from daybook.functions.money import floor_at_zero, from_cents
 from daybook.operators import forecast, orders, seasonal
-from daybook.operators.inventory import update_inventory
 from daybook.operators.lines import explode_items, validate_lines
 from daybook.operators.series import summary_series
-from daybook.operators.summary import summarise
-from daybook.session import materialise
-from daybook.sinks.tables import write_batches, write_csv
-from daybook.sources.documents import between_days, read_batches
+from daybook.session import scratch_tables, tune
+from daybook.sinks.tables import read_months, replace_days, replace_days_in_months, write_csv
+from daybook.sources.documents import between_days, day_bounds, read_batches
 from daybook.sources.files import read_csv
 
-RESULTS = ["orders", "order_line_items", "daily_summary", "products_updated", "forecast"]
+BY_DAY = ["orders", "order_line_items", "summary_by_day", "units_by_day"]
+WHOLE = ["daily_summary", "products_updated", "forecast", "forecast_metrics"]
+
+
+def summary_by_day(headers: DataFrame) -> DataFrame:
+    """Orders, sales and profit in cents per day of a batch and date of the order, and the lines that
+    were cancelled that day."""
+    totals = orders.header_totals(headers)
+    sold = orders.valid(totals).groupBy("batch_date", "date").agg(
+        F.count("*").alias("num_orders"), F.sum("sales").alias("sales"), F.sum("profit").alias("profit")
+    )
+    lost = headers.groupBy("batch_date").agg(F.sum("cancelled").alias("cancelled"))
+    dateless = lost.select(
+        "batch_date", F.lit(None).cast("date").alias("date"), F.lit(0).cast("bigint").alias("num_orders"),
+        *(F.lit(None).cast("bigint").alias(name) for name in ("sales", "profit")), "cancelled",
+    )
+    return sold.withColumn("cancelled", F.lit(0).cast("bigint")).unionByName(dateless)
+
+
+def _summary(stored: DataFrame) -> DataFrame:
+    return (
+        stored.filter("num_orders > 0")
+        .groupBy("date")
+        .agg(
+            F.sum("num_orders").alias("num_orders"),
+            from_cents(F.sum("sales")).alias("total_sales"),
+            from_cents(F.sum("profit")).alias("total_profit"),
+        )
+        .orderBy("date")
+    )
+
+
+def _stock(products: DataFrame, stored: DataFrame, reload_daily: bool) -> DataFrame:
+    """Stock after all stored days; with ``reload_daily`` after the last one, from the full stock."""
+    if reload_daily:
+        stored = stored.join(F.broadcast(stored.agg(F.max("batch_date").alias("batch_date"))), "batch_date", "left_semi")
+    units = stored.groupBy("product_id").agg(F.sum("units").alias("units"))
+    left = floor_at_zero(F.col("stock") - F.coalesce("units", F.lit(0))).cast("bigint")
+    joined = products.join(units, "product_id", "left")
+    return joined.select("product_id", "product_name", left.alias("current_stock")).orderBy("product_id")
 
 
 def run_batches(
@@ -28,45 +65,60 @@ def run_batches(
     last: str,
     forecast_days: int = forecast.DEFAULT_HORIZON,
     fmt: str = "parquet",
+    reload_daily: bool = False,
+    shuffled_bytes: int | None = None,
 ) -> dict[str, DataFrame]:
     """Process the documents of an inclusive range of days and write every result under ``out``.
 
-    ``documents`` carries ``batch_date``. Catalogue, validated lines and order headers are each
-    computed once, into the shared folder, and the results are read off those tables; so all of
-    them see the same stock, and Spark knows the sizes also where the catalogue comes from a
-    database. Orders and items are stored by day as ``fmt``; running a range again replaces the
-    days that have valid orders. A range without any documents gives empty results.
+    Catalogue, validated lines and order headers are each computed once, into the shared folder, and
+    removed when the results are written; all results see the same stock, and Spark knows the sizes
+    also where the catalogue comes from a database. Orders and items are stored by day, and by month
+    the summary of every day and the units of each product on it. A run replaces all days of its range, also those that
+    have become empty. Summary, stock, forecast and its errors are derived from all stored days, so
+    running day by day ends with the same results as one run over all days.
+
+    ``reload_daily`` fills the stock up every day. ``shuffled_bytes``, the most a step shuffles,
+    sizes the shuffles. A range without any documents gives empty results. The results are the
+    tables by day, daily_summary, products_updated, forecast, forecast_metrics (mean absolute and
+    squared error of the fit per target) and cancelled_items, the cancelled lines of each day.
     """
-    spark = documents.sparkSession
-    paths = {name: f"{out.rstrip('/')}/{name}" for name in RESULTS}
+    spark = tune(documents.sparkSession, shuffled_bytes)
+    paths = {name: f"{out.rstrip('/')}/{name}" for name in BY_DAY + WHOLE}
+    bounds = day_bounds(first, last)
 
-    products = materialise(products, "catalogue")
-    fresh = explode_items(between_days(documents, first, last))
-    lines = materialise(validate_lines(fresh, products), "lines")
-    headers = materialise(orders.order_headers(lines), "headers")
-    totals = orders.header_totals(headers)
-    days = orders.trading_days(orders.valid(totals))
+    with scratch_tables(spark) as scratch:
+        products = scratch.store(products, "catalogue")
+        fresh = explode_items(between_days(documents, first, last))
+        lines = scratch.store(validate_lines(fresh, products), "lines")
+        headers = scratch.store(orders.order_headers(lines), "headers")
+        days = orders.trading_days(orders.valid(orders.header_totals(headers)))
+        units = lines.groupBy("batch_date", "product_id").agg(F.sum("final_quantity").alias("units"))
+        items = orders.items_of(lines, days).drop(schemas.ROW_ID)
 
-    found, items = orders.orders_of_headers(headers), orders.items_of(lines, days)
-    write_batches(found, paths["orders"], fmt, order=["order_id"])
-    write_batches(items, paths["order_line_items"], fmt, order=["order_id", "product_id"])
-    write_csv(summarise(totals), paths["daily_summary"], single_file=True)
-    write_csv(update_inventory(products, lines), paths["products_updated"])
+        replace_days(orders.orders_of_headers(headers), paths["orders"], *bounds, fmt, ["order_id"])
+        replace_days(items, paths["order_line_items"], *bounds, fmt, ["order_id", "product_id"])
+        replace_days_in_months(summary_by_day(headers), paths["summary_by_day"], *bounds, scratch)
+        replace_days_in_months(units, paths["units_by_day"], *bounds, scratch)
+
+        by_day = read_months(spark, paths["summary_by_day"], schemas.SUMMARY_BY_DAY)
+        sold = read_months(spark, paths["units_by_day"], schemas.UNITS_BY_DAY)
+        write_csv(_summary(by_day), paths["daily_summary"], single_file=True)
+        write_csv(_stock(products, sold, reload_daily), paths["products_updated"])
 
     summary = read_csv(spark, paths["daily_summary"], schemas.DAILY_SUMMARY)
-    fits = seasonal.fit_seasonal(summary_series(summary))
+    series = summary_series(summary)
+    fits = seasonal.fit_seasonal(series)
     predicted = forecast.sales_and_profit(seasonal.predict_seasonal(fits, forecast_days))
     write_csv(predicted, paths["forecast"], single_file=True)
-
-    def batches(name: str, schema: T.StructType) -> DataFrame:
-        """The days of this run, without files an earlier run left for a day that is now empty."""
-        stored = read_batches(spark, paths[name], schema, fmt)
-        return stored.join(F.broadcast(days), "batch_date", "left_semi")
+    errors = forecast.forecast_metrics(seasonal.fitted_seasonal(series, fits))
+    write_csv(errors, paths["forecast_metrics"], single_file=True)
 
     return {
-        "orders": batches("orders", schemas.ORDERS),
-        "order_line_items": batches("order_line_items", schemas.ORDER_LINE_ITEMS),
+        "orders": read_batches(spark, paths["orders"], schemas.ORDERS, fmt),
+        "order_line_items": read_batches(spark, paths["order_line_items"], schemas.ORDER_LINE_ITEMS, fmt),
         "daily_summary": summary,
         "products_updated": read_csv(spark, paths["products_updated"], schemas.STOCK_LEVELS),
         "forecast": read_csv(spark, paths["forecast"], schemas.FORECAST),
+        "forecast_metrics": read_csv(spark, paths["forecast_metrics"], schemas.FORECAST_METRICS),
+        "cancelled_items": by_day.groupBy("batch_date").agg(F.sum("cancelled").alias("cancelled_items")),
     }

@@ -87,8 +87,10 @@ def lines(spark: SparkSession, sf_dir: str, row_ids: bool = False) -> DataFrame:
     return items.join(orders(spark, sf_dir), "order_id")
 
 
-def validated(spark: SparkSession, sf_dir: str, row_ids: bool = False) -> DataFrame:
-    return validate_lines(lines(spark, sf_dir, row_ids), products(spark, sf_dir))
+def validated(
+    spark: SparkSession, sf_dir: str, row_ids: bool = False, all_lines: bool = False
+) -> DataFrame:
+    return validate_lines(lines(spark, sf_dir, row_ids), products(spark, sf_dir), all_lines)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

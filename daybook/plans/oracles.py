@@ -36,7 +36,7 @@ WITH products AS (
   FROM lines l LEFT JOIN products p USING (product_id)
   WHERE quantity IS NOT NULL
 ), validated AS (
-  SELECT *, CAST(round(final_quantity * unit_price, 2) AS DECIMAL(10,2)) AS line_total,
+  SELECT *, CAST(round(final_quantity * unit_price, 2) AS DECIMAL(18,2)) AS line_total,
          CAST(round((unit_price - cost_to_make) * final_quantity, 2) AS DECIMAL(18,2)) AS profit
   FROM checked
 ), valid_orders AS (
@@ -68,7 +68,7 @@ WITH products AS (
   UNION ALL SELECT 'total_profit', date, CAST(total_profit AS DOUBLE) FROM summary
 ), event_series AS (
   SELECT event_type AS series_key, CAST(ts AS DATE) AS date,
-         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS y
+         fsum(value) AS y
   FROM events GROUP BY 1, 2
 )
 """
@@ -136,6 +136,13 @@ SELECT batch_date, order_id, product_id, quantity, final_quantity, line_total FR
 SELECT batch_date, CAST(count(*) AS BIGINT) AS n_items FROM found_items GROUP BY batch_date""",
     "union_batches": "SELECT * FROM found_orders",
     "batch_run": "SELECT * FROM found_items",
+    "src_flat_documents": "SELECT * FROM found_orders",
+    "batch_run_orders": "SELECT * FROM found_orders",
+    "batch_run_summary": "SELECT * FROM summary",
+    "batch_run_stock": """
+SELECT product_id, product_name,
+       CAST(greatest(stock - coalesce(total_ordered, 0), 0) AS BIGINT) AS current_stock
+FROM products LEFT JOIN ordered USING (product_id)""",
     "date_spine": SPINE,
     "empty_batch_schema": f"""
 SELECT date AS batch_date, coalesce(n_orders, 0) AS n_orders, coalesce(n_items, 0) AS n_items,
@@ -171,8 +178,9 @@ SELECT {LINE}, final_quantity FROM validated SEMI JOIN valid_orders USING (batch
     "profit_per_line": "SELECT order_id, product_id, final_quantity, profit FROM validated",
     "valid_orders_having": "SELECT * FROM valid_orders",
     "cancelled_orders": """
-SELECT batch_date, order_id, CAST(sum(coalesce(final_quantity, 0)) AS BIGINT) AS units
-FROM validated GROUP BY batch_date, order_id HAVING sum(coalesce(final_quantity, 0)) = 0""",
+SELECT batch_date, order_id, CAST(sum(CASE WHEN quantity <= stock THEN quantity ELSE 0 END) AS BIGINT) AS units
+FROM lines LEFT JOIN products USING (product_id)
+GROUP BY batch_date, order_id HAVING units = 0""",
     "cancelled_item_count": """
 SELECT CAST(count(*) FILTER (final_quantity IS NULL) AS BIGINT) AS cancelled_items FROM validated""",
     "orders_distinct": "SELECT * FROM found_orders",
@@ -203,6 +211,23 @@ USING (series_key)""",
 SELECT series_key, min(date) AS first_date, max(date) AS last_date,
        CAST(count(y) AS BIGINT) AS n_points, round(avg(y), 4) AS mean_y
 FROM summary_series GROUP BY series_key""",
+    "series_segments": """
+SELECT series_key, CAST(len(list_filter(knots, lambda k: k < t)) AS INTEGER) AS segment,
+       round(CAST(count(*) AS DOUBLE), 6) AS points, round(sum(u), 6) AS u, round(sum(u * u), 6) AS uu,
+       round(sum(v), 6) AS v, round(sum(u * v), 6) AS uv, round(sum(v * v), 6) AS vv
+FROM (
+  SELECT *, date_diff('day', first_date, date) AS t,
+         date_diff('day', first_date, date)::DOUBLE / greatest(span, 1) AS u, y / scale AS v,
+         list_transform(range(1, least(25, history - 1) + 1),
+                        lambda j: round_even(j * ((history - 1)::DOUBLE / least(25, history - 1)), 0)) AS knots
+  FROM (
+    SELECT *, CAST(floor((span + 1) * 0.8) AS BIGINT) AS history
+    FROM (
+      SELECT series_key, date, y, min(date) OVER s AS first_date,
+             date_diff('day', min(date) OVER s, max(date) OVER s) AS span,
+             CASE WHEN max(abs(y)) OVER s > 0 THEN max(abs(y)) OVER s ELSE 1 END AS scale
+      FROM summary_series WINDOW s AS (PARTITION BY series_key))))
+GROUP BY series_key, segment""",
     "forecast_dates": f"SELECT series_key, date FROM ({_predict('event_series', 7)})",
     "forecast_linear": _sales_and_profit(1),
     "forecast_horizon7": _sales_and_profit(7),

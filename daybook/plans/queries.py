@@ -12,7 +12,7 @@ from daybook.functions import dates
 from daybook.operators import forecast, inventory, lines, orders, seasonal, series, summary, trend
 from daybook.plans import driver_tables as given
 from daybook.plans.batch_run import run_batches
-from daybook.session import shared_dir
+from daybook.session import materialise, shared_dir
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources.documents import between_days, read_batches, read_documents
 from daybook.sources.files import read_csv, row_id
@@ -62,6 +62,16 @@ def src_json_documents(spark, sf_dir):
     )
 
 
+@query
+def src_flat_documents(spark, sf_dir):
+    """Documents stored without a day give the orders of the day that their time names."""
+    path = shared_dir(spark, "flat-documents")
+    given.transactions(spark, sf_dir).drop("batch_date").write.json(path)
+    documents = between_days(read_documents(spark, path), RANGES[0][0], RANGES[1][1])
+    validated = lines.validate_lines(lines.explode_items(documents), given.products(spark, sf_dir))
+    return orders.orders_of_headers(materialise(orders.order_headers(validated), "headers"))
+
+
 @query
 def src_dated_batches(spark, sf_dir):
     """Neighbouring ranges of days, read apart, add up to the whole table."""
@@ -86,11 +96,22 @@ def _day_counts(batches: DataFrame, name: str) -> DataFrame:
     return batches.groupBy("batch_date").agg(F.count("*").alias(name))
 
 
+def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order headers, stored: their orders and the totals that choose them read one small table."""
+    return materialise(orders.order_headers(given.validated(spark, sf_dir)), "headers")
+
+
+def _items(spark: SparkSession, sf_dir: str, row_ids: bool = False) -> DataFrame:
+    """Line items of the trading days; the lines are stored, since days and items both read them."""
+    validated = materialise(given.validated(spark, sf_dir, row_ids), "lines")
+    return orders.items_of(validated)
+
+
 @query
 def sink_partitioned_batches(spark, sf_dir):
     """Writes every day, then the days of one range once more; no day may count double."""
     path = shared_dir(spark, "items")
-    items = orders.items_of(given.validated(spark, sf_dir))
+    items = materialise(_items(spark, sf_dir), "items")
     write_batches(items, path)
     write_batches(between_days(items, *RANGES[1]), path)
     return _day_counts(read_batches(spark, path, schemas.ORDER_LINE_ITEMS), "n_items")
@@ -100,7 +121,7 @@ def sink_partitioned_batches(spark, sf_dir):
 def union_batches(spark, sf_dir):
     """Two runs over neighbouring ranges of days add up to one table of orders."""
     path = shared_dir(spark, "orders")
-    found = orders.orders_of(given.validated(spark, sf_dir))
+    found = materialise(orders.orders_of_headers(_headers(spark, sf_dir)), "orders")
     for days in RANGES:
         write_batches(between_days(found, *days), path)
     return read_batches(spark, path, schemas.ORDERS)
@@ -114,6 +135,30 @@ def batch_run(spark, sf_dir):
     return run_batches(documents, products, shared_dir(spark, "run"), *days)["order_line_items"]
 
 
+def _two_runs(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
+    """One result of the job after a run over each range of days."""
+    documents, products = given.transactions(spark, sf_dir), given.products(spark, sf_dir)
+    out = shared_dir(spark, "runs")
+    for days in RANGES:
+        found = run_batches(documents, products, out, *days)
+    return found[result]
+
+
+@query
+def batch_run_orders(spark, sf_dir):
+    return _two_runs(spark, sf_dir, "orders")
+
+
+@query
+def batch_run_summary(spark, sf_dir):
+    return _two_runs(spark, sf_dir, "daily_summary")
+
+
+@query
+def batch_run_stock(spark, sf_dir):
+    return _two_runs(spark, sf_dir, "products_updated")
+
+
 def _calendar(df: DataFrame) -> DataFrame:
     bounds = df.agg(F.min("batch_date").alias("first_day"), F.max("batch_date").alias("last_day"))
     return dates.date_spine(bounds, "first_day", "last_day")
@@ -127,21 +172,23 @@ def date_spine(spark, sf_dir):
 @query
 def empty_batch_schema(spark, sf_dir):
     """Orders and items of every calendar day, none where no order is valid, and their columns."""
-    validated = given.validated(spark, sf_dir)
-    found, items = orders.orders_of(validated), orders.items_of(validated)
+    headers = _headers(spark, sf_dir)
+    found = orders.orders_of_headers(headers)
+    n_items = headers.groupBy("batch_date").agg(F.sum("lines").alias("n_items"))
     counts = (
         _calendar(given.orders(spark, sf_dir))
         .withColumnRenamed("date", "batch_date")
         .join(_day_counts(found, "n_orders"), "batch_date", "left")
-        .join(_day_counts(items, "n_items"), "batch_date", "left")
+        .join(n_items, "batch_date", "left")
         .na.fill(0, ["n_orders", "n_items"])
+        .withColumn("n_items", F.when(F.col("n_orders") > 0, F.col("n_items")).otherwise(0))
     )
     return counts.select(
         "batch_date",
         "n_orders",
         "n_items",
         F.lit(",".join(found.columns)).alias("order_columns"),
-        F.lit(",".join(items.columns)).alias("item_columns"),
+        F.lit(",".join(schemas.ORDER_LINE_ITEMS.fieldNames())).alias("item_columns"),
     )
 
 
@@ -250,7 +297,7 @@ def valid_orders_having(spark, sf_dir):
 
 @query
 def cancelled_orders(spark, sf_dir):
-    return orders.cancelled_orders(given.validated(spark, sf_dir))
+    return orders.cancelled_orders(given.validated(spark, sf_dir, all_lines=True))
 
 
 @query
@@ -260,12 +307,12 @@ def cancelled_item_count(spark, sf_dir):
 
 @query
 def orders_distinct(spark, sf_dir):
-    return orders.orders_of(given.validated(spark, sf_dir))
+    return orders.orders_of_headers(_headers(spark, sf_dir))
 
 
 @query
 def order_line_items(spark, sf_dir):
-    return orders.items_of(given.validated(spark, sf_dir))
+    return _items(spark, sf_dir)
 
 
 @query
@@ -276,7 +323,7 @@ def orders_formatted(spark, sf_dir):
 
 @query
 def order_line_items_clean(spark, sf_dir):
-    items = orders.items_of(given.validated(spark, sf_dir, row_ids=True))
+    items = _items(spark, sf_dir, row_ids=True)
     return orders.sorted_items(items).drop(schemas.ROW_ID)
 
 
@@ -384,6 +431,13 @@ def forecast_metrics(spark, sf_dir):
     return rounded(forecast.forecast_metrics(fitted), 2, "mae", "mse")
 
 
+@query
+def series_segments(spark, sf_dir):
+    """The sums per series and segment between knots from which trends are fitted."""
+    sums = trend.segment_sums(trend.scaled_days(_summary_series(spark, sf_dir)))
+    return rounded(sums.select("series_key", "segment", *trend.MOMENTS), 6, *trend.MOMENTS)
+
+
 @query
 def forecast_piecewise(spark, sf_dir):
     fits = trend.fit_trend(_summary_series(spark, sf_dir))

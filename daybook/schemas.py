@@ -11,8 +11,16 @@ ROW_ID = "row_id"
 # Fixed value: how order timestamps are written as text.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
-# How CSV is written and read: header line, doubled quotes inside quoted fields.
-CSV_OPTIONS = {"header": "true", "escape": '"', "timestampNTZFormat": ISO_MICROS}
+# How CSV is written and read: header line, doubled quotes inside quoted fields, white space kept,
+# and a mark for null, so that an empty text comes back empty.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "timestampNTZFormat": ISO_MICROS,
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\\N",
+}
 
 
 def _struct(**columns: T.DataType) -> T.StructType:
@@ -61,7 +69,7 @@ ORDER_LINE_ITEMS = _struct(
     product_id=T.LongType(),
     quantity=T.IntegerType(),
     unit_price=MONEY,
-    line_total=MONEY,
+    line_total=TOTAL,
 )
 
 DAILY_SUMMARY = _struct(
@@ -75,3 +83,16 @@ STOCK_LEVELS = _struct(
 FORECAST = _struct(
     date=T.DateType(), forecasted_sales=T.DoubleType(), forecasted_profit=T.DoubleType()
 )
+
+FORECAST_METRICS = _struct(series_key=T.StringType(), mae=T.DoubleType(), mse=T.DoubleType())
+
+SUMMARY_BY_DAY = _struct(
+    batch_date=T.DateType(),
+    date=T.DateType(),
+    num_orders=T.LongType(),
+    sales=T.LongType(),
+    profit=T.LongType(),
+    cancelled=T.LongType(),
+)
+
+UNITS_BY_DAY = _struct(batch_date=T.DateType(), product_id=T.LongType(), units=T.LongType())

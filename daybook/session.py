@@ -6,6 +6,8 @@ import functools
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,7 +74,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = _local_scratch(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
@@ -84,3 +87,31 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system it is on; nothing happens if it is not there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+class Scratch:
+    """Stored tables of one run, removed when the run has written its results."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def store(self, df: DataFrame, purpose: str) -> DataFrame:
+        self.paths.append(shared_dir(self.spark, purpose))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Scratch]:
+    scratch = Scratch(spark)
+    try:
+        yield scratch
+    finally:
+        for path in scratch.paths:
+            remove(spark, path)

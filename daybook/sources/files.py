@@ -10,10 +10,11 @@ from daybook import schemas
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
 ) -> DataFrame:
-    """CSV with a header line that must match the schema; quoted fields may hold commas and doubled
-    quotes, and with ``multi_line`` line breaks, at the price of one task per file."""
+    """CSV with a header line that must match the schema; quoted fields may hold commas, doubled
+    quotes and line breaks. Without ``multi_line`` a large file is read by many tasks, but a line
+    break inside a field then splits the row."""
     reader = spark.read.schema(schema).options(**schemas.CSV_OPTIONS)
     return reader.option("enforceSchema", False).option("multiLine", multi_line).csv(path)
 

@@ -9,6 +9,7 @@ import pytest
 
 from daybook import schemas
 from daybook.operators import inventory, orders, summary
+from daybook.operators.lines import explode_items, validate_lines
 from tests.conftest import document, plain, product
 
 CENT = Decimal("0.01")
@@ -18,6 +19,14 @@ def _round(value):
     return value.quantize(CENT, ROUND_HALF_UP)
 
 
+def _order_days(documents):
+    return {(dt.date.fromisoformat(moment[:10]), o) for o, _, moment, items in documents if items}
+
+
+def frame_of(products, documents):
+    return products.sparkSession.createDataFrame(documents, schemas.TRANSACTIONS)
+
+
 @pytest.fixture(scope="module")
 def case(spark, validate):
     rng = random.Random(3)
@@ -63,6 +72,10 @@ def test_everything_against_plain_python(case):
     assert plain(orders.valid_orders(validated), "batch_date", "order_id") == sorted(valid)
     cancelled = sorted(key for key, total in units.items() if total == 0)
     assert plain(orders.cancelled_orders(validated), "batch_date", "order_id") == cancelled
+    everything = {key: units.get(key, 0) for key in _order_days(documents)}
+    every_line = validate_lines(explode_items(frame_of(products, documents)), products, all_lines=True)
+    gone = sorted(key for key, total in everything.items() if total == 0)
+    assert plain(orders.cancelled_orders(every_line), "batch_date", "order_id") == gone and len(gone) > len(cancelled)
 
     days = collections.defaultdict(lambda: [Decimal(0), Decimal(0)])
     for date, order_id, _, kept, price, cost in lines:

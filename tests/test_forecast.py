@@ -36,6 +36,13 @@ def ten_days(spark):
     return summary_series(spark.createDataFrame(rows, DAILY_SUMMARY))
 
 
+MODELS = [
+    (forecast.fit_linear, forecast.predict_linear),
+    (trend.fit_trend, trend.predict_trend),
+    (seasonal.fit_seasonal, seasonal.predict_seasonal),
+]
+
+
 def _only(df):
     (row,) = df.collect()
     return row["date"], (row["forecasted_sales"], row["forecasted_profit"])
@@ -84,11 +91,7 @@ def _daily(key, values, start="2020-01-01"):
 
 def test_series_of_one_day_gets_dates_without_values(spark):
     series = _frame(spark, _daily("one", [5.0]) + _daily("two", [5.0, 7.0]))
-    for fit, predict in (
-        (forecast.fit_linear, forecast.predict_linear),
-        (trend.fit_trend, trend.predict_trend),
-        (seasonal.fit_seasonal, seasonal.predict_seasonal),
-    ):
+    for fit, predict in MODELS:
         rows = {r["series_key"]: r for r in predict(fit(series), 1).collect()}
         assert rows["one"]["date"] == day("2020-01-02") and rows["one"]["yhat"] is None
         assert rows["two"]["yhat"] is not None
@@ -98,8 +101,55 @@ def test_days_without_a_value_do_not_count(spark):
     days = _daily("s", [10, 12, 14, 16, 18, 20])
     holes = [days[0], (*days[1][:2], None), *days[2:], ("s", day("2020-01-07"), None)]
     whole = [days[0], *days[2:]]
-    for fit, predict in ((trend.fit_trend, trend.predict_trend), (seasonal.fit_seasonal, seasonal.predict_seasonal)):
-        assert plain(predict(fit(_frame(spark, holes)), 2)) == plain(predict(fit(_frame(spark, whole)), 2))
+    for fit, predict in MODELS:
+        found, expected = (plain(predict(fit(_frame(spark, days)), 2)) for days in (holes, whole))
+        assert [row[:2] for row in found] == [row[:2] for row in expected]
+        assert [row[2] for row in found] == pytest.approx([row[2] for row in expected])
+
+
+def test_a_line_with_holes_is_fitted_exactly(spark):
+    days = [(key, date, None if n % 3 == 1 else y) for n, (key, date, y) in enumerate(_daily("s", [10.0 + n for n in range(9)]))]
+    series = _frame(spark, days)
+    fits = forecast.fit_linear(series)
+    fitted = {r["date"]: r["yhat"] for r in forecast.fitted_linear(series, fits).collect()}
+    assert [fitted[date] for _, date, _ in days] == pytest.approx([10.0 + n for n in range(9)])
+    (metrics,) = forecast.forecast_metrics(forecast.fitted_linear(series, fits)).collect()
+    assert metrics["mae"] == pytest.approx(0, abs=1e-9)
+
+
+def test_days_without_a_date_do_not_count(spark):
+    days = _daily("s", [10.0, 12.0, 14.0, 16.0, 18.0])
+    for fit, predict in MODELS:
+        found = plain(predict(fit(_frame(spark, [*days, ("s", None, 900.0), ("s", None, None)])), 2))
+        assert found == plain(predict(fit(_frame(spark, days)), 2))
+
+
+def test_no_horizon_gives_no_rows(spark):
+    series = _frame(spark, _daily("s", [10.0, 12.0, 14.0]))
+    for fit, predict in MODELS:
+        assert plain(predict(fit(series), 0)) == [] and len(plain(predict(fit(series), 1))) == 1
+
+
+def test_seasons_can_be_chosen(spark):
+    values = [50.0 + (20.0 if n % 7 == 3 else 0.0) for n in range(13)]
+    series = _frame(spark, _daily("s", values))
+    (without,) = seasonal.fit_seasonal(series).collect()
+    (weekly,) = seasonal.fit_seasonal(series, seasons=["weekly"]).collect()
+    assert without["weekly"] == [] and len(weekly["weekly"]) == 6 and weekly["yearly"] == []
+    (none,) = seasonal.fit_seasonal(_frame(spark, _daily("s", values * 3)), seasons=[]).collect()
+    assert none["weekly"] == []
+    with pytest.raises(ValueError):
+        seasonal.fit_seasonal(series, seasons=["monthly"])
+
+
+def test_an_unfinished_search_is_an_error(monkeypatch):
+    rng = np.random.default_rng(0)
+    x, y = rng.normal(size=(40, 4)), rng.normal(size=40)
+    arguments = (x.T @ x, x.T @ y, float(y @ y), 40, np.full(4, np.inf), np.full(4, 0.05))
+    assert np.isfinite(penalised.fit(*arguments)).all()
+    monkeypatch.setattr(penalised, "ROUNDS", 1)
+    with pytest.raises(ArithmeticError):
+        penalised.fit(*arguments)
 
 
 def test_flat_zero_series_stays_at_zero(spark):
@@ -176,6 +226,12 @@ def test_event_series_sums_decimals_per_day(spark):
     assert found == [("a", day("2024-01-01"), 0.3), ("b", day("2024-01-02"), 1.0)]
 
 
+def test_event_series_keeps_small_values(spark):
+    events = spark.range(1000).selectExpr("'a' as k", "timestamp_ntz'2024-01-01 00:00:00' as ts", "0.004d as v")
+    assert plain(event_series(events, "k", "ts", "v"), "y") == [(4.0,)]
+    assert plain(event_series(events, "k", "ts", "v", scale=2), "y") == [(0.0,)]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(0, 10_000), st.floats(0.01, 20.0))
 def test_lasso_against_all_sign_patterns(seed, strength):

@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from daybook import schemas
@@ -77,10 +78,43 @@ def test_prices_as_doubles_do_not_lose_a_cent(spark, validate):
     assert plain(found, "line_total", "profit") == [(D("0.29"), D("0.28")), (D("29.00"), D("28.00"))]
 
 
-def test_amount_that_does_not_fit_becomes_null(spark, validate):
-    row = (9, "x", "c", "s", "r", D("99999999.99"), D("0.00"), 100)
+def test_large_amounts_stay_whole(spark, validate):
+    row = (9, "x", "c", "s", "r", D("99999999.99"), D("0.01"), 1000)
     catalogue = spark.createDataFrame([row], schemas.PRODUCTS)
-    assert plain(validate(document(1, (9, 2)), catalogue=catalogue), "line_total") == [(None,)]
+    found = validate(document(1, (9, 5), (9, 1000)), catalogue=catalogue)
+    assert plain(found, "line_total") == [(D("499999999.95"),), (D("99999999990.00"),)]
+    row = plain(summary.daily_summary(found), "num_orders", "total_sales", "total_profit")
+    assert row == [(1, D("100499999989.95"), D("100499999979.90"))]
+
+
+def test_an_amount_beyond_all_cents_raises(spark, validate):
+    catalogue = spark.createDataFrame([(9, 10**17, 0, 1000)], "product_id long, sales_price long, cost_to_make long, stock int")
+    with pytest.raises(Exception, match="OVERFLOW|overflow"):
+        validate(document(1, (9, 1000)), catalogue=catalogue).collect()
+
+
+def test_orders_without_any_quantity_are_fully_cancelled(spark, products):
+    nested = [document(1, (1, None), (2, None)), document(2, (1, None), (3, 1)), document(3, (2, 9), (1, None))]
+    exploded = lines.explode_items(spark.createDataFrame(nested, schemas.TRANSACTIONS))
+    found = orders.cancelled_orders(lines.validate_lines(exploded, products, all_lines=True))
+    assert plain(found, "order_id", "units") == [(1, 0), (3, 0)]
+
+
+def test_orders_and_items_of_documents_without_a_day(spark, products):
+    """A day column that is null in some documents, and an order of no day at all."""
+    nested = [document(1, (1, 1)), document(2, (1, 1)), document(3, (1, 2), moment="never")]
+    documents = spark.createDataFrame(nested, schemas.TRANSACTIONS).withColumn(
+        "batch_date", F.when(F.col("transaction_id") == 2, F.lit("2024-02-09").cast("date"))
+    )
+    found = lines.validate_lines(lines.explode_items(documents), products)
+    days = [(None, 3), (day("2024-02-09"), 2), (day("2024-03-01"), 1)]
+    assert plain(orders.orders_of(found), "batch_date", "order_id") == days
+    assert plain(orders.orders_of_headers(orders.order_headers(found)), "batch_date", "order_id") == days
+    assert plain(orders.items_of(found), "batch_date", "order_id") == days
+    assert plain(orders.lines_of_valid_orders(found), "batch_date", "order_id") == days
+    for reload_daily in (False, True):
+        left = inventory.running_inventory(products, found, reload_daily=reload_daily)
+        assert plain(left, "order_id") == [(1,), (2,), (3,)]
 
 
 def test_missing_and_empty_items_give_no_lines(validate):

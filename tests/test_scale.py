@@ -163,3 +163,32 @@ def test_documents_stay_bounded_and_hold_every_line(spark):
     columns = ["batch_date", "order_id", "customer_id", "product_id", "quantity"]
     exploded = lines.explode_items(documents)
     assert plain(exploded, *columns) == plain(given.lines(spark, SMALL_DIR), *columns)
+
+
+@pytest.mark.parametrize("name", ["orders_distinct", "empty_batch_schema", "order_line_items", "order_line_items_clean"])
+@pytest.mark.parametrize("broadcast", ["64m", "-1"])
+def test_stored_headers_and_lines_are_read_instead_of_the_tables(spark, name, broadcast, capsys):
+    """What is left to run reads no lineitem: it was read once, when headers or lines were stored."""
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": broadcast}):
+        plan = final_plan(QUERIES[name](spark, SMALL_DIR), capsys)
+    assert "lineitem" not in plan and "l_orderkey" not in plan
+
+
+def test_exploded_lines_of_a_hot_order_have_identities(spark, capsys):
+    """A document with very many equal items is sorted and summed by many tasks."""
+    item = "named_struct('product_id', 1L, 'product_name', 'a', 'qty', 1)"
+    documents = spark.range(40).selectExpr(
+        "id as transaction_id", "1L as customer_id", "'2024-03-01T10:00:00.000000' as timestamp",
+        f"transform(sequence(1, if(id = 7, 4000, 50)), n -> {item}) as items",
+    )
+    exploded = lines.explode_items(documents)
+    assert exploded.select("row_id").distinct().count() == exploded.count() == 39 * 50 + 4000
+    rows = exploded.select("product_id", "batch_date", "order_id", "quantity", "row_id")
+    total = running.running_total(
+        rows.repartition(8), ["product_id"], ["batch_date", "order_id", "quantity", "row_id"], "quantity", "so_far"
+    )
+    hot = total.filter("order_id = 7")
+    assert hot.agg(F.max("so_far") - F.min("so_far")).first()[0] == 3999
+    shares = rows.repartitionByRange(8, "product_id", "batch_date", "order_id", "quantity", "row_id")
+    sizes = [r["count"] for r in shares.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.3 * sum(sizes)

@@ -11,7 +11,15 @@ from daybook.operators.lines import explode_items
 from daybook.session import materialise, shared_dir, tune
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources import files, jdbc
-from daybook.sources.documents import between_days, read_batches, read_collection, read_documents
+from daybook.sources.documents import (
+    between_days,
+    read_batches,
+    read_collection,
+    read_daily_collections,
+    read_documents,
+    readable,
+    unreadable,
+)
 from tests.conftest import day, plain
 
 
@@ -102,7 +110,72 @@ def test_collection_reader_passes_connector_options_and_schema():
     spark.read.format.assert_called_once_with("connector")
     reader = spark.read.format.return_value.options
     assert reader.call_args.kwargs == {"database": "d", "collection": "c_20240301"}
-    reader.return_value.schema.assert_called_once_with(schemas.TRANSACTIONS)
+    (schema,) = reader.return_value.schema.call_args.args
+    assert schema.fieldNames() == [*schemas.TRANSACTIONS.fieldNames(), "batch_date"]
+
+
+def test_a_collection_for_each_day(spark, tmp_path):
+    """Folders of JSON stand in for collections: one read a day, with the day of its name."""
+    for d in (1, 2, 3):
+        (tmp_path / f"orders_2024030{d}").mkdir()
+        text = {"transaction_id": d, "customer_id": 7, "timestamp": "unknown", "items": [{"product_id": 1, "qty": 2}]}
+        (tmp_path / f"orders_2024030{d}" / "part.json").write_text(json.dumps(text))
+    found = read_daily_collections(spark, "json", {}, "path", f"{tmp_path}/orders_", "20240302", "20240303")
+    assert plain(explode_items(found), "batch_date", "order_id") == [(day("2024-03-02"), 2), (day("2024-03-03"), 3)]
+    with pytest.raises(ValueError):
+        read_daily_collections(spark, "json", {}, "path", "x", "20240303", "20240302")
+
+
+def _flat(tmp_path, code, *texts):
+    (tmp_path / f"transactions_{code}.json").write_text("\n".join(texts))
+
+
+def _text(order, moment):
+    return json.dumps({"transaction_id": order, "customer_id": 1, "timestamp": moment, "items": [{"product_id": 1, "qty": 1}]})
+
+
+def test_daily_files_without_a_day_inside(spark, tmp_path):
+    _flat(tmp_path, "20240201", _text(1, "2024-02-01T10:00:00.000000"), _text(2, "unknown"))
+    _flat(tmp_path, "20240202", _text(3, "2024-02-02T10:00:00.000000"))
+    _flat(tmp_path, "20241399", _text(4, "2024-02-02T11:00:00.000000"))
+    named = read_documents(spark, str(tmp_path), day_in_name=True)
+    one, two = day("2024-02-01"), day("2024-02-02")
+    assert plain(explode_items(named), "batch_date", "order_id") == [(one, 1), (one, 2), (two, 3), (two, 4)]
+    flat = read_documents(spark, str(tmp_path))
+    assert plain(explode_items(flat), "batch_date", "order_id") == [(None, 2), (one, 1), (two, 3), (two, 4)]
+    for documents in (named, flat):
+        chosen = explode_items(between_days(documents, "20240202", "20240202"))
+        assert plain(chosen, "order_id") == [(3,), (4,)]
+
+
+def test_unreadable_documents_fail_or_are_kept(spark, tmp_path):
+    whole = _text(1, "2024-02-01T10:00:00.000000")
+    _flat(tmp_path, "20240201", whole, whole[:40])
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        read_documents(spark, str(tmp_path)).collect()
+    kept = read_documents(spark, str(tmp_path), keep_unreadable=True).cache()
+    assert plain(unreadable(kept)) == [(whole[:40],)]
+    assert plain(explode_items(readable(kept)), "order_id") == [(1,)]
+
+
+TEXTS = ["  padded  ", "", None, "two\nlines", 'a "quoted", comma', "\\N?", "tab\t", " ", "é\r\nü"]
+
+
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_csv_returns_the_text_that_was_written(spark, tmp_path, partitions):
+    rows = [(n, t, None, None, None, None) for n, t in enumerate(TEXTS)]
+    customers = spark.createDataFrame(rows, schemas.CUSTOMERS).repartition(partitions)
+    write_csv(customers, str(tmp_path / "customers"))
+    found = files.read_csv(spark, str(tmp_path / "customers"), schemas.CUSTOMERS)
+    assert plain(found, "customer_id", "first_name", "last_name") == [(n, t, None) for n, t in enumerate(TEXTS)]
+
+
+def test_csv_batches_return_the_text_that_was_written(spark, tmp_path):
+    rows = [(n, t, 5) for n, t in enumerate(TEXTS)]
+    named = spark.createDataFrame(rows, schemas.STOCK_LEVELS).selectExpr("date'2024-03-01' as batch_date", "*")
+    write_batches(named, str(tmp_path / "t"), "csv")
+    found = read_batches(spark, str(tmp_path / "t"), schemas.STOCK_LEVELS, "csv")
+    assert plain(found, "product_id", "product_name", "batch_date") == [(n, t, day("2024-03-01")) for n, t, _ in rows]
 
 
 def test_date_filter_prunes_partitions(spark, tmp_path, capsys):
