@@ -2,11 +2,41 @@
 
 from __future__ import annotations
 
-from daybook.llm import decontaminate, lm_scoring, mixing, url_rules
+from daybook.llm import decontaminate, lm_scoring, mixing, suffix_dedup, url_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_LENGTH = suffix_dedup.LENGTH
+
+REPEATS = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, coalesce(doc_id, 9223372036854775807) AS rank,
+         hex(encode(coalesce(text, ''))) AS h
+  FROM documents),
+places AS (
+  SELECT n, rank, s, substr(h, 2 * s - 1, 2 * {_LENGTH}) AS run
+  FROM (SELECT n, rank, h, unnest(range(1, len(h) // 2 - {_LENGTH} + 2)) AS s FROM docs)),
+least AS (SELECT run, min(rank) AS first FROM places GROUP BY run HAVING min(rank) < max(rank)),
+hit AS (SELECT n, s FROM places JOIN least USING (run) WHERE first < rank),
+opened AS (
+  SELECT n, s, s > coalesce(lag(s) OVER (PARTITION BY n ORDER BY s) + {_LENGTH}, 0) AS opens FROM hit),
+numbered AS (SELECT n, s, sum(opens::INTEGER) OVER (PARTITION BY n ORDER BY s) AS span FROM opened),
+spans AS (
+  SELECT n, span, min(s) AS a, max(s) + {_LENGTH} - 1 AS b FROM numbered GROUP BY n, span),
+between_spans AS (
+  SELECT n, h, a, b, coalesce(lag(b) OVER (PARTITION BY n ORDER BY a), 0) AS done
+  FROM spans JOIN docs USING (n)),
+cut AS (
+  SELECT n, count(*) AS n_spans, sum(b - a + 1)::BIGINT AS n_removed,
+         string_agg(substr(h, 2 * done + 1, 2 * (a - 1 - done)), '' ORDER BY a)
+           || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM between_spans GROUP BY n)
+SELECT doc_id, len(h)::BIGINT // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (n)
+"""
+
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_rules.RULES)
 
 URL_FILTERS = rf"""
@@ -121,6 +151,7 @@ FROM docs LEFT JOIN scored USING (n)
 """
 
 ORACLES = {
+    "op1_suffix_array_dedup": REPEATS,
     "op3_benchmark_decontamination": DECONTAMINATION,
     "op5_url_filters": URL_FILTERS,
     "op6_lm_scoring": LM_SCORING,
