@@ -83,8 +83,9 @@ def validate_lines(lines: DataFrame, products: DataFrame, all_lines: bool = Fals
         return cents(F.round(quantity * F.col(per_unit), 2).cast(TOTAL))
 
     quantity = F.col("quantity")
+    kept = lines if all_lines else requested(lines)
     return (
-        with_catalogue(lines if all_lines else requested(lines), products, unit.alias("per_unit"), margin.alias("margin"))
+        with_catalogue(kept, products, unit.alias("per_unit"), margin.alias("margin"))
         .withColumn("final_quantity", F.when(quantity <= F.col("stock"), quantity))
         .withColumns({"line_cents": amount("per_unit"), "profit_cents": amount("margin")})
         .drop("per_unit", "margin")

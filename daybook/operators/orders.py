@@ -52,7 +52,8 @@ def order_totals(validated: DataFrame) -> DataFrame:
 def order_headers(validated: DataFrame) -> DataFrame:
     """Distinct order headers with units, amounts and number of lines: all that orders, trading days
     and summary need of the lines, so that a run over many results reads the lines once."""
-    return validated.groupBy(*HEADER).agg(*_units_and_amounts(), F.count("*").alias("lines"), F.count_if(F.col("final_quantity").isNull()).alias("cancelled"))
+    cancelled = F.count_if(F.col("final_quantity").isNull()).alias("cancelled")
+    return validated.groupBy(*HEADER).agg(*_units_and_amounts(), F.count("*").alias("lines"), cancelled)
 
 
 def header_totals(headers: DataFrame) -> DataFrame:

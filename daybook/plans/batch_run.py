@@ -50,7 +50,8 @@ def _summary(stored: DataFrame) -> DataFrame:
 def _stock(products: DataFrame, stored: DataFrame, reload_daily: bool) -> DataFrame:
     """Stock after all stored days; with ``reload_daily`` after the last one, from the full stock."""
     if reload_daily:
-        stored = stored.join(F.broadcast(stored.agg(F.max("batch_date").alias("batch_date"))), "batch_date", "left_semi")
+        last = stored.agg(F.max("batch_date").alias("batch_date"))
+        stored = stored.join(F.broadcast(last), "batch_date", "left_semi")
     units = stored.groupBy("product_id").agg(F.sum("units").alias("units"))
     left = floor_at_zero(F.col("stock") - F.coalesce("units", F.lit(0))).cast("bigint")
     joined = products.join(units, "product_id", "left")

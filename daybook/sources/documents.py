@@ -43,8 +43,8 @@ def read_documents(
     """JSON documents under ``path`` (one per line; ``multi_line`` for one array per file).
 
     ``batch_date`` is the document's own or its folder's, else with ``day_in_name`` the day in the
-    name of its file, else null, and then the day of the order counts. A document that cannot be read fails the job, or with
-    ``keep_unreadable`` is a row of nulls whose text is in the column ``unreadable``.
+    name of its file, else null, and then the day of the order counts. A document that cannot be read
+    fails the job, or with ``keep_unreadable`` is a row of nulls with its text in ``unreadable``.
     """
     dated = _dated(schema)
     reader = spark.read.option("multiLine", multi_line)
