@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.blobs import by_bucket, dealt, pack, rows_table, texts_of, unpack
+from daybook.llm.blobs import by_bucket, dealt, pack, pack_sorted, rows_table, texts_of, unpack, unpack_sorted
 from daybook.llm.rows import parts_of, text_bytes
 from daybook.llm.words import ngram_hashes, word_hashes
 from daybook.session import materialise
@@ -24,6 +24,7 @@ ORDER, BACKOFF, LEAST_COUNT = 2, 0.4, 2
 #: Log scores are summed as whole millionths, so that sums do not depend on their order.
 UNIT = 1_000_000
 BUCKET_BYTES = 4 << 20  # of text whose n-grams a bucket counts
+PART_BYTES = 6 << 20  # of text whose n-grams are sent once
 
 _SENT = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("grams", pa.binary()), ("times", pa.binary())])
 _COUNTED = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary())])
@@ -57,7 +58,7 @@ def score(
     are read.
     """
     total = text_bytes(docs)
-    rows, _ = dealt(docs, total)
+    rows, _ = dealt(docs, total, PART_BYTES)
     buckets = parts_of(total, BUCKET_BYTES)
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
@@ -65,12 +66,12 @@ def score(
         grams, times = np.unique(hashes, return_counts=True)
         by, slices = by_bucket(grams, buckets)
         out = [
-            (b, key[0].as_py(), pack(grams[by[s]]), pack(times[by[s]].astype(np.uint32))) for b, s in slices
+            (b, key[0].as_py(), pack_sorted(grams[by[s]]), pack(times[by[s]].astype(np.uint32))) for b, s in slices
         ]
         return rows_table(out, _SENT)
 
     def count(table: pa.Table) -> pa.Table:
-        grams = [unpack(b.as_py(), np.uint64) for b in table.column("grams")]
+        grams = [unpack_sorted(b.as_py()) for b in table.column("grams")]
         times = [unpack(b.as_py(), np.uint32) for b in table.column("times")]
         _, which = np.unique(np.concatenate(grams), return_inverse=True)
         counts = np.bincount(which, weights=np.concatenate(times)).astype(np.int64)[which]

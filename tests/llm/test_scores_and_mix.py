@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from daybook.llm import blobs, lm_scoring, mixing
@@ -31,7 +32,7 @@ def plain_scores(rows, order, backoff=0.4, least=2):
 @pytest.mark.parametrize("order, small", [(1, False), (2, False), (2, True), (3, True)])
 def test_scores_equal_brute_force(spark, edge, monkeypatch, order, small):
     if small:
-        monkeypatch.setattr(blobs, "PART_BYTES", 3000)
+        monkeypatch.setattr(lm_scoring, "PART_BYTES", 3000)
         monkeypatch.setattr(lm_scoring, "BUCKET_BYTES", 20_000)
     found = inputs.bag(
         lm_scoring.score(inputs.clashing(edge, "part", "score"), order=order).select("doc_id", "n_words", "n_unseen", "score_units", "score")
@@ -127,3 +128,9 @@ def test_coin_is_fair(spark):
     tossed = spark.range(20000).select(mixing.coin(F.col("id"), F.lit("t")).alias("c"))
     least, mean, most = tossed.agg(F.min("c"), F.avg("c"), F.max("c")).first()
     assert 0 <= least < 0.01 and 0.49 < mean < 0.51 and 0.99 < most < 1
+
+
+def test_sorted_hashes_come_back():
+    values = np.unique(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
+    for part in (values, values[:1], values[:0], np.array([0, 1, 2**64 - 1], np.uint64)):
+        assert (blobs.unpack_sorted(blobs.pack_sorted(part)) == part).all()
