@@ -68,7 +68,7 @@ def share_of_good(labels: DataFrame) -> float:
     return (float(good or 0) + 1) / (all_rows + 2)
 
 
-def calibrated(values: np.ndarray, labels: np.ndarray, share: float, ridge: float = 1e-3) -> tuple[float, float]:
+def calibrated(values: np.ndarray, labels: np.ndarray, share: float, ridge: float = 1e-6) -> tuple[float, float]:
     """(slope, intercept) of a logistic curve through ``values``, rows weighted to ``share`` of label 1.
 
     With one label only, or no rows, the curve is flat at ``share``.
