@@ -21,8 +21,8 @@ WINDOW = 10
 SHINGLE = 3
 # Fixed value: what separates words after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Up to so many shingles of the benchmark are broadcast (some 40 bytes each).
-BROADCAST_SHINGLES = 1_000_000
+#: The benchmark's shingles are broadcast while they and their windows take no more bytes than this.
+BROADCAST_BYTES = 32 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -87,7 +87,9 @@ def hits(docs: DataFrame, known: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     shingles = materialise(_shingles(known.dropDuplicates(["window_id"])), "shingles")
     keys = shingles.select("key").distinct()
-    small: Callable = F.broadcast if shingles.count() <= BROADCAST_SHINGLES else (lambda df: df)
+    weight = F.sum(F.octet_length(F.array_join("window", " ")) + 64)
+    taken = shingles.agg(weight).first()[0] or 0
+    small: Callable = F.broadcast if taken <= BROADCAST_BYTES else (lambda df: df)
     sizes = [row[0] for row in shingles.select("size").distinct().orderBy("size").collect()]  # 1 to SHINGLE
     rows = _keyed(docs)
     counted = _union(

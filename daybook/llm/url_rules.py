@@ -28,8 +28,8 @@ RULES = [
 ]
 DEFAULT = "allow"
 LEAST_IN_CELL = 64
-#: Up to so many rules, what is known of their hosts is broadcast (some 100 bytes a rule).
-BROADCAST_RULES = 100_000
+#: What is known of the rules' hosts is broadcast while the rules take no more bytes than this.
+BROADCAST_BYTES = 32 << 20
 START, URL = 0, 1
 
 
@@ -103,7 +103,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
         .agg(F.count("*").alias("copies"))
     )
     marks = boundaries(rules)
-    few = rules.count() <= BROADCAST_RULES  # else a shuffled join, whose hot partitions Spark splits
+    taken = rules.agg(F.sum(F.octet_length(F.concat("host", "path")) + 64)).first()[0] or 0
+    few = taken <= BROADCAST_BYTES  # else a shuffled join, whose hot partitions Spark splits
     sized = F.broadcast if few else lambda df: df
     keyed = urls.select("*", F.explode(host_prefixes(F.col("host"))).alias("key"))
     fitting = keyed.join(sized(marks.select("key").distinct()), "key", "left_semi")

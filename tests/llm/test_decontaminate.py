@@ -56,7 +56,7 @@ def planted(seed):
 @pytest.mark.parametrize("few", [True, False])
 def test_equals_brute_force(spark, monkeypatch, few):
     if not few:
-        monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
     docs, items = planted(3)
     df = inputs.documents(spark, [inputs.row(i, t) for i, t in docs])
     found = decontaminate.find(df, spark.createDataFrame(items, ITEMS))

@@ -46,7 +46,7 @@ URLS = [
 @pytest.mark.parametrize("few", [True, False])
 def test_registered_rules_equal_brute_force(spark, monkeypatch, few):
     if not few:
-        monkeypatch.setattr(url_rules, "BROADCAST_RULES", 0)
+        monkeypatch.setattr(url_rules, "BROADCAST_BYTES", 0)
     urls = [(n, u) for n, u in enumerate(URLS)] + [(0, URLS[0]), (None, URLS[0]), (None, None), (0, URLS[1])]
     pages = spark.createDataFrame([(p, u, "<p>") for p, u in urls], PAGES)
     judged = url_rules.judge(inputs.clashing(pages, "key", "host", "rule"), url_rules.rules_table(spark, url_rules.RULES))
