@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import compression_quality, decontaminate, labelled, lm_scoring, mixing, quality_rules, secret_scan, sharding, simhash, suffix_dedup, url_rules
+from daybook.llm import (
+    compression_quality,
+    decontaminate,
+    labelled,
+    lm_scoring,
+    mixing,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+    suffix_dedup,
+    url_rules,
+)
 from daybook.llm.rows import table
 
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
@@ -87,7 +99,15 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_suffix_array_dedup, op2_quality_classifier, op3_benchmark_decontamination, op4_sharding, op5_url_filters, op6_lm_scoring,
-        op7_quality_rules, op8_simhash_near_dedup, op9_mixing, op10_secret_scans,
+        op1_suffix_array_dedup,
+        op2_quality_classifier,
+        op3_benchmark_decontamination,
+        op4_sharding,
+        op5_url_filters,
+        op6_lm_scoring,
+        op7_quality_rules,
+        op8_simhash_near_dedup,
+        op9_mixing,
+        op10_secret_scans,
     )
 }

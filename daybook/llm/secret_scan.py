@@ -27,7 +27,9 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 KINDS = ["assign", "access", "hex", "der", "pem", "ssh", "token"]
 RANK = {kind: n for n, kind in enumerate(KINDS)}
 
-TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{8,})(?![A-Za-z0-9_.-])")
+TOKEN = re.compile(
+    r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{8,})(?![A-Za-z0-9_.-])"
+)
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 RUN64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
 RUN16 = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")

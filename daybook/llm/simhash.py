@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.components import components
@@ -130,7 +130,8 @@ def _links(keyed: DataFrame, radius: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
         for batch in batches:
-            rows = [np.r_[h, batch.column(n).to_numpy(zero_copy_only=False)] for h, n in zip(held, ("table", "key", "fp"))]
+            fresh = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("table", "key", "fp")]
+            rows = [np.r_[h, f] for h, f in zip(held, fresh)]
             if not len(rows[0]):
                 continue
             last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])  # may go on in the next batch
@@ -145,31 +146,35 @@ def _links(keyed: DataFrame, radius: int) -> DataFrame:
     return ordered.mapInArrow(linked, "u bigint, v bigint")
 
 
+def _tables(masks: list[tuple[int, int]]) -> Column:
+    """Numbers and masks of tables as an array."""
+    one = [F.struct(F.lit(n).cast("long").alias("table"), F.lit(_signed(m)).alias("mask")) for n, m in masks]
+    return F.array(*one)
+
+
+def _keyed(prints: DataFrame, tables: Column) -> DataFrame:
+    """table, key, fp: every fingerprint in each of its tables."""
+    return prints.select("fp", F.explode(tables).alias("t")).select(
+        F.col("t.table").alias("table"), F.col("fp").bitwiseAND(F.col("t.mask")).alias("key"), "fp"
+    )
+
+
 def near_links(prints: DataFrame, radius: int = DISTANCE) -> DataFrame:
     """u, v: links that tie the distinct fingerprints ``fp`` as all pairs within ``radius`` bits would."""
     masks = covering_masks(list(range(BITS)), radius)
-    tables = F.array(*(F.struct(F.lit(n).cast("long").alias("table"), F.lit(_signed(m)).alias("mask")) for n, m in enumerate(masks)))
-    keyed = prints.select("fp", F.explode(tables).alias("t")).select(
-        F.col("t.table").alias("table"), F.col("fp").bitwiseAND(F.col("t.mask")).alias("key"), "fp"
-    )
+    keyed = _keyed(prints, _tables(list(enumerate(masks))))
     sizes = keyed.groupBy("table", "key").count()
     large = materialise(sizes.filter(F.col("count") > LARGE_BUCKET).select("table", "key"), "large")
     found = _links(keyed.join(large, ["table", "key"], "left_anti"), radius)
-    again = []
-    for n, mask in enumerate(masks):
+
+    finer, number = [], len(masks)
+    for mask in masks:
         free = [bit for bit in range(BITS) if not mask >> bit & 1]
-        for k, further in enumerate(covering_masks(free, radius)):
-            again.append((n, len(masks) + n * len(masks) + k, _signed(mask | further)))
-    finer = F.array(
-        *(
-            F.array(*(F.struct(F.lit(t).cast("long").alias("table"), F.lit(m).alias("mask")) for of, t, m in again if of == n))
-            for n in range(len(masks))
-        )
-    )
-    covered = keyed.join(large, ["table", "key"], "left_semi")
-    twice = covered.select("fp", F.explode(F.get(finer, F.col("table").cast("int"))).alias("t")).select(
-        F.col("t.table").alias("table"), F.col("fp").bitwiseAND(F.col("t.mask")).alias("key"), "fp"
-    )
+        further = [mask | more for more in covering_masks(free, radius)]
+        finer.append(_tables(list(enumerate(further, number))))
+        number += len(further)
+    crowded = keyed.join(large, ["table", "key"], "left_semi")
+    twice = _keyed(crowded, F.get(F.array(*finer), F.col("table").cast("int")))
     return found.unionByName(_links(twice, radius))
 
 
@@ -207,7 +212,8 @@ def representatives(docs: DataFrame, size: int = SHINGLE, radius: int = DISTANCE
     """
     rows, grouped = _grouped(docs, size, radius)
     missing, number = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))
-    first = rows.groupBy("fp").agg(F.min(F.struct(missing.alias("missing"), number.alias("id"), "text_key")).alias("first"))
+    order = F.struct(missing.alias("missing"), number.alias("id"), "text_key")
+    first = rows.groupBy("fp").agg(F.min(order).alias("first"))
     chosen = grouped.join(first, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     whole = packed(
         docs,
