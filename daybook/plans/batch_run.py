@@ -83,7 +83,9 @@ def run_batches(
     tables by day, daily_summary, products_updated, forecast, forecast_metrics (mean absolute and
     squared error of the fit per target) and cancelled_items, the cancelled lines of each day.
     """
-    spark = tune(documents.sparkSession, shuffled_bytes)
+    spark = documents.sparkSession
+    if shuffled_bytes is not None:
+        tune(spark, shuffled_bytes)
     paths = {name: f"{out.rstrip('/')}/{name}" for name in BY_DAY + WHOLE}
     bounds = day_bounds(first, last)
 

@@ -220,8 +220,10 @@ def test_scratch_folder_comes_from_the_session():
     cluster.conf.get.side_effect = lambda key, default=None: settings.get(key, default)
     assert shared_dir(cluster, "x").startswith("s3://shared/ckpt/x-")
     del settings["spark.checkpoint.dir"]
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(cluster, "x")
+    for master in ("yarn", "local-cluster[3,2,1024]"):
+        settings["spark.master"] = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(cluster, "x")
 
 
 def test_only_a_local_session_without_the_setting_gets_a_temporary_folder():
