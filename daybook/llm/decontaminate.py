@@ -21,8 +21,9 @@ WINDOW = 10
 SHINGLE = 3
 # Fixed value: what separates words after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The benchmark's shingles are broadcast while they and their windows take no more bytes than this.
-BROADCAST_BYTES = 32 << 20
+#: Broadcast are the benchmark's shingles while they and their windows take no more bytes than this, and
+#: likewise the keys of documents to drop, of so many bytes each.
+BROADCAST_BYTES, KEY_BYTES = 32 << 20, 64
 
 
 def words_of(text: Column) -> Column:
@@ -175,8 +176,10 @@ def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     found = hits(docs, _known(items, size)).select(
         F.col("doc_id").isNull().alias("missing"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key"
     )
+    found = materialise(found.distinct(), "contaminated")
+    small: Callable = F.broadcast if found.count() * KEY_BYTES <= BROADCAST_BYTES else (lambda df: df)
     rows = packed(
         docs,
         missing=docs["doc_id"].isNull(), id=F.coalesce(docs["doc_id"], F.lit(0)), text_key=F.xxhash64(docs["text"]),
     )
-    return unpacked(rows.join(found.distinct(), ["missing", "id", "text_key"], "left_anti"), docs)
+    return unpacked(rows.join(small(found), ["missing", "id", "text_key"], "left_anti"), docs)

@@ -65,7 +65,10 @@ def test_equals_brute_force(spark, monkeypatch, few):
     assert any(r[3] > 1 for r in expected) and any(r[2] == 0 and r[1] > 10 for r in expected)
 
 
-def test_clean_rows_stay_as_they_are(spark):
+@pytest.mark.parametrize("few", [True, False])
+def test_clean_rows_stay_as_they_are(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
     docs, items = planted(4)
     df = inputs.clashing(inputs.documents(spark, [inputs.row(i, t) for i, t in docs]), "row", "words", "text_key", "n")
     kept = decontaminate.clean(df, spark.createDataFrame(items, ITEMS))
