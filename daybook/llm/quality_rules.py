@@ -93,8 +93,10 @@ def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     """
     if len(set(y.tolist())) < 2:
         return np.zeros(x.shape[1]), 0.0
-    centre, spread = x.mean(axis=0), x.std(axis=0) + 1e-4
-    z = ((x - centre) / spread).astype(np.float32)
+    centre = x.mean(axis=0)
+    z = x - centre
+    spread = z.std(axis=0) + np.float32(1e-4)
+    z /= spread
     weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
     probe = np.ones(z.shape[1], np.float32) / np.sqrt(z.shape[1])
     for _ in range(20):  # power steps
@@ -118,10 +120,12 @@ def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 def train(docs: DataFrame, labels: DataFrame, **bounds) -> Model:
     """A model from a bounded sample of labelled rows: two thirds to train, the rest to calibrate."""
     rows = labelled.sample(docs, labels, **bounds)
-    x = np.array([features(r.raw) for r in rows], np.float32).reshape(-1, WIDTH)
+    x = np.empty((len(rows), WIDTH), np.float32)
+    for n, row in enumerate(rows):
+        x[n] = features(row.raw)
     y, later = np.array([r.label for r in rows]), np.array([r.calibrates for r in rows], bool)
     weights, bias = fit(x[~later], y[~later])
-    margins = x[later] @ weights + bias
+    margins = x[later].astype(float) @ weights + bias
     return Model(weights, bias, *labelled.calibrated(margins, y[later], labelled.share_of_good(labels)))
 
 
