@@ -31,6 +31,7 @@ LEAST_IN_CELL = 64
 #: What is known of the rules' hosts is broadcast while the rules take no more bytes than this.
 BROADCAST_BYTES = 32 << 20
 START, URL = 0, 1
+CHUNK = 10_000  # copies of one row that are laid out at once
 
 
 def rules_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -141,8 +142,13 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
         .groupBy("page_id", "host", "path")
         .agg(F.max("top").alias("top"), F.sum("copies").alias("copies"))
     )
-    return judged.select(
-        "page_id", "host", "path", F.col("top.rule").alias("rule"),
-        F.coalesce("top.verdict", F.lit(default)).alias("verdict"),
-        F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"),
-    ).drop("copy")
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / CHUNK))
+    left = F.least(F.col("copies") - F.col("chunk") * CHUNK, F.lit(CHUNK)).cast("int")
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    return (
+        judged.withColumn("rule", F.col("top.rule"))
+        .withColumn("verdict", F.coalesce("top.verdict", F.lit(default)))
+        .select(*columns, "copies", F.explode(chunks).alias("chunk"))
+        .select(*columns, F.explode(F.array_repeat(F.lit(0), left)).alias("copy"))
+        .drop("copy")
+    )

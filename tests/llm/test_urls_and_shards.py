@@ -75,6 +75,13 @@ def test_deeply_nested_rules(spark, monkeypatch):
     assert len({v for v in found.values()}) > 10
 
 
+def test_many_equal_rows_come_back(spark, monkeypatch):
+    monkeypatch.setattr(url_rules, "CHUNK", 7)
+    pages = spark.range(50).selectExpr("cast(null as bigint) page_id", "'http://a.net/es/' url", "'' html")
+    judged = url_rules.judge(pages, url_rules.rules_table(spark, url_rules.RULES)).collect()
+    assert len(judged) == 50 and set(judged) == {(None, "a.net", "/es/", "net/es/", "block")}
+
+
 def test_two_verdicts_for_one_rule_block(spark):
     rules = [("com", "/", "allow"), ("com", "/", "block"), ("COM", "/", "allow")]
     pages = spark.createDataFrame([(1, "http://com/", None)], PAGES)
