@@ -4,6 +4,9 @@ The n-grams of all documents are counted in tables partitioned by their hash, an
 n-grams look up their counts there and are summed per document. A part of the documents sends each
 n-gram once, with how often the part has it, and gets the count over all documents back, so a frequent
 n-gram costs one entry a part and not one a place.
+
+Words and pairs are counted first. Longer n-grams follow one length at a time, and only those are sent
+whose two shorter n-grams occur often enough: no other can.
 """
 
 from __future__ import annotations
@@ -28,16 +31,38 @@ PART_BYTES = 6 << 20  # of text whose n-grams are sent once
 
 _SENT = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("grams", pa.binary()), ("times", pa.binary())])
 _COUNTED = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary())])
+_SENT_SQL = "bucket int, part int, grams binary, times binary"
 _SCORED = pa.schema(
     [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_unseen", pa.int64()), ("units", pa.int64())]
 )
 
 
-def _grams(texts: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Words of every text, and the hashes of all n-grams up to ``order``, text by text and by n."""
-    words = [word_hashes(raw) for raw in texts]
-    hashes = [ngram_hashes(w, n) for w in words for n in range(1, order + 1)]
-    return words, np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+def _rounds(order: int) -> list[list[int]]:
+    """The lengths that are counted together, in turn."""
+    return [list(range(1, min(order, 2) + 1)), *([n] for n in range(3, order + 1))]
+
+
+def _grams(
+    words: list[np.ndarray], lengths: list[int], below: list[np.ndarray], least_count: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a round by n and text by text, and which of them can occur ``least_count`` times.
+
+    ``below`` are the counts of the n-grams one word shorter, text by text, where they are known.
+    """
+    hashes = [ngram_hashes(w, n) for n in lengths for w in words]
+    hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+    if not below or least_count <= 1:
+        return hashes, np.ones(len(hashes), bool)
+    return hashes, np.concatenate([(c[:-1] >= least_count) & (c[1:] >= least_count) for c in below])
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte of each place, since most are small."""
+    return pack(values.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
+
+
+def _numbers(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(unpack(blob, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
 
 
 def _units(values: np.ndarray) -> np.ndarray:
@@ -61,58 +86,86 @@ def score(
     rows, _ = dealt(docs, total, PART_BYTES)
     buckets = parts_of(total, BUCKET_BYTES)
 
-    def send(key: tuple, table: pa.Table) -> pa.Table:
-        _, hashes = _grams(texts_of(table), order)
+    rounds = _rounds(order)
+
+    def send(part: int, hashes: np.ndarray) -> pa.Table:
         grams, times = np.unique(hashes, return_counts=True)
         by, slices = by_bucket(grams, buckets)
-        out = [
-            (b, key[0].as_py(), pack_sorted(grams[by[s]]), pack(times[by[s]].astype(np.uint32))) for b, s in slices
-        ]
-        return rows_table(out, _SENT)
+        of = grams // np.uint64(buckets)  # the rest of the division is the bucket
+        return rows_table([(b, part, pack_sorted(of[by[s]]), _planes(times[by[s]])) for b, s in slices], _SENT)
 
     def count(table: pa.Table) -> pa.Table:
         grams = [unpack_sorted(b.as_py()) for b in table.column("grams")]
-        times = [unpack(b.as_py(), np.uint32) for b in table.column("times")]
+        times = [_numbers(b.as_py()) for b in table.column("times")]
         _, which = np.unique(np.concatenate(grams), return_inverse=True)
         counts = np.bincount(which, weights=np.concatenate(times)).astype(np.int64)[which]
         cuts = np.cumsum([len(g) for g in grams])[:-1]
         out = [
-            (part.as_py(), bucket.as_py(), pack(of))
+            (part.as_py(), bucket.as_py(), _planes(of))
             for part, bucket, of in zip(table.column("part"), table.column("bucket"), np.split(counts, cuts))
         ]
         return rows_table(out, _COUNTED)
 
+    def looked_up(words: list[np.ndarray], answers: pa.Table, turns: int) -> list[list[np.ndarray]]:
+        """The counts after so many rounds by n, text by text; 0 for n-grams that were not sent."""
+        got = {
+            (t.as_py(), b.as_py()): c.as_py()
+            for t, b, c in zip(answers.column("turn"), answers.column("bucket"), answers.column("counts"))
+        }
+        found: list[list[np.ndarray]] = []
+        for turn, lengths in enumerate(rounds[:turns]):
+            hashes, sent = _grams(words, lengths, found[-1] if found else [], least_count)
+            grams, which = np.unique(hashes[sent], return_inverse=True)
+            of_gram = np.zeros(len(grams), np.int64)
+            by, slices = by_bucket(grams, buckets)
+            for b, s in slices:
+                of_gram[by[s]] = _numbers(got[turn, b])
+            counts = np.zeros(len(hashes), np.int64)
+            counts[sent] = of_gram[which]
+            cuts = np.cumsum([max(0, len(w) - n + 1) for n in lengths for w in words])[:-1]
+            split = np.split(counts, cuts)
+            found += [split[k * len(words) : (k + 1) * len(words)] for k in range(len(lengths))]
+        return found
+
+    def send_first(key: tuple, table: pa.Table) -> pa.Table:
+        words = [word_hashes(raw) for raw in texts_of(table)]
+        return send(key[0].as_py(), _grams(words, rounds[0], [], least_count)[0])
+
+    def sender(turn: int):
+        def send_next(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+            words = [word_hashes(raw) for raw in texts_of(left)]
+            below = looked_up(words, right, turn)[-1]
+            hashes, sent = _grams(words, rounds[turn], below, least_count)
+            return send(key[0].as_py(), hashes[sent])
+
+        return send_next
+
     def add_up(left: pa.Table, right: pa.Table) -> pa.Table:
-        words, hashes = _grams(texts_of(left), order)
-        grams, which = np.unique(hashes, return_inverse=True)
-        by, slices = by_bucket(grams, buckets)
-        got = {b.as_py(): c.as_py() for b, c in zip(right.column("bucket"), right.column("counts"))}
-        of_gram = np.zeros(len(grams), np.int64)
-        for b, s in slices:
-            of_gram[by[s]] = unpack(got[b], np.int64)
-        counts, at, out = of_gram[which], 0, []
-        for doc_id, own in zip(left.column("doc_id"), words):
-            counted = []
-            for n in range(1, order + 1):
-                counted.append(counts[at : at + max(0, len(own) - n + 1)])
-                at += len(counted[-1])
+        words, out = [word_hashes(raw) for raw in texts_of(left)], []
+        for doc_id, own, counted in zip(left.column("doc_id"), words, zip(*looked_up(words, right, len(rounds)))):
             # units of the word alone leave out the size of the corpus, which only the sum knows
             units, alone = _units(counted[0]), np.ones(len(own), bool)
             for n in range(2, order + 1):
                 had, run = counted[n - 2], counted[n - 1]
                 seen = run >= least_count
                 before = units[n - 1 :] + round(math.log(backoff) * UNIT)
-                units[n - 1 :] = np.where(seen, _units(np.maximum(run, 1) / had[: len(run)]), before)
+                share = np.maximum(run, 1) / np.maximum(had[: len(run)], 1)
+                units[n - 1 :] = np.where(seen, _units(share), before)
                 alone[n - 1 :] &= ~seen
             out.append((doc_id.as_py(), len(own), int(alone.sum()), int(units.sum())))
         return rows_table(out, _SCORED)
 
-    sent = rows.groupBy("part").applyInArrow(send, "bucket int, part int, grams binary, times binary")
-    counted = sent.groupBy("bucket").applyInArrow(count, "part int, bucket int, counts binary")
-    summed = (
-        rows.groupBy("part")
-        .cogroup(counted.groupBy("part"))
-        .applyInArrow(add_up, "doc_id bigint, n_words bigint, n_unseen bigint, units bigint")
+    parts, answers = rows.groupBy("part"), None
+    for turn in range(len(rounds)):
+        if answers is None:
+            sent = parts.applyInArrow(send_first, _SENT_SQL)
+        else:
+            sent = parts.cogroup(answers.groupBy("part")).applyInArrow(sender(turn), _SENT_SQL)
+        counted = sent.groupBy("bucket").applyInArrow(count, "part int, bucket int, counts binary")
+        counted = counted.select(F.lit(turn).alias("turn"), "part", "bucket", "counts")
+        answers = counted if answers is None else answers.unionByName(counted)
+    summed = parts.cogroup(answers.groupBy("part")).applyInArrow(
+        add_up, "doc_id bigint, n_words bigint, n_unseen bigint, units bigint"
     )
     summed = materialise(summed, "scores")
     words = summed.agg(F.sum("n_words")).first()[0] or 0

@@ -150,10 +150,51 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_unseen, 0) AS n_unseen,
 FROM docs LEFT JOIN scored USING (n)
 """
 
+LM_SCORING_TRIGRAMS = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS words
+  FROM documents),
+places AS (
+  SELECT n, s, words[s] AS word, CASE WHEN s > 1 THEN words[s - 1] END AS before,
+         CASE WHEN s > 2 THEN words[s - 2] END AS earlier
+  FROM (SELECT n, words, unnest(range(1, len(words) + 1)) AS s FROM docs)),
+single AS (SELECT word, count(*) AS times FROM places GROUP BY word),
+pairs AS (SELECT before, word, count(*) AS times FROM places WHERE before IS NOT NULL GROUP BY before, word),
+triples AS (
+  SELECT earlier, before, word, count(*) AS times FROM places WHERE earlier IS NOT NULL
+  GROUP BY earlier, before, word),
+looked AS (
+  SELECT n, single.times AS alone, first.times AS had, pairs.times AS run, led.times AS had_pair,
+         triples.times AS run_triple, places.earlier IS NOT NULL AS third,
+         coalesce(pairs.times >= {lm_scoring.LEAST_COUNT}, false) AS seen,
+         coalesce(triples.times >= {lm_scoring.LEAST_COUNT}, false) AS seen_triple
+  FROM places JOIN single USING (word)
+  LEFT JOIN single AS first ON first.word = places.before
+  LEFT JOIN pairs ON pairs.before = places.before AND pairs.word = places.word
+  LEFT JOIN pairs AS led ON led.before = places.earlier AND led.word = places.before
+  LEFT JOIN triples ON triples.earlier = places.earlier AND triples.before = places.before
+                   AND triples.word = places.word),
+scored AS (
+  SELECT n, count(*) FILTER (had IS NOT NULL AND NOT seen AND NOT seen_triple) AS n_unseen,
+         sum(CASE WHEN seen_triple THEN round(ln(run_triple / had_pair) * {_UNIT})
+                  ELSE CASE WHEN third THEN round(ln({_BACKOFF}::DOUBLE) * {_UNIT}) ELSE 0 END
+                     + CASE WHEN seen THEN round(ln(run / had) * {_UNIT})
+                            ELSE round(ln(alone) * {_UNIT}) - round(ln((SELECT count(*) FROM places)) * {_UNIT})
+                               + CASE WHEN had IS NULL THEN 0 ELSE round(ln({_BACKOFF}::DOUBLE) * {_UNIT}) END
+                       END
+             END)::BIGINT AS score_units
+  FROM looked GROUP BY n)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_unseen, 0) AS n_unseen,
+       coalesce(score_units, 0)::BIGINT AS score_units,
+       CASE WHEN len(words) = 0 THEN 0 ELSE score_units / len(words) / {float(_UNIT)!r}::DOUBLE END AS score
+FROM docs LEFT JOIN scored USING (n)
+"""
+
 ORACLES = {
     "op1_suffix_array_dedup": REPEATS,
     "op3_benchmark_decontamination": DECONTAMINATION,
     "op5_url_filters": URL_FILTERS,
     "op6_lm_scoring": LM_SCORING,
+    "op6_lm_scoring_trigrams": LM_SCORING_TRIGRAMS,
     "op9_mixing": MIXING,
 }

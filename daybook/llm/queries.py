@@ -61,6 +61,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), order=3)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
@@ -105,6 +109,7 @@ QUERIES = {
         op4_sharding,
         op5_url_filters,
         op6_lm_scoring,
+        op6_lm_scoring_trigrams,
         op7_quality_rules,
         op8_simhash_near_dedup,
         op9_mixing,

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from daybook.llm import blobs, lm_scoring, mixing
+from daybook.llm import blobs, lm_scoring, mixing, queries
 from pyspark.sql import functions as F
 from tests.llm import inputs
 
@@ -59,6 +59,30 @@ def test_scores_of_an_empty_table(empty):
     assert lm_scoring.score(empty).collect() == []
 
 
+@pytest.mark.parametrize("order, least", [(3, 1), (3, 2), (3, 4), (4, 2), (5, 3)])
+def test_longer_orders_equal_brute_force(spark, monkeypatch, order, least):
+    """N-grams that cannot occur often enough are not sent, which changes no score."""
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", 500)
+    monkeypatch.setattr(lm_scoring, "BUCKET_BYTES", 2000)
+    pick = random.Random(order)
+    rows = [(n, " ".join(pick.choices("abcdefg", k=pick.randint(0, 40)))) for n in range(60)]
+    docs = inputs.documents(spark, [inputs.row(*r) for r in rows])
+    found = sorted(lm_scoring.score(docs, order=order, least_count=least).collect())
+    for r, expected in zip(found, sorted(plain_scores(rows, order, least=least)), strict=True):
+        assert (r.doc_id, r.n_words, r.n_unseen) == expected[:3]
+        assert abs(r.score_units / 1e6 - expected[3]) <= 1e-5 * max(1, r.n_words)
+
+
+def test_registered_trigrams_tell_spliced_text(spark, tmp_path):
+    """Every pair of the spliced text is common, but not its runs of three words."""
+    rows = [inputs.row(n, "a b c d e f") for n in range(4)] + [inputs.row(n, "d b e c f") for n in range(4, 8)]
+    rows += [inputs.row(8, "a b c d b e f"), inputs.row(9, "c d b c f")]
+    inputs.documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.score_units for r in queries.op6_lm_scoring_trigrams(spark, str(tmp_path)).collect()}
+    plain = {r[0]: r[3] for r in plain_scores([(r[0], r[1]) for r in rows], 3)}
+    assert all(abs(found[n] / 1e6 - plain[n]) < 1e-4 for n in plain)
+
+
 def plain_targets(sizes, weights=(5, 2, 1), most=3):
     """Shares by weight; what is above a cap goes to the others, until none is above."""
     order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
