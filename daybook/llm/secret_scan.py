@@ -11,7 +11,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,11 +29,22 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 KINDS = ["assign", "access", "hex", "der", "pem", "ssh", "token"]
 RANK = {kind: n for n, kind in enumerate(KINDS)}
 
-TOKEN = re.compile(
-    r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{8,})(?![A-Za-z0-9_.-])"
+# Parts joined by dots, neither led by another part nor followed by one; a dot that ends a sentence may follow.
+_PART = "[A-Za-z0-9_-]"
+_OPENS, _CLOSES = rf"(?<!{_PART})(?<!{_PART}\.)", rf"(?!\.{_PART})"
+TOKEN = re.compile(rf"{_OPENS}({_PART}{{8,}}+)\.({_PART}{{2,}}+)\.({_PART}{{8,}}+){_CLOSES}")
+SEALED = re.compile(
+    rf"{_OPENS}({_PART}{{8,}}+)\.({_PART}*+)\.({_PART}{{8,}}+)\.({_PART}++)\.({_PART}{{8,}}+){_CLOSES}"
 )
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-RUN64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
+# Runs of either alphabet, and what may stand between something glued before a key and the key.
+RUN64 = ((re.compile(r"[A-Za-z0-9+/]{40,}={0,2}"), "/"), (re.compile(r"[A-Za-z0-9_-]{40,}={0,2}"), "-_"))
+LEAST_RUN, HEAD = 40, 96  # characters; the head holds the longest name of an SSH key type
+# Runs that end their line and go on in the next one, and the runs of such a block.
+WRAPPED64 = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)+={0,2}"
+)
+LINE64 = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 RUN16 = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 SSH_TYPES = re.compile(rb"(ssh-|ecdsa-|sk-)[a-z0-9@.-]+")
 OPENSSH = b"openssh-key-v1\0"
@@ -137,30 +150,112 @@ def is_token(header: str, body: str) -> bool:
         return "typ" in head or "kid" in head
 
 
+class Covered:
+    """Whether a span lies inside one of those given."""
+
+    def __init__(self, spans: list[tuple[int, int, str]]):
+        self.spans = sorted(spans)
+        self.starts = [a for a, _, _ in self.spans]
+        self.reach = list(accumulate((b for _, b, _ in self.spans), max))
+
+    def __contains__(self, span: tuple[int, int, str]) -> bool:
+        at = bisect_right(self.starts, span[0])
+        return at > 0 and self.reach[at - 1] >= span[1]
+
+
+def is_sealed(header: str, *parts: str) -> bool:
+    """Five parts of base64, a header that names an algorithm and an encryption first."""
+    try:
+        head = json.loads(decoded64(header) or b"")
+    except (ValueError, RecursionError):
+        return False
+    named = isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(head.get("enc"), str)
+    return named and all(decoded64(part) is not None for part in parts)
+
+
+def key_kind(data: bytes | None) -> str | None:
+    if not data:
+        return None
+    return "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
+
+
+def may_start(run: str, at: int, end: int) -> bool:
+    """Whether the head of what is left of a run, up to its padding, fits a key that fills it."""
+    left = end - at
+    head = decoded64(run[at : at + min(HEAD, left)])
+    if head is None:  # what is left has no whole number of bytes
+        return False
+    outer = der_element(head, 0, left * 3 // 4)
+    if outer is not None and outer[0] == 0x30 and outer[2] == left * 3 // 4:
+        return True
+    size = int.from_bytes(head[:4], "big")
+    return head.startswith(OPENSSH) or bool(SSH_TYPES.fullmatch(head[4 : 4 + size]))
+
+
+def run_spans(run: str, glue: str) -> Iterator[tuple[int, int, str]]:
+    """The key that a run ends with: the whole run, or what follows one of the characters of ``glue``."""
+    if kind := key_kind(decoded64(run)):
+        yield 0, len(run), kind
+        return
+    end = len(run.rstrip("="))
+    for m in re.finditer(f"[{glue}]", run):
+        if len(run) - m.end() < LEAST_RUN:
+            return
+        if may_start(run, m.end(), end) and (kind := key_kind(decoded64(run[m.end() :]))):
+            yield m.end(), len(run), kind
+            return
+
+
+def wrapped_spans(block: str) -> Iterator[tuple[int, int, str]]:
+    """Keys in lines of equal length, which a line with something before it may lead and a shorter one end."""
+    lines = list(LINE64.finditer(block))
+    sizes, at = [len(m[0]) for m in lines], 0
+    while at < len(lines):
+        last = at
+        while last + 1 < len(lines) and sizes[last + 1] == sizes[at]:
+            last += 1
+        tails = [last + 1, last] if last + 1 < len(lines) and sizes[last + 1] < sizes[at] + 2 else [last]
+        for a, b in ((a, b) for a in (at, at - 1) for b in tails if a >= 0 and b > a):
+            run = "".join(m[0] for m in lines[a : b + 1])
+            mixed = any(c in run for c in "+/") and any(c in run for c in "-_")
+            if not mixed and len(run) >= LEAST_RUN and (kind := key_kind(decoded64(run))):
+                yield lines[a].start(), lines[b].end(), kind
+                break
+        at = last + 1
+
+
 def confirmed_spans(text: str, raw: bytes) -> Iterator[tuple[int, int, str]]:
     """Spans of candidates whose structure is confirmed."""
+    found: list[tuple[int, int, str]] = []
     if b"-----BEGIN " in raw:
         for m in PEM.finditer(text):
             data = decoded64("".join(m[2].split()))
             if data and (is_der_key(data) or is_ssh_key(data)):
-                yield m.start(), m.end(), "pem"
+                found.append((m.start(), m.end(), "pem"))
     if _LONG_RUN not in raw.translate(_RUN_BYTES):
+        yield from found
         return
     for m in TOKEN.finditer(text):
         if is_token(m[1], m[2]):
             yield m.start(), m.end(), "token"
-    for m in RUN64.finditer(text):
-        data = decoded64(m[0])
-        if data and is_der_key(data):
-            yield m.start(), m.end(), "der"
-        elif data and is_ssh_key(data):
-            yield m.start(), m.end(), "ssh"
+    for m in SEALED.finditer(text):
+        if is_sealed(*m.groups()):
+            yield m.start(), m.end(), "token"
+    keys: list[tuple[int, int, str]] = []
+    known = Covered(keys)
+    for pattern, glue in RUN64:
+        for m in pattern.finditer(text):
+            spans = [(m.start() + a, m.start() + b, kind) for a, b, kind in run_spans(m[0], glue)]
+            keys += [s for s in spans if s not in known]
+        known = Covered(keys)
+    known = Covered(found + keys)
+    for m in WRAPPED64.finditer(text):
+        spans = [(m.start() + a, m.start() + b, kind) for a, b, kind in wrapped_spans(m[0])]
+        keys += [s for s in spans if s not in known]
+    yield from {*found, *keys}
     for m in RUN16.finditer(text):
-        data = bytes.fromhex(m[0])
-        if is_der_key(data):
-            yield m.start(), m.end(), "der"
-        elif is_ssh_key(data):
-            yield m.start(), m.end(), "ssh"
+        if kind := key_kind(bytes.fromhex(m[0])):
+            yield m.start(), m.end(), kind
 
 
 def spans_of(text: str | None) -> list[tuple[int, int, str]]:
@@ -189,7 +284,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     A null text counts as empty and has no spans. Equal rows give equal rows. Long texts are read
     whole; spans are found in time linear in the text, since no pattern can start again inside a run
-    it has read. Other columns of ``docs`` are not read.
+    it has read, but for runs with many places whose head claims exactly what is left of the run. Other columns of ``docs`` are not read.
     """
     return docs.select("doc_id", "text").mapInArrow(
         _scan, "doc_id bigint, spans array<struct<start:bigint,end:bigint,kind:string>>"

@@ -89,6 +89,49 @@ def test_tokens():
         assert secret_scan.spans_of(bad) == []
 
 
+@pytest.mark.parametrize("before, after", [("", "."), ("...", ""), ("see ", ". Next"), ("..", "..."), ("\n", ".\n")])
+def test_tokens_beside_full_stops(before, after):
+    good = token({"alg": "HS256"})
+    assert secret_scan.spans_of(before + good + after) == [(len(before), len(before) + len(good), "token")]
+    for glued in (f"{before}{good}.more", f"more.{good}{after}"):
+        assert secret_scan.spans_of(glued) == []
+
+
+@pytest.mark.parametrize("key", ["", b64(b"k" * 40, True)])
+def test_tokens_of_five_parts(key):
+    def sealed(header):
+        return ".".join((b64(json.dumps(header).encode(), True), key, b64(b"i" * 12, True), b64(b"c", True), b64(b"t" * 16, True)))
+
+    good = sealed({"alg": "dir", "enc": "A256GCM"})
+    assert secret_scan.spans_of(f"({good}).") == [(1, 1 + len(good), "token")]
+    for bad in (sealed({"alg": "dir"}), sealed({"enc": "A256GCM"}), sealed([]), good + ".more"):
+        assert secret_scan.spans_of(bad) == []
+
+
+@pytest.mark.parametrize("data, kind", [(RSA, "der"), (WRAPPED, "der"), (PUBLIC, "der"), (CURVE, "der"), (SSH, "ssh")])
+def test_keys_url_safe_wrapped_and_glued(data, kind):
+    of = lambda text: [s for s in secret_scan.spans_of(text) if s[2] in ("der", "ssh")]
+    plain, url = b64(data), b64(data, True)
+    assert of(f"k {url} end") == [(2, 2 + len(url), kind)]
+    for glue in ("/k/", "/a+b/c/", "k_", "x-"):
+        assert of(f"{glue}{plain} end") == [(len(glue), len(glue) + len(plain), kind)]
+    for glue in ("/k/", "key_", "a-b-"):
+        assert of(f"{glue}{url}") == [(len(glue), len(glue) + len(url), kind)]
+    for run in (plain, url):
+        for width in (32, 64, 76):
+            if len(run) <= width:
+                continue
+            for join in ("\n", "\r\n", "\n    "):
+                lines = join.join(re.findall(f".{{1,{width}}}", run))
+                for before, after in (("", ""), ("key: ", "\nand more"), ("a line\n", " end"), ('"', '"')):
+                    assert of(before + lines + after) == [(len(before), len(before) + len(lines), kind)]
+                assert of(lines[:-6]) == []
+
+
+def test_url_safe_runs_hold_the_other_letters():
+    assert any(c in b64(RSA, True) for c in "-_") and any(c in b64(RSA) for c in "+/")
+
+
 def test_base_spans_equal_plain_patterns():
     pick = random.Random(4)
     pieces = [
@@ -119,3 +162,8 @@ def test_confirmed_spans_keep_base_ones(spark, edge, empty):
 def test_long_runs_take_linear_time():
     for text in ("a" * 2_000_000, "token " * 300_000, "AKIA" * 300_000, "A.B" * 400_000, "-----BEGIN KEY-----" * 50_000):
         secret_scan.spans_of(text)
+
+
+def test_long_runs_of_starts_take_linear_time():
+    for text in ("/MC4C" * 300_000, "_MC4C-" * 300_000, ("a" * 40 + "\n") * 40_000, "a.." * 400_000, "a\n" * 400_000):
+        secret_scan.spans_of(text)
