@@ -22,8 +22,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a passage of the benchmark."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Rows without a passage of the benchmark, also of items without item_id."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

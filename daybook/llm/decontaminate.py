@@ -130,20 +130,21 @@ def hits(docs: DataFrame, known: DataFrame) -> DataFrame:
     return materialise(_union([verified(k) for k in sizes], spark, schema), "hits")
 
 
-def _known(items: DataFrame, size: int) -> DataFrame:
-    known = windows(items.filter("item_id is not null"), size)
+def _known(items: DataFrame, size: int, unnamed: bool = False) -> DataFrame:
+    known = windows(items if unnamed else items.filter("item_id is not null"), size)
     return materialise(known.withColumn("window_id", F.xxhash64("window", "n")), "windows")
 
 
-def find(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+def find(docs: DataFrame, items: DataFrame, size: int = WINDOW, unnamed: bool = False) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items (sorted as strings) for every row of ``docs``.
 
     A word is hit if it stands in a window of an item. Null texts have no words, and items without
-    words or without item_id hit nothing. Equal rows get equal results; rows of one doc_id with
+    words hit nothing, nor do those without item_id unless ``unnamed``; then their words are hit, and only
+    the list of items leaves them out. Equal rows get equal results; rows of one doc_id with
     different texts are told apart by their text. Empty tables of either kind are fine: without items
     nothing is hit. Other columns are not read.
     """
-    known = _known(items, size)
+    known = _known(items, size, unnamed)
     places = hits(docs, known)
     covered = F.aggregate(
         F.sort_array(F.collect_set(F.struct("start", "n"))),
@@ -171,9 +172,12 @@ def find(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that hold no window of an item."""
-    found = hits(docs, _known(items, size)).select(
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW, unnamed: bool = False) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that hold no window of an item.
+
+    Items without item_id count only with ``unnamed``.
+    """
+    found = hits(docs, _known(items, size, unnamed)).select(
         F.col("doc_id").isNull().alias("missing"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key"
     )
     found = materialise(found.distinct(), "contaminated")

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from daybook.llm import decontaminate
 from tests.llm import inputs
 
@@ -77,6 +78,17 @@ def test_clean_rows_stay_as_they_are(spark, monkeypatch, few):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == spotless and 0 < len(spotless) < len(docs)
 
 
+def test_items_without_id_hit_words_and_are_not_listed(spark, tmp_path):
+    items = spark.createDataFrame([(None, "a b c"), (1, "c d"), (None, "x y")], ITEMS)
+    texts = {1: "z a b c d z", 2: "z x y", 3: "z y x"}
+    docs = inputs.documents(spark, [inputs.row(*r) for r in texts.items()])
+    found = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.find(docs, items, unnamed=True).collect()}
+    assert found == {1: (4, ["1"]), 2: (2, []), 3: (0, [])}
+    assert [r.doc_id for r in decontaminate.clean(docs, items, unnamed=True).collect()] == [3]
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r.doc_id for r in corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 def test_edge_rows_and_empty_tables(spark, edge, empty):
     items = [(1, inputs.prose(1, 30)), (2, "one")]
     table = inputs.clashing(spark.createDataFrame(items, ITEMS), "window", "key", "words")
