@@ -36,14 +36,14 @@ def chunks(raw: bytes) -> Iterator[bytes]:
         yield raw[at : at + CHUNK]
 
 
-def _spread(raw: bytes) -> list[bytes]:
-    step = max(1, math.ceil(len(raw) / CHUNK / CHUNKS_OF_TEXT)) * CHUNK
+def _spread(raw: bytes, most: int | None) -> list[bytes]:
+    step = max(1, math.ceil(len(raw) / CHUNK / most) if most else 1) * CHUNK
     return [raw[at : at + CHUNK] for at in range(0, len(raw), step)]
 
 
-def build_dictionary(texts: list[bytes]) -> bytes:
+def build_dictionary(texts: list[bytes], most: int | None = CHUNKS_OF_TEXT) -> bytes:
     """Dictionary bytes; the texts themselves where there are too few to train on; b"" for none."""
-    pieces = [piece for text in texts for piece in _spread(text)]
+    pieces = [piece for text in texts for piece in _spread(text, most)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
     except zstandard.ZstdError:
@@ -84,15 +84,18 @@ def difference(raw: bytes, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCo
     return (saved + MORE_SAVED) / (len(raw) + MORE_LENGTH)
 
 
-def train(docs: DataFrame, labels: DataFrame, **bounds) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, chunks_of_text: int | None = CHUNKS_OF_TEXT, **bounds
+) -> Model:
     """A model from a bounded sample of the labelled rows that are not held out.
 
     Two thirds of the sample build the dictionaries and the rest calibrates, weighted to the share of
-    good rows among all labels. Without labels every text gets the same score.
+    good rows among all labels. A dictionary sees up to ``chunks_of_text`` chunks of a text, evenly spread,
+    or all of them with None. Without labels every text gets the same score.
     """
     rows = labelled.sample(docs, labels, **bounds)
     texts = [[r.raw for r in rows if not r.calibrates and r.label == label] for label in (1, 0)]
-    good, bad = (build_dictionary(t) for t in without_shared_lines(*texts))
+    good, bad = (build_dictionary(t, chunks_of_text) for t in without_shared_lines(*texts))
     model = Model(good, bad, 0.0, 0.0)
     pair = model.compressors()
     measured = [(difference(r.raw, *pair), r.label) for r in rows if r.calibrates]

@@ -143,3 +143,20 @@ def test_scores_do_not_depend_on_pieces(data, monkeypatch):
     whole = model.margin(raw, word_hashes(raw))
     share = quality_rules.features(raw) @ model.weights + model.bias
     assert abs(whole - share) < 1e-9
+
+
+def test_chunks_of_a_text_that_a_dictionary_sees():
+    """Few chunks train nothing, so the dictionary is the chunks themselves."""
+    text = b"".join(bytes([97 + n]) * compression_quality.CHUNK for n in range(6))
+    seen = {m: compression_quality.build_dictionary([text], m) for m in (2, 3, None)}
+    assert seen == {2: b"a" * 256 + b"d" * 256, 3: b"a" * 256 + b"c" * 256 + b"e" * 256, None: text}
+
+
+def test_train_takes_the_chunks_of_a_text(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(compression_quality, "build_dictionary", lambda texts, most: asked.append(most) or b"")
+    docs = inputs.documents(spark, [inputs.row(1, "some text")])
+    labels = spark.createDataFrame([(1, 1, 0)], inputs.LABELS)
+    compression_quality.train(docs, labels, chunks_of_text=None)
+    compression_quality.train(docs, labels)
+    assert asked == [None, None, 32, 32]
