@@ -16,10 +16,13 @@ from daybook.llm import (
     sharding,
     simhash,
     suffix_dedup,
+    token_links,
     url_rules,
 )
 from daybook.llm.rows import table
 
+#: Where the public vocabulary files are on the driver, which sends them to the tasks.
+TOKENIZERS = "/opt/tokenizers"
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
 
 
@@ -100,6 +103,11 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_links.Tokenizers.read(TOKENIZERS)
+    return token_links.link_strength(table(spark, sf_dir, "documents"), files)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,5 +122,6 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_mixing,
         op10_secret_scans,
+        op11_token_alignment,
     )
 }
