@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import decontaminate, lm_scoring, mixing, suffix_dedup, url_rules
+from daybook.llm import decontaminate, divergence, lm_scoring, mixing, suffix_dedup, url_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -190,6 +190,52 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_unseen, 0) AS n_unseen,
 FROM docs LEFT JOIN scored USING (n)
 """
 
+def _share(times: str, total: str) -> str:
+    return f"({divergence.SCALE}::HUGEINT * ({times} + {divergence.ADDED}) // ({total} + {divergence.ADDED} * n_terms) + 1)"
+
+
+_PRICE = "((p - q) * (p - q) // (p + q))"
+
+DIVERGENCE = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         {LOWER.format("coalesce(text, '')")} AS text
+  FROM documents),
+found AS (
+  SELECT n, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS times FROM found GROUP BY lang, term
+  HAVING count(DISTINCT n) >= {divergence.LEAST_DOCS}),
+langs AS (
+  SELECT lang, count(term) AS n_terms, coalesce(sum(times), 0) AS total
+  FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang),
+counts AS (
+  SELECT lang, source, term, count(*) AS times FROM found SEMI JOIN kept USING (lang, term)
+  GROUP BY lang, source, term),
+groups AS (
+  SELECT lang, source, coalesce(sum(times), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source) GROUP BY lang, source),
+shares AS (
+  SELECT g.lang, g.source, term, coalesce(c.times, 0) AS times,
+         {_share("coalesce(c.times, 0)", "g.total")} AS p, {_share("kept.times", "langs.total")} AS of_lang
+  FROM groups g JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+pairs AS (
+  SELECT lang, source, item, sum({_PRICE}) AS value
+  FROM (SELECT a.lang, a.source, b.source AS item, a.p, b.p AS q
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source)
+  GROUP BY lang, source, item),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, {_PRICE}::BIGINT
+  FROM (SELECT *, of_lang AS q FROM shares) WHERE times > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {divergence.BEST}
+"""
+
 ORACLES = {
     "op1_suffix_array_dedup": REPEATS,
     "op3_benchmark_decontamination": DECONTAMINATION,
@@ -197,4 +243,5 @@ ORACLES = {
     "op6_lm_scoring": LM_SCORING,
     "op6_lm_scoring_trigrams": LM_SCORING_TRIGRAMS,
     "op9_mixing": MIXING,
+    "op12_source_divergence": DIVERGENCE,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.llm import (
     compression_quality,
     decontaminate,
+    divergence,
     labelled,
     lm_scoring,
     mixing,
@@ -108,6 +109,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_links.link_strength(table(spark, sf_dir, "documents"), files)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -123,5 +128,6 @@ QUERIES = {
         op9_mixing,
         op10_secret_scans,
         op11_token_alignment,
+        op12_source_divergence,
     )
 }
