@@ -9,6 +9,7 @@ from daybook.llm import (
     compression_quality,
     decontaminate,
     divergence,
+    jaccard_groups,
     labelled,
     lm_scoring,
     mixing,
@@ -113,6 +114,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups.groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -129,5 +134,6 @@ QUERIES = {
         op10_secret_scans,
         op11_token_alignment,
         op12_source_divergence,
+        op13_ngram_jaccard_join,
     )
 }
