@@ -111,22 +111,31 @@ def hot_tokens(counted: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
     return token[order].astype(np.int64), np.log2(np.maximum(times[order], 1)).astype(np.uint8)
 
 
-def head(tokens: np.ndarray, hot: np.ndarray, power: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The rarest tokens of a set, ``COMMON`` of which stand in the head of any set that reaches the threshold."""
+def head(tokens: np.ndarray, hot: np.ndarray, power: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
+    """The rarest tokens of a set, ``COMMON`` of which stand in the head of any set that reaches the
+    threshold, and how many of them, the first ones, are not among the frequent."""
+    rank = np.zeros(len(tokens), np.uint8)
     if len(hot):
         at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
         rank = np.where(hot[at] == tokens, power[at], 0)
-        tokens = tokens[np.argsort(rank, kind="stable")]
-    return tokens[: len(tokens) - needed(len(tokens), percent) + COMMON]
+        order = np.argsort(rank, kind="stable")
+        tokens, rank = tokens[order], rank[order]
+    n = len(tokens) - needed(len(tokens), percent) + COMMON
+    return tokens[:n], int(np.count_nonzero(rank[:n] == 0))
 
 
 def heads(docs: DataFrame, hot: np.ndarray, power: np.ndarray, size: int, percent: int) -> DataFrame:
-    """set and head of every set that may reach the threshold with a different one; a task sends a set once."""
+    """set, rare and frequent, the two parts of the head of every set that may reach the threshold with a
+    different one; a task sends a set once."""
+
+    def lists(found: list[np.ndarray]) -> pa.Array:
+        offsets = pa.array(np.r_[0, np.cumsum([len(f) for f in found])].astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found) if found else np.empty(0, np.int64)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            keys, found = [], []
+            keys, rare, frequent = [], [], []
             for text in batch.column("text"):
                 tokens = tokens_of(text.as_py(), size)
                 key = set_key(tokens)
@@ -134,59 +143,79 @@ def heads(docs: DataFrame, hot: np.ndarray, power: np.ndarray, size: int, percen
                     continue
                 seen = seen if len(seen) < MOST_SEEN else set()
                 seen.add(key)
+                found, n_rare = head(tokens, hot, power, percent)
                 keys.append(key)
-                found.append(head(tokens, hot, power, percent))
-            yield _arrays(keys, found, "head")
-
-    return docs.select("text").mapInArrow(cut, "`set` bigint, head array<bigint>")
+                rare.append(found[:n_rare])
+                frequent.append(found[n_rare:])
+            columns = [pa.array(keys, pa.int64()), lists(rare), lists(frequent)]
+            yield pa.RecordBatch.from_arrays(columns, ["set", "rare", "frequent"])
 
+    return docs.select("text").mapInArrow(cut, "`set` bigint, rare array<bigint>, frequent array<bigint>")
 
-def _arrays(keys: list[int], found: list[np.ndarray], name: str) -> pa.RecordBatch:
-    offsets = pa.array(np.r_[0, np.cumsum([len(f) for f in found])].astype(np.int32))
-    values = pa.array(np.concatenate(found) if found else np.empty(0, np.int64))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(offsets, values)], ["set", name]
-    )
 
+def _shared(tokens: DataFrame) -> DataFrame:
+    """The tokens of more than one set, and the least set that has each."""
+    ends = tokens.groupBy("token").agg(F.min("set").alias("least"), F.max("set").alias("most"))
+    return ends.filter("least != most").select("token", "least")
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """set and tokens of the ``wanted`` sets (set, text_key), from the texts; equal texts give them once."""
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            keys, found = [], []
-            for key, text in zip(batch.column("set").to_pylist(), batch.column("text")):
-                if key in seen:
-                    continue
-                tokens = tokens_of(text.as_py(), size)
-                if set_key(tokens) == key:  # else another text with the same key
-                    seen = seen if len(seen) < MOST_SEEN else set()
-                    seen.add(key)
-                    keys.append(key)
-                    found.append(tokens)
-            yield _arrays(keys, found, "tokens")
+def active_tokens(cut: DataFrame) -> DataFrame:
+    """token, set, least: the tokens of heads that another head may share, and the least set that has each.
 
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key")
-    read_sets = texts.select("set", "text").mapInArrow(read, "`set` bigint, tokens array<bigint>")
-    return read_sets.groupBy("set").agg(F.first("tokens").alias("tokens"))
+    Tokens that are not among the frequent stand in less than two in ``MOST_HOT`` of all places, so they
+    are dealt by token once, and counted and joined where they lie. The frequent ones are summed in each
+    task and joined with their own short table.
+    """
+    rare = cut.select("set", F.explode("rare").alias("token")).repartition("token")
+    frequent = cut.select("set", F.explode("frequent").alias("token"))
+    of_frequent = materialise(_shared(frequent), "frequent-tokens")
+    both = rare.join(_shared(rare), "token").unionByName(frequent.join(of_frequent, "token"))
+    return both.distinct()  # tasks may have sent the same set
 
 
-def _reach(u: Column, v: Column, shared: Column, percent: int) -> Column:
-    return 100 * shared >= percent * (u + v - shared)
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """set and text of the ``wanted`` sets (set, text_key, least), from one row of ``docs`` each."""
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key"), "text")
+    same = F.col("id").eqNullSafe(F.col("least"))
+    found = materialise(rows.join(wanted, "text_key").filter(same).select("set", "text"), "texts")
+    rows, sets = found.agg(F.count("set"), F.count_distinct("set")).first()
+    return found if rows == sets else materialise(found.groupBy("set").agg(F.first("text").alias("text")), "texts")
 
 
-def links(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (u, v) whose sets reach the threshold, each pair compared whole."""
+def links(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (u, v) whose sets reach the threshold, each pair compared whole, from the texts."""
     n_u, n_v = (sizes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}")) for c in "uv")
     fits = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent
-    pairs = materialise(pairs.join(n_u, "u").join(n_v, "v").filter(fits), "pairs")
-    of_u = sets.select(F.col("set").alias("u"), F.col("tokens").alias("of_u"))
-    of_v = sets.select(F.col("set").alias("v"), F.col("tokens").alias("of_v"))
-    of_v = of_v.join(pairs.select("v").distinct(), "v", "left_semi")
-    shared = F.size(F.array_intersect("of_u", "of_v"))
-    both = pairs.join(of_u, "u").join(of_v, "v")
-    return both.filter(_reach(F.col("n_u"), F.col("n_v"), shared, percent)).select("u", "v")
+    pairs = materialise(pairs.join(n_u, "u").join(n_v, "v").filter(fits).select("u", "v"), "pairs")
+    of_u = texts.join(pairs, F.col("set") == F.col("u")).select("u", "v", F.col("text").alias("of_u"))
+    of_v = texts.join(pairs.select("v").distinct(), F.col("set") == F.col("v"), "left_semi")
+    both = of_u.join(of_v.select(F.col("set").alias("v"), F.col("text").alias("of_v")), "v")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
+        held = 0
+
+        def tokens(key: int, text: str) -> np.ndarray:
+            nonlocal held
+            if key not in known:
+                if held > TOKENS_COUNTED:
+                    known.clear()
+                    held = 0
+                known[key] = tokens_of(text, size)
+                held += len(known[key])
+            return known[key]
+
+        for batch in batches:
+            found = []
+            for u, v, x, y in zip(*(batch.column(c) for c in ("u", "v", "of_u", "of_v"))):
+                a, b = tokens(u.as_py(), x.as_py()), tokens(v.as_py(), y.as_py())
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * shared >= percent * (len(a) + len(b) - shared):
+                    found.append((u.as_py(), v.as_py()))
+            columns = [pa.array([f[n] for f in found], pa.int64()) for n in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["u", "v"])
+
+    return both.mapInArrow(compare, "u bigint, v bigint")
 
 
 def ties(active: DataFrame) -> DataFrame:
@@ -242,27 +271,20 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
         raise ValueError(f"percent is {LEAST_PERCENT} to 99")
     seen = materialise(described(docs, size), "sets")
     rows = seen.filter("text_key IS NOT NULL").select("doc_id", "text_key", "set", "n")
-    sizes = materialise(
-        rows.filter("`set` IS NOT NULL").groupBy("set").agg(
-            F.min("n").alias("n"), F.min("text_key").alias("text_key"), F.min("doc_id").alias("least")
-        ),
-        "sizes",
-    )
+    least = F.min("doc_id").alias("least")
+    key = F.coalesce(F.min_by("text_key", "doc_id"), F.min("text_key")).alias("text_key")
+    in_sets = rows.filter("`set` IS NOT NULL").groupBy("set")
+    sizes = materialise(in_sets.agg(F.min("n").alias("n"), key, least), "sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     hot, power = hot_tokens(seen.filter("token IS NOT NULL"), total)
 
-    cut = materialise(heads(docs, hot, power, size, percent), "heads")
-    tokens = cut.select("set", F.explode("head").alias("token"))
-    ends = tokens.groupBy("token").agg(F.min("set").alias("least"), F.max("set").alias("most"))
-    shared = materialise(ends.filter("least != most").select("token", "least"), "shared-tokens")
-    active = materialise(tokens.join(shared, "token").distinct(), "active")
-
+    active = materialise(active_tokens(materialise(heads(docs, hot, power, size, percent), "heads")), "active")
     may_link = active.groupBy("set").count().filter(F.col("count") >= COMMON).select("set")
-    wanted = materialise(sizes.join(may_link, "set").select("set", "text_key"), "wanted")
-    sets = materialise(whole_sets(docs, wanted, size), "whole-sets")
+    wanted = materialise(sizes.join(may_link, "set").select("set", "text_key", "least"), "wanted")
+    texts = texts_of(docs, wanted)
 
-    tied = materialise(links(ties(active), sizes, sets, percent), "ties")
-    across = links(opened(active, components(tied)), sizes, sets, percent)
+    tied = materialise(links(ties(active), sizes, texts, size, percent), "ties")
+    across = links(opened(active, components(tied)), sizes, texts, size, percent)
     roots = components(tied.unionByName(across))
 
     named = sizes.join(roots, F.col("set") == F.col("node"), "left").select(
