@@ -1,12 +1,12 @@
 """Documents whose word n-grams overlap, by a join of sets with a token-group matrix.
 
 Sets are ordered by rarity, and of each only a head is matched: as many of its rarest tokens as must hold
-``COMMON`` tokens of any set that reaches the threshold. Sets are first tied to one set that shares most
-of their head; what such ties connect is a group. The token-group matrix has a row for every token and
+``COMMON`` tokens of any set that reaches the threshold. Sets are first tied to the set at the
+centre of most tokens of their head; what such ties connect is a group. The token-group matrix has a row for every token and
 group in whose union of heads it stands, however many members have it. Tokens that a query shares with
-that union bound its overlap with each member, so only groups with ``COMMON`` of them are opened, and only
+that union bound its overlap with each member, so only groups with enough of them are opened, and only
 by queries of another, smaller group: members of one group are connected already. Opened members that
-share as many tokens of the head are compared whole. The answer is exact whatever the groups are.
+share enough tokens of the head are compared whole. The answer is exact whatever the groups are.
 
 Rarity comes from counts of the frequent tokens, at most ``MOST_HOT`` of them, so that a passage of many
 documents is matched last. The order decides how much is compared and never what is found.
@@ -30,6 +30,7 @@ SHINGLE, PERCENT, COMMON = 4, 85, 3
 LEAST_PERCENT = 75
 MOST_HOT, LEAST_HOT = 1 << 20, 8
 TOKENS_COUNTED = 1 << 22  # tokens of texts that a task counts at once
+ROUNDS_OF_TIES = 2
 MOST_SEEN = 1 << 20  # sets that a task remembers, not to send them twice
 
 
@@ -154,13 +155,13 @@ def heads(docs: DataFrame, hot: np.ndarray, power: np.ndarray, size: int, percen
 
 
 def _shared(tokens: DataFrame) -> DataFrame:
-    """The tokens of more than one set, and the least set that has each."""
+    """The tokens of more than one set."""
     ends = tokens.groupBy("token").agg(F.min("set").alias("least"), F.max("set").alias("most"))
-    return ends.filter("least != most").select("token", "least")
+    return ends.filter("least != most").select("token")
 
 
 def active_tokens(cut: DataFrame) -> DataFrame:
-    """token, set, least: the tokens of heads that another head may share, and the least set that has each.
+    """token and set: the tokens of heads that stand in another head as well.
 
     Tokens that are not among the frequent stand in less than two in ``MOST_HOT`` of all places, so they
     are dealt by token once, and counted and joined where they lie. The frequent ones are summed in each
@@ -182,11 +183,8 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found if rows == sets else materialise(found.groupBy("set").agg(F.first("text").alias("text")), "texts")
 
 
-def links(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (u, v) whose sets reach the threshold, each pair compared whole, from the texts."""
-    n_u, n_v = (sizes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}")) for c in "uv")
-    fits = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent
-    pairs = materialise(pairs.join(n_u, "u").join(n_v, "v").filter(fits).select("u", "v"), "pairs")
     of_u = texts.join(pairs, F.col("set") == F.col("u")).select("u", "v", F.col("text").alias("of_u"))
     of_v = texts.join(pairs.select("v").distinct(), F.col("set") == F.col("v"), "left_semi")
     both = of_u.join(of_v.select(F.col("set").alias("v"), F.col("text").alias("of_v")), "v")
@@ -218,42 +216,85 @@ def links(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, size: int, perce
     return both.mapInArrow(compare, "u bigint, v bigint")
 
 
-def ties(active: DataFrame) -> DataFrame:
-    """u, v: each set and, of the least sets that its tokens stand in, the one that most of them name."""
-    votes = active.filter("`set` != least").groupBy("set", "least").count().filter(F.col("count") >= COMMON)
-    best = votes.groupBy("set").agg(F.max_by("least", F.struct("count", "least")).alias("v"))
+def _head_size(n: Column, percent: int) -> Column:
+    return n - F.ceil(n * percent / 100) + COMMON
+
+
+def _least_common(n_u: Column, n_v: Column, percent: int) -> Column:
+    """How many tokens of their heads two sets of these sizes share at least, if they reach the threshold.
+
+    Up to where the first of the two heads ends, all that they share is in both heads; what follows is
+    no more than the rest of that set.
+    """
+    overlap = F.ceil((n_u + n_v) * percent / (100 + percent))
+    rest = F.greatest(n_u - _head_size(n_u, percent), n_v - _head_size(n_v, percent))
+    return F.greatest(F.lit(COMMON), overlap - rest)
+
+
+def in_groups(active: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """token, set, n, alone, group, members: the tokens of heads, with the group of their set and how
+    many tokens of its head it has alone."""
+    own = sets.withColumns({"group": F.col("set"), "members": F.lit(1).cast("bigint")})
+    if roots is not None:
+        members = roots.groupBy("root").agg(F.count("*").alias("of_root"))
+        found = sets.join(roots.join(members, "root"), F.col("set") == F.col("node"), "left")
+        own = found.select(
+            *sets.columns, F.coalesce("root", "set").alias("group"), F.coalesce("of_root", F.lit(1)).alias("members")
+        )
+    return materialise(active.join(own, "set"), "in-groups")
+
+
+def ties(named: DataFrame, percent: int) -> DataFrame:
+    """u, v: each set and, of the sets at the centre of its tokens, the one that most of them name.
+
+    The centre of a token is, in the greatest group that has it, the set with the fewest tokens alone: the
+    original of many near copies rather than one of them. There is one row a token and set, whatever the
+    size of a group.
+    """
+    centre = named.groupBy("token").agg(
+        F.max(F.struct("members", (-F.col("alone")).alias("shared"), "set", "n", "group")).alias("c")
+    ).select("token", F.col("c.set").alias("v"), F.col("c.n").alias("n_v"), F.col("c.group").alias("of"))
+    fits = F.least("n", "n_v") * 100 >= F.greatest("n", "n_v") * percent
+    votes = named.join(centre, "token").filter((F.col("group") != F.col("of")) & fits).groupBy("set", "v").count()
+    best = votes.filter(F.col("count") >= COMMON).groupBy("set").agg(F.max_by("v", F.struct("count", "v")).alias("v"))
     return best.select(F.col("set").alias("u"), "v")
 
 
-def opened(active: DataFrame, roots: DataFrame) -> DataFrame:
-    """u, v: sets of different groups that share ``COMMON`` tokens of their heads, by the token-group matrix.
+def opened(named: DataFrame, percent: int) -> DataFrame:
+    """u, v: sets of different groups whose heads share enough tokens, by the token-group matrix.
 
     Every two groups are looked at once, from the smaller one (of equal ones that of the lesser name). A
     token's greatest group sends no queries for it, so however many members it has, they cost nothing
-    unless a set outside asks for them.
+    unless a set outside asks for them. A group is opened if the tokens that a query shares with its union
+    are enough for one of the sizes it has.
     """
-    members = roots.groupBy("root").agg(F.count("*").alias("members"))
-    named = roots.join(members, "root").select(F.col("node").alias("set"), F.col("root").alias("group"), "members")
-    of_set = active.select("token", "set").join(named, "set", "left").select(
-        "token", "set", F.coalesce("group", "set").alias("group"), F.coalesce("members", F.lit(1)).alias("members")
-    )
-    of_set = materialise(of_set, "tokens-of-groups")
-    matrix = of_set.select("token", "group", "members").distinct()
+    matrix = named.groupBy("token", "group", "members").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"))
     spread = matrix.groupBy("token").agg(
         F.max(F.struct("members", "group")).alias("greatest"), F.count("*").alias("groups")
     ).filter("groups > 1").select("token", "greatest")
-    queries = of_set.join(spread, "token").filter("struct(members, `group`) < greatest")
-    queries = materialise(queries.drop("greatest"), "queries")
+    queries = named.join(spread, "token").filter("struct(members, `group`) < greatest")
+    queries = materialise(queries.select("token", "set", "n", "group", "members"), "queries")
     union = matrix.join(spread.select("token"), "token", "left_semi").select(
-        "token", F.col("group").alias("to"), F.col("members").alias("of")
+        "token", F.col("group").alias("to"), F.col("members").alias("of"), "n_least", "n_most"
+    )
+    n = F.col("n")
+    small, large = F.ceil(n * percent / 100), F.floor(n * 100 / percent)
+    met = queries.join(union, "token").filter(
+        F.expr("struct(members, `group`) < struct(of, to)") & (F.col("n_least") <= large) & (F.col("n_most") >= small)
     )
-    bound = queries.join(union, "token").filter("struct(members, `group`) < struct(of, to)")
-    qualifying = bound.groupBy("set", "to").count().filter(F.col("count") >= COMMON).select("set", "to")
+    shared = met.groupBy("set", "n", "to").agg(
+        F.count("*").alias("common"), F.min("n_least").alias("n_least"), F.max("n_most").alias("n_most")
+    )
+    # what is needed rises up to sizes of n and falls beyond, so it is least at either end, rounding apart
+    ends = [_least_common(n, size, percent) for size in (F.greatest("n_least", small), F.least("n_most", large))]
+    enough = F.greatest(F.lit(COMMON), F.least(*ends) - 1)
+    qualifying = shared.filter(F.col("common") >= enough).select("set", "n", "to")
     qualifying = materialise(qualifying, "qualifying")
     asked = qualifying.join(queries.select("set", "token"), "set")
-    inside = of_set.select("token", F.col("group").alias("to"), F.col("set").alias("v"))
-    met = asked.join(inside, ["token", "to"]).groupBy("set", "v").count().filter(F.col("count") >= COMMON)
-    return met.select(F.col("set").alias("u"), "v")
+    inside = named.select("token", F.col("group").alias("to"), F.col("set").alias("v"), F.col("n").alias("n_v"))
+    pairs = asked.join(inside, ["token", "to"]).groupBy("set", "n", "v", "n_v").agg(F.count("*").alias("common"))
+    reached = F.col("common") >= _least_common(n, F.col("n_v"), percent)
+    return pairs.filter(reached).select(F.col("set").alias("u"), "v")
 
 
 def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -279,13 +320,24 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     hot, power = hot_tokens(seen.filter("token IS NOT NULL"), total)
 
     active = materialise(active_tokens(materialise(heads(docs, hot, power, size, percent), "heads")), "active")
-    may_link = active.groupBy("set").count().filter(F.col("count") >= COMMON).select("set")
-    wanted = materialise(sizes.join(may_link, "set").select("set", "text_key", "least"), "wanted")
-    texts = texts_of(docs, wanted)
-
-    tied = materialise(links(ties(active), sizes, texts, size, percent), "ties")
-    across = links(opened(active, components(tied)), sizes, texts, size, percent)
-    roots = components(tied.unionByName(across))
+    may_link = active.groupBy("set").agg(F.count("*").alias("shared")).filter(F.col("shared") >= COMMON)
+    wanted = materialise(sizes.join(may_link, "set"), "wanted")
+    texts = texts_of(docs, wanted.select("set", "text_key", "least"))
+    alone = (_head_size(F.col("n"), percent) - F.col("shared")).alias("alone")
+    sets = materialise(wanted.select("set", "n", alone), "heads-shared")
+
+    tied = tried = roots = None
+    for _ in range(ROUNDS_OF_TIES):
+        pairs = ties(in_groups(active, sets, roots), percent)
+        if tried is not None:
+            pairs = pairs.join(tried, ["u", "v"], "left_anti")
+        pairs = materialise(pairs, "pairs")
+        found = materialise(links(pairs, texts, size, percent), "ties")
+        tied = found if tied is None else tied.unionByName(found)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        roots = components(tied)
+    across = materialise(opened(in_groups(active, sets, roots), percent), "pairs")
+    roots = components(tied.unionByName(links(across, texts, size, percent)))
 
     named = sizes.join(roots, F.col("set") == F.col("node"), "left").select(
         "set", "least", F.coalesce("root", "set").alias("root")

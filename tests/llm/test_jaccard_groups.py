@@ -75,7 +75,7 @@ def test_groups_are_opened_for_what_the_ties_miss(spark, monkeypatch):
     """With ties that connect nothing, every link comes through the matrix of tokens and groups."""
     rows = corpus()
     docs = inputs.documents(spark, rows).repartition(3)
-    monkeypatch.setattr(jaccard_groups, "ties", lambda active: active.limit(0).selectExpr("`set` u", "least v"))
+    monkeypatch.setattr(jaccard_groups, "ties", lambda named, percent: named.limit(0).selectExpr("`set` u", "n v"))
     assert inputs.bag(jaccard_groups.groups(docs)) == brute(rows)
 
 
