@@ -30,7 +30,6 @@ SHINGLE, PERCENT, COMMON = 4, 85, 3
 LEAST_PERCENT = 75
 MOST_HOT, LEAST_HOT = 1 << 20, 8
 TOKENS_COUNTED = 1 << 22  # tokens of texts that a task counts at once
-ROUNDS_OF_TIES = 2
 MOST_SEEN = 1 << 20  # sets that a task remembers, not to send them twice
 
 
@@ -161,14 +160,15 @@ def _shared(tokens: DataFrame) -> DataFrame:
 
 
 def active_tokens(cut: DataFrame) -> DataFrame:
-    """token and set: the tokens of heads that stand in another head as well.
+    """token, set and at: the tokens of heads that stand in another head as well, with their places.
 
     Tokens that are not among the frequent stand in less than two in ``MOST_HOT`` of all places, so they
     are dealt by token once, and counted and joined where they lie. The frequent ones are summed in each
     task and joined with their own short table.
     """
-    rare = cut.select("set", F.explode("rare").alias("token")).repartition("token")
-    frequent = cut.select("set", F.explode("frequent").alias("token"))
+    rare = cut.select("set", F.posexplode("rare").alias("at", "token")).repartition("token")
+    frequent = cut.select("set", F.size("rare").alias("before"), F.posexplode("frequent").alias("at", "token"))
+    frequent = frequent.select("set", (F.col("at") + F.col("before")).alias("at"), "token")
     of_frequent = materialise(_shared(frequent), "frequent-tokens")
     both = rare.join(_shared(rare), "token").unionByName(frequent.join(of_frequent, "token"))
     return both.distinct()  # tasks may have sent the same set
@@ -183,8 +183,11 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found if rows == sets else materialise(found.groupBy("set").agg(F.first("text").alias("text")), "texts")
 
 
-def links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def links(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (u, v) whose sets reach the threshold, each pair compared whole, from the texts."""
+    either = pairs.select(F.explode(F.array("u", "v")).alias("set")).distinct()
+    wanted = materialise(sizes.join(either, "set").select("set", "text_key", "least"), "wanted")
+    texts = texts_of(docs, wanted)
     of_u = texts.join(pairs, F.col("set") == F.col("u")).select("u", "v", F.col("text").alias("of_u"))
     of_v = texts.join(pairs.select("v").distinct(), F.col("set") == F.col("v"), "left_semi")
     both = of_u.join(of_v.select(F.col("set").alias("v"), F.col("text").alias("of_v")), "v")
@@ -220,20 +223,15 @@ def _head_size(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / 100) + COMMON
 
 
-def _least_common(n_u: Column, n_v: Column, percent: int) -> Column:
-    """How many tokens of their heads two sets of these sizes share at least, if they reach the threshold.
-
-    Up to where the first of the two heads ends, all that they share is in both heads; what follows is
-    no more than the rest of that set.
-    """
-    overlap = F.ceil((n_u + n_v) * percent / (100 + percent))
-    rest = F.greatest(n_u - _head_size(n_u, percent), n_v - _head_size(n_v, percent))
-    return F.greatest(F.lit(COMMON), overlap - rest)
+def _overlap(n_u: Column, n_v: Column, percent: int) -> Column:
+    """The least overlap with which sets of these sizes reach the threshold."""
+    return F.ceil((n_u + n_v) * percent / (100 + percent))
 
 
-def in_groups(active: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """token, set, n, alone, group, members: the tokens of heads, with the group of their set and how
-    many tokens of its head it has alone."""
+def in_groups(active: DataFrame, sets: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
+    """token, set, at, n, alone, group, members, early: the tokens of heads, with the group of their set and
+    how many tokens of its head it has alone. Of two sets that reach the threshold, ``COMMON`` tokens
+    that are early in the one that is not larger stand in the head of the other."""
     own = sets.withColumns({"group": F.col("set"), "members": F.lit(1).cast("bigint")})
     if roots is not None:
         members = roots.groupBy("root").agg(F.count("*").alias("of_root"))
@@ -241,7 +239,9 @@ def in_groups(active: DataFrame, sets: DataFrame, roots: DataFrame | None) -> Da
         own = found.select(
             *sets.columns, F.coalesce("root", "set").alias("group"), F.coalesce("of_root", F.lit(1)).alias("members")
         )
-    return materialise(active.join(own, "set"), "in-groups")
+    n = F.col("n")
+    early = F.col("at") < n - _overlap(n, n, percent) + COMMON
+    return materialise(active.join(own, "set").withColumn("early", early), "in-groups")
 
 
 def ties(named: DataFrame, percent: int) -> DataFrame:
@@ -265,35 +265,38 @@ def opened(named: DataFrame, percent: int) -> DataFrame:
 
     Every two groups are looked at once, from the smaller one (of equal ones that of the lesser name). A
     token's greatest group sends no queries for it, so however many members it has, they cost nothing
-    unless a set outside asks for them. A group is opened if the tokens that a query shares with its union
-    are enough for one of the sizes it has.
+    unless a set outside asks for them. A group is opened if a query shares ``COMMON`` tokens with its union
+    that are early enough for one of the sizes it has.
     """
-    matrix = named.groupBy("token", "group", "members").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"))
+    n, group = F.col("n"), ["token", "group", "members"]
+    matrix = named.groupBy(*group).agg(
+        F.min("n").alias("n_least"), F.max("n").alias("n_most"), F.max("early").alias("any_early")
+    )
     spread = matrix.groupBy("token").agg(
         F.max(F.struct("members", "group")).alias("greatest"), F.count("*").alias("groups")
     ).filter("groups > 1").select("token", "greatest")
     queries = named.join(spread, "token").filter("struct(members, `group`) < greatest")
-    queries = materialise(queries.select("token", "set", "n", "group", "members"), "queries")
+    queries = materialise(queries.select(*group, "set", "at", "n", "early"), "queries")
     union = matrix.join(spread.select("token"), "token", "left_semi").select(
-        "token", F.col("group").alias("to"), F.col("members").alias("of"), "n_least", "n_most"
+        "token", F.col("group").alias("to"), F.col("members").alias("of"), "n_least", "n_most", "any_early"
     )
-    n = F.col("n")
-    small, large = F.ceil(n * percent / 100), F.floor(n * 100 / percent)
     met = queries.join(union, "token").filter(
-        F.expr("struct(members, `group`) < struct(of, to)") & (F.col("n_least") <= large) & (F.col("n_most") >= small)
+        F.expr("struct(members, `group`) < struct(of, to)")
+        & (F.col("n_least") <= F.floor(n * 100 / percent)) & (F.col("n_most") >= F.ceil(n * percent / 100))
+        & ((F.col("early") & (F.col("n_most") >= n)) | (F.col("any_early") & (F.col("n_least") <= n)))
     )
-    shared = met.groupBy("set", "n", "to").agg(
-        F.count("*").alias("common"), F.min("n_least").alias("n_least"), F.max("n_most").alias("n_most")
-    )
-    # what is needed rises up to sizes of n and falls beyond, so it is least at either end, rounding apart
-    ends = [_least_common(n, size, percent) for size in (F.greatest("n_least", small), F.least("n_most", large))]
-    enough = F.greatest(F.lit(COMMON), F.least(*ends) - 1)
-    qualifying = shared.filter(F.col("common") >= enough).select("set", "n", "to")
+    qualifying = met.groupBy("set", "to").count().filter(F.col("count") >= COMMON).select("set", "to")
     qualifying = materialise(qualifying, "qualifying")
-    asked = qualifying.join(queries.select("set", "token"), "set")
-    inside = named.select("token", F.col("group").alias("to"), F.col("set").alias("v"), F.col("n").alias("n_v"))
-    pairs = asked.join(inside, ["token", "to"]).groupBy("set", "n", "v", "n_v").agg(F.count("*").alias("common"))
-    reached = F.col("common") >= _least_common(n, F.col("n_v"), percent)
+    asked = qualifying.join(queries.select("set", "token", "at", "n"), "set")
+    inside = named.select(
+        "token", F.col("group").alias("to"), F.col("set").alias("v"), F.col("n").alias("n_v"), F.col("at").alias("at_v")
+    )
+    pairs = asked.join(inside, ["token", "to"]).groupBy("set", "n", "v", "n_v").agg(
+        F.count("*").alias("common"), F.max("at").alias("at"), F.max("at_v").alias("at_v")
+    )
+    # whatever else the two share comes after the last token that their heads share
+    most = F.col("common") + F.least(n - F.col("at"), F.col("n_v") - F.col("at_v")) - 1
+    reached = (F.col("common") >= COMMON) & (most >= _overlap(n, F.col("n_v"), percent))
     return pairs.filter(reached).select(F.col("set").alias("u"), "v")
 
 
@@ -320,24 +323,14 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     hot, power = hot_tokens(seen.filter("token IS NOT NULL"), total)
 
     active = materialise(active_tokens(materialise(heads(docs, hot, power, size, percent), "heads")), "active")
-    may_link = active.groupBy("set").agg(F.count("*").alias("shared")).filter(F.col("shared") >= COMMON)
-    wanted = materialise(sizes.join(may_link, "set"), "wanted")
-    texts = texts_of(docs, wanted.select("set", "text_key", "least"))
+    shared = active.groupBy("set").agg(F.count("*").alias("shared")).filter(F.col("shared") >= COMMON)
     alone = (_head_size(F.col("n"), percent) - F.col("shared")).alias("alone")
-    sets = materialise(wanted.select("set", "n", alone), "heads-shared")
-
-    tied = tried = roots = None
-    for _ in range(ROUNDS_OF_TIES):
-        pairs = ties(in_groups(active, sets, roots), percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        found = materialise(links(pairs, texts, size, percent), "ties")
-        tied = found if tied is None else tied.unionByName(found)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        roots = components(tied)
-    across = materialise(opened(in_groups(active, sets, roots), percent), "pairs")
-    roots = components(tied.unionByName(links(across, texts, size, percent)))
+    sets = materialise(sizes.join(shared, "set").select("set", "n", alone), "sets-of-heads")
+
+    pairs = materialise(ties(in_groups(active, sets, None, percent), percent), "pairs")
+    tied = materialise(links(pairs, docs, sizes, size, percent), "ties")
+    pairs = materialise(opened(in_groups(active, sets, components(tied), percent), percent), "pairs")
+    roots = components(tied.unionByName(links(pairs, docs, sizes, size, percent)))
 
     named = sizes.join(roots, F.col("set") == F.col("node"), "left").select(
         "set", "least", F.coalesce("root", "set").alias("root")
