@@ -1,7 +1,7 @@
 """Documents whose word n-grams overlap, by a join of sets with a token-group matrix.
 
 Sets are ordered by rarity, and of each only a head is matched: as many of its rarest tokens as must hold
-``COMMON`` tokens of any set that reaches the threshold. Sets are first tied to the set at the
+a few tokens of any set that reaches the threshold. Sets are first tied to the set at the
 centre of most tokens of their head; what such ties connect is a group. The token-group matrix has a row for every token and
 group in whose union of heads it stands, however many members have it. Tokens that a query shares with
 that union bound its overlap with each member, so only groups with enough of them are opened, and only
@@ -26,8 +26,7 @@ from daybook.llm.components import components
 from daybook.llm.words import ngram_hashes, raw_bytes, word_hashes
 from daybook.session import materialise
 
-SHINGLE, PERCENT, COMMON = 4, 85, 3
-LEAST_PERCENT = 75
+SHINGLE, PERCENT = 4, 85
 MOST_HOT, LEAST_HOT = 1 << 20, 8
 TOKENS_COUNTED = 1 << 22  # tokens of texts that a task counts at once
 MOST_SEEN = 1 << 20  # sets that a task remembers, not to send them twice
@@ -42,10 +41,10 @@ def tokens_of(text: str | None, size: int = SHINGLE) -> np.ndarray:
 
 
 def set_key(tokens: np.ndarray) -> int | None:
-    """One number for a set, so that equal sets are compared once; None for an empty one."""
+    """One even number for a set, so that equal sets are compared once; None for an empty one."""
     if not len(tokens):
         return None
-    return int(np.array([xxhash.xxh3_64_intdigest(tokens.tobytes())], np.uint64).view(np.int64)[0])
+    return int(np.array([xxhash.xxh3_64_intdigest(tokens.tobytes())], np.uint64).view(np.int64)[0]) & ~1
 
 
 def needed(n: int, percent: int = PERCENT) -> int:
@@ -53,9 +52,10 @@ def needed(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
-def least_size(percent: int = PERCENT) -> int:
-    """Sets with fewer tokens reach the threshold with equal sets only."""
-    return max(COMMON, -(-percent // (100 - percent)))
+def common(percent: int = PERCENT) -> int:
+    """How many tokens the heads of two sets that reach the threshold share at least. Sets of fewer tokens
+    reach it with equal sets only."""
+    return -(-percent // (100 - percent))
 
 
 def described(docs: DataFrame, size: int) -> DataFrame:
@@ -112,7 +112,7 @@ def hot_tokens(counted: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def head(tokens: np.ndarray, hot: np.ndarray, power: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
-    """The rarest tokens of a set, ``COMMON`` of which stand in the head of any set that reaches the
+    """The rarest tokens of a set, ``common`` of which stand in the head of any set that reaches the
     threshold, and how many of them, the first ones, are not among the frequent."""
     rank = np.zeros(len(tokens), np.uint8)
     if len(hot):
@@ -120,13 +120,14 @@ def head(tokens: np.ndarray, hot: np.ndarray, power: np.ndarray, percent: int =
         rank = np.where(hot[at] == tokens, power[at], 0)
         order = np.argsort(rank, kind="stable")
         tokens, rank = tokens[order], rank[order]
-    n = len(tokens) - needed(len(tokens), percent) + COMMON
+    n = len(tokens) - needed(len(tokens), percent) + common(percent)
     return tokens[:n], int(np.count_nonzero(rank[:n] == 0))
 
 
 def heads(docs: DataFrame, hot: np.ndarray, power: np.ndarray, size: int, percent: int) -> DataFrame:
-    """set, rare and frequent, the two parts of the head of every set that may reach the threshold with a
-    different one; a task sends a set once."""
+    """set, n_early, rare and frequent, the two parts of the head of every set that may reach the threshold
+    with a different one; a task sends a set once. Of two sets that reach the threshold, ``common`` tokens
+    that are early in the one that is not larger stand in the head of the other."""
 
     def lists(found: list[np.ndarray]) -> pa.Array:
         offsets = pa.array(np.r_[0, np.cumsum([len(f) for f in found])].astype(np.int32))
@@ -135,43 +136,52 @@ def heads(docs: DataFrame, hot: np.ndarray, power: np.ndarray, size: int, percen
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            keys, rare, frequent = [], [], []
+            keys, early, rare, frequent = [], [], [], []
             for text in batch.column("text"):
                 tokens = tokens_of(text.as_py(), size)
                 key = set_key(tokens)
-                if len(tokens) < least_size(percent) or key in seen:
+                if len(tokens) < common(percent) or key in seen:
                     continue
                 seen = seen if len(seen) < MOST_SEEN else set()
                 seen.add(key)
                 found, n_rare = head(tokens, hot, power, percent)
                 keys.append(key)
+                early.append(len(tokens) - -(-2 * percent * len(tokens) // (100 + percent)) + common(percent))
                 rare.append(found[:n_rare])
                 frequent.append(found[n_rare:])
-            columns = [pa.array(keys, pa.int64()), lists(rare), lists(frequent)]
-            yield pa.RecordBatch.from_arrays(columns, ["set", "rare", "frequent"])
+            columns = [pa.array(keys, pa.int64()), pa.array(early, pa.int64()), lists(rare), lists(frequent)]
+            yield pa.RecordBatch.from_arrays(columns, ["set", "n_early", "rare", "frequent"])
 
-    return docs.select("text").mapInArrow(cut, "`set` bigint, rare array<bigint>, frequent array<bigint>")
+    kind = "`set` bigint, n_early bigint, rare array<bigint>, frequent array<bigint>"
+    return docs.select("text").mapInArrow(cut, kind)
 
 
 def _shared(tokens: DataFrame) -> DataFrame:
     """The tokens of more than one set."""
-    ends = tokens.groupBy("token").agg(F.min("set").alias("least"), F.max("set").alias("most"))
-    return ends.filter("least != most").select("token")
+    ends = tokens.groupBy("token").agg(F.min("marked").alias("least"), F.max("marked").alias("most"))
+    return ends.filter("shiftright(least, 1) != shiftright(most, 1)").select("token")
 
 
 def active_tokens(cut: DataFrame) -> DataFrame:
-    """token, set and at: the tokens of heads that stand in another head as well, with their places.
+    """token, set, early: the tokens of heads that stand in another head as well.
 
     Tokens that are not among the frequent stand in less than two in ``MOST_HOT`` of all places, so they
     are dealt by token once, and counted and joined where they lie. The frequent ones are summed in each
-    task and joined with their own short table.
+    task and joined with their own short table. The last bit of a set's number marks early tokens.
     """
-    rare = cut.select("set", F.posexplode("rare").alias("at", "token")).repartition("token")
-    frequent = cut.select("set", F.size("rare").alias("before"), F.posexplode("frequent").alias("at", "token"))
-    frequent = frequent.select("set", (F.col("at") + F.col("before")).alias("at"), "token")
+
+    def exploded(part: str, before: Column) -> DataFrame:
+        placed = cut.select("set", "n_early", before.alias("before"), F.posexplode(part).alias("at", "token"))
+        mark = F.when(F.col("at") + F.col("before") < F.col("n_early"), 1).otherwise(0).cast("bigint")
+        return placed.select("token", F.col("set").bitwiseOR(mark).alias("marked"))
+
+    rare = exploded("rare", F.lit(0)).repartition("token")
+    frequent = exploded("frequent", F.size("rare"))
     of_frequent = materialise(_shared(frequent), "frequent-tokens")
     both = rare.join(_shared(rare), "token").unionByName(frequent.join(of_frequent, "token"))
-    return both.distinct()  # tasks may have sent the same set
+    early = F.col("marked").bitwiseAND(F.lit(1)) == 1
+    # tasks may have sent the same set
+    return both.distinct().select("token", (F.col("marked") - early.cast("bigint")).alias("set"), early.alias("early"))
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -219,19 +229,9 @@ def links(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, size: int, percen
     return both.mapInArrow(compare, "u bigint, v bigint")
 
 
-def _head_size(n: Column, percent: int) -> Column:
-    return n - F.ceil(n * percent / 100) + COMMON
-
-
-def _overlap(n_u: Column, n_v: Column, percent: int) -> Column:
-    """The least overlap with which sets of these sizes reach the threshold."""
-    return F.ceil((n_u + n_v) * percent / (100 + percent))
-
-
-def in_groups(active: DataFrame, sets: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
-    """token, set, at, n, alone, group, members, early: the tokens of heads, with the group of their set and
-    how many tokens of its head it has alone. Of two sets that reach the threshold, ``COMMON`` tokens
-    that are early in the one that is not larger stand in the head of the other."""
+def in_groups(active: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """token, set, early, n, alone, group, members: the tokens of heads, with the group of their set and how
+    many tokens of its head it has alone. Token tables grow with the data, so they are merged at any size."""
     own = sets.withColumns({"group": F.col("set"), "members": F.lit(1).cast("bigint")})
     if roots is not None:
         members = roots.groupBy("root").agg(F.count("*").alias("of_root"))
@@ -239,9 +239,7 @@ def in_groups(active: DataFrame, sets: DataFrame, roots: DataFrame | None, perce
         own = found.select(
             *sets.columns, F.coalesce("root", "set").alias("group"), F.coalesce("of_root", F.lit(1)).alias("members")
         )
-    n = F.col("n")
-    early = F.col("at") < n - _overlap(n, n, percent) + COMMON
-    return materialise(active.join(own, "set").withColumn("early", early), "in-groups")
+    return materialise(active.join(own.hint("merge"), "set"), "in-groups")
 
 
 def ties(named: DataFrame, percent: int) -> DataFrame:
@@ -255,8 +253,8 @@ def ties(named: DataFrame, percent: int) -> DataFrame:
         F.max(F.struct("members", (-F.col("alone")).alias("shared"), "set", "n", "group")).alias("c")
     ).select("token", F.col("c.set").alias("v"), F.col("c.n").alias("n_v"), F.col("c.group").alias("of"))
     fits = F.least("n", "n_v") * 100 >= F.greatest("n", "n_v") * percent
-    votes = named.join(centre, "token").filter((F.col("group") != F.col("of")) & fits).groupBy("set", "v").count()
-    best = votes.filter(F.col("count") >= COMMON).groupBy("set").agg(F.max_by("v", F.struct("count", "v")).alias("v"))
+    votes = named.join(centre.hint("merge"), "token").filter((F.col("group") != F.col("of")) & fits).groupBy("set", "v").count()
+    best = votes.filter(F.col("count") >= common(percent)).groupBy("set").agg(F.max_by("v", F.struct("count", "v")).alias("v"))
     return best.select(F.col("set").alias("u"), "v")
 
 
@@ -265,8 +263,8 @@ def opened(named: DataFrame, percent: int) -> DataFrame:
 
     Every two groups are looked at once, from the smaller one (of equal ones that of the lesser name). A
     token's greatest group sends no queries for it, so however many members it has, they cost nothing
-    unless a set outside asks for them. A group is opened if a query shares ``COMMON`` tokens with its union
-    that are early enough for one of the sizes it has.
+    unless a set outside asks for them. A group is opened if a query shares ``common`` tokens with its union
+    that are early enough for one of the sizes it has, and a member compared if it has as many of them.
     """
     n, group = F.col("n"), ["token", "group", "members"]
     matrix = named.groupBy(*group).agg(
@@ -275,29 +273,33 @@ def opened(named: DataFrame, percent: int) -> DataFrame:
     spread = matrix.groupBy("token").agg(
         F.max(F.struct("members", "group")).alias("greatest"), F.count("*").alias("groups")
     ).filter("groups > 1").select("token", "greatest")
-    queries = named.join(spread, "token").filter("struct(members, `group`) < greatest")
-    queries = materialise(queries.select(*group, "set", "at", "n", "early"), "queries")
-    union = matrix.join(spread.select("token"), "token", "left_semi").select(
+    queries = named.join(spread.hint("merge"), "token").filter("struct(members, `group`) < greatest")
+    queries = materialise(queries.select(*group, "set", "n", "early"), "queries")
+    union = matrix.join(spread.select("token").hint("merge"), "token", "left_semi").select(
         "token", F.col("group").alias("to"), F.col("members").alias("of"), "n_least", "n_most", "any_early"
     )
-    met = queries.join(union, "token").filter(
-        F.expr("struct(members, `group`) < struct(of, to)")
-        & (F.col("n_least") <= F.floor(n * 100 / percent)) & (F.col("n_most") >= F.ceil(n * percent / 100))
-        & ((F.col("early") & (F.col("n_most") >= n)) | (F.col("any_early") & (F.col("n_least") <= n)))
+    small, large = F.ceil(n * percent / 100), F.floor(n * 100 / percent)
+    met = queries.join(
+        union.hint("merge"),
+        (queries["token"] == union["token"])
+        & F.expr("struct(members, `group`) < struct(of, to)")
+        & (F.col("n_least") <= large) & (F.col("n_most") >= small)
+        & ((F.col("early") & (F.col("n_most") >= n)) | (F.col("any_early") & (F.col("n_least") <= n))),
     )
-    qualifying = met.groupBy("set", "to").count().filter(F.col("count") >= COMMON).select("set", "to")
+    qualifying = met.groupBy("set", "to").count().filter(F.col("count") >= common(percent)).select("set", "to")
     qualifying = materialise(qualifying, "qualifying")
-    asked = qualifying.join(queries.select("set", "token", "at", "n"), "set")
+    asked = qualifying.join(queries.select("set", "token", "n", "early").hint("merge"), "set")
+    asked = asked.withColumnsRenamed({"token": "q_token", "to": "q_to"})
     inside = named.select(
-        "token", F.col("group").alias("to"), F.col("set").alias("v"), F.col("n").alias("n_v"), F.col("at").alias("at_v")
+        "token", F.col("group").alias("to"), F.col("set").alias("v"), F.col("n").alias("n_v"),
+        F.col("early").alias("v_early"),
     )
-    pairs = asked.join(inside, ["token", "to"]).groupBy("set", "n", "v", "n_v").agg(
-        F.count("*").alias("common"), F.max("at").alias("at"), F.max("at_v").alias("at_v")
+    fits = F.col("n_v").between(small, large) & (
+        (F.col("early") & (F.col("n_v") >= n)) | (F.col("v_early") & (F.col("n_v") <= n))
     )
-    # whatever else the two share comes after the last token that their heads share
-    most = F.col("common") + F.least(n - F.col("at"), F.col("n_v") - F.col("at_v")) - 1
-    reached = (F.col("common") >= COMMON) & (most >= _overlap(n, F.col("n_v"), percent))
-    return pairs.filter(reached).select(F.col("set").alias("u"), "v")
+    same = (F.col("q_token") == F.col("token")) & (F.col("q_to") == F.col("to"))
+    pairs = asked.join(inside.hint("merge"), same & fits).groupBy("set", "v").count()
+    return pairs.filter(F.col("count") >= common(percent)).select(F.col("set").alias("u"), "v")
 
 
 def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -308,11 +310,10 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     texts without words, have an empty set and are components of their own. Equal sets are one set
     throughout, so copies cost one row each and their component is found once. Texts of any length are
     read whole; an empty table gives no rows; columns other than doc_id and text are not read. Sets are
-    told apart by 64-bit hashes of their tokens. ``percent`` is at least 75: below it, sets of fewer than
-    ``COMMON`` tokens could link.
+    told apart by 64-bit hashes of their tokens. ``percent`` is 51 to 99.
     """
-    if not LEAST_PERCENT <= percent < 100:
-        raise ValueError(f"percent is {LEAST_PERCENT} to 99")
+    if not 50 < percent < 100:
+        raise ValueError("percent is 51 to 99")
     seen = materialise(described(docs, size), "sets")
     rows = seen.filter("text_key IS NOT NULL").select("doc_id", "text_key", "set", "n")
     least = F.min("doc_id").alias("least")
@@ -323,13 +324,13 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     hot, power = hot_tokens(seen.filter("token IS NOT NULL"), total)
 
     active = materialise(active_tokens(materialise(heads(docs, hot, power, size, percent), "heads")), "active")
-    shared = active.groupBy("set").agg(F.count("*").alias("shared")).filter(F.col("shared") >= COMMON)
-    alone = (_head_size(F.col("n"), percent) - F.col("shared")).alias("alone")
-    sets = materialise(sizes.join(shared, "set").select("set", "n", alone), "sets-of-heads")
+    shared = active.groupBy("set").agg(F.count("*").alias("shared")).filter(F.col("shared") >= common(percent))
+    alone = F.col("n") - F.ceil(F.col("n") * percent / 100) - F.col("shared")
+    sets = materialise(sizes.join(shared, "set").select("set", "n", alone.alias("alone")), "sets-of-heads")
 
-    pairs = materialise(ties(in_groups(active, sets, None, percent), percent), "pairs")
+    pairs = materialise(ties(in_groups(active, sets, None), percent), "pairs")
     tied = materialise(links(pairs, docs, sizes, size, percent), "ties")
-    pairs = materialise(opened(in_groups(active, sets, components(tied), percent), percent), "pairs")
+    pairs = materialise(opened(in_groups(active, sets, components(tied)), percent), "pairs")
     roots = components(tied.unionByName(links(pairs, docs, sizes, size, percent)))
 
     named = sizes.join(roots, F.col("set") == F.col("node"), "left").select(
