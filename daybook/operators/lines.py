@@ -61,14 +61,8 @@ def with_catalogue(lines: DataFrame, products: DataFrame, *extra: Column) -> Dat
     return lines.join(catalogue, "product_id", "left")
 
 
-def validate_lines(lines: DataFrame, products: DataFrame, all_lines: bool = False) -> DataFrame:
-    """Lines with ``final_quantity``, ``line_cents`` and ``profit_cents``, for all days at once.
-
-    A line whose quantity exceeds the product's stock, or whose product is unknown, keeps its row
-    with null quantity and amounts. Each line is checked against the full stock on its own. Amounts
-    are rounded per line and kept whole; one beyond a long number of cents raises. Lines that ask
-    for no quantity are left out, or kept like cancelled ones with ``all_lines``.
-    """
+def with_line_amounts(lines: DataFrame, products: DataFrame, filled: Column) -> DataFrame:
+    """Adds the catalogue's columns, ``final_quantity`` where ``filled`` holds, and amounts in cents."""
     price, cost = F.col("sales_price"), F.col("cost_to_make")
     kinds = [products.schema[name].dataType for name in ("sales_price", "cost_to_make")]
     exact = all(holds_whole_cents(kind) for kind in kinds)
@@ -82,16 +76,26 @@ def validate_lines(lines: DataFrame, products: DataFrame, all_lines: bool = Fals
             return quantity.cast("bigint") * F.col(per_unit)
         return cents(F.round(quantity * F.col(per_unit), 2).cast(TOTAL))
 
-    quantity = F.col("quantity")
-    kept = lines if all_lines else requested(lines)
     return (
-        with_catalogue(kept, products, unit.alias("per_unit"), margin.alias("margin"))
-        .withColumn("final_quantity", F.when(quantity <= F.col("stock"), quantity))
+        with_catalogue(lines, products, unit.alias("per_unit"), margin.alias("margin"))
+        .withColumn("final_quantity", F.when(filled, F.col("quantity")))
         .withColumns({"line_cents": amount("per_unit"), "profit_cents": amount("margin")})
         .drop("per_unit", "margin")
     )
 
 
+def validate_lines(lines: DataFrame, products: DataFrame, all_lines: bool = False) -> DataFrame:
+    """Lines with ``final_quantity``, ``line_cents`` and ``profit_cents``, for all days at once.
+
+    A line whose quantity exceeds the product's stock, or whose product is unknown, keeps its row
+    with null quantity and amounts. Each line is checked against the full stock on its own. Amounts
+    are rounded per line and kept whole; one beyond a long number of cents raises. Lines that ask
+    for no quantity are left out, or kept like cancelled ones with ``all_lines``.
+    """
+    kept = lines if all_lines else requested(lines)
+    return with_line_amounts(kept, products, F.col("quantity") <= F.col("stock"))
+
+
 def with_amounts(validated: DataFrame) -> DataFrame:
     """Adds ``line_total`` and ``profit`` as decimals."""
     return validated.withColumns(

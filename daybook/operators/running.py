@@ -13,6 +13,12 @@ BLOCK = "block"
 BEFORE = "before_block"
 
 
+def in_blocks(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``block``: rows cut by group and order into consecutive blocks, and written, because
+    the borders come from a sample and must not be drawn twice."""
+    return materialise(df.repartitionByRange(*group, *order).withColumn(BLOCK, F.spark_partition_id()), "blocks")
+
+
 def running_total(
     df: DataFrame, group: list[str], order: list[str], value: str, out: str
 ) -> DataFrame:
@@ -23,9 +29,7 @@ def running_total(
     and the blocks before it are added from a table of one row per group and block. The blocks
     are written out first, because their borders come from a sample and must not be drawn twice.
     """
-    blocks = materialise(
-        df.repartitionByRange(*group, *order).withColumn(BLOCK, F.spark_partition_id()), "blocks"
-    )
+    blocks = in_blocks(df, group, order)
     sums = blocks.groupBy(*group, BLOCK).agg(F.sum(value).alias("block_sum"))
     earlier = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     keys = [*group, BLOCK]

@@ -125,6 +125,32 @@ FROM (
 """
 
 
+def _running_stock(partition: str) -> str:
+    """Lines one after the other: what is left after each is known only from the one before."""
+    same = " AND ".join(f"t.{name.strip()} = n.{name.strip()}" for name in partition.split(","))
+    return f"""
+, numbered AS MATERIALIZED (
+  SELECT l.batch_date, l.order_id, l.customer_id, l.product_id, l.quantity, p.opening_stock, p.sales_price, p.cost_to_make,
+         row_number() OVER (PARTITION BY {", ".join("l." + n.strip() for n in partition.split(","))}
+                            ORDER BY l.batch_date, l.order_datetime, l.order_id, l.quantity) AS n
+  FROM lines l JOIN products p USING (product_id) WHERE quantity IS NOT NULL
+), walked AS (
+  SELECT *, quantity <= opening_stock AS filled,
+         opening_stock - CASE WHEN quantity <= opening_stock THEN quantity ELSE 0 END AS remaining
+  FROM numbered WHERE n = 1
+  UNION ALL
+  SELECT n.*, n.quantity <= t.remaining, t.remaining - CASE WHEN n.quantity <= t.remaining THEN n.quantity ELSE 0 END
+  FROM walked t JOIN numbered n ON {same} AND n.n = t.n + 1
+)
+SELECT {LINE}, CASE WHEN filled THEN quantity END AS final_quantity,
+       CAST(CASE WHEN filled THEN round(quantity * sales_price, 2) END AS DECIMAL(18,2)) AS line_total,
+       CAST(CASE WHEN filled THEN round((sales_price - cost_to_make) * quantity, 2) END AS DECIMAL(18,2)) AS profit
+FROM walked
+UNION ALL
+SELECT {LINE}, NULL, NULL, NULL FROM lines ANTI JOIN products USING (product_id) WHERE quantity IS NOT NULL
+"""
+
+
 _STATEMENTS = {
     "src_csv_roundtrip": "SELECT * FROM products",
     "src_csv_customers": "SELECT * FROM customers",
@@ -174,6 +200,8 @@ FROM items LEFT JOIN products USING (product_id)""",
 SELECT {LINE}, final_quantity FROM validated SEMI JOIN valid_orders USING (batch_date, order_id)""",
     "enrich_orders_customers": "SELECT * FROM headers LEFT JOIN customers USING (customer_id)",
     "validate_stock": f"SELECT {LINE}, stock, final_quantity FROM validated",
+    "validate_running_stock": _running_stock("product_id"),
+    "validate_running_stock_daily_reload": _running_stock("product_id, batch_date"),
     "line_total": "SELECT order_id, product_id, final_quantity, unit_price, line_total FROM validated",
     "profit_per_line": "SELECT order_id, product_id, final_quantity, profit FROM validated",
     "valid_orders_having": "SELECT * FROM valid_orders",
@@ -240,4 +268,10 @@ FROM (SELECT series_key, y, mean_y + slope * (date_diff('day', DATE '1970-01-01'
 GROUP BY series_key""",
 }
 
-ORACLES = {name: BASE + statement for name, statement in _STATEMENTS.items()}
+def _with_base(statement: str) -> str:
+    """A statement that adds its own tables to the common ones begins with a comma."""
+    recursive = "t.n + 1" in statement
+    return (BASE.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else BASE) + statement
+
+
+ORACLES = {name: _with_base(statement) for name, statement in _STATEMENTS.items()}

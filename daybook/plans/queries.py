@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook import schemas
 from daybook.functions import dates
-from daybook.operators import forecast, inventory, lines, orders, seasonal, series, summary, trend
+from daybook.operators import forecast, inventory, lines, orders, running_stock, seasonal, series, summary, trend
 from daybook.plans import driver_tables as given
 from daybook.plans.batch_run import run_batches
 from daybook.session import materialise, shared_dir
@@ -276,6 +276,23 @@ def validate_stock(spark, sf_dir):
     return given.validated(spark, sf_dir).select(*LINE, "stock", "final_quantity")
 
 
+def _running_stock(spark: SparkSession, sf_dir: str, reload_daily: bool) -> DataFrame:
+    asked, products = given.lines(spark, sf_dir, row_ids=True), given.products(spark, sf_dir)
+    checked = running_stock.validate_running_stock(asked, products, "opening_stock", reload_daily)
+    return lines.with_amounts(checked).select(*LINE, "final_quantity", "line_total", "profit")
+
+
+@query
+def validate_running_stock(spark, sf_dir):
+    """Lines filled only by what earlier filled lines have left."""
+    return _running_stock(spark, sf_dir, reload_daily=False)
+
+
+@query
+def validate_running_stock_daily_reload(spark, sf_dir):
+    return _running_stock(spark, sf_dir, reload_daily=True)
+
+
 @query
 def line_total(spark, sf_dir):
     return lines.with_amounts(given.validated(spark, sf_dir)).select(
