@@ -61,29 +61,38 @@ def with_catalogue(lines: DataFrame, products: DataFrame, *extra: Column) -> Dat
     return lines.join(catalogue, "product_id", "left")
 
 
-def with_line_amounts(lines: DataFrame, products: DataFrame, filled: Column) -> DataFrame:
-    """Adds the catalogue's columns, ``final_quantity`` where ``filled`` holds, and amounts in cents."""
+def per_unit(products: DataFrame) -> tuple[list[Column], bool]:
+    """What a line needs of its product: price, cost, stock, and amounts of one unit. Also whether those
+    are whole cents, taken once per product, so that a line costs one multiplication of integers."""
     price, cost = F.col("sales_price"), F.col("cost_to_make")
     kinds = [products.schema[name].dataType for name in ("sales_price", "cost_to_make")]
     exact = all(holds_whole_cents(kind) for kind in kinds)
-    unit, margin = price, price - cost
-    if exact:  # once per product, so that a line costs one multiplication of integers
-        unit, margin = cents(unit), cents(margin)
+    unit, margin = (cents(price), cents(price - cost)) if exact else (price, price - cost)
+    return [price.alias("unit_price"), cost, F.col("stock"), unit.alias("per_unit"), margin.alias("margin")], exact
+
+
+def line_amounts(priced: DataFrame, filled: Column, exact: bool) -> DataFrame:
+    """``final_quantity`` where ``filled`` holds, and amounts in cents, in place of those of one unit."""
 
-    def amount(per_unit: str) -> Column:
+    def amount(of_unit: str) -> Column:
         quantity = F.col("final_quantity")
         if exact:
-            return quantity.cast("bigint") * F.col(per_unit)
-        return cents(F.round(quantity * F.col(per_unit), 2).cast(TOTAL))
+            return quantity.cast("bigint") * F.col(of_unit)
+        return cents(F.round(quantity * F.col(of_unit), 2).cast(TOTAL))
 
     return (
-        with_catalogue(lines, products, unit.alias("per_unit"), margin.alias("margin"))
-        .withColumn("final_quantity", F.when(filled, F.col("quantity")))
+        priced.withColumn("final_quantity", F.when(filled, F.col("quantity")))
         .withColumns({"line_cents": amount("per_unit"), "profit_cents": amount("margin")})
         .drop("per_unit", "margin")
     )
 
 
+def with_line_amounts(lines: DataFrame, products: DataFrame, filled: Column) -> DataFrame:
+    """Adds the catalogue's columns, ``final_quantity`` where ``filled`` holds, and amounts in cents."""
+    needed, exact = per_unit(products)
+    return line_amounts(with_catalogue(lines, products, *needed[3:]), filled, exact)
+
+
 def validate_lines(lines: DataFrame, products: DataFrame, all_lines: bool = False) -> DataFrame:
     """Lines with ``final_quantity``, ``line_cents`` and ``profit_cents``, for all days at once.
 

@@ -17,6 +17,7 @@ from daybook.schemas import MONEY
 from daybook.sources.files import row_id
 
 ROWS_PER_BLOCK = 1024
+VERSIONS, FIRST_DAY = 4, "1995-01-01"
 
 # The columns that are used; with them given, opening a table runs no job to infer its schema.
 COLUMNS = {
@@ -46,6 +47,21 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each product's price and stock change on days of its own; one in seven is listed from its second
+    version on, so its first lines have none."""
+    n = F.explode(F.sequence(F.lit(0), F.lit(VERSIONS - 1))).alias("n")
+    days = (F.col("product_id") * 37 + F.col("n") * F.col("n") * 211) % 2400
+    price = (F.col("sales_price") + F.col("n") * 7).cast(MONEY)
+    return (
+        products(spark, sf_dir).select("*", n).filter("n > 0 OR product_id % 7 > 0").select(
+            "product_id", "product_name", F.date_add(F.lit(FIRST_DAY).cast("date"), days.cast("int")).alias("valid_from"),
+            price.alias("sales_price"), (price * F.lit(Decimal("0.6"))).cast(MONEY).alias("cost_to_make"),
+            (F.col("stock") - F.col("n") * 3).alias("stock"),
+        )
+    )
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),

@@ -78,6 +78,13 @@ SELECT CAST(d AS DATE) AS date, strftime(d, '%Y%m%d') AS day_code
 FROM (SELECT unnest(generate_series(min(batch_date), max(batch_date), INTERVAL 1 DAY)) AS d FROM headers)
 """
 
+# Catalogue versions, as the driver's tables give them.
+VERSIONS = """
+SELECT product_id, product_name, valid_from, unit_price, CAST(unit_price * 0.6 AS DECIMAL(10,2)) AS cost, stock
+FROM (SELECT product_id, product_name, CAST(DATE '1995-01-01' + CAST((product_id * 37 + n * n * 211) % 2400 AS INTEGER) AS DATE)
+               AS valid_from, CAST(sales_price + n * 7 AS DECIMAL(10,2)) AS unit_price, CAST(stock - n * 3 AS INTEGER) AS stock
+      FROM products, (SELECT unnest([0, 1, 2, 3]) AS n) WHERE n > 0 OR product_id % 7 > 0)
+"""
 LINE = "batch_date, order_id, customer_id, product_id, quantity"
 EXPLODED = """
 SELECT batch_date, order_id, customer_id, order_datetime, product_id, product_name, quantity
@@ -202,6 +209,12 @@ SELECT {LINE}, final_quantity FROM validated SEMI JOIN valid_orders USING (batch
     "validate_stock": f"SELECT {LINE}, stock, final_quantity FROM validated",
     "validate_running_stock": _running_stock("product_id"),
     "validate_running_stock_daily_reload": _running_stock("product_id, batch_date"),
+    "price_as_of": f"""
+SELECT {LINE.replace('product_id', 'l.product_id')}, unit_price, stock, CASE WHEN quantity <= stock THEN quantity END AS final_quantity,
+       CAST(CASE WHEN quantity <= stock THEN round(quantity * unit_price, 2) END AS DECIMAL(18,2)) AS line_total,
+       CAST(CASE WHEN quantity <= stock THEN round(quantity * (unit_price - cost), 2) END AS DECIMAL(18,2)) AS profit
+FROM (SELECT * FROM lines WHERE quantity IS NOT NULL) l
+ASOF LEFT JOIN ({VERSIONS}) v ON l.product_id = v.product_id AND l.batch_date >= v.valid_from""",
     "line_total": "SELECT order_id, product_id, final_quantity, unit_price, line_total FROM validated",
     "profit_per_line": "SELECT order_id, product_id, final_quantity, profit FROM validated",
     "valid_orders_having": "SELECT * FROM valid_orders",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook import schemas
 from daybook.functions import dates
-from daybook.operators import forecast, inventory, lines, orders, running_stock, seasonal, series, summary, trend
+from daybook.operators import as_of, forecast, inventory, lines, orders, running_stock, seasonal, series, summary, trend
 from daybook.plans import driver_tables as given
 from daybook.plans.batch_run import run_batches
 from daybook.session import materialise, shared_dir
@@ -293,6 +293,14 @@ def validate_running_stock_daily_reload(spark, sf_dir):
     return _running_stock(spark, sf_dir, reload_daily=True)
 
 
+@query
+def price_as_of(spark, sf_dir):
+    """Each line with the price, cost and stock that its product had on the day."""
+    asked, versions = given.lines(spark, sf_dir, row_ids=True), given.product_versions(spark, sf_dir)
+    found = as_of.validate_lines_as_of(asked, versions)
+    return lines.with_amounts(found).select(*LINE, "unit_price", "stock", "final_quantity", "line_total", "profit")
+
+
 @query
 def line_total(spark, sf_dir):
     return lines.with_amounts(given.validated(spark, sf_dir)).select(
