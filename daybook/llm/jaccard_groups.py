@@ -29,6 +29,7 @@ from daybook.session import materialise
 SHINGLE, PERCENT = 4, 85
 MOST_HOT, LEAST_HOT = 1 << 20, 8
 TOKENS_COUNTED = 1 << 22  # tokens of texts that a task counts at once
+MOST_BROADCAST, KEY_BYTES = 32 << 20, 48  # of the texts that are wanted
 MOST_SEEN = 1 << 20  # sets that a task remembers, not to send them twice
 
 
@@ -188,6 +189,8 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """set and text of the ``wanted`` sets (set, text_key, least), from one row of ``docs`` each."""
     rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key"), "text")
     same = F.col("id").eqNullSafe(F.col("least"))
+    if wanted.count() * KEY_BYTES <= MOST_BROADCAST:  # else the texts are dealt by their keys
+        wanted = F.broadcast(wanted)
     found = materialise(rows.join(wanted, "text_key").filter(same).select("set", "text"), "texts")
     rows, sets = found.agg(F.count("set"), F.count_distinct("set")).first()
     return found if rows == sets else materialise(found.groupBy("set").agg(F.first("text").alias("text")), "texts")
@@ -261,43 +264,39 @@ def ties(named: DataFrame, percent: int) -> DataFrame:
 def opened(named: DataFrame, percent: int) -> DataFrame:
     """u, v: sets of different groups whose heads share enough tokens, by the token-group matrix.
 
-    Every two groups are looked at once, from the smaller one (of equal ones that of the lesser name). A
-    token's greatest group sends no queries for it, so however many members it has, they cost nothing
-    unless a set outside asks for them. A group is opened if a query shares ``common`` tokens with its union
-    that are early enough for one of the sizes it has, and a member compared if it has as many of them.
+    A token's rows are its groups, however many members have it, and every two groups are looked at once:
+    the sets of the smaller one (of equal ones that of the lesser name) are queries of the other. A pair
+    of groups is opened if their unions share ``common`` tokens that are early enough for sizes they have,
+    and in it two sets are compared if they share as many.
     """
-    n, group = F.col("n"), ["token", "group", "members"]
+    group = ["token", "group", "members"]
     matrix = named.groupBy(*group).agg(
         F.min("n").alias("n_least"), F.max("n").alias("n_most"), F.max("early").alias("any_early")
     )
-    spread = matrix.groupBy("token").agg(
-        F.max(F.struct("members", "group")).alias("greatest"), F.count("*").alias("groups")
-    ).filter("groups > 1").select("token", "greatest")
-    queries = named.join(spread.hint("merge"), "token").filter("struct(members, `group`) < greatest")
-    queries = materialise(queries.select(*group, "set", "n", "early"), "queries")
-    union = matrix.join(spread.select("token").hint("merge"), "token", "left_semi").select(
-        "token", F.col("group").alias("to"), F.col("members").alias("of"), "n_least", "n_most", "any_early"
-    )
-    small, large = F.ceil(n * percent / 100), F.floor(n * 100 / percent)
-    met = queries.join(
-        union.hint("merge"),
-        (queries["token"] == union["token"])
-        & F.expr("struct(members, `group`) < struct(of, to)")
-        & (F.col("n_least") <= large) & (F.col("n_most") >= small)
-        & ((F.col("early") & (F.col("n_most") >= n)) | (F.col("any_early") & (F.col("n_least") <= n))),
-    )
-    qualifying = met.groupBy("set", "to").count().filter(F.col("count") >= common(percent)).select("set", "to")
-    qualifying = materialise(qualifying, "qualifying")
-    asked = qualifying.join(queries.select("set", "token", "n", "early").hint("merge"), "set")
-    asked = asked.withColumnsRenamed({"token": "q_token", "to": "q_to"})
+    matrix = materialise(matrix, "token-groups")
+    spread = matrix.groupBy("token").agg(F.min("group").alias("a"), F.max("group").alias("b")).filter("a != b")
+    matrix = materialise(matrix.join(spread.select("token").hint("merge"), "token", "left_semi"), "spread-tokens")
+    of = matrix.select(*(F.col(c).alias(f"of_{c}") for c in matrix.columns))
+    least, most, of_least, of_most = (F.col(c) for c in ("n_least", "n_most", "of_n_least", "of_n_most"))
+    met = matrix.join(
+        of.hint("merge"),
+        (F.col("token") == F.col("of_token"))
+        & F.expr("struct(members, `group`) < struct(of_members, of_group)")
+        & (of_least * percent <= most * 100) & (least * percent <= of_most * 100)
+        & ((F.col("any_early") & (of_most >= least)) | (F.col("of_any_early") & (most >= of_least))),
+    ).select("token", "group", F.col("of_group").alias("to"))
+    met = materialise(met, "met")
+    enough = met.groupBy("group", "to").count().filter(F.col("count") >= common(percent)).select("group", "to")
+    opened_at = met.join(enough.hint("merge"), ["group", "to"])
+    asked = opened_at.join(named.select("token", "group", "set", "n", "early").hint("merge"), ["token", "group"])
     inside = named.select(
-        "token", F.col("group").alias("to"), F.col("set").alias("v"), F.col("n").alias("n_v"),
-        F.col("early").alias("v_early"),
-    )
-    fits = F.col("n_v").between(small, large) & (
-        (F.col("early") & (F.col("n_v") >= n)) | (F.col("v_early") & (F.col("n_v") <= n))
+        F.col("token").alias("of_token"), F.col("group").alias("of_group"), F.col("set").alias("v"),
+        F.col("n").alias("n_v"), F.col("early").alias("v_early"),
     )
-    same = (F.col("q_token") == F.col("token")) & (F.col("q_to") == F.col("to"))
+    n, n_v = F.col("n"), F.col("n_v")
+    fits = (n * percent <= n_v * 100) & (n_v * percent <= n * 100)
+    fits = fits & ((F.col("early") & (n_v >= n)) | (F.col("v_early") & (n_v <= n)))
+    same = (F.col("token") == F.col("of_token")) & (F.col("to") == F.col("of_group"))
     pairs = asked.join(inside.hint("merge"), same & fits).groupBy("set", "v").count()
     return pairs.filter(F.col("count") >= common(percent)).select(F.col("set").alias("u"), "v")
 

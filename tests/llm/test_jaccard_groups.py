@@ -64,7 +64,7 @@ def test_equals_all_pairs(spark):
 
 @pytest.mark.parametrize("percent", [60, 95])
 def test_other_thresholds_and_small_bounds(spark, monkeypatch, percent):
-    for name, value in (("TOKENS_COUNTED", 300), ("MOST_SEEN", 5), ("MOST_HOT", 64), ("LEAST_HOT", 2)):
+    for name, value in (("TOKENS_COUNTED", 300), ("MOST_SEEN", 5), ("MOST_HOT", 64), ("LEAST_HOT", 2), ("MOST_BROADCAST", 0)):
         monkeypatch.setattr(jaccard_groups, name, value)
     rows = corpus()
     docs = inputs.documents(spark, rows).repartition(3)
