@@ -131,3 +131,31 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "items",
         )
     )
+
+
+def drifting_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested documents as JSON text whose fields drift with product and order: ids and quantities as
+    text, whole quantities with a fraction, quantities in words, items that are a bare number."""
+    product, quantity = F.col("item.product_id"), F.col("item.qty").cast("string")
+    number = product.cast("string")
+    quoted = lambda text: F.concat(F.lit('"'), text, F.lit('"'))
+    in_words = (F.col("transaction_id") % 11 == 0) & (product % 4 == 0)
+    qty = (
+        F.when(in_words, F.lit('"lots"')).when(quantity.isNull(), F.lit("null"))
+        .when(product % 3 == 1, quoted(quantity)).when(product % 3 == 2, F.concat(quantity, F.lit(".0"))).otherwise(quantity)
+    )
+    item = F.concat(
+        F.lit('{"product_id":'), F.when(product % 5 == 0, quoted(number)).otherwise(number), F.lit(',"qty":'), qty, F.lit("}")
+    )
+    bare = (F.col("transaction_id") % 13 == 0) & (product % 6 == 0)
+    exploded = transactions(spark, sf_dir).select(
+        "batch_date", "transaction_id", "customer_id", "timestamp", F.xxhash64("items").alias("document"), F.explode("items").alias("item")
+    )
+    texts = exploded.withColumn("text", F.when(bare, number).otherwise(item))
+    keys = ["batch_date", "transaction_id", "customer_id", "timestamp", "document"]
+    return texts.groupBy(*keys).agg(F.collect_list("text").alias("texts")).select(
+        F.format_string(
+            '{"batch_date":"%s","transaction_id":%d,"customer_id":"%d","timestamp":"%s","items":[%s]}',
+            F.col("batch_date").cast("string"), "transaction_id", "customer_id", "timestamp", F.array_join("texts", ","),
+        ).alias("value")
+    )

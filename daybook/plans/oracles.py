@@ -162,6 +162,11 @@ _STATEMENTS = {
     "src_csv_roundtrip": "SELECT * FROM products",
     "src_csv_customers": "SELECT * FROM customers",
     "src_json_documents": EXPLODED,
+    "src_variant_documents": """
+SELECT batch_date, order_id, customer_id, order_datetime, CASE WHEN NOT bare THEN product_id END AS product_id,
+       CASE WHEN NOT bare AND NOT in_words THEN quantity END AS quantity, NOT bare AND NOT in_words AS kept,
+       CASE WHEN bare THEN 'item: ' || product_id WHEN in_words THEN 'qty: "lots"' ELSE '' END AS problems
+FROM (SELECT *, order_id % 11 = 0 AND product_id % 4 = 0 AS in_words, order_id % 13 = 0 AND product_id % 6 = 0 AS bare FROM lines)""",
     "src_dated_batches": """
 SELECT batch_date, order_id, product_id, quantity, final_quantity, line_total FROM validated""",
     "sink_csv_roundtrip": "SELECT * FROM summary",

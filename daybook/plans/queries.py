@@ -14,6 +14,7 @@ from daybook.plans import driver_tables as given
 from daybook.plans.batch_run import run_batches
 from daybook.session import materialise, shared_dir
 from daybook.sinks.tables import write_batches, write_csv
+from daybook.sources import variants
 from daybook.sources.documents import between_days, read_batches, read_documents
 from daybook.sources.files import read_csv, row_id
 
@@ -72,6 +73,16 @@ def src_flat_documents(spark, sf_dir):
     return orders.orders_of_headers(materialise(orders.order_headers(validated), "headers"))
 
 
+@query
+def src_variant_documents(spark, sf_dir):
+    """Documents with drifting fields: every item, with what of it could not be read."""
+    path = shared_dir(spark, "drifting-documents")
+    given.drifting_documents(spark, sf_dir).write.text(path)
+    items = variants.read_variant_documents(spark, path)
+    columns = ["batch_date", "order_id", "customer_id", "order_datetime", "product_id", "quantity"]
+    return items.select(*columns, variants.KEPT, F.array_join(variants.PROBLEMS, ";").alias("problems"))
+
+
 @query
 def src_dated_batches(spark, sf_dir):
     """Neighbouring ranges of days, read apart, add up to the whole table."""
