@@ -68,7 +68,8 @@ def valid(totals: DataFrame) -> DataFrame:
 
 
 def valid_orders(validated: DataFrame) -> DataFrame:
-    return valid(order_totals(validated)).select(*ORDER_KEY, "units")
+    """Valid orders and their units; needs no column but the keys and ``final_quantity``."""
+    return valid(validated.groupBy(*ORDER_KEY).agg(F.sum("final_quantity").alias("units")))
 
 
 def cancelled_orders(all_lines: DataFrame) -> DataFrame:
@@ -135,6 +136,14 @@ def orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     return orders.join(items, "order_id", "inner")
 
 
+def totals_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Orders with the number and the units of their items; on tables bucketed by order id no row moves."""
+    joined = orders_with_items(orders, items)
+    return joined.groupBy("order_id").agg(
+        F.min("customer_id").alias("customer_id"), F.count("*").alias("num_items"), F.sum("quantity").alias("units")
+    )
+
+
 def orders_with_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with their customer's details; orders of unknown customers stay."""
     return orders.join(customers, "customer_id", "left")

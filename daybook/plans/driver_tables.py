@@ -159,3 +159,15 @@ def drifting_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("batch_date").cast("string"), "transaction_id", "customer_id", "timestamp", F.array_join("texts", ","),
         ).alias("value")
     )
+
+
+def overlapping_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the first of every month with orders, two and a half months of days."""
+    month = F.trunc("batch_date", "month").alias("first_day")
+    return orders(spark, sf_dir).select(month).distinct().select("first_day", F.date_add("first_day", 75).alias("last_day"))
+
+
+def month_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of days, with the month that each closes."""
+    days = orders(spark, sf_dir).select("batch_date").distinct()
+    return days.select("batch_date", (F.last_day("batch_date") == F.col("batch_date")).alias("closes_month"))

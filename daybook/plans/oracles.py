@@ -167,6 +167,46 @@ SELECT batch_date, order_id, customer_id, order_datetime, CASE WHEN NOT bare THE
        CASE WHEN NOT bare AND NOT in_words THEN quantity END AS quantity, NOT bare AND NOT in_words AS kept,
        CASE WHEN bare THEN 'item: ' || product_id WHEN in_words THEN 'qty: "lots"' ELSE '' END AS problems
 FROM (SELECT *, order_id % 11 = 0 AND product_id % 4 = 0 AS in_words, order_id % 13 = 0 AND product_id % 6 = 0 AS bare FROM lines)""",
+    "src_days_of_table": """
+SELECT batch_date, order_id, customer_id, order_datetime FROM headers WHERE last_day(batch_date) = batch_date""",
+    "batch_run_written": """
+SELECT table_name, CAST(n AS BIGINT) AS n_rows, CAST(days AS INTEGER) AS n_parts, CAST(lost AS BIGINT) AS n_cancelled
+FROM (SELECT 'orders' AS table_name, count(*) AS n, count(DISTINCT batch_date) AS days, 0 AS lost FROM found_orders
+      UNION ALL SELECT 'order_line_items', count(*), count(DISTINCT batch_date), count(*) FILTER (quantity IS NULL)
+      FROM found_items
+      UNION ALL SELECT 'daily_summary', count(*), 0, 0 FROM summary
+      UNION ALL SELECT 'products_updated', count(*), 0, 0 FROM products)""",
+    "batch_run_dated_catalogue": f"""
+, dated AS (
+  SELECT l.batch_date, l.order_id, l.product_id, CASE WHEN quantity <= stock THEN quantity END AS quantity, unit_price,
+         CAST(CASE WHEN quantity <= stock THEN round(quantity * unit_price, 2) END AS DECIMAL(18,2)) AS line_total
+  FROM (SELECT * FROM lines WHERE quantity IS NOT NULL) l
+  ASOF LEFT JOIN ({VERSIONS}) v ON l.product_id = v.product_id AND l.batch_date >= v.valid_from
+), trading AS (SELECT batch_date FROM dated GROUP BY batch_date, order_id HAVING sum(quantity) > 0)
+SELECT * FROM dated WHERE batch_date IN (SELECT batch_date FROM trading)""",
+    "join_bucketed_orders": """
+SELECT order_id, min(customer_id) AS customer_id, CAST(count(*) AS BIGINT) AS num_items, CAST(sum(quantity) AS BIGINT) AS units
+FROM headers JOIN items USING (order_id) GROUP BY order_id""",
+    "distinct_orders_of_range": """
+SELECT first_day, last_day, CAST(count(DISTINCT order_id) AS BIGINT) AS num_orders
+FROM (SELECT first_day, CAST(first_day + 75 AS DATE) AS last_day
+      FROM (SELECT DISTINCT CAST(date_trunc('month', batch_date) AS DATE) AS first_day FROM headers))
+LEFT JOIN validated ON batch_date BETWEEN first_day AND last_day
+GROUP BY first_day, last_day""",
+    "forecast_rolling_errors": """
+SELECT series_key, ahead, CAST(count(*) AS BIGINT) AS origins, round(avg(abs(y - yhat)), 2) AS mae,
+       round(avg((y - yhat) * (y - yhat)), 2) AS mse
+FROM (
+  SELECT o.series_key, CAST(h.ahead AS INTEGER) AS ahead, CAST(o.origin + CAST(h.ahead AS INTEGER) AS DATE) AS date,
+         mean_y + slope * (date_diff('day', DATE '1970-01-01', o.origin) + h.ahead - mean_day) AS yhat
+  FROM (
+    SELECT a.series_key, a.date AS origin, regr_slope(b.y, date_diff('day', DATE '1970-01-01', b.date)) AS slope,
+           avg(date_diff('day', DATE '1970-01-01', b.date)) AS mean_day, avg(b.y) AS mean_y
+    FROM summary_series a JOIN summary_series b ON a.series_key = b.series_key AND b.date <= a.date
+    GROUP BY a.series_key, a.date HAVING count(*) >= 3) o,
+  (SELECT unnest(range(1, 8)) AS ahead) h)
+JOIN summary_series USING (series_key, date)
+GROUP BY series_key, ahead""",
     "src_dated_batches": """
 SELECT batch_date, order_id, product_id, quantity, final_quantity, line_total FROM validated""",
     "sink_csv_roundtrip": "SELECT * FROM summary",

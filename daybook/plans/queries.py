@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 
 from daybook import schemas
 from daybook.functions import dates
-from daybook.operators import as_of, forecast, inventory, lines, orders, running_stock, seasonal, series, summary, trend
+from daybook.operators import as_of, distinct, forecast, inventory, lines, orders, running_stock, seasonal, series, summary, trend
 from daybook.plans import driver_tables as given
 from daybook.plans.batch_run import run_batches
 from daybook.session import materialise, shared_dir
+from daybook.sinks.bucketed import write_bucketed
 from daybook.sinks.tables import write_batches, write_csv
 from daybook.sources import variants
-from daybook.sources.documents import between_days, read_batches, read_documents
+from daybook.sources.documents import between_days, on_days, read_batches, read_documents
 from daybook.sources.files import read_csv, row_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+BUCKETS = 8
 RANGES = [("00010101", "19971231"), ("19980101", "99991231")]
 
 
@@ -96,6 +98,16 @@ def src_dated_batches(spark, sf_dir):
     )
 
 
+@query
+def src_days_of_table(spark, sf_dir):
+    """The batches of days that another table chooses; the other days' folders are not read."""
+    path, days_path = shared_dir(spark, "days"), shared_dir(spark, "calendar")
+    given.month_ends(spark, sf_dir).write.parquet(days_path)
+    write_batches(given.orders(spark, sf_dir), path)
+    days = spark.read.schema("batch_date date, closes_month boolean").parquet(days_path)
+    return on_days(read_batches(spark, path, schemas.ORDERS), days.filter("closes_month"))
+
+
 @query
 def sink_csv_roundtrip(spark, sf_dir):
     path = shared_dir(spark, "summary-csv")
@@ -113,9 +125,10 @@ def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, sf_dir: str, row_ids: bool = False) -> DataFrame:
-    """Line items of the trading days; the lines are stored, since days and items both read them."""
-    validated = materialise(given.validated(spark, sf_dir, row_ids), "lines")
-    return orders.items_of(validated)
+    """Line items of the trading days; what they need of the lines is stored, since days and items read it."""
+    validated = given.validated(spark, sf_dir, row_ids)
+    needed = [*orders.ORDER_KEY, "product_id", "final_quantity", "unit_price", "line_cents", *lines.tie_break(validated)]
+    return orders.items_of(materialise(validated.select(*needed), "lines"))
 
 
 @query
@@ -146,6 +159,22 @@ def batch_run(spark, sf_dir):
     return run_batches(documents, products, shared_dir(spark, "run"), *days)["order_line_items"]
 
 
+@query
+def batch_run_written(spark, sf_dir):
+    """What a run counted while it wrote."""
+    documents, products = given.transactions(spark, sf_dir), given.products(spark, sf_dir)
+    found = run_batches(documents, products, shared_dir(spark, "run"), RANGES[0][0], RANGES[1][1])
+    return found.written.filter(F.col("table_name").isin("orders", "order_line_items", "daily_summary", "products_updated"))
+
+
+@query
+def batch_run_dated_catalogue(spark, sf_dir):
+    """Line items of a run whose catalogue changes from day to day."""
+    documents, versions = given.transactions(spark, sf_dir), given.product_versions(spark, sf_dir)
+    found = run_batches(documents, versions, shared_dir(spark, "run"), RANGES[0][0], RANGES[1][1])
+    return found["order_line_items"]
+
+
 def _two_runs(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
     """One result of the job after a run over each range of days."""
     documents, products = given.transactions(spark, sf_dir), given.products(spark, sf_dir)
@@ -262,6 +291,15 @@ def join_orders_items(spark, sf_dir):
     return orders.orders_with_items(headers, items).select(*LINE, "order_datetime")
 
 
+@query
+def join_bucketed_orders(spark, sf_dir):
+    """Orders with the sums of their items, from two tables stored in buckets by order id."""
+    headers = given.orders(spark, sf_dir).select("order_id", "customer_id")
+    items = given.order_items(spark, sf_dir)
+    stored = [write_bucketed(df, shared_dir(spark, "bucketed"), "order_id", BUCKETS) for df in (headers, items)]
+    return orders.totals_with_items(*stored)
+
+
 @query
 def join_items_products_left(spark, sf_dir):
     joined = lines.with_catalogue(given.order_items(spark, sf_dir), given.products(spark, sf_dir))
@@ -270,8 +308,8 @@ def join_items_products_left(spark, sf_dir):
 
 @query
 def semi_valid_orders(spark, sf_dir):
-    kept = orders.lines_of_valid_orders(given.validated(spark, sf_dir))
-    return kept.select(*LINE, "final_quantity")
+    validated = materialise(given.validated(spark, sf_dir).select(*LINE, "final_quantity"), "lines")
+    return orders.lines_of_valid_orders(validated)
 
 
 @query
@@ -371,6 +409,14 @@ def count_distinct_orders(spark, sf_dir):
     return summary.distinct_orders_per_day(given.validated(spark, sf_dir))
 
 
+@query
+def distinct_orders_of_range(spark, sf_dir):
+    """Distinct orders of overlapping ranges of days, from one bitmap table and no lines."""
+    bitmaps = materialise(distinct.order_bitmaps(given.validated(spark, sf_dir)), "bitmaps")
+    found = distinct.distinct_in_ranges(bitmaps, given.overlapping_ranges(spark, sf_dir))
+    return found.withColumnRenamed("num_keys", "num_orders")
+
+
 @query
 def daily_summary(spark, sf_dir):
     return summary.daily_summary(given.validated(spark, sf_dir))
@@ -467,6 +513,13 @@ def forecast_metrics(spark, sf_dir):
     return rounded(forecast.forecast_metrics(fitted), 2, "mae", "mse")
 
 
+@query
+def forecast_rolling_errors(spark, sf_dir):
+    """Errors on days that the lines had not seen, for every origin and up to a week ahead."""
+    found = forecast.rolling_errors(_summary_series(spark, sf_dir), forecast.WEEK_HORIZON)
+    return rounded(found, 2, "mae", "mse")
+
+
 @query
 def series_segments(spark, sf_dir):
     """The sums per series and segment between knots from which trends are fitted."""

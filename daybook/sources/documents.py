@@ -118,6 +118,17 @@ def read_batches(
     return reader.option("multiLine", True).format(fmt).load(path)
 
 
+def on_days(batches: DataFrame, days: DataFrame) -> DataFrame:
+    """Batches of the days that a table of days (``batch_date``) names.
+
+    The days are found first and only their folders are read. Spark does so for days that a comparison
+    chooses, so there is one here that all days pass, and while their table is below the broadcast limit,
+    as a calendar always is.
+    """
+    chosen = days.select("batch_date").filter(F.col("batch_date") >= _date(dt.date.min))
+    return batches.join(chosen, "batch_date", "left_semi")
+
+
 def _as_date(day: str | dt.date) -> dt.date:
     return dt.datetime.strptime(day, "%Y%m%d").date() if isinstance(day, str) else day
 

@@ -1,0 +1,112 @@
+"""Plans of the operators that prune, store by key, or add up: what must not be read or moved."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook import schemas
+from daybook.operators import distinct, forecast, orders
+from daybook.sinks import bucketed
+from daybook.sinks.tables import write_batches
+from daybook.sources.documents import on_days, read_batches
+from tests.conftest import day, plain
+
+START = dt.date(2024, 1, 1)
+
+
+def _orders(spark, days=20):
+    rows = [(START + dt.timedelta(n % days), n, n % 7, dt.datetime(2024, 1, 1)) for n in range(200)]
+    return spark.createDataFrame(rows, schemas.ORDERS)
+
+
+def test_only_the_days_that_a_table_chooses_are_read(spark, tmp_path, capsys):
+    write_batches(_orders(spark), str(tmp_path / "orders"))
+    calendar = [(START + dt.timedelta(n), n % 10 == 3) for n in range(40)]
+    spark.createDataFrame(calendar, "batch_date date, chosen boolean").write.parquet(str(tmp_path / "days"))
+    days = spark.read.parquet(str(tmp_path / "days")).filter("chosen")
+    found = on_days(read_batches(spark, str(tmp_path / "orders"), schemas.ORDERS), days)
+    expected = [r for r in plain(_orders(spark)) if (r[0] - START).days % 10 == 3]
+    assert plain(found) == expected and len(expected) == 20
+    found.explain()
+    assert "dynamicpruning" in capsys.readouterr().out
+    plan = found._jdf.queryExecution().executedPlan()
+    found._jdf.collectToPython()
+    scans, waiting = [], [plan]
+    while waiting:
+        node = waiting.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            waiting.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            waiting.append(node.plan())
+        if node.nodeName().startswith("Scan parquet") and "dynamicpruning" in node.toString():
+            scans.append(node)
+        waiting += [node.children().apply(n) for n in range(node.children().size())]
+    assert [s.metrics().apply("numPartitions").value() for s in scans] == [2]
+
+
+def test_bucketed_tables_join_and_add_up_without_an_exchange(spark, tmp_path, capsys):
+    headers = _orders(spark).select("order_id", "customer_id")
+    items = spark.range(900).select((F.col("id") % 230).alias("order_id"), (F.col("id") % 5).cast("int").alias("quantity"))
+    stored = [bucketed.write_bucketed(df, str(tmp_path / n), "order_id", 4) for n, df in (("orders", headers), ("items", items))]
+    expected = plain(orders.totals_with_items(headers, items))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = orders.totals_with_items(*stored)
+        assert plain(found) == expected and len(expected) == 200
+        capsys.readouterr()
+        found.explain()
+        plan = capsys.readouterr().out
+        assert "Exchange" not in plan and "SortMergeJoin" in plan and "Bucketed: true" in plan
+        again = bucketed.open_bucketed(spark, str(tmp_path / "items"), "order_id bigint, quantity int", "order_id", 4)
+        assert plain(orders.totals_with_items(stored[0], again)) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert bucketed.buckets_for(1) == 8 and bucketed.buckets_for(100 << 30) == 800
+
+
+def test_distinct_counts_of_overlapping_ranges_read_no_lines(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(None if rng.random() < 0.02 else START + dt.timedelta(rng.randint(0, 30)),
+             rng.choice([None, 7, -5, 32767, 32768, 2**40]) if rng.random() < 0.4 else rng.randint(0, 90_000)) for _ in range(3000)]
+    lines = spark.createDataFrame(rows, "batch_date date, order_id long")
+    path = str(tmp_path / "bits")
+    distinct.order_bitmaps(lines.repartition(5)).write.parquet(path)
+    bitmaps = spark.read.parquet(path)
+    spans = [(0, 30), (3, 9), (9, 12), (12, 12), (20, 10), (40, 50), (0, 30)]
+    ranges = spark.createDataFrame(
+        [(n, START + dt.timedelta(a), START + dt.timedelta(b)) for n, (a, b) in enumerate(spans)], "name int, first_day date, last_day date")
+    found = {r["name"]: r["num_keys"] for r in distinct.distinct_in_ranges(bitmaps, ranges).collect()}
+    for n, (a, b) in enumerate(spans):
+        inside = {o for d, o in rows if d and o is not None and a <= (d - START).days <= b}
+        assert found[n] == len(inside)
+    assert distinct.distinct_in_ranges(bitmaps.limit(0), ranges).filter("num_keys > 0").count() == 0
+
+
+def test_rolling_lines_equal_a_fit_of_every_origin(spark):
+    rng = random.Random(2)
+    rows = [(k, START + dt.timedelta(d), None if rng.random() < 0.1 else rng.uniform(-50, 900))
+            for k in ("a", "b") for d in range(40) if rng.random() < 0.8]
+    series = spark.createDataFrame([*rows, ("one", START, 1.0)], "series_key string, date date, y double")
+    found = {(r["series_key"], r["ahead"]): r for r in forecast.rolling_errors(series, 3, 4).collect()}
+    for key in ("a", "b"):
+        mine = sorted((d, y) for k, d, y in rows if k == key and y is not None)
+        known = dict(mine)
+        for ahead in (1, 2, 3):
+            errors = []
+            for n in range(4, len(mine) + 1):
+                x = [(d - START).days for d, _ in mine[:n]]
+                y = [v for _, v in mine[:n]]
+                mx, my = sum(x) / n, sum(y) / n
+                slope = sum((a - mx) * (b - my) for a, b in zip(x, y)) / sum((a - mx) ** 2 for a in x)
+                target = mine[n - 1][0] + dt.timedelta(ahead)
+                if target in known:
+                    errors.append(known[target] - (my + slope * ((target - START).days - mx)))
+            row = found[key, ahead]
+            assert row["origins"] == len(errors)
+            assert row["mae"] == pytest.approx(sum(map(abs, errors)) / len(errors))
+            assert row["mse"] == pytest.approx(sum(e * e for e in errors) / len(errors))
+    assert not any(k == "one" for k, _ in found)
+    assert day("2024-01-01") == START
