@@ -27,6 +27,7 @@ from daybook.llm.words import ngram_hashes, raw_bytes, word_hashes
 from daybook.session import materialise
 
 SHINGLE, PERCENT = 4, 85
+MOST_COMMON, TOKENS_OF_COMMON = 2, 16
 MOST_HOT, LEAST_HOT = 1 << 20, 8
 TOKENS_COUNTED = 1 << 22  # tokens of texts that a task counts at once
 MOST_BROADCAST, KEY_BYTES = 32 << 20, 48  # of the texts that are wanted
@@ -42,10 +43,10 @@ def tokens_of(text: str | None, size: int = SHINGLE) -> np.ndarray:
 
 
 def set_key(tokens: np.ndarray) -> int | None:
-    """One even number for a set, so that equal sets are compared once; None for an empty one."""
+    """One number for a set, so that equal sets are compared once; None for an empty one."""
     if not len(tokens):
         return None
-    return int(np.array([xxhash.xxh3_64_intdigest(tokens.tobytes())], np.uint64).view(np.int64)[0]) & ~1
+    return int(np.array([xxhash.xxh3_64_intdigest(tokens.tobytes())], np.uint64).view(np.int64)[0]) 
 
 
 def needed(n: int, percent: int = PERCENT) -> int:
@@ -53,12 +54,21 @@ def needed(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
-def common(percent: int = PERCENT) -> int:
-    """How many tokens the heads of two sets that reach the threshold share at least. Sets of fewer tokens
-    reach it with equal sets only."""
+def least_size(percent: int = PERCENT) -> int:
+    """Sets of fewer tokens reach the threshold with equal sets only."""
     return -(-percent // (100 - percent))
 
 
+def common(n: int) -> int:
+    """How many tokens the head of a set of ``n`` shares with that of any set, no smaller, that reaches the
+    threshold with it: the more are asked for, the longer are heads and the fewer sets meet by chance."""
+    return max(1, min(MOST_COMMON, n // TOKENS_OF_COMMON))
+
+
+def _common(n: Column) -> Column:
+    return F.greatest(F.lit(1), F.least(F.lit(MOST_COMMON), F.floor(n / TOKENS_OF_COMMON)))
+
+
 def described(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, text_key, set and n of every row; and rows (token, times) without text_key, how many
     different sets that a task read at once have a token that is frequent among them."""
@@ -121,14 +131,13 @@ def head(tokens: np.ndarray, hot: np.ndarray, power: np.ndarray, percent: int =
         rank = np.where(hot[at] == tokens, power[at], 0)
         order = np.argsort(rank, kind="stable")
         tokens, rank = tokens[order], rank[order]
-    n = len(tokens) - needed(len(tokens), percent) + common(percent)
+    n = len(tokens) - needed(len(tokens), percent) + common(len(tokens))
     return tokens[:n], int(np.count_nonzero(rank[:n] == 0))
 
 
 def heads(docs: DataFrame, hot: np.ndarray, power: np.ndarray, size: int, percent: int) -> DataFrame:
-    """set, n_early, rare and frequent, the two parts of the head of every set that may reach the threshold
-    with a different one; a task sends a set once. Of two sets that reach the threshold, ``common`` tokens
-    that are early in the one that is not larger stand in the head of the other."""
+    """set, rare and frequent, the two parts of the head of every set that may reach the threshold with a
+    different one; a task sends a set once."""
 
     def lists(found: list[np.ndarray]) -> pa.Array:
         offsets = pa.array(np.r_[0, np.cumsum([len(f) for f in found])].astype(np.int32))
@@ -137,52 +146,52 @@ def heads(docs: DataFrame, hot: np.ndarray, power: np.ndarray, size: int, percen
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            keys, early, rare, frequent = [], [], [], []
+            keys, rare, frequent = [], [], []
             for text in batch.column("text"):
                 tokens = tokens_of(text.as_py(), size)
                 key = set_key(tokens)
-                if len(tokens) < common(percent) or key in seen:
+                if len(tokens) < least_size(percent) or key in seen:
                     continue
                 seen = seen if len(seen) < MOST_SEEN else set()
                 seen.add(key)
                 found, n_rare = head(tokens, hot, power, percent)
                 keys.append(key)
-                early.append(len(tokens) - -(-2 * percent * len(tokens) // (100 + percent)) + common(percent))
                 rare.append(found[:n_rare])
                 frequent.append(found[n_rare:])
-            columns = [pa.array(keys, pa.int64()), pa.array(early, pa.int64()), lists(rare), lists(frequent)]
-            yield pa.RecordBatch.from_arrays(columns, ["set", "n_early", "rare", "frequent"])
+            columns = [pa.array(keys, pa.int64()), lists(rare), lists(frequent)]
+            yield pa.RecordBatch.from_arrays(columns, ["set", "rare", "frequent"])
 
-    kind = "`set` bigint, n_early bigint, rare array<bigint>, frequent array<bigint>"
-    return docs.select("text").mapInArrow(cut, kind)
+    return docs.select("text").mapInArrow(cut, "`set` bigint, rare array<bigint>, frequent array<bigint>")
 
 
 def _shared(tokens: DataFrame) -> DataFrame:
-    """The tokens of more than one set."""
-    ends = tokens.groupBy("token").agg(F.min("marked").alias("least"), F.max("marked").alias("most"))
-    return ends.filter("shiftright(least, 1) != shiftright(most, 1)").select("token")
+    """The tokens of more than one set, and the last place of each."""
+    ends = tokens.groupBy("token").agg(
+        F.min("set").alias("least"), F.max("set").alias("most"), F.max("at").alias("last")
+    )
+    return ends.filter("least != most").select("token", "last")
 
 
 def active_tokens(cut: DataFrame) -> DataFrame:
-    """token, set, early: the tokens of heads that stand in another head as well.
+    """token, set, at: the tokens of heads that stand in another head as well, with their places.
 
     Tokens that are not among the frequent stand in less than two in ``MOST_HOT`` of all places, so they
     are dealt by token once, and counted and joined where they lie. The frequent ones are summed in each
-    task and joined with their own short table. The last bit of a set's number marks early tokens.
+    task and joined with their own short table.
     """
 
     def exploded(part: str, before: Column) -> DataFrame:
-        placed = cut.select("set", "n_early", before.alias("before"), F.posexplode(part).alias("at", "token"))
-        mark = F.when(F.col("at") + F.col("before") < F.col("n_early"), 1).otherwise(0).cast("bigint")
-        return placed.select("token", F.col("set").bitwiseOR(mark).alias("marked"))
+        placed = cut.select("set", before.alias("before"), F.posexplode(part).alias("at", "token"))
+        return placed.select("token", "set", (F.col("at") + F.col("before")).alias("at"))
 
     rare = exploded("rare", F.lit(0)).repartition("token")
     frequent = exploded("frequent", F.size("rare"))
     of_frequent = materialise(_shared(frequent), "frequent-tokens")
-    both = rare.join(_shared(rare), "token").unionByName(frequent.join(of_frequent, "token"))
-    early = F.col("marked").bitwiseAND(F.lit(1)) == 1
-    # tasks may have sent the same set
-    return both.distinct().select("token", (F.col("marked") - early.cast("bigint")).alias("set"), early.alias("early"))
+    # no place is beyond the last: asked so that both sides need the same columns and share one shuffle
+    both = rare.join(_shared(rare), "token").filter("at <= last").drop("last").unionByName(
+        frequent.join(of_frequent.select("token"), "token")
+    )
+    return both.distinct()  # tasks may have sent the same set
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -232,8 +241,13 @@ def links(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, size: int, percen
     return both.mapInArrow(compare, "u bigint, v bigint")
 
 
+def _overlap(n_u: Column, n_v: Column, percent: int) -> Column:
+    """The least overlap with which sets of these sizes reach the threshold."""
+    return F.ceil((n_u + n_v) * percent / (100 + percent))
+
+
 def in_groups(active: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """token, set, early, n, alone, group, members: the tokens of heads, with the group of their set and how
+    """token, set, at, n, alone, group, members: the tokens of heads, with the group of their set and how
     many tokens of its head it has alone. Token tables grow with the data, so they are merged at any size."""
     own = sets.withColumns({"group": F.col("set"), "members": F.lit(1).cast("bigint")})
     if roots is not None:
@@ -256,8 +270,9 @@ def ties(named: DataFrame, percent: int) -> DataFrame:
         F.max(F.struct("members", (-F.col("alone")).alias("shared"), "set", "n", "group")).alias("c")
     ).select("token", F.col("c.set").alias("v"), F.col("c.n").alias("n_v"), F.col("c.group").alias("of"))
     fits = F.least("n", "n_v") * 100 >= F.greatest("n", "n_v") * percent
-    votes = named.join(centre.hint("merge"), "token").filter((F.col("group") != F.col("of")) & fits).groupBy("set", "v").count()
-    best = votes.filter(F.col("count") >= common(percent)).groupBy("set").agg(F.max_by("v", F.struct("count", "v")).alias("v"))
+    votes = named.join(centre.hint("merge"), "token").filter((F.col("group") != F.col("of")) & fits)
+    votes = votes.groupBy("set", "n", "v").count().filter(F.col("count") >= _common(F.col("n")))
+    best = votes.groupBy("set").agg(F.max_by("v", F.struct("count", "v")).alias("v"))
     return best.select(F.col("set").alias("u"), "v")
 
 
@@ -265,40 +280,57 @@ def opened(named: DataFrame, percent: int) -> DataFrame:
     """u, v: sets of different groups whose heads share enough tokens, by the token-group matrix.
 
     A token's rows are its groups, however many members have it, and every two groups are looked at once:
-    the sets of the smaller one (of equal ones that of the lesser name) are queries of the other. A pair
-    of groups is opened if their unions share ``common`` tokens that are early enough for sizes they have,
-    and in it two sets are compared if they share as many.
+    the sets of the smaller one (of equal ones that of the lesser name) are queries of the other. Two sets
+    that reach the threshold share ``common`` tokens no later in either than its size less the overlap
+    that their sizes need. So a pair of groups is opened if their unions share as many tokens that may be
+    early enough for sizes they have, and in it two sets are compared if they do; groups of one set
+    each are compared at once.
     """
-    group = ["token", "group", "members"]
-    matrix = named.groupBy(*group).agg(
-        F.min("n").alias("n_least"), F.max("n").alias("n_most"), F.max("early").alias("any_early")
+    matrix = named.groupBy("token", "group", "members").agg(
+        F.min("n").alias("n_least"), F.max("n").alias("n_most"), F.min("at").alias("at")
     )
     matrix = materialise(matrix, "token-groups")
     spread = matrix.groupBy("token").agg(F.min("group").alias("a"), F.max("group").alias("b")).filter("a != b")
     matrix = materialise(matrix.join(spread.select("token").hint("merge"), "token", "left_semi"), "spread-tokens")
     of = matrix.select(*(F.col(c).alias(f"of_{c}") for c in matrix.columns))
     least, most, of_least, of_most = (F.col(c) for c in ("n_least", "n_most", "of_n_least", "of_n_most"))
+    lesser = F.least(least, of_least)
+
+    def early(at: str, n: Column, other: Column, smaller: Column) -> Column:
+        return F.col(at) < n - _overlap(n, other, percent) + _common(smaller)
+
     met = matrix.join(
         of.hint("merge"),
         (F.col("token") == F.col("of_token"))
         & F.expr("struct(members, `group`) < struct(of_members, of_group)")
         & (of_least * percent <= most * 100) & (least * percent <= of_most * 100)
-        & ((F.col("any_early") & (of_most >= least)) | (F.col("of_any_early") & (most >= of_least))),
-    ).select("token", "group", F.col("of_group").alias("to"))
+        # the greatest size of one with the least of the other lets a token be latest
+        & early("at", most, of_least, F.least(most, of_most)) & early("of_at", of_most, least, F.least(most, of_most)),
+    ).select(
+        "token", "group", F.col("of_group").alias("to"), lesser.alias("n_least"),
+        (F.col("of_members") == 1).alias("single"),  # then the smaller group has one member, too
+    )
     met = materialise(met, "met")
-    enough = met.groupBy("group", "to").count().filter(F.col("count") >= common(percent)).select("group", "to")
-    opened_at = met.join(enough.hint("merge"), ["group", "to"])
-    asked = opened_at.join(named.select("token", "group", "set", "n", "early").hint("merge"), ["token", "group"])
+    enough = met.groupBy("group", "to", "single").agg(F.count("*").alias("common"), F.min("n_least").alias("n_least"))
+    enough = materialise(enough.filter(F.col("common") >= _common(F.col("n_least"))), "opened")
+    of_one = enough.filter("single").select(F.col("group").alias("u"), F.col("to").alias("v"))
+    several = met.filter("NOT single").join(
+        enough.filter("NOT single").select("group", "to").hint("merge"), ["group", "to"], "left_semi"
+    )
+    asked = several.select("token", "group", "to").join(
+        named.select("token", "group", "set", "n", "at").hint("merge"), ["token", "group"]
+    )
     inside = named.select(
         F.col("token").alias("of_token"), F.col("group").alias("of_group"), F.col("set").alias("v"),
-        F.col("n").alias("n_v"), F.col("early").alias("v_early"),
+        F.col("n").alias("n_v"), F.col("at").alias("at_v"),
     )
     n, n_v = F.col("n"), F.col("n_v")
     fits = (n * percent <= n_v * 100) & (n_v * percent <= n * 100)
-    fits = fits & ((F.col("early") & (n_v >= n)) | (F.col("v_early") & (n_v <= n)))
+    fits = fits & early("at", n, n_v, F.least(n, n_v)) & early("at_v", n_v, n, F.least(n, n_v))
     same = (F.col("token") == F.col("of_token")) & (F.col("to") == F.col("of_group"))
-    pairs = asked.join(inside.hint("merge"), same & fits).groupBy("set", "v").count()
-    return pairs.filter(F.col("count") >= common(percent)).select(F.col("set").alias("u"), "v")
+    pairs = asked.join(inside.hint("merge"), same & fits).groupBy("set", "n", "v", "n_v").count()
+    pairs = pairs.filter(F.col("count") >= _common(F.least(n, n_v)))
+    return of_one.unionByName(pairs.select(F.col("set").alias("u"), "v"))
 
 
 def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -323,9 +355,10 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     hot, power = hot_tokens(seen.filter("token IS NOT NULL"), total)
 
     active = materialise(active_tokens(materialise(heads(docs, hot, power, size, percent), "heads")), "active")
-    shared = active.groupBy("set").agg(F.count("*").alias("shared")).filter(F.col("shared") >= common(percent))
-    alone = F.col("n") - F.ceil(F.col("n") * percent / 100) - F.col("shared")
-    sets = materialise(sizes.join(shared, "set").select("set", "n", alone.alias("alone")), "sets-of-heads")
+    n, shared = F.col("n"), active.groupBy("set").agg(F.count("*").alias("shared"))
+    alone = (n - F.ceil(n * percent / 100) + _common(n) - F.col("shared")).alias("alone")
+    may_link = sizes.join(shared, "set").filter(F.col("shared") >= _common(n))
+    sets = materialise(may_link.select("set", "n", alone), "sets-of-heads")
 
     pairs = materialise(ties(in_groups(active, sets, None), percent), "pairs")
     tied = materialise(links(pairs, docs, sizes, size, percent), "ties")

@@ -64,7 +64,7 @@ def test_equals_all_pairs(spark):
 
 @pytest.mark.parametrize("percent", [60, 95])
 def test_other_thresholds_and_small_bounds(spark, monkeypatch, percent):
-    for name, value in (("TOKENS_COUNTED", 300), ("MOST_SEEN", 5), ("MOST_HOT", 64), ("LEAST_HOT", 2), ("MOST_BROADCAST", 0)):
+    for name, value in (("TOKENS_COUNTED", 300), ("MOST_SEEN", 5), ("MOST_HOT", 64), ("LEAST_HOT", 2), ("MOST_BROADCAST", 0), ("TOKENS_OF_COMMON", 5)):
         monkeypatch.setattr(jaccard_groups, name, value)
     rows = corpus()
     docs = inputs.documents(spark, rows).repartition(3)
@@ -90,7 +90,7 @@ def test_head_meets_every_set_that_reaches_the_threshold():
 
     pick = random.Random(2)
     for _ in range(300):
-        base = pick.sample(range(500), pick.randint(6, 60))
+        base = pick.sample(range(500), pick.randint(6, 150))
         other = list(base)
         for _ in range(pick.randint(0, 6)):
             other[pick.randrange(len(other))] = pick.randrange(500, 900)
@@ -98,6 +98,6 @@ def test_head_meets_every_set_that_reaches_the_threshold():
         hot = np.unique(np.array(pick.sample(range(900), 40), np.int64))
         power = np.array([pick.randint(3, 9) for _ in hot], np.uint8)
         shared = len(np.intersect1d(a, b))
-        if 100 * shared >= 85 * (len(a) + len(b) - shared) and min(len(a), len(b)) >= jaccard_groups.common():
+        if 100 * shared >= 85 * (len(a) + len(b) - shared) and min(len(a), len(b)) >= jaccard_groups.least_size():
             heads = (jaccard_groups.head(s, hot, power)[0] for s in (a, b))
-            assert len(np.intersect1d(*heads)) >= jaccard_groups.common()
+            assert len(np.intersect1d(*heads)) >= jaccard_groups.common(min(len(a), len(b)))
