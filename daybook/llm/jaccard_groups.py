@@ -29,7 +29,7 @@ from daybook.session import materialise
 SHINGLE, PERCENT = 4, 85
 MOST_COMMON, TOKENS_OF_COMMON = 2, 16
 MOST_HOT, LEAST_HOT = 1 << 20, 8
-TOKENS_COUNTED = 1 << 22  # tokens of texts that a task counts at once
+TOKENS_COUNTED = 1 << 20  # tokens of texts that a task counts at once
 MOST_BROADCAST, KEY_BYTES = 32 << 20, 48  # of the texts that are wanted
 MOST_SEEN = 1 << 20  # sets that a task remembers, not to send them twice
 
