@@ -51,9 +51,13 @@ def reversed_host(host: Column) -> Column:
     return F.array_join(F.reverse(F.split(host, r"\.")), ".")
 
 
-def host_prefixes(host: Column) -> Column:
-    """The reversed host and the reversed hosts of all its parent domains."""
-    labels = F.reverse(F.split(host, r"\."))
+def n_labels(host: Column) -> Column:
+    return F.size(F.split(host, r"\."))
+
+
+def host_prefixes(host: Column, most: int) -> Column:
+    """The reversed hosts, of up to ``most`` labels, of a host and its parent domains."""
+    labels = F.slice(F.reverse(F.split(host, r"\.")), 1, max(most, 1))
     sizes = F.sequence(F.lit(1), F.size(labels))
     return F.transform(sizes, lambda n: F.array_join(F.slice(labels, F.lit(1), n), "."))
 
@@ -74,10 +78,11 @@ def boundaries(rules: DataFrame) -> DataFrame:
     top = F.struct(F.length(rule).alias("length"), rule.alias("rule"), F.col("verdict"))
     own = known.select("key", "path", top.alias("top"))
     shorter = own.select("key", F.col("path").alias("around"), F.col("top").alias("outer"))
-    starts = F.transform(F.sequence(F.lit(0), F.length("path") - 1), lambda n: F.substring("path", F.lit(1), n))
+    # a path starts with another one of its host only at a length that some path of the host has
+    sizes = own.select("key", F.length("path").alias("size")).distinct()
+    starts = own.join(sizes, "key").filter(F.col("size") < F.length("path"))
     nested = (
-        own.filter("path != ''")
-        .select("key", "path", F.explode(starts).alias("around"))
+        starts.select("key", "path", F.substring("path", F.lit(1), F.col("size")).alias("around"))
         .join(shorter, ["key", "around"])
         .groupBy("key", "path")
         .agg(F.max("outer").alias("outer"))
@@ -94,7 +99,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
 
     The longest rule that fits wins, by characters of host and path together. A url without rule gets
     ``default``. A null url, or one without ://, has an empty host and path, and fits only rules with
-    an empty host. Repeated rows are judged once and come back as often as they were given. Cells of
+    an empty host. A very long host is looked up by no more labels than the longest rule has, and a very
+    long path is one place. Empty tables of either kind are fine. Repeated rows are judged once and come back as often as they were given. Cells of
     a host hold about the square root of its urls, so neither the copies of boundaries nor the cells
     grow as the urls do.
     """
@@ -104,10 +110,13 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
         .agg(F.count("*").alias("copies"))
     )
     marks = boundaries(rules)
-    taken = rules.agg(F.sum(F.octet_length(F.concat("host", "path")) + 64)).first()[0] or 0
+    taken, labels = rules.agg(
+        F.sum(F.octet_length(F.concat("host", "path")) + 64), F.max(n_labels(F.col("host")))
+    ).first()
+    taken = taken or 0
     few = taken <= BROADCAST_BYTES  # else a shuffled join, whose hot partitions Spark splits
     sized = F.broadcast if few else lambda df: df
-    keyed = urls.select("*", F.explode(host_prefixes(F.col("host"))).alias("key"))
+    keyed = urls.select("*", F.explode(host_prefixes(F.col("host"), labels or 1)).alias("key"))
     fitting = keyed.join(sized(marks.select("key").distinct()), "key", "left_semi")
     per_host = fitting.groupBy("key").agg(F.count("*").alias("urls"))
     cells = per_host.join(marks.groupBy("key").agg(F.count("*").alias("marks")), "key").select(

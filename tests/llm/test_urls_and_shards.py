@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from daybook.llm import sharding, url_rules
 from tests.llm import inputs
@@ -53,6 +54,18 @@ def test_registered_rules_equal_brute_force(spark, monkeypatch, few):
     assert inputs.bag(judged) == brute(urls, url_rules.RULES)
 
 
+def test_very_long_hosts_and_paths(spark):
+    """A host of 50,000 labels is looked up by as many labels as a rule has; nested paths may be long."""
+    long = "a." * 50_000
+    urls = [(1, f"http://{long}www.example.com/en/x"), (2, f"http://{long}net/es/" + "y/" * 50_000), (3, "http://" + long)]
+    pages = spark.createDataFrame([(p, u, "<p>") for p, u in urls], PAGES)
+    deep = [("net", "/es/" + "y/" * n, "allow") for n in (1, 20, 10_000, 49_999, 60_000)]
+    for rules in (url_rules.RULES, url_rules.RULES + deep):
+        table = spark.createDataFrame(rules, "host string, path string, verdict string")
+        assert inputs.bag(url_rules.judge(pages, table)) == brute(urls, rules)
+    assert pages.select(F.size(url_rules.host_prefixes(url_rules.host_of(F.col("url")), 3)).alias("n")).agg(F.max("n")).first()[0] == 3
+
+
 def test_deeply_nested_rules(spark, monkeypatch):
     monkeypatch.setattr(url_rules, "LEAST_IN_CELL", 5)
     pick = random.Random(2)
