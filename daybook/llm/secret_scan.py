@@ -2,7 +2,9 @@
 
 Three plain patterns find assignments, access keys and long hex runs. Beyond them, base64 and hex
 runs are decoded and reported only if what they hold is built like a key or a signed token: nested
-lengths that add up, a key encoding that parses, or a token header that names its algorithm.
+lengths that add up, a key encoding that parses, or a token header that names its algorithm. What
+separates the pieces of a key is taken out first: escaped line breaks, quotes and operators of source
+code, marks of quoted mail, colons between bytes. Spans cover it.
 """
 
 from __future__ import annotations
@@ -36,7 +38,10 @@ TOKEN = re.compile(rf"{_OPENS}({_PART}{{8,}}+)\.({_PART}{{2,}}+)\.({_PART}{{8,}}
 SEALED = re.compile(
     rf"{_OPENS}({_PART}{{8,}}+)\.({_PART}*+)\.({_PART}{{8,}}+)\.({_PART}++)\.({_PART}{{8,}}+){_CLOSES}"
 )
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+# Armoured keys, also as they stand in quoted mail, comments, and strings of source code or JSON.
+PEM = re.compile(r"""-----BEGIN ([A-Z0-9 ]*KEY)-----([A-Za-z0-9+/=\s\\"'>|*\#,;.&()]++)-----END \1-----""")
+ESCAPED = re.compile(r"(?<!\\)\\++u00(2[bBfF]|3[dD])")  # + / = as some writers of JSON put them
+JOINED = re.compile(r"""(?<!\\)\\*+["']\s*+[+.,&]?\s*+\\*+["']|(?<!\\)\\++[nrt]|[^A-Za-z0-9+/=]""")
 # Runs of either alphabet, and what may stand between something glued before a key and the key.
 RUN64 = ((re.compile(r"[A-Za-z0-9+/]{40,}={0,2}"), "/"), (re.compile(r"[A-Za-z0-9_-]{40,}={0,2}"), "-_"))
 LEAST_RUN, HEAD = 40, 96  # characters; the head holds the longest name of an SSH key type
@@ -46,6 +51,10 @@ WRAPPED64 = re.compile(
 )
 LINE64 = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 RUN16 = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
+# Bytes in hex with something between them: colons, spaces, line breaks, prefixes; a key begins with 30.
+_BETWEEN = r"(?:[:,\s>-]{1,16}+(?:0x|\\x)?|\\x)"
+PAIRS16 = re.compile(rf"(?<![0-9A-Za-z])(?:0x|\\x)?30(?:{_BETWEEN}?[0-9A-Fa-f]{{2}}){{31,}}+")
+PAIR16 = re.compile(rf"(?:{_BETWEEN}|0x)?([0-9A-Fa-f]{{2}})")
 SSH_TYPES = re.compile(rb"(ssh-|ecdsa-|sk-)[a-z0-9@.-]+")
 OPENSSH = b"openssh-key-v1\0"
 
@@ -224,14 +233,34 @@ def wrapped_spans(block: str) -> Iterator[tuple[int, int, str]]:
         at = last + 1
 
 
+def unarmoured(body: str) -> str:
+    """The base64 of an armoured key without quotes, operators, escapes and marks of quoted lines."""
+    return JOINED.sub("", ESCAPED.sub(lambda m: chr(int(m[1], 16)), body))
+
+
+def paired_span(run: str) -> tuple[int, int, str] | None:
+    """The key that bytes in hex begin with; after its last byte the run must end or have white space."""
+    pairs = list(PAIR16.finditer(run))
+    data = bytes.fromhex("".join(m[1] for m in pairs))
+    outer = der_element(data, 0, len(data))
+    if outer is None or len(pairs) * 2 == len(run):  # without anything between them they are a plain run
+        return None
+    n = outer[2]
+    ends = n == len(pairs) or any(c.isspace() for c in run[pairs[n].start() : pairs[n].start(1)])
+    return (0, pairs[n - 1].end(), "der") if ends and is_der_key(data[:n]) else None
+
+
 def confirmed_spans(text: str, raw: bytes) -> Iterator[tuple[int, int, str]]:
     """Spans of candidates whose structure is confirmed."""
     found: list[tuple[int, int, str]] = []
     if b"-----BEGIN " in raw:
         for m in PEM.finditer(text):
-            data = decoded64("".join(m[2].split()))
+            data = decoded64(unarmoured(m[2]))
             if data and (is_der_key(data) or is_ssh_key(data)):
                 found.append((m.start(), m.end(), "pem"))
+    for m in PAIRS16.finditer(text):
+        if span := paired_span(m[0]):
+            found.append((m.start() + span[0], m.start() + span[1], span[2]))
     if _LONG_RUN not in raw.translate(_RUN_BYTES):
         yield from found
         return

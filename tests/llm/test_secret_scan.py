@@ -73,6 +73,36 @@ def test_armoured_keys(name, data):
     assert not [s for s in secret_scan.spans_of(text.replace("END", "FIN")) if s[2] == "pem"]
 
 
+@pytest.mark.parametrize("join", [
+    r"\n", r"\\n", r"\r\n", "\n> ", "\n>> ", "\n * ", "\n# ", '\\n" +\n    "', "\\n' .\n  '", '\\n"\n"', "\\\n", '",\n"', " ",
+])
+@pytest.mark.parametrize("name, data", [("RSA PRIVATE KEY", RSA), ("PRIVATE KEY", WRAPPED), ("PUBLIC KEY", PUBLIC)])
+def test_armoured_keys_in_strings_and_quotes(join, name, data):
+    for body in (b64(data), b64(data).replace("/", r"\/"), b64(data).replace("+", r"\u002b").replace("=", r"\u003d")):
+        lines = re.findall(r"(?:\\/|\\u00..|.){1,64}", body)
+        text = join.join((f"é -----BEGIN {name}-----", *lines, f"-----END {name}----- z"))
+        assert (2, len(text) - 2, "pem") in secret_scan.spans_of(text)
+        broken = text.replace(lines[1], lines[1][:20] + lines[1][24:])
+        assert not [s for s in secret_scan.spans_of(broken) if s[2] == "pem"]
+
+
+@pytest.mark.parametrize("data", [RSA, WRAPPED, PUBLIC, CURVE])
+def test_hex_keys_with_something_between_the_bytes(data):
+    of = lambda text: [s for s in secret_scan.spans_of(text) if s[2] == "der"]
+    pairs = [f"{b:02x}" for b in data]
+    rows = [pairs[n : n + 15] for n in range(0, len(pairs), 15)]
+    forms = [
+        ":".join(pairs), " ".join(pairs).upper(), "0x" + ", 0x".join(pairs), "\\x" + "\\x".join(pairs),
+        ":\n    ".join(":".join(r) for r in rows), "\n".join("".join(r) for r in rows), "\n> ".join(" ".join(r) for r in rows),
+        "-".join(pairs), ",\r\n\t0x".join(", 0x".join(r) for r in rows).join(("0x", "")),
+    ]
+    for form in forms:
+        for before, after in (("", ""), ("é key ", "\nbe ad"), ('"', '"'), ("(", ").")):
+            assert of(before + form + after) == [(len(before), len(before) + len(form), "der")], form
+        assert of(form[:-2] + "zz") == [] and of(re.sub(pairs[1], "01", form, count=1, flags=re.I)) == []
+    assert of(":".join([*pairs, "00"])) == []
+
+
 def test_ssh_keys():
     run = b64(SSH)
     assert secret_scan.spans_of(f"ssh-ed25519 {run} me") == [(12, 12 + len(run), "ssh")]
@@ -165,5 +195,8 @@ def test_long_runs_take_linear_time():
 
 
 def test_long_runs_of_starts_take_linear_time():
+    for text in ("30 " * 600_000, "30:82:ff:ff:" * 200_000, "30\n82" * 300_000, "30" + " " * 900_000, '-----BEGIN KEY-----"' * 50_000,
+                 "-----BEGIN KEY-----" + '" ' * 500_000, "-----BEGIN KEY-----" + "\\" * 900_000 + "-----END KEY-----"):
+        secret_scan.spans_of(text)
     for text in ("/MC4C" * 300_000, "_MC4C-" * 300_000, ("a" * 40 + "\n") * 40_000, "a.." * 400_000, "a\n" * 400_000):
         secret_scan.spans_of(text)
