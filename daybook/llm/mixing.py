@@ -3,16 +3,19 @@
 Words are summed per source, the sums give each source's target and from it a repetition rate, and a
 document is taken floor(rate) times plus once more with a probability of the fraction, drawn from a
 hash of the document. The coin needs no state, so reruns and lost executors give the same copies.
+Equal rows are numbered and share one coin: of n of them, n times the fraction are taken once more,
+rounded by the coin, since one coin tossed for each would be the same n times.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.rows import WORD, packed, unpacked
+from daybook.llm.rows import ROW, WORD, packed, unpacked
 from daybook.operators.running import running_total
 from daybook.session import materialise
 
@@ -20,6 +23,7 @@ WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 SEED = 1
 COIN_DIGITS = 13  # hex digits of the coin, 52 bits
+KEY = ["from_source", "id", "text_key"]
 
 
 def word_count(text: Column) -> Column:
@@ -36,7 +40,7 @@ def source_rates(
     its source, and what is above is shared among the others by weight until none is above. That is
     the level at which min(most_times * size, level * weight) sums to the whole: sources are taken by
     the level that fills them, and one is full if the level reached with all before it full exceeds
-    its own. All sums are exact; they run over sources in blocks, never in one task.
+    its own. All sums are exact; they run over sources in blocks, and one task adds one row a block.
     """
     sizes = docs.select("source", word_count(F.col("text")).alias("size"))
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -75,6 +79,27 @@ def coin(doc_id: Column, text: Column, seed: int = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("long") / F.lit(float(16**COIN_DIGITS))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``nth``, from 1 among rows of equal source, doc_id and text.
+
+    One row per document is counted by a hash of its text. Only rows that are repeated are laid out, in
+    blocks, so a row that makes up a third of the table is numbered by many tasks.
+    """
+    counted = rows.groupBy(*KEY).agg(F.count("*").alias("times")).filter("times > 1")
+    repeated = materialise(counted.select(*(F.col(name).alias(f"of_{name}") for name in KEY)), "repeated")
+    same = functools.reduce(Column.__and__, (F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in KEY))
+    if repeated.isEmpty():
+        return rows.withColumn("nth", F.lit(1).cast("long"))
+    once = rows.join(repeated, same, "left_anti").withColumn("nth", F.lit(1).cast("long"))
+    # rows that differ elsewhere are told apart by what they hold, so that reruns choose the same ones
+    laid = rows.join(repeated, same, "left_semi").select(
+        "*", F.xxhash64(F.to_json(ROW)).alias("held"), F.monotonically_increasing_id().alias("place"),
+        F.lit(1).cast("long").alias("one"),
+    )
+    many = running_total(laid, KEY, ["held", "place"], "one", "nth").drop("held", "place", "one")
+    return once.unionByName(many)
+
+
 def plan_mix(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -84,16 +109,23 @@ def plan_mix(
     """Every row of ``docs`` with size, source_size, target and copies, how often the mix takes it.
 
     A null text has size 0; a null source is a source of its own. Documents without words are copied
-    at the rate of their source, and not at all if the whole source has no words. Equal rows get the
-    same coin. Columns of ``docs`` with these names are replaced.
+    at the rate of their source, and not at all if the whole source has no words. Rows of equal source,
+    doc_id and text are taken floor(rate) or floor(rate) + 1 times, the latter as often as the fraction
+    asks; a row that is not repeated depends on its own coin only. Very long texts are read whole and
+    travel only if their row is repeated. An empty table gives an empty table. Columns of ``docs`` with
+    these names are replaced.
     """
     rates = source_rates(docs, weights, most_times)
     rows = packed(
-        docs, from_source=docs["source"], size=word_count(docs["text"]), coin=coin(docs["doc_id"], docs["text"], seed)
+        docs, from_source=docs["source"], id=docs["doc_id"], text_key=F.xxhash64(docs["text"]),
+        size=word_count(docs["text"]), coin=coin(docs["doc_id"], docs["text"], seed),
     )
-    joined = rows.join(rates, F.col("from_source").eqNullSafe(F.col("source")))
+    joined = _numbered(rows).join(rates, F.col("from_source").eqNullSafe(F.col("source")))
     whole = F.floor("rate")
-    copies = whole + (F.col("coin") < F.col("rate") - whole).cast("long")
+    fraction = F.col("rate") - whole
+    # of the first n equal rows, so many are taken once more; for a row on its own: coin < fraction
+    more = lambda n: F.ceil(n * fraction - F.col("coin"))
+    copies = whole + more(F.col("nth")) - more(F.col("nth") - 1)
     return unpacked(
         joined, docs, size=F.col("size"), source_size=F.col("source_size"), target=F.col("target"), copies=copies
     )

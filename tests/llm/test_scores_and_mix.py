@@ -138,6 +138,36 @@ def test_mix_takes_what_is_planned(spark):
         assert sum(r.size * r.copies for r in own) == pytest.approx(own[0].target, rel=0.15)
 
 
+@pytest.mark.parametrize("extra", [0, 1])
+def test_equal_rows_are_taken_near_the_target(spark, extra):
+    """A source of one repeated row, beside one that takes what is left."""
+    text = " ".join(["word"] * 100)
+    rows = [inputs.row(1, text, "a")] * 200 + [inputs.row(None, text, "b", f"l{n % 2}") for n in range(100)]
+    rows += [inputs.row(n, inputs.prose(n, 40), "c") for n in range(2, 200)] * (1 + extra)
+    docs = inputs.documents(spark, rows)
+    planned = mixing.plan_mix(docs.repartition(3)).collect()
+    assert len(planned) == len(rows)
+    for source in "ab":
+        own = [r for r in planned if r.source == source]
+        rate = own[0].target / own[0].source_size
+        assert {r.copies for r in own} <= {math.floor(rate), math.floor(rate) + 1}
+        assert sum(r.size * r.copies for r in own) == pytest.approx(own[0].target, abs=100)
+    again = inputs.bag(mixing.plan_mix(docs.repartition(7)).select("doc_id", "lang", "source", "copies"))
+    assert again == sorted(((r.doc_id, r.lang, r.source, r.copies) for r in planned), key=repr)
+    assert mixing.mix(docs).count() == sum(r.copies for r in planned)
+
+
+def test_many_equal_rows_are_numbered_by_many_tasks(spark):
+    docs = spark.range(100_000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit("some words of one row").alias("text"), F.lit("a").alias("source")
+    ).unionByName(inputs.documents(spark, [inputs.row(n, inputs.prose(n, 9000), "b") for n in range(60)]).select("doc_id", "text", "source"))
+    planned = mixing.plan_mix(docs).select("source", "copies", "size", "target", F.spark_partition_id().alias("task"))
+    per_task = planned.filter("source = 'a'").groupBy("task").count().collect()
+    assert sum(r["count"] for r in per_task) == 100_000
+    taken, target = planned.filter("source = 'a'").agg(F.sum(F.col("copies") * F.col("size")), F.first("target")).first()
+    assert abs(taken - target) <= 5
+
+
 def test_mix_edge_rows(spark, edge, empty):
     planned = mixing.plan_mix(inputs.clashing(edge, "source_size", "target", "coin", "rates"))
     rows = planned.collect()
