@@ -1,8 +1,10 @@
+import math
 import random
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 from daybook.llm import compression_quality, labelled, quality_rules
 from daybook.llm.words import pieces, word_hashes
@@ -51,6 +53,30 @@ def test_compression_tells_held_out_rows_apart(data):
     assert accuracy(scored, labels, F.col("score") >= compression_quality.THRESHOLD) > 0.9
 
 
+def test_compression_scores_equal_plain_compression(data, edge):
+    """Every 256 bytes of a text on their own, with a new compressor for each, in plain Python."""
+    docs, labels = data
+    model = compression_quality.train(docs, labels)
+
+    def size(piece, dictionary):
+        trained = zstandard.ZstdCompressionDict(dictionary)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=trained, write_content_size=False).compress(piece))
+
+    def plain(text):
+        raw, saved = (text or "").encode(), 0
+        while raw:
+            piece, raw = raw[:256], raw[256:]
+            saved += size(piece, model.bad) - size(piece, model.good)
+        line = model.slope * (saved + 2) / (len((text or "").encode()) + 50) + model.intercept
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, line))))
+
+    rows = docs.filter("doc_id % 7 = 0").unionByName(edge.filter("coalesce(n_chars, 0) < 10000"))
+    found = compression_quality.score(rows.withColumn("doc_id", F.struct("doc_id", "text")), model).collect()
+    assert len(found) == rows.count()
+    for r in found:
+        assert r.score == pytest.approx(plain(r.doc_id.text), abs=1e-12)
+
+
 def test_hashed_ngrams_tell_held_out_rows_apart(data):
     docs, labels = data
     judged = quality_rules.judge(docs, quality_rules.train(docs, labels))
