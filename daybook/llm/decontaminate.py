@@ -5,6 +5,10 @@ the window holds all of them, so it is enough to look for one, and the rarest in
 for: the window's prefix in the order of rarity. A document's shingle that equals a prefix is a
 candidate; it stands if the window, laid over that place, stays inside the document (length and
 position), and if all words there are equal.
+
+While the benchmark is small it is broadcast, and a document's words are at hand where a candidate is
+found. Beyond that, places are shuffled as numbers only; the text of a document with candidates is
+fetched once and the words at its candidates compared.
 """
 
 from __future__ import annotations
@@ -62,11 +66,11 @@ def _places(docs: DataFrame, size: int, *columns: str) -> DataFrame:
     return spread.select("words", *columns, "at", shingle_at(F.col("words"), F.col("at"), size).alias("key"))
 
 
-def _left(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """Left join on doc_id, null included, and text_key; the columns of the right one are added."""
+def _marked(rows: DataFrame, marks: DataFrame, how: str = "left") -> DataFrame:
+    """Join on doc_id, null included, and text_key; the columns of the right one are added."""
     named = marks.withColumnsRenamed({"doc_id": "of_doc", "text_key": "of_text"})
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_text"))
-    return rows.join(named, same, "left").drop("of_doc", "of_text")
+    return rows.join(named, same, how).drop("of_doc", "of_text")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -80,6 +84,37 @@ def _union(parts: list[DataFrame], spark: SparkSession, schema: str) -> DataFram
     return whole
 
 
+def _candidates(rows: DataFrame, prefixes: DataFrame, size: int) -> DataFrame:
+    """doc_id, text_key, start, n, window_id: where a prefix of ``size`` words stands with room for its window.
+
+    Only numbers are shuffled, some 40 bytes a place, however long the document is.
+    """
+    places = _places(rows, size, "doc_id", "text_key").select(
+        "doc_id", "text_key", "at", "key", F.size("words").alias("n_words")
+    )
+    of_size = prefixes.filter(F.col("size") == size).select("key", F.explode("prefixed").alias("p"))
+    wanted = of_size.select("key", "p.window_id", "p.offset", "p.n")
+    start = F.col("at") - F.col("offset")
+    inside = (start >= 0) & (start + F.col("n") <= F.col("n_words"))
+    return places.join(wanted, "key").filter(inside).select("doc_id", "text_key", start.alias("start"), "n", "window_id")
+
+
+def _verified(rows: DataFrame, met: DataFrame, known: DataFrame) -> DataFrame:
+    """The candidates whose words are those of their window.
+
+    A text is fetched once with all its candidates. What is compared is at most a window long.
+    """
+    per_doc = met.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "n", "window_id")).alias("met"))
+    fetched = _marked(rows, per_doc, "inner").select("doc_id", "text_key", words_of(F.col("text")).alias("words"), "met")
+    laid = fetched.select("doc_id", "text_key", "words", F.explode("met").alias("c")).select(
+        "doc_id", "text_key", "c.*", F.slice("words", F.col("c.start") + 1, F.col("c.n")).alias("run")
+    )
+    alike = laid.filter(F.xxhash64("run", "n") == F.col("window_id"))  # few are left to be shuffled
+    return alike.join(known, "window_id").filter(F.col("run") == F.col("window")).select(
+        "doc_id", "text_key", "start", "n", "window_id"
+    )
+
+
 def hits(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, text_key, start, n, window_id: where documents hold windows, stored.
 
@@ -90,7 +125,8 @@ def hits(docs: DataFrame, known: DataFrame) -> DataFrame:
     keys = shingles.select("key").distinct()
     weight = F.sum(F.octet_length(F.array_join("window", " ")) + 64)
     taken = shingles.agg(weight).first()[0] or 0
-    small: Callable = F.broadcast if taken <= BROADCAST_BYTES else (lambda df: df)
+    few = taken <= BROADCAST_BYTES
+    small: Callable = F.broadcast if few else (lambda df: df)
     sizes = [row[0] for row in shingles.select("size").distinct().orderBy("size").collect()]  # 1 to SHINGLE
     rows = _keyed(docs)
     counted = _union(
@@ -127,7 +163,10 @@ def hits(docs: DataFrame, known: DataFrame) -> DataFrame:
         )
 
     schema = "doc_id bigint, text_key bigint, start int, n int, window_id bigint"
-    return materialise(_union([verified(k) for k in sizes], spark, schema), "hits")
+    if few:
+        return materialise(_union([verified(k) for k in sizes], spark, schema), "hits")
+    met = _union([_candidates(rows, prefixes, k) for k in sizes], spark, schema)
+    return materialise(_verified(rows, met, shingles.select("window_id", "window").distinct()), "hits")
 
 
 def _known(items: DataFrame, size: int, unnamed: bool = False) -> DataFrame:
@@ -141,8 +180,9 @@ def find(docs: DataFrame, items: DataFrame, size: int = WINDOW, unnamed: bool =
     A word is hit if it stands in a window of an item. Null texts have no words, and items without
     words hit nothing, nor do those without item_id unless ``unnamed``; then their words are hit, and only
     the list of items leaves them out. Equal rows get equal results; rows of one doc_id with
-    different texts are told apart by their text. Empty tables of either kind are fine: without items
-    nothing is hit. Other columns are not read.
+    different texts are told apart by their text. Whole texts are searched, however long; what is shuffled
+    of a document grows with its length. Empty tables of either kind are fine: without items nothing is
+    hit. Other columns are not read.
     """
     known = _known(items, size, unnamed)
     places = hits(docs, known)
@@ -166,7 +206,7 @@ def find(docs: DataFrame, items: DataFrame, size: int = WINDOW, unnamed: bool =
     )
     base = _keyed(docs).select("doc_id", "text_key", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     items_found = F.coalesce("items", F.array().cast("array<string>"))
-    return _left(_left(base, per_doc), found).select(
+    return _marked(_marked(base, per_doc), found).select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(items_found).cast("long").alias("n_items"), items_found.alias("items"),
     )
@@ -175,7 +215,8 @@ def find(docs: DataFrame, items: DataFrame, size: int = WINDOW, unnamed: bool =
 def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW, unnamed: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that hold no window of an item.
 
-    Items without item_id count only with ``unnamed``.
+    Items without item_id count only with ``unnamed``. Rows with a null text, or one without words, stay;
+    equal rows stay or go together; whole texts are searched. Without items all rows stay.
     """
     found = hits(docs, _known(items, size, unnamed)).select(
         F.col("doc_id").isNull().alias("missing"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key"

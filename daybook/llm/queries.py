@@ -45,7 +45,9 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True
+    )
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),

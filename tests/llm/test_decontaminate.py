@@ -1,10 +1,12 @@
+import hashlib
 import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from daybook.llm import decontaminate
+from daybook.llm import decontaminate, queries
 from tests.llm import inputs
 
 ITEMS = "item_id bigint, text string"
@@ -89,6 +91,44 @@ def test_items_without_id_hit_words_and_are_not_listed(spark, tmp_path):
     assert [r.doc_id for r in corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()] == [3]
 
 
+def test_query_counts_items_without_id(spark, tmp_path):
+    """By the contract every word inside a window is hit; only an item's missing text has no words."""
+    docs = inputs.documents(spark, [inputs.row(n, t) for n, t in enumerate(["z a b c d z", "z x y", "z y x", None])])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items = spark.createDataFrame([(None, "a b c"), (1, "c d"), (None, "x y"), (None, None)], ITEMS)
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {r.doc_id: r for r in queries.op3_benchmark_decontamination(spark, str(tmp_path)).collect()}
+    assert {n: (r.n_hit, r.n_items, r.contaminated) for n, r in found.items()} == {
+        0: (4, 1, True), 1: (2, 0, True), 2: (0, 0, False), 3: (0, 0, False)
+    }
+    listed = [hashlib.sha256(ids.encode()).hexdigest() for ids in ("1", "", "", "")]
+    assert [found[n].items_sha256 for n in range(4)] == listed
+
+
+def test_words_are_not_shuffled_beyond_the_broadcast(spark, monkeypatch):
+    """The places of a long text leave its words behind: the exchanges of candidates carry numbers."""
+    text = inputs.prose(1, 20_000)
+    known = decontaminate._known(spark.createDataFrame([(1, " ".join(text.split()[500:520]))], ITEMS), 10)
+    prefixes = decontaminate._shingles(known).groupBy("key", "size").agg(
+        F.collect_list(F.struct("window_id", "offset", "n", "window")).alias("prefixed")
+    )
+    rows = decontaminate._keyed(inputs.documents(spark, [inputs.row(1, text)]))
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = decontaminate._candidates(rows, prefixes, 3)
+        plan = met._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    of_exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plan)
+    assert any("at#" in columns for columns in of_exchanges)
+    assert not any(re.search(r"\b(words|text|word)#", columns) for columns in of_exchanges)
+    found = decontaminate.hits(inputs.documents(spark, [inputs.row(1, text), inputs.row(1, text)]), known)
+    assert {(r.start, r.n) for r in found.collect()} >= {(500 + k, 10) for k in range(11)}
+
+
 def test_edge_rows_and_empty_tables(spark, edge, empty):
     items = [(1, inputs.prose(1, 30)), (2, "one")]
     table = inputs.clashing(spark.createDataFrame(items, ITEMS), "window", "key", "words")
