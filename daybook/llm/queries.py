@@ -11,7 +11,7 @@ from daybook.llm import (
     divergence,
     jaccard_groups,
     labelled,
-    lm_scoring,
+    lm_tables,
     mixing,
     quality_rules,
     secret_scan,
@@ -65,11 +65,11 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(table(spark, sf_dir, "documents"))
+    return lm_tables.score(table(spark, sf_dir, "documents"))
 
 
 def op6_lm_scoring_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(table(spark, sf_dir, "documents"), order=3)
+    return lm_tables.score(table(spark, sf_dir, "documents"), order=3)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
