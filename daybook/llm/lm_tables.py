@@ -1,123 +1,134 @@
 """Language-model scores by stupid backoff, computed relationally.
 
-Each length of n-gram has a count table, partitioned by the n-gram's hash. An n-gram's score follows from
-its own count and one row of the next shorter table: that of the words before the last, if it occurs
-often enough, else that of the words after the first, whose score it falls back to. So the tables are
-scored one after another by one join each. The documents' own n-grams, one row for each different
-n-gram of a document, are then joined to the scores and summed per document.
+Documents are dealt to parts, and the n-grams of a part are exploded to one row each with how often the
+part has them. Spark shuffles these rows by the n-gram's hash and sums them, which is the count table,
+and a row whose sum is not what its own part has goes back to that part with the sum. There every
+document's n-grams take their counts and are summed per document.
+
+Words and pairs are counted first. Longer n-grams follow one length at a time, and only those are
+exploded whose two shorter n-grams occur often enough: no other can.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.lm_scoring import BACKOFF, LEAST_COUNT, ORDER, UNIT
+from daybook.llm.rows import parts_of, text_bytes
 from daybook.llm.words import ngram_hashes, raw_bytes, word_hashes
 from daybook.session import materialise
 
-#: n-grams that a task counts before it hands them on.
-COUNTED_AT_ONCE = 1 << 20
-
-_COUNTED = "gram bigint, led bigint, tail bigint, times bigint"
-_HELD = "of bigint, gram bigint, times int"
-
-
-def _batch(**columns: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({name: pa.array(values) for name, values in columns.items()})
-
-
-def _signed(hashes: np.ndarray) -> np.ndarray:
-    return hashes.view(np.int64)
-
-
-def _counter(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Texts to n-grams with the two shorter ones they hold, counted a million at a time."""
-
-    def counted(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        grams, led, tail = (np.concatenate(arrays) for arrays in zip(*runs))
-        found, first, times = np.unique(grams, return_index=True, return_counts=True)
-        return _batch(gram=_signed(found), led=_signed(led[first]), tail=_signed(tail[first]), times=times)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for text in batch.column("text"):
-                words = word_hashes(raw_bytes(text.as_py()))
-                grams = ngram_hashes(words, n)
-                shorter = ngram_hashes(words, n - 1) if n > 1 else np.zeros(len(words) + 1, np.uint64)
-                if len(grams):
-                    held.append((grams, shorter[:-1], shorter[1:]))
-                    size += len(grams)
-                if size >= COUNTED_AT_ONCE:
-                    yield counted(held)
-                    held, size = [], 0
-        if held:
-            yield counted(held)
-
-    return count
-
-
-def _holder(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Texts to the longest n-gram that ends at each word, once for each different one of a text."""
-
-    def joined(held: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        of = np.repeat(np.array([o for o, _, _ in held], np.int64), [len(grams) for _, grams, _ in held])
-        grams, times = (np.concatenate(arrays) for arrays in list(zip(*held))[1:])
-        return _batch(of=of, gram=_signed(grams), times=times.astype(np.int32))
-
-    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for of, text in zip(batch.column("of"), batch.column("text")):
-                words = word_hashes(raw_bytes(text.as_py()))
-                if not len(words):
-                    continue
-                starts = [ngram_hashes(words[:n], n) for n in range(1, min(order - 1, len(words)) + 1)]
-                grams, times = np.unique(np.concatenate([*starts, ngram_hashes(words, order)]), return_counts=True)
-                held.append((of.as_py(), grams, times))
-                size += len(grams)
-                if size >= COUNTED_AT_ONCE:
-                    yield joined(held)
-                    held, size = [], 0
-        if held:
-            yield joined(held)
-
-    return hold
-
-
-def _units(ratio: Column) -> Column:
-    return F.round(F.ln(ratio) * F.lit(UNIT)).cast("long")
-
-
-def count_table(docs: DataFrame, n: int) -> DataFrame:
-    """gram, led, tail, times: how often each n-gram occurs in all documents, and the n-grams within it."""
-    return docs.select("text").mapInArrow(_counter(n), _COUNTED).groupBy("gram").agg(
-        F.sum("times").alias("times"), F.first("led").alias("led"), F.first("tail").alias("tail")
-    )
-
-
-def _scored(counts: DataFrame, below: DataFrame | None, backoff: float, least_count: int) -> DataFrame:
-    """gram, times, units, alone: the score of an n-gram's last word, without the size of the corpus."""
-    if below is None:
-        return counts.select("gram", "times", _units(F.col("times")).alias("units"), F.lit(1).alias("alone"))
-    often = F.col("times") >= least_count
-    looked = counts.select("gram", "times", F.when(often, F.col("led")).otherwise(F.col("tail")).alias("look"))
-    shorter = below.select(
-        F.col("gram").alias("look"), F.col("times").alias("had"),
-        F.col("units").alias("fallback"), F.col("alone").alias("fell"),
-    )
-    tried = F.lit(round(math.log(backoff) * UNIT))
-    return looked.join(shorter, "look").select(
-        "gram", "times",
-        F.when(often, _units(F.col("times") / F.col("had"))).otherwise(F.col("fallback") + tried).alias("units"),
-        F.when(often, F.lit(0)).otherwise(F.col("fell")).alias("alone"),
-    )
+PART_BYTES = 6 << 20  # of text whose n-grams are exploded together
+LAID_AT_ONCE = 4096  # equal rows that one task writes
+
+_MERGED = "part int, doc_id bigint, text string, copies bigint"
+_GRAMS = "part int, gram bigint, times bigint"
+_SUMS = "doc_id bigint, copies bigint, words bigint, fell bigint, units bigint"
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal rows of a batch as one, so that many of them do not travel to one part."""
+    for batch in batches:
+        seen = Counter(zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text"))))
+        part, doc_id, text = zip(*seen) if seen else ((), (), ())
+        yield pa.record_batch(
+            [pa.array(part, pa.int32()), pa.array(doc_id, pa.int64()), pa.array(text, pa.string()),
+             pa.array(seen.values(), pa.int64())], ["part", "doc_id", "text", "copies"],
+        )
+
+
+def _dealt(docs: DataFrame) -> DataFrame:
+    """part, doc_id, text, copies: the different rows, each in one part of about ``PART_BYTES``."""
+    parts = parts_of(text_bytes(docs), PART_BYTES)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")
+    merged = rows.select(part.alias("part"), "doc_id", "text").mapInArrow(_merge, _MERGED)
+    return merged.repartition("part").groupBy("part", "doc_id", "text").agg(F.sum("copies").alias("copies"))
+
+
+def _rounds(order: int) -> list[list[int]]:
+    """The lengths that are counted together, in turn."""
+    return [list(range(1, min(order, 2) + 1)), *([n] for n in range(3, order + 1))]
+
+
+class _Part:
+    """The n-grams of a part: ``runs[n][k]`` are those of n words of its text k, ``counts`` likewise."""
+
+    def __init__(self, table: pa.Table, order: int, least_count: int):
+        self.rounds, self.least = _rounds(order), least_count
+        self.words = [word_hashes(raw_bytes(text.as_py())) for text in table.column("text")]
+        self.copies = table.column("copies").to_numpy()
+        self.counts: dict[int, list[np.ndarray]] = {}
+
+    def _round(self, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes, which may occur often enough, and the different ones of these: grams, place, own count."""
+        lengths = self.rounds[turn]
+        runs = [ngram_hashes(w, n) for n in lengths for w in self.words] or [np.empty(0, np.uint64)]
+        hashes, weights = np.concatenate(runs), np.repeat(np.tile(self.copies, len(lengths)), [len(r) for r in runs])
+        wanted = np.ones(len(hashes), bool)
+        if turn and self.least > 1:
+            shorter = self.counts[lengths[0] - 1]
+            wanted = np.concatenate([(c[:-1] >= self.least) & (c[1:] >= self.least) for c in shorter])
+        grams, place = np.unique(hashes[wanted], return_inverse=True)
+        own = np.bincount(place, weights=weights[wanted], minlength=len(grams)).astype(np.int64)
+        return hashes, wanted, grams, place, own
+
+    def exploded(self, part: int, turn: int) -> pa.Table:
+        _, _, grams, _, own = self._round(turn)
+        return pa.table({
+            "part": pa.array(np.full(len(grams), part, np.int32)), "gram": grams.view(np.int64), "times": own
+        })
+
+    def look_up(self, answers: pa.Table, turns: int) -> None:
+        """Counts over all documents; those without an answer are the part's own."""
+        asked = answers.column("gram").to_numpy().view(np.uint64)
+        by = np.argsort(asked)
+        asked, times = asked[by], answers.column("times").to_numpy()[by]
+        for turn in range(turns):
+            hashes, wanted, grams, place, own = self._round(turn)
+            at = np.searchsorted(asked, grams)
+            if len(asked):
+                at = np.minimum(at, len(asked) - 1)
+                own = np.where(asked[at] == grams, times[at], own)
+            counts = np.zeros(len(hashes), np.int64)
+            counts[wanted] = own[place]
+            lengths = [max(0, len(w) - n + 1) for n in self.rounds[turn] for w in self.words]
+            of_text = np.split(counts, np.cumsum(lengths)[:-1])
+            for k, n in enumerate(self.rounds[turn]):
+                self.counts[n] = of_text[k * len(self.words) : (k + 1) * len(self.words)]
+
+
+def _units(values: np.ndarray) -> np.ndarray:
+    return np.rint(np.log(values) * UNIT).astype(np.int64)
+
+
+def _sums(counts: list[np.ndarray], backoff: float, least_count: int) -> tuple[int, int]:
+    """How many words of a text fall back to the word alone, and its sum without the size of the corpus."""
+    units, alone = _units(counts[0]), np.ones(len(counts[0]), bool)
+    for shorter, run in zip(counts, counts[1:]):
+        skipped = len(units) - len(run)
+        often = run >= least_count
+        share = _units(np.maximum(run, 1) / np.maximum(shorter[: len(run)], 1))
+        units[skipped:] = np.where(often, share, units[skipped:] + round(math.log(backoff) * UNIT))
+        alone[skipped:] &= ~often
+    return int(alone.sum()), int(units.sum())
+
+
+def _each(rows: DataFrame) -> DataFrame:
+    """Every row as often as it has copies; many copies are laid out by many tasks."""
+    few = rows.filter(F.col("copies") <= LAID_AT_ONCE).select("*", F.explode(F.sequence(F.lit(1), "copies")).alias("k"))
+    blocks = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / LAID_AT_ONCE))
+    many = rows.filter(F.col("copies") > LAID_AT_ONCE).select("*", F.explode(blocks).alias("block"))
+    held = F.least(F.lit(LAID_AT_ONCE), F.col("copies") - F.col("block") * LAID_AT_ONCE)
+    many = many.repartition("doc_id", "block").select("*", F.explode(F.sequence(F.lit(1), held)).alias("k"))
+    return few.drop("k", "copies").unionByName(many.drop("k", "copies", "block"))
 
 
 def score(
@@ -130,39 +141,52 @@ def score(
     every n tried in vain; a word alone scores its share of all words. n_unseen is how many words fell
     back to that though a predecessor stood before them. score is the mean natural logarithm over the
     words, score_units the sum in millionths. A null text and one without words have no words and score
-    0. Equal texts score alike and each counts. n-grams do not cross documents, are told apart by 64
-    bits, and are taken from whole texts, however long. An empty table has no scores. Only doc_id and
-    text are read, so other columns may have any name.
+    0. Equal rows score alike, are looked at once, and each counts. n-grams do not cross documents, are
+    told apart by 64 bits, and are taken from whole texts, however long. An empty table has no scores.
+    Only doc_id and text are read, so other columns may have any name.
 
-    A frequent n-gram is counted in every task before it is shuffled; its rows in the documents are split
-    by Spark's skew join. Nothing is broadcast but by Spark's own size check.
+    A frequent n-gram is one row a part, whatever its places. Nothing is broadcast.
     """
-    of = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
-    rows = docs.select("doc_id", of.alias("of"), "text")
-    tables: list[DataFrame] = []
-    for n in range(1, order + 1):
-        table = _scored(count_table(rows, n), tables[-1] if tables else None, backoff, least_count)
-        tables.append(materialise(table, f"grams-{n}") if n < order else table)
-    values = tables[0]
-    for table in tables[1:]:
-        values = values.unionByName(table)
-    held = rows.select("of", "text").mapInArrow(_holder(order), _HELD)
-    summed = held.join(values.select("gram", "units", "alone"), "gram").groupBy("of").agg(
-        F.sum("times").alias("words"),
-        F.sum(F.col("alone") * F.col("times")).alias("fell"),
-        F.sum(F.col("units") * F.col("times")).alias("units"),
-    )
-    # rows that are equal in doc_id and text have one sum, of all of them
-    copies = rows.groupBy("of").agg(F.count("*").alias("copies"))
-    of_row = copies.join(summed, "of", "left").select(
-        "of", *(F.coalesce(F.expr(f"{c} div copies"), F.lit(0)).alias(c) for c in ("words", "fell", "units"))
-    )
-    scored = materialise(rows.select("doc_id", "of").join(of_row, "of"), "scores")
-    n_words = scored.agg(F.sum("words")).first()[0] or 0
+    rows, rounds = _dealt(docs), _rounds(order)
+
+    def explode_first(key: tuple, table: pa.Table) -> pa.Table:
+        return _Part(table, order, least_count).exploded(key[0].as_py(), 0)
+
+    def explode_next(turn: int) -> Callable:
+        def explode(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+            part = _Part(table, order, least_count)
+            part.look_up(answers, turn)
+            return part.exploded(key[0].as_py(), turn)
+
+        return explode
+
+    def add_up(table: pa.Table, answers: pa.Table) -> pa.Table:
+        part = _Part(table, order, least_count)
+        part.look_up(answers, len(rounds))
+        sums = [_sums(list(c), backoff, least_count) for c in zip(*(part.counts[n] for n in range(1, order + 1)))]
+        return pa.table({
+            "doc_id": table.column("doc_id"), "copies": table.column("copies"),
+            "words": pa.array([len(w) for w in part.words], pa.int64()),
+            "fell": pa.array([fell for fell, _ in sums], pa.int64()),
+            "units": pa.array([units for _, units in sums], pa.int64()),
+        })
+
+    parts, answers = rows.groupBy("part"), None
+    whole = F.sum("times").over(Window.partitionBy("gram"))
+    for turn in range(len(rounds)):
+        if answers is None:
+            exploded = parts.applyInArrow(explode_first, _GRAMS)
+        else:
+            exploded = parts.cogroup(answers.groupBy("part")).applyInArrow(explode_next(turn), _GRAMS)
+        counted = exploded.withColumn("whole", whole).filter("whole > times")
+        counted = counted.select("part", "gram", F.col("whole").alias("times"))
+        answers = counted if answers is None else answers.unionByName(counted)
+    summed = materialise(parts.cogroup(answers.groupBy("part")).applyInArrow(add_up, _SUMS), "scores")
+    n_words = summed.agg(F.sum(F.col("words") * F.col("copies"))).first()[0] or 0
     total = F.col("units") - F.col("fell") * F.lit(round(math.log(n_words) * UNIT) if n_words else 0)
     mean = F.when(F.col("words") > 0, F.col("score_units") / F.col("words") / F.lit(float(UNIT))).otherwise(0.0)
     first = F.when(F.col("words") > 0, 1).otherwise(0)
-    return scored.withColumn("score_units", total.cast("long")).select(
+    return _each(summed.withColumn("score_units", total.cast("long"))).select(
         "doc_id", F.col("words").alias("n_words"), (F.col("fell") - first).cast("long").alias("n_unseen"),
         "score_units", mean.alias("score"),
     )
