@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.llm.blobs import pack, unpack
 from daybook.llm.lm_scoring import BACKOFF, LEAST_COUNT, ORDER, UNIT
 from daybook.llm.rows import parts_of, text_bytes
 from daybook.llm.words import ngram_hashes, raw_bytes, word_hashes
@@ -28,29 +29,29 @@ from daybook.session import materialise
 PART_BYTES = 6 << 20  # of text whose n-grams are exploded together
 LAID_AT_ONCE = 4096  # equal rows that one task writes
 
-_MERGED = "part int, doc_id bigint, text string, copies bigint"
+_MERGED = "part int, doc_id bigint, packed binary, copies bigint"
 _GRAMS = "part int, gram bigint, times bigint"
 _SUMS = "doc_id bigint, copies bigint, words bigint, fell bigint, units bigint"
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Equal rows of a batch as one, so that many of them do not travel to one part."""
+    """Equal rows of a batch as one, so that many of them do not travel to one part; texts compressed."""
     for batch in batches:
         seen = Counter(zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text"))))
         part, doc_id, text = zip(*seen) if seen else ((), (), ())
         yield pa.record_batch(
-            [pa.array(part, pa.int32()), pa.array(doc_id, pa.int64()), pa.array(text, pa.string()),
-             pa.array(seen.values(), pa.int64())], ["part", "doc_id", "text", "copies"],
+            [pa.array(part, pa.int32()), pa.array(doc_id, pa.int64()), pa.array(map(pack, map(raw_bytes, text)), pa.binary()),
+             pa.array(seen.values(), pa.int64())], ["part", "doc_id", "packed", "copies"],
         )
 
 
 def _dealt(docs: DataFrame) -> DataFrame:
-    """part, doc_id, text, copies: the different rows, each in one part of about ``PART_BYTES``."""
+    """part, doc_id, packed (the text), copies: the different rows, each in one part of about ``PART_BYTES``."""
     parts = parts_of(text_bytes(docs), PART_BYTES)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")
     merged = rows.select(part.alias("part"), "doc_id", "text").mapInArrow(_merge, _MERGED)
-    return merged.repartition("part").groupBy("part", "doc_id", "text").agg(F.sum("copies").alias("copies"))
+    return merged.repartition("part").groupBy("part", "doc_id", "packed").agg(F.sum("copies").alias("copies"))
 
 
 def _rounds(order: int) -> list[list[int]]:
@@ -63,7 +64,7 @@ class _Part:
 
     def __init__(self, table: pa.Table, order: int, least_count: int):
         self.rounds, self.least = _rounds(order), least_count
-        self.words = [word_hashes(raw_bytes(text.as_py())) for text in table.column("text")]
+        self.words = [word_hashes(unpack(text.as_py(), np.uint8).tobytes()) for text in table.column("packed")]
         self.copies = table.column("copies").to_numpy()
         self.counts: dict[int, list[np.ndarray]] = {}
 
