@@ -12,46 +12,27 @@ exploded whose two shorter n-grams occur often enough: no other can.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.blobs import pack, unpack
+from daybook.llm.equal_rows import LAID_AT_ONCE, laid_out, merged_parts, raw_texts
 from daybook.llm.lm_scoring import BACKOFF, LEAST_COUNT, ORDER, UNIT
 from daybook.llm.rows import parts_of, text_bytes
-from daybook.llm.words import ngram_hashes, raw_bytes, word_hashes
+from daybook.llm.words import ngram_hashes, word_hashes
 from daybook.session import materialise
 
 PART_BYTES = 6 << 20  # of text whose n-grams are exploded together
-LAID_AT_ONCE = 4096  # equal rows that one task writes
 
-_MERGED = "part int, doc_id bigint, packed binary, copies bigint"
 _GRAMS = "part int, gram bigint, times bigint"
 _SUMS = "doc_id bigint, copies bigint, words bigint, fell bigint, units bigint"
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Equal rows of a batch as one, so that many of them do not travel to one part; texts compressed."""
-    for batch in batches:
-        seen = Counter(zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text"))))
-        part, doc_id, text = zip(*seen) if seen else ((), (), ())
-        yield pa.record_batch(
-            [pa.array(part, pa.int32()), pa.array(doc_id, pa.int64()), pa.array(map(pack, map(raw_bytes, text)), pa.binary()),
-             pa.array(seen.values(), pa.int64())], ["part", "doc_id", "packed", "copies"],
-        )
-
-
 def _dealt(docs: DataFrame) -> DataFrame:
-    """part, doc_id, packed (the text), copies: the different rows, each in one part of about ``PART_BYTES``."""
-    parts = parts_of(text_bytes(docs), PART_BYTES)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")
-    merged = rows.select(part.alias("part"), "doc_id", "text").mapInArrow(_merge, _MERGED)
-    return merged.repartition("part").groupBy("part", "doc_id", "packed").agg(F.sum("copies").alias("copies"))
+    return merged_parts(docs, parts_of(text_bytes(docs), PART_BYTES))
 
 
 def _rounds(order: int) -> list[list[int]]:
@@ -64,7 +45,7 @@ class _Part:
 
     def __init__(self, table: pa.Table, order: int, least_count: int):
         self.rounds, self.least = _rounds(order), least_count
-        self.words = [word_hashes(unpack(text.as_py(), np.uint8).tobytes()) for text in table.column("packed")]
+        self.words = [word_hashes(raw) for raw in raw_texts(table)]
         self.copies = table.column("copies").to_numpy()
         self.counts: dict[int, list[np.ndarray]] = {}
 
@@ -122,16 +103,6 @@ def _sums(counts: list[np.ndarray], backoff: float, least_count: int) -> tuple[i
     return int(alone.sum()), int(units.sum())
 
 
-def _each(rows: DataFrame) -> DataFrame:
-    """Every row as often as it has copies; many copies are laid out by many tasks."""
-    few = rows.filter(F.col("copies") <= LAID_AT_ONCE).select("*", F.explode(F.sequence(F.lit(1), "copies")).alias("k"))
-    blocks = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / LAID_AT_ONCE))
-    many = rows.filter(F.col("copies") > LAID_AT_ONCE).select("*", F.explode(blocks).alias("block"))
-    held = F.least(F.lit(LAID_AT_ONCE), F.col("copies") - F.col("block") * LAID_AT_ONCE)
-    many = many.repartition("doc_id", "block").select("*", F.explode(F.sequence(F.lit(1), held)).alias("k"))
-    return few.drop("k", "copies").unionByName(many.drop("k", "copies", "block"))
-
-
 def score(
     docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least_count: int = LEAST_COUNT
 ) -> DataFrame:
@@ -187,7 +158,7 @@ def score(
     total = F.col("units") - F.col("fell") * F.lit(round(math.log(n_words) * UNIT) if n_words else 0)
     mean = F.when(F.col("words") > 0, F.col("score_units") / F.col("words") / F.lit(float(UNIT))).otherwise(0.0)
     first = F.when(F.col("words") > 0, 1).otherwise(0)
-    return _each(summed.withColumn("score_units", total.cast("long"))).select(
+    return laid_out(summed.withColumn("score_units", total.cast("long")), LAID_AT_ONCE).select(
         "doc_id", F.col("words").alias("n_words"), (F.col("fell") - first).cast("long").alias("n_unseen"),
         "score_units", mean.alias("score"),
     )
