@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.blobs import pack, unpack
 from daybook.llm.words import raw_bytes
 
 LAID_AT_ONCE = 4096  # equal rows that one task writes
@@ -20,12 +19,13 @@ _MERGED = "part int, doc_id bigint, packed binary, copies bigint"
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Equal rows of a batch as one, so that many of them do not travel to one part; texts compressed."""
+    compress = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         seen = Counter(zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text"))))
         part, doc_id, text = zip(*seen) if seen else ((), (), ())
         yield pa.record_batch(
             [pa.array(part, pa.int32()), pa.array(doc_id, pa.int64()),
-             pa.array(map(pack, map(raw_bytes, text)), pa.binary()), pa.array(seen.values(), pa.int64())],
+             pa.array(map(compress, map(raw_bytes, text)), pa.binary()), pa.array(seen.values(), pa.int64())],
             ["part", "doc_id", "packed", "copies"],
         )
 
@@ -39,7 +39,8 @@ def merged_parts(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def raw_texts(table: pa.Table) -> list[bytes]:
-    return [unpack(text.as_py(), np.uint8).tobytes() for text in table.column("packed")]
+    decompress = zstandard.ZstdDecompressor().decompress
+    return [decompress(text) for text in table.column("packed").to_pylist()]
 
 
 def laid_out(stored: DataFrame, at_once: int = LAID_AT_ONCE) -> DataFrame:
