@@ -12,7 +12,10 @@ from daybook.plans.queries import QUERIES
 from daybook.session import tune
 
 CATALOGUE = re.compile(r"p_partkey|sales_price")
-FOUND = ["src_variant_documents"]
+FOUND = [
+    "src_variant_documents",
+    "batch_run_stock",
+]
 
 
 def _tables(spark, path, parts):
