@@ -15,6 +15,7 @@ CATALOGUE = re.compile(r"p_partkey|sales_price")
 FOUND = [
     "src_variant_documents",
     "batch_run_stock",
+    "batch_run_dated_catalogue",
 ]
 
 
