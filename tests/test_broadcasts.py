@@ -16,6 +16,7 @@ FOUND = [
     "src_variant_documents",
     "batch_run_stock",
     "batch_run_dated_catalogue",
+    "batch_run_orders",
 ]
 
 
