@@ -17,6 +17,7 @@ FOUND = [
     "batch_run_stock",
     "batch_run_dated_catalogue",
     "batch_run_orders",
+    "batch_run_summary",
 ]
 
 
