@@ -18,6 +18,7 @@ FOUND = [
     "batch_run_dated_catalogue",
     "batch_run_orders",
     "batch_run_summary",
+    "batch_run_written",
 ]
 
 
