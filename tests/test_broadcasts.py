@@ -19,6 +19,7 @@ FOUND = [
     "batch_run_orders",
     "batch_run_summary",
     "batch_run_written",
+    "validate_running_stock_daily_reload",
 ]
 
 
