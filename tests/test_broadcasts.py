@@ -21,6 +21,7 @@ FOUND = [
     "batch_run_written",
     "validate_running_stock_daily_reload",
     "src_flat_documents",
+    "batch_run",
 ]
 
 
